@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from attesta.llm.common import slices
 
@@ -228,9 +229,8 @@ def _blocks(docs: DataFrame, key: str, text: str, vocabulary: str, pattern: str,
     spark = docs.sparkSession
     kind = docs.schema[key].dataType
     row = T._parse_datatype_string(ROW.format(key=kind.simpleString()))
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(row, timezone="UTC")
+    arrow = to_arrow_schema(row)
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     scanned = docs.select(F.col(key), F.col(text)).mapInArrow(_scan(pattern, n, arrow), row)
     routed = scanned.repartition("route").sortWithinPartitions("kind", "bucket", "block")
@@ -245,9 +245,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     ``buckets``: tasks that share the distinct words, the shuffle partitions where None.
     """
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType(), False), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         for name, ids in _reassembled(batches):
@@ -263,9 +262,8 @@ def decode_list(ids: np.ndarray, table: list[bytes]) -> bytes:
 def decode(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, decoded binary): the bytes of each list of ids; null ids give null, an unknown id fails."""
     schema = T.StructType([T.StructField("key", encoded.schema[key].dataType), T.StructField("decoded", T.BinaryType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         joined = token_bytes(vocabulary)
@@ -279,9 +277,8 @@ def decode(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str =
 def digests(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): encode and decode in the same pass, keeping digests only."""
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType(), False), T.StructField("ids_sha256", T.StringType(), False), T.StructField("decoded_sha256", T.StringType(), False)])
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         joined, out = token_bytes(vocabulary), []

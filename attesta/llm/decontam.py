@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from attesta.llm.common import slices
 
@@ -171,9 +172,8 @@ def blocks(benchmark: DataFrame, key: str = "item_id", text: str = "text", block
 def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(key, item, similarity, first_word): a row for each document and item that a window of it holds."""
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField(item_key, benchmark.schema[item_key].dataType), T.StructField("similarity", T.DoubleType(), False), T.StructField("first_word", T.LongType(), False)])
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow = to_arrow_schema(schema, timezone="UTC")
+    arrow = to_arrow_schema(schema)
 
     def search(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

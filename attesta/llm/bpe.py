@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from attesta.llm.common import slices
+from attesta.llm.common import map_batches, slices
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 12 << 20
@@ -232,9 +232,9 @@ def _blocks(docs: DataFrame, key: str, text: str, vocabulary: str, pattern: str,
 
     arrow = to_arrow_schema(row)
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    scanned = docs.select(F.col(key), F.col(text)).mapInArrow(_scan(pattern, n, arrow), row)
+    scanned = map_batches(docs.select(F.col(key), F.col(text)), _scan(pattern, n, arrow), row)
     routed = scanned.repartition("route").sortWithinPartitions("kind", "bucket", "block")
-    encoded = routed.mapInArrow(_encode_words(vocabulary, pattern, arrow), row)
+    encoded = map_batches(routed, _encode_words(vocabulary, pattern, arrow), row)
     return encoded.repartition("block").sortWithinPartitions("block", "kind", "bucket")
 
 
@@ -252,7 +252,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         for name, ids in _reassembled(batches):
             yield _batch([(name, len(ids), ids.astype(np.int32))], arrow)
 
-    return _blocks(docs, key, text, vocabulary, pattern, buckets).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(_blocks(docs, key, text, vocabulary, pattern, buckets), run, schema).withColumnRenamed("key", key)
 
 
 def decode_list(ids: np.ndarray, table: list[bytes]) -> bytes:
@@ -271,7 +271,7 @@ def decode(encoded: DataFrame, vocabulary: str, key: str = "doc_id", ids: str =
             out = [None if x is None else b"".join([joined[i] for i in x]) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(arrow[0].type), pa.array(out, pa.binary())], schema=arrow)
 
-    return encoded.select(F.col(key).alias("key"), F.col(ids)).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(encoded.select(F.col(key).alias("key"), F.col(ids)), run, schema).withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
@@ -291,4 +291,4 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         if out:
             yield _batch(out, arrow)
 
-    return _blocks(docs, key, text, vocabulary, pattern, buckets).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(_blocks(docs, key, text, vocabulary, pattern, buckets), run, schema).withColumnRenamed("key", key)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
+#: Rows and bytes of the Arrow batches that Spark sends to Python.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 #: Rows taken from an Arrow batch at a time, so that few texts are Python objects at once.
 SLICE_ROWS = 256
 
@@ -20,6 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with batches bounded in rows and bytes, so that long texts don't fill executors.
+
+    Bounds that the session holds lower already stay.
+    """
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = int(re.sub(r"\D", "", conf.get(f"spark.sql.execution.arrow.{name}")) or 0)
+        if not 0 < now <= most:
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+    return df.mapInArrow(run, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of at most ``rows`` rows."""
     for batch in batches:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from attesta.llm.common import slices
+from attesta.llm.common import map_batches, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bits by which fingerprints may differ: at similarity 0.8 about 13 are expected, with deviation 3.2.
@@ -183,7 +183,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-        return docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema)
+        return map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema)
 
     out = None
     for block in blocks(benchmark, item_key, item_text, block_items):
@@ -204,5 +204,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         return run
 
     for block in blocks(benchmark, item_key, item_text, block_items):
-        docs = docs.mapInArrow(keep(block), docs.schema)
+        docs = map_batches(docs, keep(block), docs.schema)
     return docs

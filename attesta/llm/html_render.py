@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import slices
+from attesta.llm.common import map_batches, slices
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -412,4 +412,4 @@ def visible_text(pages: DataFrame, key: str = "page_id", source: str = "html") -
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(render, batch.column(1).to_pylist()), pa.string())], names=["key", "text"])
 
-    return pages.select(F.col(key).alias("key"), F.col(source)).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(pages.select(F.col(key).alias("key"), F.col(source)), run, schema).withColumnRenamed("key", key)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import slices
+from attesta.llm.common import map_batches, slices
 
 KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: n for n, k in enumerate(KINDS)}
@@ -372,4 +372,4 @@ def find_personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text")
             found = [all_spans(t or "", model) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([joined(b) for b, _ in found], pa.string()), pa.array([joined(s) for _, s in found], pa.string())], names=["key", "base", "spans"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema).withColumnRenamed("key", key)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import free_name, slices
+from attesta.llm.common import free_name, map_batches, slices
 
 KINDS = ("assign", "access", "hex", "checksum")
 ORDER = {k: n for n, k in enumerate(KINDS)}
@@ -110,7 +110,7 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             base = [joined([s for s in f if s[0] in BASE]) for f in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.string()), pa.array(map(joined, found), pa.string())], names=["key", "base", "spans"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema).withColumnRenamed("key", key)
 
 
 def redacted(text: str, found: list[Span], mark: str) -> str:
@@ -134,5 +134,5 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "<secret:{kind}>") -
             out = [redacted(t, f, mark) if t and (f := spans(t)) else t for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, marked])
 
-    cleaned = docs.mapInArrow(run, schema)
+    cleaned = map_batches(docs, run, schema)
     return cleaned.select(*[F.col(f"`{marked}`").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import free_name, slices, written
+from attesta.llm.common import free_name, map_batches, slices, written
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Fingerprints of a node that one task compares; larger nodes are dealt over pairs of cells.
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["key", "fp"])
 
-    return docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema)
 
 
 # ---------------------------------------------------------------- index
@@ -206,7 +206,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
     # a cell meets every cell, itself included, in the pair named by the two
     pairs = F.when(F.col("cells").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda c: F.least(c, mine) * F.col("cells") + F.greatest(c, mine)))
     placed = dealt.select("tab", "node", F.explode(pairs).alias("pair"), "fp")
-    return placed.repartition("tab", "node", "pair").sortWithinPartitions("tab", "node", "pair").mapInArrow(_linked(radius), "a long, b long")
+    return map_batches(placed.repartition("tab", "node", "pair").sortWithinPartitions("tab", "node", "pair"), _linked(radius), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import slices
+from attesta.llm.common import map_batches, slices
 
 #: Words whose counts a worker keeps; beyond that it starts afresh.
 KEPT_WORDS = 400_000
@@ -136,5 +136,5 @@ def token_counts(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 51
             texts = [t or "" for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(map(count, texts), pa.int64())], names=["key", "n_bytes", "n_tokens"])
 
-    counted = docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema)
+    counted = map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema)
     return counted.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import free_name, slices
+from attesta.llm.common import free_name, map_batches, slices
 
 #: Words of a window and from one window to the next.
 WINDOW, STRIDE = 6, 5
@@ -167,7 +167,7 @@ def score(docs: DataFrame, fitted: Fit | None, key: str = "doc_id", text: str =
         for batch in slices(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer(t or "") for t in batch.column(1).to_pylist()], pa.float64())], names=["key", "score"])
 
-    scored = docs.select(F.col(key).alias("key"), F.col(text)).mapInArrow(run, schema)
+    scored = map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema)
     out = F.coalesce(F.crc32(F.col("key").cast("string").cast("binary")) % folds == 0, F.lit(False))
     return scored.select(F.col("key").alias(key), out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -184,4 +184,4 @@ def reject_toxic(docs: DataFrame, fitted: Fit | None, text: str = "text", cut: f
             got = pa.array([scorer(t or "") for t in batch.column(place).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, got], names=[*batch.schema.names, mark])
 
-    return docs.mapInArrow(run, schema).where(F.col(f"`{mark}`") < cut).drop(mark)
+    return map_batches(docs, run, schema).where(F.col(f"`{mark}`") < cut).drop(mark)

@@ -9,6 +9,10 @@ each (block, bucket) pair plus the packed positions: no word is a shuffle key, s
 in every document weighs as much as any other. Decoding joins ids with the token-byte table, whose
 size is fixed by the vocabulary.
 
+The documents are scanned twice, for words and for positions, and blocks must come out alike: that
+holds for tables and files. A checksum of its words goes with every row of a block, so an input whose
+rows change order between scans fails instead of giving wrong ids.
+
 Defined cases: a null text counts as empty (no ids, empty bytes); keys may be null or repeated and
 rows are never merged; an empty table gives an empty result; columns other than the key and the text
 are not read.
@@ -37,7 +41,7 @@ BLOCK_BYTES = 12 << 20
 #: Bytes of text in a packed row of positions.
 CHUNK_BYTES = 1 << 20
 WORDS, IDS, DOCS = 0, 1, 2
-ROW = "route long, block long, kind int, bucket int, payload binary, keys array<{key}>"
+ROW = "route long, block long, kind int, bucket int, sign long, payload binary, keys array<{key}>"
 
 
 @lru_cache(maxsize=2)
@@ -100,9 +104,11 @@ class _Block:
         self.keys.append(key)
         self.sizes.append(size)
 
-    def rows(self, block: int, buckets: int) -> Iterator[tuple]:
-        words = list(self.words)
-        raw = [w.encode() for w in words]
+    def rows(self, block: int, buckets: int, kind: int) -> Iterator[tuple]:
+        """Rows of one kind: the distinct words, or the documents as places of words. Both carry the block's sign."""
+        raw = [w.encode() for w in self.words]
+        words = raw
+        sign = zlib.crc32(b" ".join(raw))
         homes = np.fromiter((zlib.crc32(w) for w in raw), np.uint32, len(raw)) % buckets
         by_home = np.argsort(homes, kind="stable")
         ends = np.cumsum(np.bincount(homes, minlength=buckets))
@@ -112,13 +118,13 @@ class _Block:
             # sorted words share prefixes, which packs them well
             mine = sorted(by_home[at:end].tolist(), key=raw.__getitem__)
             place[mine] = np.arange(at, end, dtype=np.uint32)
-            if mine:
+            if mine and kind == WORDS:
                 lengths = np.fromiter((len(raw[k]) for k in mine), np.uint32, len(mine))
                 packed = zstandard.compress(b"".join(raw[k] for k in mine), 3)
                 sizes = _pack(lengths)
-                yield bucket, block, WORDS, bucket, len(sizes).to_bytes(4, "little") + sizes + packed, None
+                yield bucket, block, WORDS, bucket, sign, len(sizes).to_bytes(4, "little") + sizes + packed, None
             at = end
-        start = 0
+        start = 0 if kind == DOCS else len(self.docs)
         while start < len(self.docs):
             stop, size = start, 0
             while stop < len(self.docs) and (stop == start or size + self.sizes[stop] <= CHUNK_BYTES):
@@ -127,7 +133,7 @@ class _Block:
             docs = self.docs[start:stop]
             lengths = np.fromiter(map(len, docs), np.uint32, len(docs))
             packed = _pack_lists(lengths, place[np.concatenate(docs)])
-            yield block, block, DOCS, 0, packed, self.keys[start:stop]
+            yield block, block, DOCS, 0, sign, packed, self.keys[start:stop]
             start = stop
 
 
@@ -142,7 +148,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def _scan(pattern: str, buckets: int, schema: pa.Schema):
+def _scan(pattern: str, buckets: int, kind: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
         from pyspark import TaskContext
@@ -155,40 +161,37 @@ def _scan(pattern: str, buckets: int, schema: pa.Schema):
                 text = text or ""
                 n = len(text.encode())
                 if size and size + n > BLOCK_BYTES:
-                    for row in block.rows(number, buckets):
+                    for row in block.rows(number, buckets, kind):
                         yield _batch([row], schema)
                     number, block, size = number + 1, _Block(), 0
                 block.add(key, split(text), n)
                 size += n + 1
         if block.docs:
-            for row in block.rows(number, buckets):
+            for row in block.rows(number, buckets, kind):
                 yield _batch([row], schema)
 
     return run
 
 
 def _encode_words(path: str, pattern: str, schema: pa.Schema):
-    """Word rows become id rows, each distinct word encoded once; other rows pass. Rows come by bucket."""
+    """Word rows become id rows, each distinct word encoded once. Rows come by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path, pattern).encode_ordinary
         bucket, known = None, {}
         for batch in slices(batches, 16):
             out = []
-            for route, block, kind, home, payload, keys in zip(*(c.to_pylist() for c in batch.columns)):
-                if kind == WORDS:
-                    if home != bucket:
-                        bucket, known = home, {}
-                    ids = []
-                    for word in _unpack_words(payload):
-                        got = known.get(word)
-                        if got is None:
-                            got = known[word] = np.array(encode(word.decode()), np.uint32).tobytes()
-                        ids.append(got)
-                    lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
-                    payload = _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32))
-                    route, kind = block, IDS
-                out.append((route, block, kind, home, payload, keys))
+            for _, block, _, home, sign, payload, _ in zip(*(c.to_pylist() for c in batch.columns)):
+                if home != bucket:
+                    bucket, known = home, {}
+                ids = []
+                for word in _unpack_words(payload):
+                    got = known.get(word)
+                    if got is None:
+                        got = known[word] = np.array(encode(word.decode()), np.uint32).tobytes()
+                    ids.append(got)
+                lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
+                out.append((block, block, IDS, home, sign, _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32)), None))
             if out:
                 yield _batch(out, schema)
 
@@ -197,11 +200,14 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
 
 def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of each document. Of each block, id rows come first, by bucket."""
-    block, counts, flat, starts, lengths = None, [], [], None, None
+    block, counts, flat, starts, lengths, signs = None, [], [], None, None, set()
     for batch in slices(batches, 16):
-        for b, kind, payload, keys in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "payload", "keys"))):
+        for b, kind, sign, payload, keys in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "sign", "payload", "keys"))):
             if b != block:
-                block, counts, flat, starts = b, [], [], None
+                block, counts, flat, starts, signs = b, [], [], None, set()
+            signs.add(sign)
+            if len(signs) > 1:
+                raise ValueError("a block changed between the two scans; write the documents to a table first")
             if kind == IDS:
                 n, ids = _unpack_lists(payload)
                 counts.append(n)
@@ -232,10 +238,12 @@ def _blocks(docs: DataFrame, key: str, text: str, vocabulary: str, pattern: str,
 
     arrow = to_arrow_schema(row)
     n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    scanned = map_batches(docs.select(F.col(key), F.col(text)), _scan(pattern, n, arrow), row)
-    routed = scanned.repartition("route").sortWithinPartitions("kind", "bucket", "block")
-    encoded = map_batches(routed, _encode_words(vocabulary, pattern, arrow), row)
-    return encoded.repartition("block").sortWithinPartitions("block", "kind", "bucket")
+    body = docs.select(F.col(key), F.col(text))
+    words = map_batches(body, _scan(pattern, n, WORDS, arrow), row).repartition("route").sortWithinPartitions("bucket", "block")
+    ids = map_batches(words, _encode_words(vocabulary, pattern, arrow), row)
+    # scanned a second time rather than carried through the shuffle of words
+    packed = map_batches(body, _scan(pattern, n, DOCS, arrow), row)
+    return ids.unionAll(packed).repartition("block").sortWithinPartitions("block", "kind", "bucket")
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:

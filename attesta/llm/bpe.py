@@ -10,8 +10,8 @@ in every document weighs as much as any other. Decoding joins ids with the token
 size is fixed by the vocabulary.
 
 The documents are scanned twice, for words and for positions, and blocks must come out alike: that
-holds for tables and files. A checksum of its words goes with every row of a block, so an input whose
-rows change order between scans fails instead of giving wrong ids.
+holds for tables and files. A block's name is a hash of its words, so an input whose rows change order
+between scans fails instead of giving wrong ids.
 
 Defined cases: a null text counts as empty (no ids, empty bytes); keys may be null or repeated and
 rows are never merged; an empty table gives an empty result; columns other than the key and the text
@@ -41,7 +41,7 @@ BLOCK_BYTES = 12 << 20
 #: Bytes of text in a packed row of positions.
 CHUNK_BYTES = 1 << 20
 WORDS, IDS, DOCS = 0, 1, 2
-ROW = "route long, block long, kind int, bucket int, sign long, payload binary, keys array<{key}>"
+ROW = "route long, block long, kind int, bucket int, payload binary, keys array<{key}>"
 
 
 @lru_cache(maxsize=2)
@@ -104,11 +104,11 @@ class _Block:
         self.keys.append(key)
         self.sizes.append(size)
 
-    def rows(self, block: int, buckets: int, kind: int) -> Iterator[tuple]:
-        """Rows of one kind: the distinct words, or the documents as places of words. Both carry the block's sign."""
+    def rows(self, buckets: int, kind: int) -> Iterator[tuple]:
+        """Rows of one kind: the distinct words, or the documents as places of words. A block is named by a hash of its words."""
         raw = [w.encode() for w in self.words]
         words = raw
-        sign = zlib.crc32(b" ".join(raw))
+        block = int.from_bytes(hashlib.blake2b(b"\xff".join(raw), digest_size=8).digest(), "little", signed=True)
         homes = np.fromiter((zlib.crc32(w) for w in raw), np.uint32, len(raw)) % buckets
         by_home = np.argsort(homes, kind="stable")
         ends = np.cumsum(np.bincount(homes, minlength=buckets))
@@ -122,7 +122,7 @@ class _Block:
                 lengths = np.fromiter((len(raw[k]) for k in mine), np.uint32, len(mine))
                 packed = zstandard.compress(b"".join(raw[k] for k in mine), 3)
                 sizes = _pack(lengths)
-                yield bucket, block, WORDS, bucket, sign, len(sizes).to_bytes(4, "little") + sizes + packed, None
+                yield bucket, block, WORDS, bucket, len(sizes).to_bytes(4, "little") + sizes + packed, None
             at = end
         start = 0 if kind == DOCS else len(self.docs)
         while start < len(self.docs):
@@ -133,7 +133,7 @@ class _Block:
             docs = self.docs[start:stop]
             lengths = np.fromiter(map(len, docs), np.uint32, len(docs))
             packed = _pack_lists(lengths, place[np.concatenate(docs)])
-            yield block, block, DOCS, 0, sign, packed, self.keys[start:stop]
+            yield block, block, DOCS, 0, packed, self.keys[start:stop]
             start = stop
 
 
@@ -151,23 +151,20 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def _scan(pattern: str, buckets: int, kind: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
-        from pyspark import TaskContext
-
         split = regex.compile(pattern).findall
-        number = TaskContext.get().partitionId() << 32
         block, size = _Block(), 0
         for batch in slices(batches):
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
                 n = len(text.encode())
                 if size and size + n > BLOCK_BYTES:
-                    for row in block.rows(number, buckets, kind):
+                    for row in block.rows(buckets, kind):
                         yield _batch([row], schema)
-                    number, block, size = number + 1, _Block(), 0
+                    block, size = _Block(), 0
                 block.add(key, split(text), n)
                 size += n + 1
         if block.docs:
-            for row in block.rows(number, buckets, kind):
+            for row in block.rows(buckets, kind):
                 yield _batch([row], schema)
 
     return run
@@ -181,7 +178,7 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
         bucket, known = None, {}
         for batch in slices(batches, 16):
             out = []
-            for _, block, _, home, sign, payload, _ in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, block, _, home, payload, _ in zip(*(c.to_pylist() for c in batch.columns)):
                 if home != bucket:
                     bucket, known = home, {}
                 ids = []
@@ -191,7 +188,7 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
                         got = known[word] = np.array(encode(word.decode()), np.uint32).tobytes()
                     ids.append(got)
                 lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
-                out.append((block, block, IDS, home, sign, _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32)), None))
+                out.append((block, block, IDS, home, _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32)), None))
             if out:
                 yield _batch(out, schema)
 
@@ -200,15 +197,15 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
 
 def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np.ndarray]]:
     """(key, ids) of each document. Of each block, id rows come first, by bucket."""
-    block, counts, flat, starts, lengths, signs = None, [], [], None, None, set()
+    block, last, counts, flat, starts, lengths = None, -1, [], [], None, None
     for batch in slices(batches, 16):
-        for b, kind, sign, payload, keys in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "sign", "payload", "keys"))):
+        for b, kind, bucket, payload, keys in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "bucket", "payload", "keys"))):
             if b != block:
-                block, counts, flat, starts, signs = b, [], [], None, set()
-            signs.add(sign)
-            if len(signs) > 1:
-                raise ValueError("a block changed between the two scans; write the documents to a table first")
+                block, last, counts, flat, starts = b, -1, [], [], None
             if kind == IDS:
+                if bucket == last:
+                    continue  # of another block with the same words
+                last = bucket
                 n, ids = _unpack_lists(payload)
                 counts.append(n)
                 flat.append(ids)
@@ -218,6 +215,8 @@ def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, np
                 ids = np.concatenate(flat) if flat else np.zeros(0, np.uint32)
                 starts = np.cumsum(lengths) - lengths
             sizes, words = _unpack_lists(payload)
+            if len(words) and not len(lengths):
+                raise ValueError("a block changed between the two scans; write the documents to a table first")
             at = 0
             for key, size in zip(keys, sizes.tolist()):
                 mine = words[at : at + size]

@@ -117,16 +117,12 @@ class GrayIndex:
 
     def search(self, word: np.uint64, radius: int) -> np.ndarray:
         """Places of living members within the radius."""
-        at = None
-        for ones, mask in reversed(self.levels):
-            at = np.arange(len(ones)) if at is None else at
+        at = np.arange(len(self.levels[-1][0]) if self.levels else len(self.members))
+        below = [len(ones) for ones, _ in self.levels[-2::-1]] + [len(self.members)]
+        for (ones, mask), n in zip(reversed(self.levels), below):
             near = np.bitwise_count((ones[at] ^ word) & mask[at]) <= radius
-            below = (at[near, None] * FANOUT + np.arange(FANOUT)).ravel()
-            at = below
-        if at is None:
-            at = np.arange(len(self.members))
-        else:
-            at = at[at < len(self.members)]
+            at = (at[near, None] * FANOUT + np.arange(FANOUT)).ravel()
+            at = at[at < n]
         at = at[self.alive[at]]
         return at[np.bitwise_count(self.members[at] ^ word) <= radius]
 

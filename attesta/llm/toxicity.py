@@ -33,13 +33,13 @@ from pyspark.sql import types as T
 from attesta.llm.common import free_name, map_batches, slices
 
 #: Words of a window and from one window to the next.
-WINDOW, STRIDE = 6, 5
+WINDOW, STRIDE = 8, 7
 DICTIONARY_BYTES = 2048
 #: Savings in bytes from which a window counts.
-THRESHOLDS = (2, 3, 4, 5, 6)
-PER_CLASS = 1500
-#: A word is typical of toxic text if its share of documents is this many standard errors above.
-TYPICAL = 6.0
+THRESHOLDS = (2, 3, 4, 5, 6, 7, 8)
+PER_CLASS = 3000
+#: A word is typical of toxic text if its share is over LIFT times that elsewhere, and TYPICAL standard errors above.
+LIFT, TYPICAL = 8.0, 6.0
 
 
 @dataclass(frozen=True)
@@ -77,13 +77,14 @@ class Scorer:
         self.plain, self.toxic = compressor(fit.ordinary), compressor(fit.toxic)
 
     def evidence(self, text: str) -> np.ndarray:
-        """Shares of windows by threshold, mean saving, largest saving and mean of the three largest."""
+        """By threshold, the share of windows and the logarithm of their number; the mean and largest savings; the number of windows."""
         plain, toxic = self.plain.compress, self.toxic.compress
         saved = np.array([len(plain(w)) - len(toxic(w)) for w in windows(text)], float)
         if not len(saved):
-            return np.zeros(len(THRESHOLDS) + 3)
+            return np.zeros(2 * len(THRESHOLDS) + 4)
+        counts = np.array([(saved >= t).sum() for t in THRESHOLDS], float)
         top = np.sort(saved)[-3:]
-        return np.array([*((saved >= t).mean() for t in THRESHOLDS), saved.mean(), top[-1], top.mean()])
+        return np.array([*counts / len(saved), *np.log1p(counts), saved.mean(), top[-1], top.mean(), np.log1p(len(saved))])
 
     def __call__(self, text: str) -> float:
         f = self.fit
@@ -100,6 +101,23 @@ def _dictionary(words: list[bytes], size: int) -> bytes:
         return b"".join(sorted(set(words)))[:size] or b" " * 8
 
 
+def _excess(c1: int, n1: int, c0: int, n0: int) -> float:
+    """Standard errors by which the share c1 / n1 exceeds c0 / n0; minus infinity unless it is over LIFT times that."""
+    p, q, m = c1 / n1, c0 / n0, (c1 + c0) / (n1 + n0)
+    return (p - q) / math.sqrt(m * (1 - m) * (1 / n1 + 1 / n0) + 1e-18) if p > LIFT * q else -math.inf
+
+
+def typical_words(split: list[list[bytes]], labels: list[int]) -> set[bytes]:
+    """Words typical of label 1 by documents and by places. Places are told apart by the word before, so that copies of a text count once."""
+    docs, places = [Counter(), Counter()], [set(), set()]
+    for words, label in zip(split, labels):
+        docs[label].update(set(words))
+        places[label].update(zip([b"", *words], words))
+    uses = [Counter(w for _, w in p) for p in places]
+    n, m = [labels.count(0), labels.count(1)], [max(1, len(p)) for p in places]
+    return {w for w, c in docs[1].items() if _excess(c, n[1], docs[0][w], n[0]) > TYPICAL and _excess(uses[1][w], m[1], uses[0][w], m[0]) > TYPICAL}
+
+
 def _link(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
     """Logistic weights by Newton steps with a ridge; classes weigh as in ``prior``, the share of label 1."""
     w = np.where(y == 1, prior / max(y.mean(), 1e-9), (1 - prior) / max(1 - y.mean(), 1e-9))
@@ -117,25 +135,14 @@ def _link(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, float
 
 
 def fit_texts(texts: list[str], labels: list[int], prior: float) -> Fit | None:
-    """A fit from labelled texts; None unless both labels occur. Even-numbered texts make the dictionaries, all calibrate."""
+    """A fit from labelled texts; None unless both labels occur. ``prior`` is the share of label 1 to calibrate for."""
     y = np.array(labels)
     if not 0 < y.sum() < len(y):
         return None
     split = [t.lower().encode().split() for t in texts]
-    have = [Counter(), Counter()]
-    for words, label in zip(split, labels):
-        have[label].update(set(words))
-    n = [int((y == 0).sum()), int(y.sum())]
-    typical = set()
-    for w, c in have[1].items():
-        p, q = c / n[1], have[0][w] / n[0]
-        m = (c + have[0][w]) / len(y)
-        if p > q and (p - q) > TYPICAL * math.sqrt(m * (1 - m) * (1 / n[0] + 1 / n[1])):
-            typical.add(w)
-    if not typical:  # nothing stands out: all words of toxic texts
-        typical = set(have[1])
-    toxic = [b" " + w + b" " for words, label in zip(split, labels) if label for w in words if w in typical]
-    plain = [b" " + w + b" " for words, label in zip(split, labels) if not label for w in words if w not in typical]
+    marked = typical_words(split, labels) or {w for words, label in zip(split, labels) if label for w in words}
+    toxic = [b" " + w + b" " for words, label in zip(split, labels) if label for w in words if w in marked]
+    plain = [b" " + w + b" " for words, label in zip(split, labels) if not label for w in words if w not in marked]
     ordinary = _dictionary(plain, DICTIONARY_BYTES)
     draft = Fit(ordinary, _dictionary(toxic, DICTIONARY_BYTES) + ordinary, (), (), (), 0.0)
     scorer = Scorer(draft)

@@ -38,8 +38,8 @@ DICTIONARY_BYTES = 2048
 #: Savings in bytes from which a window counts.
 THRESHOLDS = (2, 3, 4, 5, 6, 7, 8)
 PER_CLASS = 3000
-#: A word is typical of toxic text if its share is over LIFT times that elsewhere, and TYPICAL standard errors above.
-LIFT, TYPICAL = 8.0, 6.0
+#: A word is typical of toxic text if it stands in PLACES places there at least, and its share is over LIFT times that elsewhere and TYPICAL standard errors above.
+PLACES, LIFT, TYPICAL = 10, 8.0, 6.0
 
 
 @dataclass(frozen=True)
@@ -115,7 +115,7 @@ def typical_words(split: list[list[bytes]], labels: list[int]) -> set[bytes]:
         places[label].update(zip([b"", *words], words))
     uses = [Counter(w for _, w in p) for p in places]
     n, m = [labels.count(0), labels.count(1)], [max(1, len(p)) for p in places]
-    return {w for w, c in docs[1].items() if _excess(c, n[1], docs[0][w], n[0]) > TYPICAL and _excess(uses[1][w], m[1], uses[0][w], m[0]) > TYPICAL}
+    return {w for w, c in docs[1].items() if uses[1][w] >= PLACES and _excess(c, n[1], docs[0][w], n[0]) > TYPICAL and _excess(uses[1][w], m[1], uses[0][w], m[0]) > TYPICAL}
 
 
 def _link(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, float]:

@@ -39,7 +39,7 @@ DICTIONARY_BYTES = 2048
 THRESHOLDS = (2, 3, 4, 5, 6, 7, 8)
 PER_CLASS = 3000
 #: A word is typical of toxic text if it stands in PLACES places there at least, and its share is over LIFT times that elsewhere and TYPICAL standard errors above.
-PLACES, LIFT, TYPICAL = 10, 8.0, 6.0
+PLACES, LIFT, TYPICAL = 12, 8.0, 6.0
 
 
 @dataclass(frozen=True)

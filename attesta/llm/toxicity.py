@@ -18,8 +18,6 @@ score is 0 for every row; keys may be null or repeated; clashing names of other
 from __future__ import annotations
 
 import math
-import random
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +33,8 @@ from attesta.llm.common import free_name, map_batches, slices
 #: Words of a window and from one window to the next.
 WINDOW, STRIDE = 8, 7
 DICTIONARY_BYTES = 2048
+#: Word occurrences on which a dictionary is trained at most.
+SAMPLE = 60_000
 #: Savings in bytes from which a window counts.
 THRESHOLDS = (2, 3, 4, 5, 6, 7, 8)
 PER_CLASS = 3000
@@ -92,11 +92,12 @@ class Scorer:
         return 1 / (1 + math.exp(-min(max(float(x @ np.array(f.weights)) + f.bias, -30.0), 30.0)))
 
 
-def _dictionary(words: list[bytes], size: int) -> bytes:
-    """Content of a dictionary trained on single words, spaces included."""
-    random.Random(1).shuffle(words)
+def _dictionary(ids: np.ndarray, names: list[bytes], size: int) -> bytes:
+    """Content of a dictionary trained on single words, spaces included; at most SAMPLE of the occurrences ``ids``."""
+    chosen = np.random.default_rng(1).permutation(ids)[:SAMPLE]
+    words = [b" " + names[k] + b" " for k in chosen.tolist()]
     try:
-        return zs.train_dictionary(size, words[:60_000], k=16, d=6).as_bytes()
+        return zs.train_dictionary(size, words, k=16, d=6).as_bytes()
     except zs.ZstdError:  # too little text to train on: the text itself is the content
         return b"".join(sorted(set(words)))[:size] or b" " * 8
 
@@ -107,15 +108,18 @@ def _excess(c1: int, n1: int, c0: int, n0: int) -> float:
     return (p - q) / math.sqrt(m * (1 - m) * (1 / n1 + 1 / n0) + 1e-18) if p > LIFT * q else -math.inf
 
 
-def typical_words(split: list[list[bytes]], labels: list[int]) -> set[bytes]:
-    """Words typical of label 1 by documents and by places. Places are told apart by the word before, so that copies of a text count once."""
-    docs, places = [Counter(), Counter()], [set(), set()]
-    for words, label in zip(split, labels):
-        docs[label].update(set(words))
-        places[label].update(zip([b"", *words], words))
-    uses = [Counter(w for _, w in p) for p in places]
-    n, m = [labels.count(0), labels.count(1)], [max(1, len(p)) for p in places]
-    return {w for w, c in docs[1].items() if uses[1][w] >= PLACES and _excess(c, n[1], docs[0][w], n[0]) > TYPICAL and _excess(uses[1][w], m[1], uses[0][w], m[0]) > TYPICAL}
+def typical_words(texts: list[np.ndarray], y: np.ndarray, n_words: int) -> np.ndarray:
+    """Whether each word number is typical of label 1, by documents and by places. Places are told apart by the word before, so that copies of a text count once."""
+    docs, uses, n, m = [], [], [], []
+    for side in (0, 1):
+        mine = [t for t, label in zip(texts, y) if label == side]
+        docs.append(np.bincount(np.concatenate([np.unique(t) for t in mine]), minlength=n_words))
+        # a pair (word before + 1, word) as one number; 0 stands before the first word
+        places = np.unique(np.concatenate([np.r_[0, t[:-1] + 1][: len(t)] * n_words + t for t in mine]))
+        uses.append(np.bincount(places % n_words, minlength=n_words))
+        n.append(len(mine))
+        m.append(max(1, len(places)))
+    return np.array([uses[1][w] >= PLACES and _excess(docs[1][w], n[1], docs[0][w], n[0]) > TYPICAL and _excess(uses[1][w], m[1], uses[0][w], m[0]) > TYPICAL for w in range(n_words)], bool)
 
 
 def _link(x: np.ndarray, y: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -139,12 +143,15 @@ def fit_texts(texts: list[str], labels: list[int], prior: float) -> Fit | None:
     y = np.array(labels)
     if not 0 < y.sum() < len(y):
         return None
-    split = [t.lower().encode().split() for t in texts]
-    marked = typical_words(split, labels) or {w for words, label in zip(split, labels) if label for w in words}
-    toxic = [b" " + w + b" " for words, label in zip(split, labels) if label for w in words if w in marked]
-    plain = [b" " + w + b" " for words, label in zip(split, labels) if not label for w in words if w not in marked]
-    ordinary = _dictionary(plain, DICTIONARY_BYTES)
-    draft = Fit(ordinary, _dictionary(toxic, DICTIONARY_BYTES) + ordinary, (), (), (), 0.0)
+    number: dict[bytes, int] = {}
+    ids = [np.fromiter((number.setdefault(w, len(number)) for w in t.lower().encode().split()), np.int64) for t in texts]
+    names = list(number)
+    marked = typical_words(ids, y, len(names))
+    said = [np.concatenate([t for t, label in zip(ids, y) if label == side]) for side in (0, 1)]
+    if marked.any():
+        said = [said[0][~marked[said[0]]], said[1][marked[said[1]]]]
+    ordinary = _dictionary(said[0], names, DICTIONARY_BYTES)
+    draft = Fit(ordinary, _dictionary(said[1], names, DICTIONARY_BYTES) + ordinary, (), (), (), 0.0)
     scorer = Scorer(draft)
     x = np.array([scorer.evidence(t) for t in texts])
     offsets, scales = x.mean(0), np.maximum(x.std(0), 1e-6)

@@ -113,10 +113,9 @@ FROM ({_TOPICAL.replace('{claims}', 's_claims')})""")
 def topic_scan(s: Store) -> DataFrame:
     """Topics by pattern: how many occur, how often, in how many words."""
     rows = s.spark.sql(_TOPICAL, claims=s.claims)
-    counts = rules.topic_counts(F.col("text"))
-    breadth = sum(((c > 0).cast("long") for c in counts.values()), F.lit(0))
-    mentions = sum((c.cast("long") for c in counts.values()), F.lit(0))
-    return rows.select("id", breadth.alias("breadth"), mentions.alias("mentions"), F.greatest(F.regexp_count("text", F.lit(r"\S+")).cast("long"), F.lit(1)).alias("words"))
+    # the counts are an array of their own, so that each pattern runs once
+    counted = rows.select("id", F.array(*[c.cast("long") for c in rules.topic_counts(F.col("text")).values()]).alias("c"), F.greatest(F.regexp_count("text", F.lit(r"\S+")).cast("long"), F.lit(1)).alias("words"))
+    return counted.select("id", F.size(F.filter("c", lambda n: n > 0)).cast("long").alias("breadth"), F.aggregate("c", F.lit(0).cast("long"), lambda a, n: a + n).alias("mentions"), "words")
 
 
 @query(f"""

@@ -28,6 +28,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -223,8 +224,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(key, fingerprint, component_id) for each row: 16 hex digits and the least key that links reach."""
-    fps = written(fingerprints(docs, key, text), "fingerprints")
+    """(key, fingerprint, component_id) for each row: 16 hex digits and the least key that links reach.
+
+    Fingerprints stay persisted for the lazy result; ``spark.catalog.clearCache()`` drops them.
+    """
+    # read three times below, so kept on executors' disks; a lost block is computed again from the documents
+    fps = fingerprints(docs, key, text).persist(StorageLevel.DISK_ONLY)
     groups = fps.groupBy("fp").agg(F.min("key").alias("rep"))
     roots = components(links(groups, radius))
     rooted = groups.join(roots, groups["fp"] == roots["v"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))

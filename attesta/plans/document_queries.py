@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions.rollcall import roll_call
-from attesta.operators import documents, gates
+from attesta.operators import documents, gates, geometry
 from attesta.plans.registry import query
 from attesta.plans.store import Store
 from attesta.sources import calendar
@@ -215,3 +215,36 @@ def keyterms(s: Store) -> DataFrame:
 def seeded_sample(s: Store) -> DataFrame:
     """A repeatable sample: the first hundred by a hash of key and seed."""
     return s.raw("documents").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(100)
+
+
+# ---------------------------------------------------------------- geometry
+
+_RULES = [("greenhouse gas emissions summary", "ghg"), ("^(introduction|closing)$", "plan")]
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN concat('strategy-', 1 + doc_id % 7) WHEN 1 THEN 'strategy-3' WHEN 2 THEN 'ghg' WHEN 3 THEN 'plan' END AS subject_key FROM documents""")
+def subject_keys(s: Store) -> DataFrame:
+    """Subjects of headings: numbered series, then patterns."""
+    m = F.col("doc_id") % 6
+    heading = F.when(m == 0, F.concat(F.lit("STRATEGY "), 1 + F.col("doc_id") % 7, F.lit(": Homes"))).when(m == 1, "Strategies three: x").when(m == 2, "Our Greenhouse Gas Emissions Summary").when(m == 3, "Closing").when(m == 4, "Year 5 priorities")
+    return s.raw("documents").select("doc_id", geometry.subject_key(heading, _RULES).alias("subject_key"))
+
+
+@query(f"""
+WITH g AS (SELECT page_id, id, x0 / 10.0 AS gap FROM (SELECT DISTINCT ON (id) * FROM s_boxes ORDER BY id, x0, y0, x1)), m AS (SELECT page_id, median(gap) AS median FROM g GROUP BY 1)
+SELECT g.page_id, g.id AS position, CASE WHEN gap >= greatest(11 * {geometry.SPACE_EM}, median * {geometry.STANDOUT}) THEN 'space' WHEN gap > 11 * {geometry.TIGHT_EM} THEN 'undecided' ELSE 'kerning' END AS state FROM g JOIN m ON m.page_id = g.page_id""")
+def glyph_breaks(s: Store) -> DataFrame:
+    """Gaps inside tokens: spaces, kerning, or neither."""
+    once = s.boxes.groupBy("id").agg(F.min_by(F.struct("page_id", "x0"), F.struct("x0", "y0", "x1")).alias("b")).select("b.page_id", F.col("id").alias("position"), (F.col("b.x0") / 10.0).alias("gap"), F.lit(11.0).alias("size"))
+    return geometry.glyph_breaks(once, ["page_id"])
+
+
+@query("""
+WITH c AS (SELECT l_orderkey AS id, l_linenumber AS col, min(l_partkey) AS v FROM lineitem GROUP BY 1, 2), d AS (SELECT *, dense_rank() OVER (PARTITION BY id ORDER BY col) - 1 AS k, count(*) OVER (PARTITION BY id) AS n FROM c)
+SELECT id, string_agg(cast(v AS varchar), '|' ORDER BY k) AS row_text FROM d WHERE n >= 2 GROUP BY id""")
+def table_rows(s: Store) -> DataFrame:
+    """Cells laid out on one column axis without gaps."""
+    cells = s.raw("lineitem").groupBy(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("col")).agg(F.min("l_partkey").cast("string").alias("text")).withColumns({"row": F.lit(0), "row_span": F.lit(1), "col_span": F.lit(1)})
+    rows = geometry.table_rows(geometry.table_grid(cells, ["id"]), ["id"])
+    return rows.select("id", F.array_join("values", "|").alias("row_text"))

@@ -70,4 +70,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_byte_bpe, op2_personal_data, op3_rendezvous_shards, op4_token_counts, op5_toxicity, op6_secrets, op7_visible_text, op8_simhash, op9_quality_rules, op10_decontamination)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_SPACES = r"[\x20\x09-\x0D]+"
+_STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS.split())))
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _rules_sql() -> str:
+    """The table of quality rules as SQL over the same figures."""
+    figures = {
+        "n_words": "n_words",
+        "word_length": "word_chars / greatest(n_words, 1)",
+        "symbols_per_word": "n_symbols / greatest(n_words, 1)",
+        "stop_words": "n_stop / greatest(n_words, 1)",
+        "dup_lines": "n_dup_lines / greatest(n_lines, 1)",
+        "repeat_words": "n_repeat_words / greatest(n_words, 1)",
+    }
+    bounds = [(figures[r.figure], op, v) for r in quality.RULES for op, v in ((">=", r.least), ("<=", r.most)) if v is not None]
+    return " AND ".join(f"{figure} {op} {value}" for figure, op, value in bounds)
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_quality_rules": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT r, doc_id, t, list_filter(string_split_regex(t, '{_SPACES}'), lambda x: x <> '') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+     g AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w WHERE len(w) >= 3)),
+     s AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+     c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM s) GROUP BY r),
+     f AS (SELECT w.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS n_stop, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words FROM w LEFT JOIN c ON c.r = w.r),
+     b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_rules_sql()} AS kept FROM b""",
+    # the definition itself: every window that shares a shingle with an item of its length, compared exactly
+    "op10_decontamination": f"""
+WITH i AS (SELECT item_id, w, len(w) AS n, least({decontam.SHINGLE}, len(w)) AS q FROM (SELECT item_id, list_filter(string_split_regex(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_SPACES}'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0),
+     ig AS (SELECT item_id, n, q, g, count(*) AS c FROM (SELECT item_id, n, q, unnest(list_transform(generate_series(1, n - q + 1), lambda k: array_to_string(w[k:k + q - 1], ' '))) AS g FROM i) GROUP BY ALL),
+     total AS (SELECT item_id, sum(c) AS c FROM ig GROUP BY 1),
+     d AS (SELECT doc_id, list_filter(string_split_regex(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '{_SPACES}'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+     dg AS (SELECT doc_id, len(w) AS m, q, k - 1 AS p, array_to_string(w[k:k + q - 1], ' ') AS g FROM (SELECT doc_id, w, q, unnest(generate_series(1, len(w) - q + 1)) AS k FROM d, (SELECT DISTINCT q FROM i) WHERE len(w) >= q)),
+     hit AS (SELECT dg.doc_id, dg.m, dg.p, ig.item_id, ig.n, ig.q, ig.g, ig.c FROM dg JOIN ig ON ig.q = dg.q AND ig.g = dg.g),
+     start AS (SELECT DISTINCT doc_id, item_id, n, q, unnest(generate_series(least(greatest(p - n + q, 0), greatest(m - n, 0)), least(p, greatest(m - n, 0)))) AS s FROM hit),
+     seen AS (SELECT start.doc_id, start.item_id, s, hit.g, hit.c, count(*) AS got FROM start JOIN hit ON hit.doc_id = start.doc_id AND hit.item_id = start.item_id AND hit.p BETWEEN s AND s + start.n - start.q GROUP BY ALL),
+     sim AS (SELECT seen.doc_id, seen.item_id, s, sum(least(seen.c, got)) / any_value(total.c) AS similarity FROM seen JOIN total ON total.item_id = seen.item_id GROUP BY seen.doc_id, seen.item_id, s)
+SELECT doc_id, item_id, cast(max(similarity) AS double) AS similarity, arg_min(s, (-similarity, s)) AS first_word FROM sim WHERE similarity >= {decontam.SIMILARITY} GROUP BY doc_id, item_id""",
+}

@@ -64,12 +64,22 @@ def _own_dir() -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends there, and a lost executor costs nothing.
 
-    The files stay until the caller's application folder is cleaned, as later plans read them lazily.
+    The files stay, as later plans read them lazily; ``write_table`` also tells where, for ``remove_table``.
     """
+    return write_table(df, label)[0]
+
+
+def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more, in whatever store holds it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def free_name(df: DataFrame, wish: str) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from attesta.llm.common import free_name, map_batches, slices, written
+from attesta.llm.common import free_name, map_batches, remove_table, slices, write_table
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
 #: Fingerprints of a node that one task compares; larger nodes are dealt over pairs of cells.
@@ -208,7 +208,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
 
 def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every end of an edge: the least number that its component holds."""
-    now = written(edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "edges")
+    now, path = write_table(edges.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct(), "edges")
     seen = None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)"))).first()  # one row
@@ -220,7 +220,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo <> hi").distinct()
         small = large.groupBy(F.col("hi").alias("u")).agg(F.min("lo").alias("m"))
         next_ = large.join(small, large["hi"] == small["u"]).select("lo", "hi", "m")
-        now = written(next_.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).where("lo <> hi").unionAll(next_.select(F.col("m").alias("lo"), "hi")).distinct(), "edges")
+        before = path
+        now, path = write_table(next_.select(F.col("m").alias("lo"), F.col("lo").alias("hi")).where("lo <> hi").unionAll(next_.select(F.col("m").alias("lo"), "hi")).distinct(), "edges")
+        remove_table(now.sparkSession, before)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:

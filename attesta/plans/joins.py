@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from attesta.functions import rules, text
 from attesta.operators import metrics, similarity
 from attesta.plans.registry import query
 from attesta.plans.store import Store
 
-_NAMES = "SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM {part} WHERE p_partkey % 5 = 0"
+_NAMES = "SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM {part}"
 _IDENTITY = """
   n AS (SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM part WHERE p_partkey % 5 = 0),
   w AS (SELECT id, unnest(string_split_regex(lower(name), '[^a-z0-9]+')) AS w FROM n),
@@ -40,8 +41,12 @@ def dedup_link_counts(s: Store) -> DataFrame:
     rep = classes.groupBy("t").agg(F.min("id").alias("rep")).join(classes, "t").select("id", "rep")
     across = pairs.where("not identical").select("a", "b")
     both = across.union(across.select("b", "a")).union(rep.select("rep", F.col("rep").alias("x")).distinct().toDF("a", "b"))
-    linked = both.join(rep.select(F.col("rep").alias("a"), F.col("id").alias("id")), "a").join(rep.select(F.col("rep").alias("b"), F.col("id").alias("other")), "b")
-    return linked.where("id < other").groupBy(F.col("id").alias("least_id")).agg(F.count("*").alias("links"))
+    # each id asks every class linked to its own for its larger members; no pair of members is formed
+    asked = both.join(rep.select(F.col("rep").alias("a"), "id"), "a").select(F.col("b").alias("rep"), "id", F.lit(0).alias("member"))
+    larger = F.sum("member").over(Window.partitionBy("rep").orderBy(F.desc("id")).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    own = F.sum("member").over(Window.partitionBy("rep", "id"))
+    counted = asked.unionAll(rep.select("rep", "id", F.lit(1).alias("member"))).select("id", "member", (larger - own).alias("n")).where("member = 0")
+    return counted.groupBy(F.col("id").alias("least_id")).agg(F.sum("n").alias("links")).where("links > 0")
 
 
 @query(f"""

@@ -47,6 +47,15 @@ def resolve_tiers(asked: DataFrame, tiers: list[DataFrame], key: str, found: str
     return asked.select(key).distinct().join(top, key, "left").select(key, F.when(F.col("n") == 1, F.col(found)).alias(found), "tier", state.alias("state"))
 
 
+def resolve_values(asked: DataFrame, tiers: list[DataFrame], key: str, value: str, found: str) -> DataFrame:
+    """As ``resolve_tiers``, for one asked ``value`` a key: ``tiers`` hold (value, found), and hits are counted by value before any key meets them."""
+    hits = reduce(DataFrame.unionByName, [t.select(value, found, F.lit(k).alias("tier")) for k, t in enumerate(tiers)]).distinct()
+    counted = hits.groupBy(value, "tier").agg(F.count("*").alias("n"), F.min(found).alias(found))
+    best = counted.groupBy(value).agg(F.min_by(F.struct("tier", "n", found), "tier").alias("top")).select(value, "top.*")
+    state = F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "resolved").otherwise("ambiguous")
+    return asked.join(best, value, "left").select(key, F.when(F.col("n") == 1, F.col(found)).alias(found), "tier", state.alias("state"))
+
+
 def literal_mentions(texts: DataFrame, names: DataFrame, key: str = "claim_id", body: str = "verbatim", words: int = 2) -> DataFrame:
     """(key, subject_id, span_start, span_end, matched_text): names of ``words`` or more in texts, whole words, any letter case.
 

@@ -72,9 +72,9 @@ def resolve_tiers(s: Store) -> DataFrame:
     """Exact name, then brand, then first word; a tie is a queue."""
     part = s.raw("part")
     m = F.col("p_partkey") % 4
-    asked = part.where("p_partkey <= 400").select(F.col("p_partkey").alias("id"), F.when(m == 0, F.col("p_name")).when(m == 1, F.upper("p_brand")).when(m == 2, F.split_part("p_name", F.lit(" "), F.lit(1))).otherwise("nobody").alias("q"))
-    by = lambda c: asked.join(part.select(F.col("p_partkey").alias("hit"), c.alias("q")), "q").select("id", "hit")
-    return similarity.resolve_tiers(asked, [by(F.col("p_name")), by(F.upper("p_brand")), by(F.split_part("p_name", F.lit(" "), F.lit(1)))], "id", "hit")
+    asked = part.select(F.col("p_partkey").alias("id"), F.when(m == 0, F.col("p_name")).when(m == 1, F.upper("p_brand")).when(m == 2, F.split_part("p_name", F.lit(" "), F.lit(1))).otherwise("nobody").alias("q"))
+    by = lambda c: part.select(c.alias("q"), F.col("p_partkey").alias("hit"))
+    return similarity.resolve_values(asked, [by(F.col("p_name")), by(F.upper("p_brand")), by(F.split_part("p_name", F.lit(" "), F.lit(1)))], "id", "q", "hit")
 
 
 _MENTION_NAMES = ("Housing Commission", "the housing commission", "city won", "Staff granted", "The award was", "award was")

@@ -30,3 +30,18 @@ def test_dedup_takes_all_parts(spark, tmp_path):
     first = {t: min(k for k in tokens if tokens[k] == t) for t in tokens.values()}
     near = {(max(a, b), min(a, b)) for (a, b), s in score.items() if 0.6 <= s < 1 and {a, b} <= set(first.values()) and not (b % 4 == 0 and a == b - 1)}
     assert near and {(r["survivor"], r["duplicate"]) for r in collected(spark, "dedup_pairs", sf)} == near
+
+
+def test_resolve_asks_every_part(spark, tmp_path):
+    rows = [(k, f"word{k % 300} ring", f"Brand#{k % 500}", "LARGE", 1) for k in range(395, 805)]
+    sf = written(spark, tmp_path, part=(rows, PART))
+    want = {}
+    for k, name, brand, *_ in rows:
+        q = {0: name, 1: brand.upper(), 2: name.split(" ")[0], 3: "nobody"}[k % 4]
+        tiers = [[r[0] for r in rows if r[1] == q], [r[0] for r in rows if r[2].upper() == q], [r[0] for r in rows if r[1].split(" ")[0] == q]]
+        tier = next((i for i, hits in enumerate(tiers) if hits), None)
+        hits = tiers[tier] if tier is not None else []
+        want[k] = (hits[0] if len(hits) == 1 else None, tier, ("none", "resolved")[len(hits)] if len(hits) < 2 else "ambiguous")
+    got = collected(spark, "resolve_tiers", sf)
+    assert len(got) == len(rows) and {r["id"]: (r["hit"], r["tier"], r["state"]) for r in got} == want
+    assert {w[2] for w in want.values()} == {"none", "resolved", "ambiguous"}

@@ -150,7 +150,7 @@ def roll_calls(s: Store) -> DataFrame:
     """Roll calls of two layouts; one declares a count that its names don't have, one has no block."""
     m = F.col("o_orderkey") % 3
     text = F.when(m == 0, "ROLL CALL Present: 2 - Ann Lee and Bob Ray  Absent: 1 - Cy Young APPROVAL OF MINUTES").when(m == 1, "ROLL CALL 3 - Present : Ann Lee, Bob Ray CONSENT").otherwise("no roll call")
-    rows = s.raw("orders").where("o_orderkey <= 2000").select(F.col("o_orderkey").alias("id"), roll_call(text).alias("r"))
+    rows = s.raw("orders").select(F.col("o_orderkey").alias("id"), roll_call(text).alias("r"))
     return rows.select("id", F.size("r.present").alias("present"), F.size("r.absent").alias("absent"), F.col("r.reliable").alias("reliable"))
 
 

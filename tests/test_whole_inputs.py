@@ -45,3 +45,9 @@ def test_resolve_asks_every_part(spark, tmp_path):
     got = collected(spark, "resolve_tiers", sf)
     assert len(got) == len(rows) and {r["id"]: (r["hit"], r["tier"], r["state"]) for r in got} == want
     assert {w[2] for w in want.values()} == {"none", "resolved", "ambiguous"}
+
+
+def test_roll_calls_read_every_order(spark, tmp_path):
+    sf = written(spark, tmp_path, orders=([(k,) for k in range(1990, 2020)], "o_orderkey long"))
+    got = {r["id"]: (r["present"], r["absent"], r["reliable"]) for r in collected(spark, "roll_calls", sf)}
+    assert got == {k: (2, 1, True) if k % 3 == 0 else (0, 0, False) for k in range(1990, 2020)}

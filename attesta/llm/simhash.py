@@ -243,10 +243,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component, the one with the least key; rows with a null key stay.
 
-    Columns keep their names and order. Of rows that share the kept key, one stays.
+    Columns keep their names and order. A row is told by its key and its text's hash, so unrelated texts
+    under one key are kept apart; of rows that share both, one stays.
     """
-    kept = near_duplicates(docs, key, text, radius).where(F.col(key) == F.col("component_id")).select(F.col(key).alias("k")).distinct()
-    named = docs.where(F.col(f"`{key}`").isNotNull())
-    mark = free_name(docs, "kept_key")
-    chosen = named.join(kept.withColumnRenamed("k", mark), F.col(f"`{key}`") == F.col(mark)).drop(mark).dropDuplicates([key])
-    return chosen.unionAll(docs.where(F.col(f"`{key}`").isNull()))
+    named, hashed = F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`"))
+    rows = docs.select(F.when(named.isNotNull(), F.struct(named.alias("k"), hashed.alias("h"))).alias("row"), F.col(f"`{text}`").alias("text"))
+    kept = near_duplicates(rows, "row", "text", radius).where("row = component_id").select("row.*").distinct()
+    k, h = free_name(docs, "kept_key"), free_name(docs, "kept_hash")
+    marked = docs.where(named.isNotNull()).withColumn(h, hashed)
+    chosen = marked.join(kept.toDF(k, f"{h}_"), (named == F.col(k)) & (F.col(h) == F.col(f"{h}_"))).dropDuplicates([key, h])
+    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns]).unionAll(docs.where(named.isNull()))

@@ -94,6 +94,13 @@ def test_near_duplicate_edges(spark):
     assert simhash.near_duplicates(df.where("false")).count() == 0 and simhash.one_of_each(df.where("false")).count() == 0
 
 
+def test_one_of_each_keeps_unrelated_texts_of_one_key(spark):
+    a, b, c = ("the council met at noon", "zebras graze far from here", "prices rose again in spring")
+    rows = [(1, a), (1, b), (5, b.upper()), (5, c), (5, c), (6, a)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, a), (1, b), (5, c)]
+
+
 # ---------------------------------------------------------------- decontamination
 
 

@@ -49,8 +49,8 @@ WITH p AS (SELECT list_transform(generate_series(1, len(w) - 4), lambda i: array
      d AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
 SELECT doc_id FROM d, p WHERE len(w) >= 5 AND len(list_intersect(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')), grams)) > 0""")
 def prompt_leaks(s: Store) -> DataFrame:
-    """Documents that repeat five words of a prompt in a row. The prompt's runs are few; texts are exploded only where they hold its rarest word."""
-    prompt = s.raw("benchmark").where("item_id = 9").select(F.split("text", " ").alias("w"))
+    """Documents that repeat five words of any prompt in a row; prompts of fewer words have no run."""
+    prompt = s.raw("benchmark").select(F.split("text", " ").alias("w")).where(F.size("w") >= 5)
     runs = prompt.select(F.explode(F.transform(F.sequence(F.lit(0), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i + 1, F.lit(5)), " "))).alias("g")).distinct()
     w = F.split("text", " ")
     docs = s.raw("documents").select("doc_id", w.alias("w")).where(F.size("w") >= 5)

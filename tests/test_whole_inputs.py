@@ -51,3 +51,10 @@ def test_roll_calls_read_every_order(spark, tmp_path):
     sf = written(spark, tmp_path, orders=([(k,) for k in range(1990, 2020)], "o_orderkey long"))
     got = {r["id"]: (r["present"], r["absent"], r["reliable"]) for r in collected(spark, "roll_calls", sf)}
     assert got == {k: (2, 1, True) if k % 3 == 0 else (0, 0, False) for k in range(1990, 2020)}
+
+
+def test_prompt_leaks_seek_every_item(spark, tmp_path):
+    items = [(1, "a b c d e f"), (2, "too short"), (3, "v w x y z"), (4, None)]
+    docs = [(1, "we saw b c d e f here"), (2, "a b c d only"), (3, "v w x y z"), (4, "too short"), (5, None)]
+    sf = written(spark, tmp_path, benchmark=(items, "item_id long, text string"), documents=(docs, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in collected(spark, "prompt_leaks", sf)) == [1, 3]

@@ -3,6 +3,7 @@
 from itertools import combinations
 
 from attesta.plans import catalog, registry  # noqa: F401
+from attesta.plans.store import Store
 
 
 def written(spark, folder, **tables):
@@ -58,3 +59,14 @@ def test_prompt_leaks_seek_every_item(spark, tmp_path):
     docs = [(1, "we saw b c d e f here"), (2, "a b c d only"), (3, "v w x y z"), (4, "too short"), (5, None)]
     sf = written(spark, tmp_path, benchmark=(items, "item_id long, text string"), documents=(docs, "doc_id long, text string"))
     assert sorted(r["doc_id"] for r in collected(spark, "prompt_leaks", sf)) == [1, 3]
+
+
+def test_store_tables_hold_all_rows(spark):
+    s = Store(spark, "/root/testdata/sf0.001")
+    events, lines = s.raw("events"), s.raw("lineitem")
+    for name in ("vocabulary_proposals", "reference_segments", "words"):
+        assert getattr(s, name).count() == events.count()
+    assert s.quantities.count() == lines.count()
+    cited = s.event_attestations
+    assert cited.select("claim_id").distinct().count() == lines.selectExpr("l_orderkey * 10 + l_linenumber as id").distinct().count()
+    assert cited.select("asserted_event_id").distinct().count() == events.select("user_id").distinct().count()

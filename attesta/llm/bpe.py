@@ -6,8 +6,8 @@ the block, packed; the distinct words of the block go, packed per word bucket, t
 the bucket. There each distinct word of the corpus is encoded once, and its ids are joined back to
 the blocks, where positions put the documents together again. What travels is one packed row for
 each (block, bucket) pair plus the packed positions: no word is a shuffle key, so a word that stands
-in every document weighs as much as any other. Decoding joins ids with the token-byte table, whose
-size is fixed by the vocabulary.
+in every document weighs as much as any other. Decoding joins ids with the token-byte table: the table's
+size is fixed by the vocabulary, so each task holds it whole and looks ids up by number.
 
 The documents are scanned twice, for words and for positions, and blocks must come out alike: that
 holds for tables and files. A block's name is a hash of its words, so an input whose rows change order
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,10 +39,12 @@ from attesta.llm.common import map_batches, slices
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 12 << 20
+#: Bytes of text for each task of the two shuffles; tasks grow in number with the input, not in size.
+TASK_BYTES = 32 << 20
 #: Bytes of text in a packed row of positions.
 CHUNK_BYTES = 1 << 20
 WORDS, IDS, DOCS = 0, 1, 2
-ROW = "route long, block long, kind int, bucket int, payload binary, keys array<{key}>"
+ROW = "block long, kind int, bucket int, payload binary, keys array<{key}>"
 
 
 @lru_cache(maxsize=2)
@@ -122,7 +125,7 @@ class _Block:
                 lengths = np.fromiter((len(raw[k]) for k in mine), np.uint32, len(mine))
                 packed = zstandard.compress(b"".join(raw[k] for k in mine), 3)
                 sizes = _pack(lengths)
-                yield bucket, block, WORDS, bucket, len(sizes).to_bytes(4, "little") + sizes + packed, None
+                yield block, WORDS, bucket, len(sizes).to_bytes(4, "little") + sizes + packed, None
             at = end
         start = 0 if kind == DOCS else len(self.docs)
         while start < len(self.docs):
@@ -133,7 +136,7 @@ class _Block:
             docs = self.docs[start:stop]
             lengths = np.fromiter(map(len, docs), np.uint32, len(docs))
             packed = _pack_lists(lengths, place[np.concatenate(docs)])
-            yield block, block, DOCS, 0, packed, self.keys[start:stop]
+            yield block, DOCS, 0, packed, self.keys[start:stop]
             start = stop
 
 
@@ -178,7 +181,7 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
         bucket, known = None, {}
         for batch in slices(batches, 16):
             out = []
-            for _, block, _, home, payload, _ in zip(*(c.to_pylist() for c in batch.columns)):
+            for block, _, home, payload, _ in zip(*(c.to_pylist() for c in batch.columns)):
                 if home != bucket:
                     bucket, known = home, {}
                 ids = []
@@ -188,7 +191,7 @@ def _encode_words(path: str, pattern: str, schema: pa.Schema):
                         got = known[word] = np.array(encode(word.decode()), np.uint32).tobytes()
                     ids.append(got)
                 lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
-                out.append((block, block, IDS, home, _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32)), None))
+                out.append((block, IDS, home, _pack_lists(lengths, np.frombuffer(b"".join(ids), np.uint32)), None))
             if out:
                 yield _batch(out, schema)
 
@@ -236,20 +239,24 @@ def _blocks(docs: DataFrame, key: str, text: str, vocabulary: str, pattern: str,
     row = T._parse_datatype_string(ROW.format(key=kind.simpleString()))
 
     arrow = to_arrow_schema(row)
-    n = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
     body = docs.select(F.col(key), F.col(text))
-    words = map_batches(body, _scan(pattern, n, WORDS, arrow), row).repartition("route").sortWithinPartitions("bucket", "block")
+    n = buckets
+    if n is None:
+        size = body.agg(F.sum(F.octet_length(text).cast("double"))).first()[0] or 0.0  # one row
+        n = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    # a bucket is a task; bucket numbers are partition numbers, so none shares a task while another idles
+    words = map_batches(body, _scan(pattern, n, WORDS, arrow), row).repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "block")
     ids = map_batches(words, _encode_words(vocabulary, pattern, arrow), row)
     # scanned a second time rather than carried through the shuffle of words
     packed = map_batches(body, _scan(pattern, n, DOCS, arrow), row)
-    return ids.unionAll(packed).repartition("block").sortWithinPartitions("block", "kind", "bucket")
+    return ids.unionAll(packed).repartition(n, "block").sortWithinPartitions("block", "kind", "bucket")
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(key, n_tokens, ids array<int>) for each row of ``docs``.
 
     ``vocabulary`` is a rank file that every executor can open; ``pattern`` its pre-token pattern.
-    ``buckets``: tasks that share the distinct words, the shuffle partitions where None.
+    ``buckets``: tasks that share the distinct words; where None, one for each TASK_BYTES of text, as many as there are cores at least.
     """
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType(), False), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 

@@ -8,6 +8,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
@@ -24,16 +25,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    """``mapInArrow`` with batches bounded in rows and bytes, so that long texts don't fill executors.
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds rows and bytes of the session's Arrow batches, so that long texts don't fill executors; lower bounds stay.
 
-    Bounds that the session holds lower already stay.
+    The setting belongs to the session and is read when a plan runs, so the job that owns the session asks
+    for it (the queries and the pipeline do); operators leave settings alone.
     """
-    conf = df.sparkSession.conf
     for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        now = int(re.sub(r"\D", "", conf.get(f"spark.sql.execution.arrow.{name}")) or 0)
+        now = int(re.sub(r"\D", "", spark.conf.get(f"spark.sql.execution.arrow.{name}")) or 0)
         if not 0 < now <= most:
-            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow``; see ``bounded_batches`` for the size of its batches."""
     return df.mapInArrow(run, schema)
 
 
@@ -61,15 +66,50 @@ def _own_dir() -> str:
     return f"file://{folder}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again: lineage ends there, and a lost executor costs nothing.
+#: What to undo for intermediate results, by the innermost open ``scratch``; the first list lasts until the process ends.
+_undo: list[list[Callable[[], None]]] = [[]]
+
+
+def _run_undo(steps: list[Callable[[], None]]) -> None:
+    while steps:
+        step = steps.pop()
+        try:
+            step()
+        except Exception:  # noqa: BLE001  (the session may be gone; the next step may still work)
+            continue
+
 
-    The files stay, as later plans read them lazily; ``write_table`` also tells where, for ``remove_table``.
+atexit.register(lambda: _run_undo(_undo[0]))
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Intermediate tables and persisted data that operators make inside are dropped at the end.
+
+    For callers that have written what they wanted by then: lazy results of the operators read the tables.
+    Without it they go when the process ends.
     """
-    return write_table(df, label)[0]
+    _undo.append([])
+    try:
+        yield
+    finally:
+        _run_undo(_undo.pop())
+
+
+def until_done(step: Callable[[], None]) -> None:
+    """Runs ``step`` when the innermost ``scratch`` or the process ends."""
+    _undo[-1].append(step)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it again: lineage ends there, and a lost executor costs nothing."""
+    table, path = write_table(df, label)
+    until_done(lambda: remove_table(df.sparkSession, path))
+    return table
 
 
 def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """The written table and its path, for ``remove_table``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)

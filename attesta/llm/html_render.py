@@ -3,6 +3,9 @@
 A tree builder opens and closes implied elements; visibility rules drop what a browser would not
 show; the renderer keeps block spacing, list markers with their indents, preformatted text and tables
 whose cells are aligned in columns. Parsing and rendering use explicit stacks, so nesting may be deep.
+Cells that span rows keep their columns in the rows below; a cell outside any row opens one. Formulas and
+drawings show their text, not their titles, descriptions, definitions and annotations. A ``details``
+element without ``open`` shows its first summary only.
 
 Defined cases: null and empty pages render as the empty string; unclosed tags, stray end tags, bad
 attributes and unknown entities are taken as text or closed at the end of their parent; rows are never
@@ -33,7 +36,9 @@ BLOCK = frozenset(
 )
 #: Elements with a blank line before and after.
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 menu ol p pre table ul".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas svg math datalist param title area".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes object audio video canvas datalist param title area".split())
+#: Not shown inside drawings and formulas.
+HIDDEN_PARTS = frozenset("desc defs metadata symbol clippath mask annotation annotation-xml".split())
 #: Start tags that close an open element of the second set, looked for up to the third.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -53,7 +58,8 @@ SCOPE = frozenset(("table", "td", "th", "caption", "html", "template", "object")
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTR = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?""")
-_NONE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_NONE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?=;|$)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -203,9 +209,16 @@ def build(page: str) -> Node:
 
 
 def visible(node: Node) -> bool:
-    if node.tag in HIDDEN or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs):
+    if node.tag in HIDDEN or node.tag in HIDDEN_PARTS or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs):
         return False
-    return not ("style" in node.attrs and _NONE.search(node.attrs["style"]))
+    return not ("style" in node.attrs and _NONE.search(_COMMENT.sub(" ", node.attrs["style"])))
+
+
+def shown_children(node: Node) -> list:
+    """The children that the element shows: of closed details, the first summary."""
+    if node.tag == "details" and "open" not in node.attrs:
+        return [c for c in node.children if isinstance(c, Node) and c.tag == "summary"][:1]
+    return node.children
 
 
 def _width(s: str) -> int:
@@ -279,29 +292,54 @@ class _Writer:
 
 class _Table:
     def __init__(self) -> None:
-        self.rows: list[list[tuple[str, int]]] = []
+        #: Rows of (text, first column, columns); columns that a cell above spans are left free.
+        self.rows: list[list[tuple[str, int, int]]] = []
+        #: Columns that a cell above spans in this row, and those that cells of this row span below, with the rows left.
+        self.busy: dict[int, int] = {}
+        self.due: dict[int, int] = {}
+
+    def open_row(self) -> None:
+        self.busy = {c: n - 1 for c, n in (self.busy | self.due).items() if n > 1}
+        self.due = {}
+        self.rows.append([])
+
+    def add(self, cell: str, columns: int, rows: int) -> None:
+        if not self.rows:
+            self.open_row()
+        row = self.rows[-1]
+        at = row[-1][1] + row[-1][2] if row else 0
+        while at in self.busy:
+            at += 1
+        row.append((cell, at, columns))
+        if rows > 1:
+            self.due.update(dict.fromkeys(range(at, at + columns), rows))
 
     def render(self) -> str:
         """Cells in columns, each as wide as its widest line; a spanning cell starts at its first column."""
-        widths: list[int] = []
+        widths: dict[int, int] = {}
         for row in self.rows:
-            at = 0
-            for k, (cell, span) in enumerate(row):
-                while len(widths) < at + span:
-                    widths.append(0)
+            for k, (cell, at, span) in enumerate(row):
                 if span == 1 and k < len(row) - 1:
-                    widths[at] = max([widths[at], *map(_width, cell.split("\n"))])
-                at += span
+                    widths[at] = max(widths.get(at, 0), *map(_width, cell.split("\n")))
+                elif span == 1:
+                    widths.setdefault(at, 0)
+        # a column that no cell has to itself takes no room
+        last = max((at + span for row in self.rows for _, at, span in row), default=0)
+        starts = [0]
+        for c in range(last):
+            starts.append(starts[-1] + (widths[c] + 2 if c in widths else 0))
         out = []
         for row in self.rows:
-            cells = [(cell.split("\n"), span) for cell, span in row]
+            cells = [(cell.split("\n"), at) for cell, at, _ in row]
             for k in range(max((len(c) for c, _ in cells), default=0)):
-                line, at = "", 0
-                for cell, span in cells:
+                line, wide = "", 0
+                for n, (cell, at) in enumerate(cells):
                     part = cell[k] if k < len(cell) else ""
-                    room = sum(widths[at : at + span]) + 2 * (span - 1)
-                    line += part + " " * (max(0, room - _width(part)) + 2)
-                    at += span
+                    gap = starts[at] - wide
+                    if n and gap < 2:  # the cell before is wider than its columns
+                        gap = 2
+                    line += " " * gap + part
+                    wide += gap + _width(part)
                 out.append(line.rstrip(" "))
         return "\n".join(out)
 
@@ -363,13 +401,13 @@ def render(page: str | None) -> str:
                 pre += 1
             elif tag == "table":
                 tables.append([_Table(), None, _Writer()])
-            elif tag == "tr" and tables:
-                tables[-1][0].rows.append([])
+            elif tag == "tr" and tables and tables[-1][1] is None:
+                tables[-1][0].open_row()
             elif tag in ("td", "th", "caption") and tables:
                 tables[-1][1] = node
                 writers.append(_Writer())
             stack.append((node, True))
-            stack += [(c, False) for c in reversed(node.children)]
+            stack += [(c, False) for c in reversed(shown_children(node))]
         else:
             if tag in ("td", "th", "caption") and tables:
                 cell = writers.pop().done()
@@ -377,7 +415,7 @@ def render(page: str | None) -> str:
                 if tag == "caption":
                     tables[-1][2].raw(cell)
                 else:
-                    tables[-1][0].rows[-1].append((cell, max(1, min(1000, _number(node.attrs.get("colspan"), 1)))))
+                    tables[-1][0].add(cell, max(1, min(1000, _number(node.attrs.get("colspan"), 1))), max(1, min(65534, _number(node.attrs.get("rowspan"), 1))))
                 continue
             if tag == "table":
                 made, _, stray = tables.pop()

@@ -34,16 +34,16 @@ KINDS = ("email", "ip", "card", "phone")
 ORDER = {k: n for n, k in enumerate(KINDS)}
 #: The longest segment, in tokens.
 MAX_TOKENS = 20
-#: Characters of a chunk that the model looks at on each side of a digit or at-sign.
-REACH = 80
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+)+")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[@0-9]+|\(at\)|\[at\]")
-_MASKED = re.compile(r"(?:\(at\)|\[at\]) ?[\w-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[\w-]{1,63}){0,6}")
+_MASKED = re.compile(r"(?:\(at\)|\[at\]) ?[\w-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[\w-]++)*+")
+_SPACE = re.compile(r"\s")
+_NUMBERS = re.compile(r"[0-9]+")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|[^\sA-Za-z0-9]")
 
 Span = tuple[str, int, int]
@@ -99,24 +99,23 @@ def base_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches of chunks that hold a digit or at-sign (masked ones too), joined over single spaces."""
+    """Stretches of chunks that hold a digit or at-sign (masked ones too), joined over single spaces; whole chunks, however long."""
     out: list[tuple[int, int]] = []
     done = 0
     for m in _TRIGGER.finditer(text):
         if m.end() <= done:
             continue
         start, end = m.start(), m.end()
-        floor, ceiling = max(done, start - REACH), min(len(text), end + REACH)
         if text[start] in "([":  # a masked at-sign may stand between spaces
-            if start > floor and text[start - 1] == " ":
+            if start > done and text[start - 1] == " ":
                 start -= 1
             if masked := _MASKED.match(text, m.start()):
                 end = masked.end()
-        while start > floor and not text[start - 1].isspace():
+        while start > done and not text[start - 1].isspace():  # each character is passed once
             start -= 1
-        while end < ceiling and not text[end].isspace():
-            end += 1
-        if out and start - out[-1][1] <= 1 and end - out[-1][0] <= 4 * REACH:
+        space = _SPACE.search(text, end)
+        end = space.start() if space else len(text)
+        if out and start - out[-1][1] <= 1:
             out[-1] = (out[-1][0], end)
         else:
             out.append((start, end))
@@ -143,31 +142,33 @@ def features(text: str, start: int, end: int) -> list[str] | None:
     """Features of a whole segment; None if it can't be an entity."""
     s = text[start:end]
     first, last = s[0], s[-1]
-    digits = "".join(c for c in s if c in "0123456789")
+    if not (first.isalnum() or first in "+(") or not last.isalnum():
+        return None
+    n_digits, dots = sum(map(s.count, "0123456789")), s.count(".")
     mail = "@" in s or "at" in s and _MAILISH.fullmatch(s) is not None
-    if not (mail or len(digits) >= 7 or s.count(".") == 3 and len(digits) >= 4) or not (first.isalnum() or first in "+(") or not last.isalnum():
+    if not (mail or n_digits >= 7 or dots == 3 and n_digits >= 4):
         return None
-    shape = re.sub(r"[0-9]+", lambda m: str(min(len(m[0]), 9)), re.sub(r"[A-Za-z]+", "a", s))
-    letters = sum(c.isalpha() for c in s)
+    letters = sum(map(str.isalpha, s))
     before = re.search(r"([A-Za-z-]+)[\s:.]*$", text[max(0, start - 24) : start])
-    quad = s.split(".")
-    runs = re.findall(r"[A-Za-z]+|[0-9]+", s)
+    quad = s.split(".") if dots == 3 else []
     out = [
         "bias",
-        f"turns{_bucket(sum(x.isdigit() for x in runs), (2, 3, 4, 5, 6))}{int(letters > 0)}",
+        f"turns{_bucket(len(_NUMBERS.findall(s)), (2, 3, 4, 5, 6))}{int(letters > 0)}",
         f"equals{int('=' in s)}",
-        f"digits{_bucket(len(digits), (1, 4, 7, 9, 10, 11, 12, 14, 15, 16, 17, 20))}",
+        f"digits{_bucket(n_digits, (1, 4, 7, 9, 10, 11, 12, 14, 15, 16, 17, 20))}",
         f"letters{_bucket(letters, (1, 4))}",
-        f"marks{_bucket(sum(c in '().-' for c in s), (1, 2, 3, 4))}",
+        f"marks{_bucket(dots + s.count('(') + s.count(')') + s.count('-'), (1, 2, 3, 4))}",
         f"spaces{_bucket(s.count(' '), (1, 2, 4))}",
         f"start{first if first in '+(' else 'd' if first.isdigit() else 'a'}",
         f"cue {_CUE.get(before[1].lower(), '-') if before else '-'}",
         f"mail{int(mail and _MAILISH.fullmatch(s) is not None)}{int('@' in s)}",
         f"quad{int(len(quad) == 4 and all(q.isdigit() and _octet(q) for q in quad))}",
-        f"luhn{int(12 <= len(digits) <= 19 and not letters and luhn(digits))}",
+        f"luhn{int(12 <= n_digits <= 19 and not letters and luhn(''.join(_NUMBERS.findall(s))))}",
     ]
-    if not letters and len(shape) <= 20:
-        out.append(f"shape {shape}")
+    if not letters:
+        shape = _NUMBERS.sub(lambda m: str(min(len(m[0]), 9)), s)
+        if len(shape) <= 20:
+            out.append(f"shape {shape}")
     if start and (text[start - 1].isalnum() or text[start - 1] in ".+-_@("):
         out.append("cut left")
     if end < len(text) and (text[end].isalnum() or text[end] in "-_@" or text[end] in ".)" and end + 1 < len(text) and text[end + 1].isalnum()):
@@ -176,18 +177,25 @@ def features(text: str, start: int, end: int) -> list[str] | None:
 
 
 class Lattice:
-    """The tokens of a region and its candidate segments, by their end."""
+    """The tokens of a region and its candidate segments."""
 
     def __init__(self, text: str, start: int, end: int) -> None:
+        self.text = text
         self.cuts = [start, *(m.end() for m in _TOKEN.finditer(text, start, end))]
-        n = len(self.cuts) - 1
-        self.n = n
-        self.outside = ["o " + ("@" if "@" in (t := text[a:b]) else "digits" if t.isdigit() else "other") for a, b in zip(self.cuts, self.cuts[1:])]
-        self.ending: list[list[tuple[int, list[str]]]] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            for j in range(i + 1, min(n, i + MAX_TOKENS) + 1):
-                if (f := features(text, self.cuts[i], self.cuts[j])) is not None:
-                    self.ending[j].append((i, f))
+        self.n = len(self.cuts) - 1
+
+    def outside(self, j: int) -> str:
+        """The feature of token j - 1 where it stands outside all segments."""
+        t = self.text[self.cuts[j - 1] : self.cuts[j]]
+        return "o " + ("@" if "@" in t else "digits" if t.isdigit() else "other")
+
+    def ending(self, j: int) -> list[tuple[int, list[str]]]:
+        """(first token, features) of the candidate segments that end with token j - 1."""
+        out = []
+        for i in range(max(0, j - MAX_TOKENS), j):
+            if (f := features(self.text, self.cuts[i], self.cuts[j])) is not None:
+                out.append((i, f))
+        return out
 
 
 class Model:
@@ -197,18 +205,21 @@ class Model:
         self.inside: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(KINDS)))
         self.outside: dict[str, float] = defaultdict(float)
 
-    def scores(self, lattice: Lattice):
+    def segment(self, found: list[str]) -> np.ndarray:
+        """Scores of a segment by kind."""
         zero = np.zeros(len(KINDS))
-        seg = [[(i, sum((self.inside.get(x, zero) for x in f), zero), f) for i, f in ending] for ending in lattice.ending]
-        return seg, [self.outside.get(o, 0.0) for o in lattice.outside]
+        return sum((self.inside.get(x, zero) for x in found), zero)
 
     def best(self, lattice: Lattice) -> list[tuple[int, int, int]]:
-        """(from token, to token, kind) of the best segmentation."""
-        seg, out = self.scores(lattice)
+        """(from token, to token, kind) of the best segmentation; of equal ones, that with fewer segments, then the longer last one.
+
+        Candidates are scored as the program reaches their end, so memory grows with tokens, not candidates.
+        """
         top, back = [0.0] + [-np.inf] * lattice.n, [None] * (lattice.n + 1)
         for j in range(1, lattice.n + 1):
-            top[j] = top[j - 1] + out[j - 1]
-            for i, s, _ in seg[j]:
+            top[j] = top[j - 1] + self.outside.get(lattice.outside(j), 0.0)
+            for i, f in lattice.ending(j):
+                s = self.segment(f)
                 k = int(np.argmax(s))
                 if top[i] + s[k] > top[j]:
                     top[j], back[j] = top[i] + s[k], (i, j, k)
@@ -223,10 +234,12 @@ class Model:
 
     def learn(self, cases: list[tuple[Lattice, set[tuple[int, int, int]]]], rounds: int, rate: float, decay: float) -> None:
         """Gradient ascent on the log likelihood: observed less expected feature counts."""
+        known = [([lattice.ending(j) for j in range(lattice.n + 1)], [lattice.outside(j) for j in range(1, lattice.n + 1)]) for lattice, _ in cases]
         for r in range(rounds):
             step = rate / (1 + 0.3 * r)
-            for lattice, gold in cases:
-                seg, out = self.scores(lattice)
+            for (lattice, gold), (ending, outer) in zip(cases, known):
+                seg = [[(i, self.segment(f), f) for i, f in e] for e in ending]
+                out = [self.outside.get(o, 0.0) for o in outer]
                 n = lattice.n
                 a, b = np.full(n + 1, -np.inf), np.full(n + 1, -np.inf)
                 a[0] = b[n] = 0.0
@@ -241,7 +254,7 @@ class Model:
                 covered = {t for i, j, _ in gold for t in range(i, j)}
                 for j in range(1, n + 1):
                     p = np.exp(a[j - 1] + out[j - 1] + b[j] - z)
-                    self.outside[lattice.outside[j - 1]] += step * (float(j - 1 not in covered) - p)
+                    self.outside[outer[j - 1]] += step * (float(j - 1 not in covered) - p)
                     for i, s, f in seg[j]:
                         g = -np.exp(a[i] + s + b[j] - z)
                         for k in range(len(KINDS)):
@@ -315,7 +328,7 @@ def fitted(cases: int = 1200, rounds: int = 10, seed: int = 7) -> dict:
             lattice = Lattice(text, start, end)
             place = {c: k for k, c in enumerate(lattice.cuts)}
             gold = {(place[a], place[b], ORDER[k]) for k, a, b in spans if a in place and b in place and (place[b] > place[a])}
-            if all((i, j) in {(i2, j2) for j2, e in enumerate(lattice.ending) for i2, _ in e} for i, j, _ in gold):
+            if all(i in {first for first, _ in lattice.ending(j)} for i, j, _ in gold):
                 made.append((lattice, gold))
     model = Model()
     model.learn(made, rounds, 0.3, 0.002)
@@ -350,7 +363,7 @@ def all_spans(text: str, model: Model) -> tuple[list[Span], list[Span]]:
             if at < end:
                 free.append((at, end))
         for a, b in free:
-            if b - a >= 5:
+            if b - a >= 5:  # no entity is shorter
                 lattice = Lattice(text, a, b)
                 added += [(KINDS[kind], lattice.cuts[i], lattice.cuts[j]) for i, j, kind in model.best(lattice)]
     by = lambda s: (s[1], ORDER[s[0]])

@@ -8,14 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, decontam, html_render, pii, quality, secret_scan, sharding, simhash, token_count, toxicity
-from attesta.llm.common import table
+from attesta.llm import bpe, common, decontam, html_render, pii, quality, secret_scan, sharding, simhash, token_count, toxicity
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.bounded_batches(spark)
+    return common.table(spark, sf_dir, name)
+
+
 def count_kind(spans: str, kind: str) -> F.Column:
     """How many of the comma-joined spans are of the kind."""
     return F.size(F.filter(F.split(spans, ","), lambda s: s.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")

@@ -2,7 +2,8 @@
 
 One automaton finds every keyword of a text in a single pass over its lower-cased letters. Patterns
 are matched only at the places it reports. Tokens that carry a checksum are reported only if it holds.
-Runs of hexadecimal digits have no keyword; they are found by their alphabet and length.
+Runs of hexadecimal digits have no keyword; every STEP-th character is probed, and as a run of twice
+that length holds two neighbouring probes, its pattern is matched only where two are digits.
 
 Base kinds: assign, access, hex. Added kind: checksum, tokens of the public form prefix_ + 30 random
 characters + 6 characters of base-62 CRC32 (prefixes in CHECKSUM_PREFIXES). Offsets are code points,
@@ -10,6 +11,8 @@ the end exclusive.
 
 Defined cases: a null text counts as empty (no spans); keys may be null or repeated, rows are never
 merged; an empty table gives an empty result; other columns are not read (``redact`` keeps them).
+``redact`` writes marks that no pattern matches and goes on until nothing is found, so redacting again
+changes nothing.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ _ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _CHECKSUM = re.compile(r"(?:gh[pousr]|npm)_([0-9A-Za-z]{30})([0-9A-Za-z]{6})(?![0-9A-Za-z_])")
+#: Distance of probes for hexadecimal runs: half their least length.
+STEP = 16
+_PROBES = re.compile(r"[0-9a-f]{2,}")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 Span = tuple[str, int, int]
@@ -66,6 +72,16 @@ def checksum62(body: str) -> str:
     return out
 
 
+def hex_runs(text: str) -> list[Span]:
+    """Runs of at least 2 x STEP hexadecimal digits, matched only around neighbouring probes that are digits."""
+    out: list[Span] = []
+    for m in _PROBES.finditer(text[STEP - 1 :: STEP]):
+        # the probes before and after are none, so no run reaches beyond them
+        low, high = m.start() * STEP, (m.end() + 1) * STEP - 1
+        out += [("hex", r.start(), r.end()) for r in _HEX.finditer(text, low, high)]
+    return out
+
+
 def spans(text: str) -> list[Span]:
     """All spans by start, then kind. Within a kind they are leftmost and non-overlapping; a match that fails its check is dropped with what it covers."""
     folded = text.lower()
@@ -91,7 +107,7 @@ def spans(text: str) -> list[Span]:
             ends[kind] = m.end()
             if checksum62(m[1]) == m[2]:
                 out.append((kind, start, m.end()))
-    out += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
+    out += hex_runs(text)
     out.sort(key=lambda s: (s[1], ORDER[s[0]]))
     return out
 
@@ -113,25 +129,32 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return map_batches(docs.select(F.col(key).alias("key"), F.col(text)), run, schema).withColumnRenamed("key", key)
 
 
-def redacted(text: str, found: list[Span], mark: str) -> str:
-    """``text`` with each covered stretch replaced by ``mark`` of its first span's kind."""
-    out, at = [], 0
-    for kind, a, b in found:
-        if a >= at:
-            out += [text[at:a], mark.format(kind=kind)]
-        at = max(at, b)
-    return "".join([*out, text[at:]])
+def redacted(text: str, mark: str = "<redacted {kind}>") -> str:
+    """``text`` with each covered stretch replaced by ``mark`` of its first span's kind, until no span is left.
+
+    A second pass is needed where a stretch hid the start of a further secret. ``mark`` must hold no secret.
+    """
+    while found := spans(text):
+        out, at = [], 0
+        for kind, a, b in found:
+            if a >= at:
+                out += [text[at:a], mark.format(kind=kind)]
+            at = max(at, b)
+        text = "".join([*out, text[at:]])
+    return text
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "<secret:{kind}>") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", mark: str = "<redacted {kind}>") -> DataFrame:
     """``docs`` with secrets in ``text`` replaced; every row and column stays, null texts stay null."""
+    if any(spans(mark.format(kind=kind)) for kind in KINDS):
+        raise ValueError(f"the mark {mark!r} is a secret itself")
     place = docs.columns.index(text)
     marked = free_name(docs, "redacted")
     schema = T.StructType([*docs.schema.fields, T.StructField(marked, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = [redacted(t, f, mark) if t and (f := spans(t)) else t for t in batch.column(place).to_pylist()]
+            out = [redacted(t, mark) if t else t for t in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, marked])
 
     cleaned = map_batches(docs, run, schema)

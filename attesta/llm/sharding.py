@@ -6,8 +6,10 @@ shard takes rows only into itself and a dropped one gives away only its own. The
 projection; no row moves until slots are numbered.
 
 Slots number the rows of each shard from 0 without a gap. Rows are dealt by (shard, cell), where the
-cell is a hash of the key, counted, and numbered within their cell; the counts of lower cells come
-before. No task holds a shard, and what is broadcast has at most shards x CELLS rows.
+cell is a hash of key, checksum and size, counted, and numbered within their cell; the counts of lower
+cells come before. Rows alike in all three are one counted row until they have their run of slots; the
+run is then dealt in pieces of PIECE over tasks and written out. So neither a hot key nor a hot row
+makes a hot task; no task holds a shard, and what is broadcast has at most shards x CELLS rows.
 
 Defined cases: a null key is a key of its own; equal keys share a shard; a null text has size 1 and
 checksum 0; an empty table gives an empty result; other columns are not read.
@@ -23,6 +25,8 @@ from pyspark.sql.window import Window
 
 #: Cells of a shard. Raise it so that a cell (rows / shards / CELLS) sorts in memory.
 CELLS = 256
+#: Slots of equal rows that one row stands for when slots are written out.
+PIECE = 4096
 
 
 def scores(key: Column, weights: Sequence[float]) -> list[Column]:
@@ -57,14 +61,23 @@ def assign_shards(docs: DataFrame, weights: Sequence[float] = (1.0,) * 16, grown
         F.crc32(body.cast("binary")).alias("text_crc32"),
         best.alias("best"),
         found[-1].alias("added"),
-        F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(-1)), F.lit(cells)).cast("int").alias("cell"),
-    ).select("key", "size", "text_crc32", F.col("best.shard").alias("shard"), F.least("best", "added")["shard"].alias("grown_shard"), "cell")
-    counts = rows.groupBy("shard", "cell").count()
-    before = F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).select("key", "size", "text_crc32", F.col("best.shard").alias("shard"), F.least("best", "added")["shard"].alias("grown_shard"))
+    told = rows.groupBy("key", "size", "text_crc32", "shard", "grown_shard").agg(F.count("*").alias("n"))
+    told = told.withColumn("cell", F.pmod(F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("")), "text_crc32", "size"), F.lit(cells)).cast("int"))
+    counts = told.groupBy("shard", "cell").agg(F.sum("n").alias("rows"))
+    reach = (Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(*reach)), F.lit(0))
     starts = counts.select("shard", "cell", before.alias("start"))
-    inside = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("key", "text_crc32", "size")) - 1
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("shard", "cell").orderBy("key", "text_crc32", "size").rowsBetween(*reach)), F.lit(0))
     # at most shards x cells rows, whatever the input
-    numbered = rows.withColumn("inside", inside).join(F.broadcast(starts), ["shard", "cell"])
-    return numbered.select(
-        F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("inside")).cast("long").alias("slot"), "grown_shard"
+    numbered = told.withColumn("inside", inside).join(F.broadcast(starts), ["shard", "cell"]).withColumn("first", (F.col("start") + F.col("inside")).cast("long"))
+    pieces = numbered.withColumn("from", F.explode(F.expr(f"sequence(first, first + n - 1, {PIECE}L)"))).repartition("shard", "from")
+    return pieces.select(
+        F.col("key").alias(key),
+        "size",
+        "text_crc32",
+        F.lit("key").alias("law"),
+        "shard",
+        F.explode(F.expr(f"sequence(`from`, least(`from` + {PIECE - 1}, first + n - 1))")).alias("slot"),
+        "grown_shard",
     )

@@ -50,7 +50,7 @@ def test_simhash_query(spark):
         assert got[k]["fingerprint"] == f"{fp:016x}" and got[k]["component_id"] == keys[c]
 
 
-@pytest.mark.parametrize("cell", [4096, 40])
+@pytest.mark.parametrize("cell", [4096, 40, 3])
 def test_links_find_every_component(spark, cell):
     rng = np.random.default_rng(7)
     made = []
@@ -70,18 +70,29 @@ def test_links_find_every_component(spark, cell):
     assert all(roots.get(x, x) == min(g) for g in groups.values() for x in g)
 
 
-def test_gray_index_search():
+def test_gray_tree_joins_itself():
     rng = random.Random(3)
-    members = np.unique(np.array([rng.getrandbits(16) << 40 | rng.getrandbits(4) for _ in range(2000)], np.uint64))
-    index = simhash.GrayIndex(members)
-    for _ in range(100):
-        word = np.uint64(int(rng.choice(members.tolist())) ^ (1 << rng.randrange(64)))
-        want = set(members[np.bitwise_count(members ^ word) <= 3].tolist())
-        assert set(index.members[index.search(word, 3)].tolist()) == want
+    for spread, lead in ((16, 0), (16, 26), (38, 8)):
+        members = np.unique(np.array([rng.getrandbits(spread) << 24 | rng.getrandbits(4) for _ in range(2000)], np.uint64))
+        tree = simhash.GrayTree(members, lead)
+        got = {(min(a, b), max(a, b)) for i, j in tree.pairs(3) for a, b in zip(tree.words[i].tolist(), tree.words[j].tolist())}
+        front = members >> np.uint64(64 - lead) if lead else np.zeros_like(members)
+        want = set()
+        for k in range(len(members)):
+            near = np.flatnonzero((np.bitwise_count(members ^ members[k]) <= 3) & (front == front[k]))
+            want |= {(int(members[k]), int(members[x])) for x in near.tolist() if x > k}
+        assert got == want
     ranks = simhash.gray_rank(np.array([k ^ k >> 1 for k in range(1000)], np.uint64))
     assert ranks.tolist() == list(range(1000))
 
 
+def test_gray_tree_prunes_groups():
+    members = np.unique(np.random.default_rng(4).integers(0, 2**64, 4096, dtype=np.uint64))
+    tree = simhash.GrayTree(members, 16)
+    assert not list(tree.pairs(3)) or tree.compared
+    assert tree.compared < 0.03 * len(members) ** 2 / 2  # levels are built and leave over 97 % of all pairs unseen
+
+
 def test_near_duplicate_edges(spark):
     rows = [(3, None), (1, ""), (2, " \n"), (9, "one two"), (8, "ONE two"), (8, "ONE two"), (None, "one two"), (7, "x " * 5000), (None, "alone here now")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("fp", "root", "kept_key", "key", "component_id")})
@@ -90,7 +101,7 @@ def test_near_duplicate_edges(spark):
     assert by == Counter({(3, 1): 1, (1, 1): 1, (2, 1): 1, (9, 8): 1, (8, 8): 2, (None, 8): 1, (7, 7): 1, (None, None): 1})
     kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 7, 8, None, None]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 7, 8, None]
     assert simhash.near_duplicates(df.where("false")).count() == 0 and simhash.one_of_each(df.where("false")).count() == 0
 
 
@@ -99,6 +110,10 @@ def test_one_of_each_keeps_unrelated_texts_of_one_key(spark):
     rows = [(1, a), (1, b), (5, b.upper()), (5, c), (5, c), (6, a)]
     kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(tuple(r) for r in kept.collect()) == [(1, a), (1, b), (5, c)]
+    d = "nobody knew where the river went"
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, d), (None, d), (None, d.upper()), (None, "x"), (None, "x")]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((str(r[0]), r[1]) for r in kept.collect()) == sorted([("3", a), ("5", b), ("9", c), ("9", d), ("None", "x")])
 
 
 # ---------------------------------------------------------------- decontamination

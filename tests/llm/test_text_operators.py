@@ -138,6 +138,48 @@ def test_pii_model_on_held_out_templates():
     assert hit / true > 0.9 and hit / said > 0.9
 
 
+def test_pii_decoder_equals_enumeration():
+    model, r = pii.loaded(pii.fitted()), random.Random(77)
+
+    def score(lattice, segments):
+        covered = {t for i, j, _ in segments for t in range(i, j)}
+        outside = sum(model.outside.get(lattice.outside(j), 0.0) for j in range(1, lattice.n + 1) if j - 1 not in covered)
+        return outside + sum(float(model.segment(dict(lattice.ending(j))[i])[k]) for i, j, k in segments)
+
+    def segmentations(lattice, at=0):
+        """Every set of candidate segments that don't overlap, with every choice of kinds."""
+        if at == lattice.n:
+            yield []
+            return
+        for rest in segmentations(lattice, at + 1):
+            yield rest
+        for j in range(at + 1, lattice.n + 1):
+            if at in dict(lattice.ending(j)):
+                for rest in segmentations(lattice, j):
+                    for k in range(len(pii.KINDS)):
+                        yield [(at, j, k), *rest]
+
+    checked = with_spans = 0
+    for _ in range(400):
+        text, _ = pii.sample(r)
+        for a, b in pii.regions(text):
+            lattice = pii.Lattice(text, a, b)
+            if lattice.n > 9:
+                continue
+            best = model.best(lattice)
+            top = max(score(lattice, s) for s in segmentations(lattice))
+            assert abs(score(lattice, best) - top) < 1e-9
+            checked, with_spans = checked + 1, with_spans + bool(best)
+    assert checked > 100 and with_spans > 30
+
+
+def test_pii_spans_are_whole_however_long():
+    model = pii.loaded(pii.fitted())
+    for n in (20, 79, 100, 500):
+        text = f"write to {'a' * n}[at]{'b' * n}.org now"
+        assert pii.all_spans(text, model)[1] == [("email", 9, len(text) - 4)]
+
+
 def test_pii_long_texts_take_linear_time():
     model = pii.loaded(pii.fitted())
     assert pii.all_spans("1" * 100_000 + "@" * 1000 + "a" * 100_000 + "+1" * 20_000, model)[0] == []
@@ -175,6 +217,19 @@ def test_shards(edge, docs, texts):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_shards_of_hot_keys_and_rows(spark):
+    hot = spark.range(10_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"))
+    keyed = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 900).alias("text"))
+    got = sharding.assign_shards(hot.unionAll(keyed).withColumn("slot", F.lit(1))).collect()
+    assert len(got) == 13_000 and len({r["shard"] for r in got if r["doc_id"] == 7}) == 1
+    slots = {}
+    for r in got:
+        assert r["grown_shard"] in (r["shard"], 16)
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert Counter(r["text_crc32"] for r in got if r["doc_id"] is None) == Counter(zlib.crc32(f"t{k % 900}".encode()) for k in range(3000))
+
+
 def test_shard_weights(spark):
     rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     n = Counter(r["shard"] for r in sharding.assign_shards(rows, [1.0, 3.0]).collect())
@@ -210,6 +265,54 @@ def test_toxicity_on_held_out_rows(spark):
     assert right > 0.93 and ranked > 0.93
 
 
+def test_toxic_stretches_equal_direct_count():
+    r = random.Random(9)
+    common = ["the", "and", "river", "mountain", "council", "spoke"]
+    ordinary = [" ".join(r.choice(common) for _ in range(r.randint(0, 60))) for _ in range(120)]
+    toxic = [" ".join(r.choice([*common, "blockhead", "Nincompoop"]) for _ in range(r.randint(1, 60))) for _ in range(60)]
+    spaced = lambda t: " " + " ".join(t.lower().split()) + " "
+    runs = lambda t: [(k, t[k : k + 6]) for k in range(len(t) - 5) if " " not in t[k + 1 : k + 5]]
+    held = [Counter(g for t in texts for g in {g for _, g in runs(spaced(t))}) for texts in (ordinary, toxic)]
+    over = set()
+    for g, c in held[1].items():
+        p, q, m = c / 60, held[0][g] / 120, (c + held[0][g]) / 180
+        error = math.sqrt(m * (1 - m) * (1 / 60 + 1 / 120)) + 1e-9
+        if p > toxicity.LIFT * q and (p - q) / error > toxicity.EXCESS:
+            over.add(g)
+    want = []
+    for t in map(spaced, toxic):
+        covered = sorted({k + d for k, g in runs(t) if g in over for d in range(6)})
+        for k in covered:
+            if want and want[-1][0] is t and want[-1][2] == k - 1:
+                want[-1][2] = k
+            else:
+                want.append([t, k, k])
+    assert want and toxicity.stretches(toxic, ordinary) == [t[a : b + 1].encode() for t, a, b in want]
+
+
+def test_toxicity_score_is_the_difference_of_two_dictionaries():
+    fit = toxicity.fit_texts(["you are a blockhead and a fool " * 5, "the river met the sea " * 9] * 40, [1, 0] * 40, 0.5)
+    plain, toxic = toxicity.compressor(fit.ordinary), toxicity.compressor(fit.toxic + fit.ordinary)
+    for text in ("what a blockhead he is and a fool", "the sea met the river", ""):
+        words = text.split()
+        saved = []
+        for k in range(0, len(words), toxicity.STRIDE):
+            if k == 0 or k + 1 < len(words):
+                w = (" " + " ".join(words[k : k + toxicity.WINDOW]) + " ").encode()
+                saved.append(len(plain.compress(w)) - len(toxic.compress(w)))
+        assert toxicity.Scorer(fit).savings(text).tolist() == saved
+    assert toxicity.Scorer(fit)("you are a fool and a blockhead " * 5) > 0.5 > toxicity.Scorer(fit)("the sea met the river " * 9)
+
+
+def test_toxicity_fit_is_bounded_and_whole(spark):
+    rows = [(k, ("you blockhead " if k % 2 else "the river ") * 40) for k in range(60)] + [(61, "long " * 5000), (7, "a second text of key 7 that is longer " * 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    assert toxicity.fit(docs, labels) is not None
+    assert toxicity.fit(docs, labels, most_bytes=3000) is not None
+    assert toxicity.fit(docs, labels, most_bytes=1) is None
+
+
 def test_toxicity_edges(spark, edge):
     labels = spark.createDataFrame([(1, 1), (2, 0), (4, None)], "doc_id long, toxic int")
     for fitted in (None, toxicity.fit(edge, labels)):
@@ -251,10 +354,33 @@ def test_secret_checksums(edge):
     bad = good[:-1] + ("0" if good[-1] != "0" else "1")
     assert secret_scan.spans(f"x {good} y") == [("checksum", 2, 2 + len(good))]
     assert secret_scan.spans(f"x {bad} y") == []
-    assert secret_scan.redacted(f"x {good} y", secret_scan.spans(f"x {good} y"), "<{kind}>") == "x <checksum> y"
+    assert secret_scan.redacted(f"x {good} y", "<{kind}>") == "x <checksum> y"
     clean = secret_scan.redact(edge)
     assert clean.columns == edge.columns
-    assert Counter(r["text"] for r in clean.collect()) == Counter(t and secret_scan.redacted(t, secrets_by_patterns(t), "<secret:{kind}>") for _, t, _ in EDGE)
+    assert Counter(r["text"] for r in clean.collect()) == Counter(t and re.sub("[0-9a-f]{32,}", "<redacted hex>", t) for _, t, _ in EDGE)
+    with pytest.raises(ValueError):
+        secret_scan.redact(edge, mark="<secret:{kind}>")
+
+
+def test_redacting_twice_changes_nothing(spark):
+    r = random.Random(5)
+    body = "abcdefghij0123456789ABCDEFGHIJ"
+    parts = ["password=", "secret: ", "token=", "api_key = ", "apikey=", '"', " ", "abcDEF12", "AKIA" + "Z9" * 8, "0a" * 17, "0123456789abcdef0123456789abcdefa", "pikey=secret:abcdefgh", f"npm_{body}{secret_scan.checksum62(body)}", "é", "x"]
+    made = ["".join(r.choice(parts) for _ in range(r.randint(1, 12))) for _ in range(3000)]
+    for t in made:
+        once = secret_scan.redacted(t)
+        assert not secret_scan.spans(once) and not secrets_by_patterns(once) and secret_scan.redacted(once) == once
+    kinds = {k for t in made for k, _, _ in secret_scan.spans(t)}
+    assert kinds == set(secret_scan.KINDS)
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(made[:50])], "doc_id long, text string")
+    assert {x["doc_id"]: x["text"] for x in secret_scan.redact(secret_scan.redact(rows)).collect()} == {k: secret_scan.redacted(t) for k, t in enumerate(made[:50])}
+
+
+def test_hex_runs_equal_the_pattern():
+    r = random.Random(6)
+    for _ in range(3000):
+        t = "".join(r.choice(["0", "f", "a9", "g", " ", "c0ffee" * 3, "é"]) * r.randint(1, 9) for _ in range(r.randint(0, 12)))
+        assert secret_scan.hex_runs(t) == [("hex", m.start(), m.end()) for m in re.finditer(r"[0-9a-f]+", t) if len(m[0]) >= 32]
 
 
 # ---------------------------------------------------------------- HTML
@@ -277,6 +403,14 @@ def test_secret_checksums(edge):
         ("<table><tr><td colspan=2>wide cell here</td></tr><tr><td>a</td><td>b</td></tr></table>", "wide cell here\na  b"),
         ("<dl><dt>t<dd>d</dl>", "t\n    d"),
         ("</div></p>text<unclosed", "text"),
+        ("<table><div><td>x</td></div></table>", "x"),
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a  b\n   c\nd  e"),
+        ("<table><tr><td rowspan=2>a<td rowspan=2>b<td>c<tr><td>d</table>", "a  b  c\n      d"),
+        ("<table><tr><td>a<td>b<td>c<tr><td colspan=2>wide cell<td>d</table>", "a  b  c\nwide cell  d"),
+        ("<details><summary>s</summary>no</details><details open><summary>t</summary>yes</details>", "s\nt\nyes"),
+        ("<p style='color:red /* display:none */'>yes", "yes"),
+        ("<p style='color:red; DISPLAY : none !important'>no", ""),
+        ("<svg><title>no</title><text>chart</text></svg> <math><mi>x</mi><annotation>no</annotation></math>", "chart x"),
     ],
 )
 def test_render(page, want):
@@ -291,6 +425,22 @@ def test_render_deep_and_long():
     assert html_render.render("<a '" * 3000 + "x") is not None
 
 
+def test_render_random_pages():
+    r = random.Random(8)
+    tags = "table tr td th tbody thead caption div p pre ul li ol dl dt dd details summary select option svg title head body b span dialog textarea script".split()
+    for _ in range(20_000):
+        page = "x"
+        for _ in range(r.randint(1, 14)):
+            tag = r.choice(tags)
+            page += r.choice([f"<{tag}>", f"<{tag} rowspan=2>", f"<{tag} colspan=3 hidden>", f"</{tag}>", f"</{tag}>", "yy zz", "\n", "&amp;", "<"])
+        assert html_render.render(page).startswith("x")
+
+
+def test_render_many_attributes_takes_linear_time():
+    page = "<p " + "a='b' " * 100_000 + ">x" + "<table>" + "<td rowspan=60000 colspan=1000>y" * 300
+    assert html_render.render(page).startswith("x")
+
+
 def test_render_loses_no_letter(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r["text"] for r in queries.op7_visible_text(spark, SF).collect()}

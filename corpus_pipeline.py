@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and returns a DataFrame;
 all but the last return the columns of ``documents``. ``run`` writes each stage as Parquet to the shared
 folder and reads it again for the next.
+
+Rows that a stage returns are lazy: what they read in the shared folder stays until the process ends, or the
+innermost ``scratch`` around the call.
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from attesta.llm import bpe, decontam, secret_scan, simhash, toxicity
-from attesta.llm.common import table, written
+from attesta.llm.common import bounded_batches, remove_table, scratch, table, until_done, write_table
 from attesta.llm.queries import BPE_RANKS, PATTERN
 
 
@@ -52,9 +55,14 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, name)
-    return docs
+    """The rows of the last stage. A stage's table goes once the next is written; the last one's input stays until the process ends."""
+    bounded_batches(spark)
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        with scratch():  # what the stage wrote for itself goes once its result is written
+            docs, path = write_table(stage(spark, docs, sf_dir), name)
+        if before:
+            remove_table(spark, before)
+        before = path
+    until_done(lambda: remove_table(spark, before))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -37,24 +37,46 @@ RECEIVED = r"(?i)\b(won|secured|received|obtained|was awarded|were awarded|succe
 EMPTY_SOURCES = ("", "other", "unspecified", "unknown", "n/a", "not specified")
 #: Kinds of meeting, by words of body and comment. Fixed values.
 MEETING_KIND = (("work_session", "work session"), ("planning_session", "planning session"), ("special", "special"), ("cancelled", "cancel"))
-#: Units by their own spellings, and other spellings of them. Fixed values.
-UNITS = "count percent MW kW MWh kWh metric_tons_co2e metric_tons USD miles square_feet acres years months weeks days hours ratio other".split()
-UNIT_SPELLINGS = {
-    "percent": "% percent percentage",
-    "MW": "mw megawatts megawatt",
-    "kW": "kw kilowatts",
-    "MWh": "mwh",
-    "kWh": "kwh",
-    "USD": "usd dollars $",
-    "miles": "mile miles",
-    "square_feet": "square feet|sq ft|square foot",
-    "acres": "acre acres",
-    "years": "year|years|annual|times per year",
-    "months": "month months",
-    "weeks": "week weeks",
-    "days": "day days",
-    "hours": "hour hours",
+#: Units by spelling, in lower case. Fixed values.
+UNITS = {
+    "count": "count",
+    "percent": "percent",
+    "%": "percent",
+    "percentage": "percent",
+    "mw": "MW",
+    "megawatts": "MW",
+    "megawatt": "MW",
+    "kw": "kW",
+    "kilowatts": "kW",
+    "mwh": "MWh",
+    "kwh": "kWh",
+    "metric_tons_co2e": "metric_tons_co2e",
+    "metric_tons": "metric_tons",
+    "usd": "USD",
+    "dollars": "USD",
+    "$": "USD",
+    "miles": "miles",
+    "mile": "miles",
+    "square_feet": "square_feet",
+    "square feet": "square_feet",
+    "sq ft": "square_feet",
+    "square foot": "square_feet",
+    "acres": "acres",
+    "acre": "acres",
+    "years": "years",
+    "year": "years",
+    "annual": "years",
+    "times per year": "years",
+    "months": "months",
+    "month": "months",
+    "weeks": "weeks",
+    "week": "weeks",
+    "days": "days",
+    "day": "days",
+    "hours": "hours",
+    "hour": "hours",
     "ratio": "ratio",
+    "other": "other",
 }
 CO2E = r"(?i)\b(?:m(?:etrics?)?\s*t(?:ons?)?|mt)[\s-]*(?:of\s+)?(?:co\s*2\s*-?\s*e?\b|carbon\s+dioxide(?:\s+equivalents?)?\b)"
 TONS = r"^(metric\s+)?tons?\b(?:\s+of\s+(.+))?$"
@@ -116,19 +138,11 @@ def meeting_kind(body: Column, comment: Column) -> Column:
     return cases.otherwise("regular")
 
 
-def unit_table() -> dict[str, str]:
-    table = {u.lower(): u for u in UNITS}
-    for unit, spellings in UNIT_SPELLINGS.items():
-        for word in spellings.split("|" if "|" in spellings else " "):
-            table.setdefault(word, unit)
-    return table
-
-
 def split_unit(raw: Column) -> Column:
     """struct(dimension, basis): a known unit, carbon mass, mass, or a count of what the words name."""
     text = F.trim(F.coalesce(raw, F.lit("")))
     key = F.btrim(F.lower(text), F.lit(". "))
-    table = F.create_map(*[F.lit(x) for pair in unit_table().items() for x in pair])
+    table = F.create_map(*[F.lit(x) for pair in UNITS.items() for x in pair])
     known = F.try_element_at(table, key)
     tons = key.rlike(TONS)
     dimension = F.when(text == "", "other").when(known.isNotNull(), known).when(text.rlike(CO2E), "metric_tons_co2e").when(tons, "metric_tons").otherwise("count")

@@ -106,8 +106,14 @@ def word_error_rate(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.DoubleType())
 def word_agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the aligned words over all words of both texts."""
-    return pd.Series([SequenceMatcher(None, tokens(x), tokens(y), autojunk=False).ratio() for x, y in zip(a, b)], dtype="float64")
+    """Aligned words over those of the longer text; 0 where neither has a word."""
+
+    def share(x: str | None, y: str | None) -> float:
+        left, right = tokens(x), tokens(y)
+        same = sum(block.size for block in SequenceMatcher(None, left, right, autojunk=False).get_matching_blocks())
+        return same / max(len(left), len(right), 1)
+
+    return pd.Series([share(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def review_seconds(**counts: Column) -> Column:

@@ -85,3 +85,39 @@ def multiset_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFram
     right = b.groupBy(*keys).agg(F.count("*").alias("in_b"))
     both = left.join(right, keys, "full").fillna(0, ["in_a", "in_b"])
     return both.where("in_a <> in_b")
+
+
+#: Passages too short for an anchor are sought in blocks of this many.
+SHORT_BLOCK = 1000
+
+
+def contained(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", passage: str = "passage") -> DataFrame:
+    """(key, item) for each document and passage that stands in it letter for letter.
+
+    A passage of three words or more has inner words, which a text that holds it has whole; up to three of
+    them in a row, the longest such run, are looked up among the runs of the texts, and only what meets
+    there is compared. Shorter passages are a query set that every text is asked for, in blocks.
+    """
+    w, n = F.split(F.col(passage), " "), F.size(F.split(F.col(passage), " "))
+    inner = F.slice(w, F.lit(2), F.greatest(n - 2, F.lit(0)))
+    width = F.least(F.size(inner), F.lit(3))
+    known = passages.where(F.col(passage).isNotNull()).select(F.col(item).alias("_item"), F.col(passage).alias("_passage"), inner.alias("_inner"), width.alias("_n"))
+    runs = F.transform(F.sequence(F.lit(1), F.size("_inner") - F.col("_n") + 1), lambda k: F.array_join(F.slice("_inner", k, F.col("_n")), " "))
+    longest = F.reduce(runs, F.lit(""), lambda best, x: F.when(F.char_length(x) > F.char_length(best), x).otherwise(best))
+    anchored = known.where("_n > 0").select("_item", "_passage", "_n", longest.alias("_g"))
+    body = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    sizes = [r["_n"] for r in anchored.select("_n").distinct().collect()]  # three rows at most
+    words = F.split("_text", " ")
+    runs_of = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.struct(F.lit(k).alias("_n"), F.array_join(F.slice(words, i, F.lit(k)), " ").alias("_g")))
+    grams = F.flatten(F.array(*map(runs_of, sizes))) if sizes else F.array().cast("array<struct<_n:int,_g:string>>")
+    met = body.select("_key", F.explode(F.array_distinct(grams)).alias("x")).select("_key", "x.*").join(anchored, ["_n", "_g"]).select("_key", "_item", "_passage")
+    long_ = met.join(body, "_key").where(F.contains("_text", "_passage")).select("_key", "_item")
+    blocks = known.where("_n <= 0").groupBy(F.pmod(F.xxhash64("_passage"), F.lit(2**20)).alias("_b")).agg(F.collect_list(F.struct("_item", "_passage")).alias("_short"))
+    number = F.floor((F.row_number().over(Window.orderBy("_b")) - 1) / SHORT_BLOCK)
+    asked = blocks.withColumn("_b", number).groupBy("_b").agg(F.flatten(F.collect_list("_short")).alias("_short"))
+    if known.where("_n <= 0").isEmpty():
+        found = long_
+    else:
+        short = body.join(asked, F.lit(True)).select("_key", F.explode(F.filter("_short", lambda p: F.contains("_text", p["_passage"]))).alias("p")).select("_key", "p._item")
+        found = long_.unionAll(short)
+    return found.select(F.col("_key").alias(key), F.col("_item").alias(item))

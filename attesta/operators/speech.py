@@ -7,9 +7,9 @@ distribution.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,22 +27,20 @@ def plain(text: str | None) -> list[str]:
 
 def transferred(words: list[str], turns: list[tuple[str, str]]) -> list[str | None]:
     """The speaker of each word by aligning words with labelled turns; a gap is filled where both sides agree."""
-    ours = [(t, k) for k, w in enumerate(words) for t in plain(w)]
-    theirs = [(t, name) for name, text in turns for t in plain(text)]
-    out: list[str | None] = [None] * len(words)
-    matcher = SequenceMatcher(None, [t for t, _ in ours], [t for t, _ in theirs], autojunk=False)
-    for a, b, n in matcher.get_matching_blocks():
-        for k in range(n):
-            out[ours[a + k][1]] = theirs[b + k][1]
-    left, seen = [], None
-    for x in out:
-        seen = x or seen
-        left.append(seen)
-    right, seen = [], None
-    for x in reversed(out):
-        seen = x or seen
-        right.append(seen)
-    return [x or (a if a == b else None) for x, a, b in zip(out, left, reversed(right))]
+    owner = np.repeat(np.arange(len(words)), [len(plain(w)) for w in words])
+    said = [token for w in words for token in plain(w)]
+    names = list(dict.fromkeys(name for name, _ in turns))
+    theirs = [(token, names.index(name)) for name, text in turns for token in plain(text)]
+    label = np.full(len(words), -1)
+    for here, there, n in SequenceMatcher(None, said, [token for token, _ in theirs], autojunk=False).get_matching_blocks():
+        label[owner[here : here + n]] = [k for _, k in theirs[there : there + n]]
+    at = np.arange(len(words))
+    # the nearest labelled word on either side; its place is beyond the ends where there is none
+    before = np.maximum.accumulate(np.where(label >= 0, at, -1)) if len(at) else at
+    after = np.minimum.accumulate(np.where(label >= 0, at, len(at))[::-1])[::-1] if len(at) else at
+    padded = np.append(label, -1)
+    filled = np.where(padded[before] == padded[after], padded[before], label)
+    return [names[k] if k >= 0 else None for k in np.where(label >= 0, label, filled).tolist()]
 
 
 def transfer_labels(words: DataFrame, turns: DataFrame, key: str = "media_id") -> DataFrame:
@@ -79,32 +77,32 @@ def match_roster(name: pd.Series, roster: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([roster_match(n, list(r) if r is not None else []) for n, r in zip(name, roster)], columns=["entry", "score"])
 
 
+def _heard(pivot: list[str], other: list[str]) -> list[str | None]:
+    """What the other system has at each word of the pivot: "" where it leaves the word out, None where no word answers to it."""
+    out: list[str | None] = [None] * len(pivot)
+    for kind, a, b, c, d in SequenceMatcher(None, pivot, other, autojunk=False).get_opcodes():
+        answers = [""] * (b - a) if kind == "delete" else other[c:d][: b - a]
+        out[a : a + len(answers)] = answers
+    return out
+
+
 def dissent(readings: dict[str, str]) -> list[tuple[int, str, str, str]]:
     """(position, system, read, agreed) where one of three or more systems differs and all others agree.
 
-    The reading of middle length is the pivot; a difference of equal lengths is compared word by word.
+    The reading of middle length is the pivot, of equally long ones that of the later name where they meet
+    the middle. Unequal replacements are compared as far as both go; a word left out reads as "".
     """
     if len(readings) < 3:
         return []
-    order = sorted(readings, key=lambda s: (len(plain(readings[s])), s))
-    pivot = order[len(order) // 2]
-    base = plain(readings[pivot])
-    seen: list[dict[str, str]] = [{pivot: w} for w in base]
-    for system in readings:
-        if system == pivot:
-            continue
-        words = plain(readings[system])
-        for tag, i1, i2, j1, j2 in SequenceMatcher(None, base, words, autojunk=False).get_opcodes():
-            if tag == "equal" or tag == "replace" and i2 - i1 == j2 - j1:
-                for k in range(i2 - i1):
-                    seen[i1 + k][system] = words[j1 + k]
+    tokens = {system: plain(readings[system]) for system in sorted(readings)}
+    pivot = sorted(tokens, key=lambda system: len(tokens[system]))[len(tokens) // 2]
+    heard = pd.DataFrame({system: _heard(tokens[pivot], words) if system != pivot else tokens[pivot] for system, words in tokens.items()}, dtype=object)
     out = []
-    for k, by in enumerate(seen):
-        if len(by) == len(readings):
-            counts = Counter(by.values())
-            agreed, n = counts.most_common(1)[0]
-            if n == len(by) - 1:
-                out += [(k, s, w, agreed) for s, w in by.items() if w != agreed]
+    for place, row in heard[heard.notna().all(axis=1)].iterrows():
+        common = row.mode()
+        odd = row[row != common[0]]
+        if len(odd) == 1 and len(common) == 1:
+            out.append((int(place), odd.index[0], odd.iloc[0], common[0]))
     return out
 
 

@@ -45,9 +45,9 @@ def funding_category(s: Store) -> DataFrame:
 
 
 @query("""
-WITH p AS (SELECT list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) AS grams FROM (SELECT string_split(text, ' ') AS w FROM benchmark WHERE item_id = 9)),
-     d AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents)
-SELECT doc_id FROM d, p WHERE len(w) >= 5 AND len(list_intersect(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')), grams)) > 0""")
+WITH p AS (SELECT DISTINCT unnest(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM (SELECT string_split(text, ' ') AS w FROM benchmark) WHERE len(w) >= 5),
+     d AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents) WHERE len(w) >= 5)
+SELECT DISTINCT doc_id FROM d SEMI JOIN p ON d.g = p.g""")
 def prompt_leaks(s: Store) -> DataFrame:
     """Documents that repeat five words of any prompt in a row; prompts of fewer words have no run."""
     prompt = s.raw("benchmark").select(F.split("text", " ").alias("w")).where(F.size("w") >= 5)

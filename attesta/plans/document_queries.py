@@ -145,13 +145,42 @@ def normal_money(s: Store) -> DataFrame:
     return s.raw("orders").select(F.col("o_orderkey").alias("id"), gates.normal_money(figure).alias("dollars"))
 
 
-@query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 0 END AS present, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS absent, o_orderkey % 3 = 0 AS reliable FROM orders WHERE o_orderkey <= 2000")
+@query("""
+SELECT o_orderkey AS id, CASE WHEN m IN (0, 3) THEN 2 ELSE 0 END AS present, CASE WHEN m IN (0, 3) THEN 1 ELSE 0 END AS absent, m IN (0, 3) AS reliable,
+       CASE m WHEN 1 THEN 'present: declared 3, extracted 2' WHEN 2 THEN 'no ROLL CALL block' WHEN 4 THEN '2 counts, 1 labels, 1 name runs' ELSE '' END AS reason
+FROM (SELECT o_orderkey, o_orderkey % 5 AS m FROM orders)""")
 def roll_calls(s: Store) -> DataFrame:
-    """Roll calls of two layouts; one declares a count that its names don't have, one has no block."""
-    m = F.col("o_orderkey") % 3
-    text = F.when(m == 0, "ROLL CALL Present: 2 - Ann Lee and Bob Ray  Absent: 1 - Cy Young APPROVAL OF MINUTES").when(m == 1, "ROLL CALL 3 - Present : Ann Lee, Bob Ray CONSENT").otherwise("no roll call")
+    """Roll calls of two layouts, a count that the names don't have, no block, and counts without labels."""
+    m = F.col("o_orderkey") % 5
+    text = (
+        F.when(m == 0, "ROLL CALL Present: 2 - Ann Lee and Bob Ray  Absent: 1 - Cy Young APPROVAL OF MINUTES")
+        .when(m == 1, "ROLL CALL 3 - Present : Ann Lee, Bob Ray CONSENT")
+        .when(m == 3, "ROLL CALL 2 - 1 - Present : Ann Lee, Bob Ray Excused : Cy Young PUBLIC COMMENT")
+        .when(m == 4, "ROLL CALL 2 - 1 - Present : Ann Lee, Bob Ray CONSENT")
+        .otherwise("no roll call")
+    )
     rows = s.raw("orders").select(F.col("o_orderkey").alias("id"), roll_call(text).alias("r"))
-    return rows.select("id", F.size("r.present").alias("present"), F.size("r.absent").alias("absent"), F.col("r.reliable").alias("reliable"))
+    return rows.select("id", F.size("r.present").alias("present"), F.size("r.absent").alias("absent"), F.col("r.reliable").alias("reliable"), "r.reason")
+
+
+@query("""
+WITH e AS (SELECT l_orderkey AS doc_id, l_linenumber AS n, l_returnflag AS f, cast(l_partkey % 400 + 1 AS int) AS page_ref, CASE WHEN l_linenumber % 2 = 0 THEN 70 ELSE 50 END AS x0, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) AS k FROM lineitem),
+     one AS (SELECT * FROM e WHERE k = 1),
+     next AS (SELECT *, lead(n) OVER l AS next_n, lead(f) OVER l AS next_f FROM one WINDOW l AS (PARTITION BY doc_id ORDER BY n)),
+     entries AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS entry, concat('Part ', f, CASE WHEN next_n = 3 THEN concat(' and ', next_f) ELSE '' END) AS title, page_ref, x0 FROM next WHERE n <> 3)
+SELECT doc_id, entry, title, page_ref, x0, CASE WHEN x0 = 70 AND shallow > 0 THEN 2 ELSE 1 END AS level
+FROM (SELECT *, count(*) OVER d AS named, count(*) FILTER (WHERE x0 = 50) OVER d AS shallow FROM entries WINDOW d AS (PARTITION BY doc_id)) WHERE named >= 3""")
+def contents_entries(s: Store) -> DataFrame:
+    """Contents pages, one an order: an entry a line, the third going on with the second; a heading and a lone page number about them."""
+    n = F.col("l_linenumber")
+    first = s.raw("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min_by(F.struct("l_returnflag", "l_partkey"), F.struct("l_partkey", "l_suppkey")).alias("l"))
+    left = F.when(n % 2 == 0, 70.0).otherwise(50.0)
+    token = lambda dy, x0, text: F.struct((n * 12 + dy).cast("double").alias("top"), x0.alias("x0"), text.alias("text"))
+    page = F.when(n != 3, (F.col("l.l_partkey") % 400 + 1).cast("string"))
+    line = F.array(token(0, left, F.when(n == 3, "and").otherwise("Part")), token(1, left + 30, F.col("l.l_returnflag")), token(2, F.lit(200.0), F.when(n != 3, "......")), token(0, F.lit(300.0), page))
+    furniture = F.when(n == 1, F.array(token(-12, F.lit(10.0), F.lit("Contents")), token(500, F.lit(300.0), F.lit("4"))))
+    words = first.select(F.col("l_orderkey").alias("doc_id"), F.explode(F.concat(line, F.coalesce(furniture, F.slice(line, 1, 0)))).alias("w")).select("doc_id", F.lit(1).alias("page"), "w.*").where("text is not null")
+    return geometry.contents(words, ["doc_id", "page"], ["doc_id"]).select("doc_id", "entry", "title", "page_ref", "x0", "level")
 
 
 # ---------------------------------------------------------------- calendars and recordings

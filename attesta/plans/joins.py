@@ -13,7 +13,7 @@ from attesta.plans.store import Store
 
 _NAMES = "SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM {part}"
 _IDENTITY = """
-  n AS (SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM part WHERE p_partkey % 5 = 0),
+  n AS (SELECT p_partkey AS id, concat(p_name, ' ', p_type) AS name, CASE WHEN p_partkey % 4 = 0 THEN p_partkey - 1 END AS parent_id, p_size AS evidence FROM part),
   w AS (SELECT id, unnest(string_split_regex(lower(name), '[^a-z0-9]+')) AS w FROM n),
   t AS (SELECT DISTINCT id, """ + "CASE " + " ".join(f"WHEN w LIKE '%{x}' AND length(w) - {len(x)} >= 4 THEN left(w, length(w) - {len(x)})" for x in text.SUFFIXES) + " ELSE w END AS r FROM w WHERE length(w) > 2 AND w NOT IN (" + ", ".join(f"'{x}'" for x in text.STOP) + """)),
   c AS (SELECT id, count(*) AS n FROM t GROUP BY id),
@@ -49,6 +49,14 @@ def dedup_link_counts(s: Store) -> DataFrame:
     return counted.groupBy(F.col("id").alias("least_id")).agg(F.sum("n").alias("links")).where("links > 0")
 
 
+@query(f"WITH {_IDENTITY}, s AS (SELECT id, string_agg(r, '|' ORDER BY r) AS roots FROM t GROUP BY id) SELECT id, min(id) OVER (PARTITION BY roots) AS class_id FROM s")
+def dedup_classes(s: Store) -> DataFrame:
+    """The class of each name: the least id with the same roots, which stands for all of them in ``dedup_pairs``."""
+    rows = _identified(s).where(F.size("tokens") > 0).select("id", F.array_join(F.sort_array("tokens"), "|").alias("roots"))
+    # least ids by partial aggregation, so a name that many ids share makes no hot task
+    return rows.join(rows.groupBy("roots").agg(F.min("id").alias("class_id")), "roots").select("id", "class_id")
+
+
 @query(f"""
 WITH {_IDENTITY} SELECT CASE WHEN x.evidence > y.evidence OR (x.evidence = y.evidence AND x.id < y.id) THEN x.id ELSE y.id END AS survivor, CASE WHEN x.evidence > y.evidence OR (x.evidence = y.evidence AND x.id < y.id) THEN y.id ELSE x.id END AS duplicate, round(score, 3) AS score
 FROM j JOIN n x ON x.id = j.a JOIN n y ON y.id = j.b WHERE score >= 0.6 AND score < 1 AND coalesce(x.parent_id, -1) <> y.id AND coalesce(y.parent_id, -1) <> x.id
@@ -64,7 +72,7 @@ def dedup_pairs(s: Store) -> DataFrame:
 
 
 @query("""
-WITH asked AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN upper(p_brand) WHEN 2 THEN split_part(p_name, ' ', 1) ELSE 'nobody' END AS q FROM part WHERE p_partkey <= 400),
+WITH asked AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN upper(p_brand) WHEN 2 THEN split_part(p_name, ' ', 1) ELSE 'nobody' END AS q FROM part),
      hits AS (SELECT a.id, p.p_partkey AS hit, 0 AS tier FROM asked a JOIN part p ON p.p_name = a.q UNION SELECT a.id, p.p_partkey, 1 FROM asked a JOIN part p ON upper(p.p_brand) = a.q UNION SELECT a.id, p.p_partkey, 2 FROM asked a JOIN part p ON split_part(p.p_name, ' ', 1) = a.q),
      best AS (SELECT id, min(tier) AS tier FROM hits GROUP BY id), top AS (SELECT h.id, h.tier, count(*) AS n, min(hit) AS hit FROM hits h JOIN best b ON b.id = h.id AND b.tier = h.tier GROUP BY h.id, h.tier)
 SELECT a.id, CASE WHEN n = 1 THEN hit END AS hit, tier, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'resolved' ELSE 'ambiguous' END AS state FROM asked a LEFT JOIN top t ON t.id = a.id""")
@@ -115,15 +123,8 @@ def recall_precision(s: Store) -> DataFrame:
 
 @query("SELECT item_id AS id, min(doc_id) AS first_document, count(*) AS documents FROM benchmark b JOIN documents d ON contains(d.text, b.text) GROUP BY item_id")
 def contained_passages(s: Store) -> DataFrame:
-    """Passages that documents hold word for word, found by their first five words and then compared in full."""
-    five = lambda c: F.slice(F.split(c, " "), 1, 5)
-    items = s.raw("benchmark").select("item_id", F.col("text").alias("passage"), F.array_join(F.slice(five(F.col("text")), 2, 3), " ").alias("g")).where(F.size(F.split("passage", " ")) >= 5)
-    w = F.split("text", " ")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
-    docs = s.raw("documents").select("doc_id", "text", F.split("text", " ").alias("w"))
-    grams = F.transform(F.sequence(F.lit(0), F.greatest(F.size("w") - 3, F.lit(0))), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))
-    keys = docs.select("doc_id", F.explode(F.array_distinct(grams)).alias("g")).join(items, "g").select("doc_id", "item_id", "passage")
-    held = keys.join(docs.select("doc_id", "text"), "doc_id").where(F.contains("text", "passage"))
+    """Passages that documents hold word for word, however short."""
+    held = similarity.contained(s.raw("documents").select("doc_id", "text"), s.raw("benchmark").select("item_id", F.col("text").alias("passage")), "doc_id", "text", "item_id", "passage")
     return held.groupBy(F.col("item_id").alias("id")).agg(F.min("doc_id").alias("first_document"), F.count("*").alias("documents"))
 
 

@@ -92,9 +92,9 @@ _UNITS_SQL = "SELECT p_partkey AS id, list_element([" + ", ".join(f"'{q(u)}'" fo
 
 
 @query(f"""
-SELECT id, raw, CASE WHEN trim(raw) = '' THEN 'other' WHEN k IN ({', '.join(f"'{q(k)}'" for k in rules.unit_table())}) THEN CASE {' '.join(f"WHEN k = '{q(k)}' THEN '{v}'" for k, v in rules.unit_table().items())} END
+SELECT id, raw, CASE WHEN trim(raw) = '' THEN 'other' WHEN k IN ({', '.join(f"'{q(k)}'" for k in rules.UNITS)}) THEN CASE {' '.join(f"WHEN k = '{q(k)}' THEN '{v}'" for k, v in rules.UNITS.items())} END
        WHEN regexp_matches(raw, '{rules.CO2E}') THEN 'metric_tons_co2e' WHEN regexp_matches(k, '{rules.TONS}') THEN 'metric_tons' ELSE 'count' END AS dimension,
-       CASE WHEN trim(raw) = '' OR k IN ({', '.join(f"'{q(k)}'" for k in rules.unit_table())}) OR regexp_matches(raw, '{rules.CO2E}') THEN NULL WHEN regexp_matches(k, '{rules.TONS}') THEN nullif(regexp_extract(k, '{rules.TONS}', 2), '') ELSE trim(raw) END AS basis
+       CASE WHEN trim(raw) = '' OR k IN ({', '.join(f"'{q(k)}'" for k in rules.UNITS)}) OR regexp_matches(raw, '{rules.CO2E}') THEN NULL WHEN regexp_matches(k, '{rules.TONS}') THEN nullif(regexp_extract(k, '{rules.TONS}', 2), '') ELSE trim(raw) END AS basis
 FROM (SELECT *, trim(lower(trim(raw)), '. ') AS k FROM ({_UNITS_SQL}))""")
 def split_unit(s: Store) -> DataFrame:
     raw = F.element_at(F.array(*[F.lit(u) for u in _UNIT_CASES]), (F.col("p_partkey") % len(_UNIT_CASES)).cast("int") + 1)

@@ -27,6 +27,9 @@ def test_dissent_needs_three_and_all_others():
     got = speech.dissent({"a": "the solar plan", "b": "the solar plan", "c": "the polar plan"})
     assert got == [(1, "c", "polar", "solar")]
     assert speech.dissent({"a": "one", "b": "two", "c": "three"}) == []
+    # a word that one leaves out, and replacements of unequal length as far as both go
+    assert speech.dissent({"a": "the new solar plan", "b": "the solar plan", "c": "the new solar plan"}) == [(1, "b", "", "new")]
+    assert speech.dissent({"a": "we met at noon", "b": "we met at noon", "c": "we sat down at noon"}) == [(1, "c", "sat", "met")]
 
 
 def test_seams(spark):

@@ -61,13 +61,19 @@ def test_html_and_pdf(spark):
     assert got["pdf"] and got["body"].split() == ["a&b", "c", "d"] and "\n\n\n" not in got["body"]
 
 
-def test_roll_call_layouts():
-    good = rollcall.read("x ROLL CALL Present: 2 - Ann Lee, Bob Ray Absent: 1 - Cy Young APPROVAL OF")
-    assert good == {"present": ["Ann Lee", "Bob Ray"], "absent": ["Cy Young"], "reliable": True}
-    hoisted = rollcall.read("ROLL CALL 2 - 1 - Present : Ann Lee, Bob Ray Excused : Cy Young CONSENT")
-    assert hoisted == good
-    assert not rollcall.read("ROLL CALL Present: 3 - Ann Lee, Bob Ray CONSENT")["reliable"]
-    assert not rollcall.read(None)["reliable"]
+def test_roll_call_layouts(spark):
+    cases = {
+        "x ROLL CALL Present: 2 - Ann Lee, Bob Ray Absent: 1 - Cy Young APPROVAL OF": (["Ann Lee", "Bob Ray"], ["Cy Young"], True, ""),
+        "ROLL CALL\n2 -\nPresent\n:\nAnn Lee, and\nBob Ray\n1 - Cy Young Absent : public comment": (["Ann Lee", "Bob Ray"], ["Cy Young"], True, ""),
+        "ROLL CALL 2 - 1 - Present : Ann Lee, Bob Ray Excused : Cy Young CONSENT": (["Ann Lee", "Bob Ray"], ["Cy Young"], True, ""),
+        "ROLL CALL Present: 3 - Ann Lee, Bob Ray CONSENT": ([], [], False, "present: declared 3, extracted 2"),
+        "ROLL CALL Absent: 1 - Cy Young CONSENT": ([], ["Cy Young"], False, "no counted present block"),
+        "ROLL CALL 10 - 5 - Present : Jon Mallek, and Rita Mitchell PUBLIC COMMENT": ([], [], False, "2 counts, 1 labels, 1 name runs"),
+        "APPROVAL OF AGENDA": ([], [], False, "no ROLL CALL block"),
+        None: ([], [], False, "no ROLL CALL block"),
+    }
+    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", rollcall.roll_call(F.col("t")).alias("r")).collect()
+    assert {r["t"]: tuple(r["r"]) for r in rows} == cases
 
 
 def test_gate_expressions(spark):

@@ -2,6 +2,7 @@
 
 from itertools import combinations
 
+from attesta.operators import similarity
 from attesta.plans import catalog, registry  # noqa: F401
 from attesta.plans.store import Store
 
@@ -51,7 +52,7 @@ def test_resolve_asks_every_part(spark, tmp_path):
 def test_roll_calls_read_every_order(spark, tmp_path):
     sf = written(spark, tmp_path, orders=([(k,) for k in range(1990, 2020)], "o_orderkey long"))
     got = {r["id"]: (r["present"], r["absent"], r["reliable"]) for r in collected(spark, "roll_calls", sf)}
-    assert got == {k: (2, 1, True) if k % 3 == 0 else (0, 0, False) for k in range(1990, 2020)}
+    assert got == {k: (2, 1, True) if k % 5 in (0, 3) else (0, 0, False) for k in range(1990, 2020)}
 
 
 def test_prompt_leaks_seek_every_item(spark, tmp_path):
@@ -70,3 +71,14 @@ def test_store_tables_hold_all_rows(spark):
     cited = s.event_attestations
     assert cited.select("claim_id").distinct().count() == lines.selectExpr("l_orderkey * 10 + l_linenumber as id").distinct().count()
     assert cited.select("asserted_event_id").distinct().count() == events.select("user_id").distinct().count()
+
+
+def test_contained_passages_of_any_length(spark):
+    docs = [(1, "the city council met"), (2, "a councilman  spoke at noon today"), (3, "x"), (4, ""), (5, None), (1, "again the city council met here")]
+    items = [(1, "council"), (2, "city council"), (3, "the city council met"), (4, "he city cou"), (5, " spoke at"), (6, ""), (7, None), (8, "noon today and"), (9, "at noon tod"), (10, "  ")]
+    left = spark.createDataFrame(docs, "doc_id long, text string")
+    right = spark.createDataFrame(items, "item_id long, passage string")
+    want = sorted((d, i) for d, t in docs for i, p in items if t is not None and p is not None and p in t)
+    got = sorted((r["doc_id"], r["item_id"]) for r in similarity.contained(left, right).collect())
+    assert sorted(set(got)) == sorted(set(want)) and len([g for g in got if g[0] != 1]) == len([w for w in want if w[0] != 1])
+    assert similarity.contained(left, right.where("false")).count() == 0 and similarity.contained(left.where("false"), right).count() == 0

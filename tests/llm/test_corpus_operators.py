@@ -147,7 +147,7 @@ def test_decontamination_query(spark):
     assert got == matches(texts, items) and got
 
 
-def test_decontamination_of_edited_passages():
+def test_decontamination_of_edited_passages(spark):
     r = random.Random(11)
     vocabulary = [f"w{k}" for k in range(60)]
     items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.choice([1, 3, 5, 14, 30, 59])))) for k in range(12)] + [(98, None), (99, "  ")]
@@ -162,8 +162,9 @@ def test_decontamination_of_edited_passages():
         at = r.randint(0, len(words))
         texts.append((d, " ".join(words[:at] + passage + words[at:])))
     texts += [(1000, None), (1001, ""), (1002, "W1")]
-    index = decontam.Items(items)
-    got = {(d, i): (sim, s) for d, t in texts for i, sim, s in index.search(t)}
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"]) for r in decontam.find_contamination(docs, benchmark).collect()}
     want = matches(texts, items)
     assert got.keys() == want.keys() and len(want) > 50
     assert all(abs(got[k][0] - want[k][0]) < 1e-9 and got[k][1] == want[k][1] for k in want)
@@ -171,22 +172,57 @@ def test_decontamination_of_edited_passages():
 
 def test_multi_index_finds_all_within_radius():
     rng = np.random.default_rng(5)
-    fps = rng.integers(0, 2**63, 200, dtype=np.uint64)
-    asked = np.array([int(x) ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 34)), replace=False)) for x in fps], np.uint64)
-    got = set(decontam.MultiIndex(fps).search(asked))
-    assert got == {(q, k) for q in range(200) for k in np.flatnonzero(np.bitwise_count(fps ^ asked[q]) <= decontam.RADIUS).tolist()}
-
-
-def test_decontamination_blocks_and_edges(spark):
-    docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (None, "z a b c d e f g", "y"), (2, None, None), (3, "", "x")], "doc_id long, text string, key string")
-    items = spark.createDataFrame([(1, "A b c d e f g"), (2, "nothing of it at all"), (3, None), (4, "a b c d e f g")], "item_id long, text string")
-    for size in (1, 2, 100):
-        got = decontam.find_contamination(docs, items, block_items=size).collect()
-        assert Counter((r["doc_id"], r["item_id"]) for r in got) == Counter({(1, 1): 1, (1, 4): 1, (None, 1): 1, (None, 4): 1})
-        kept = decontam.drop_contaminated(docs, items, block_items=size)
-        assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+    fps = rng.integers(0, 2**32, (200, decontam.BLOCKS), dtype=np.uint32)
+    asked = fps.copy()
+    for x in asked:
+        for bit in rng.choice(256, int(rng.integers(0, 100)), replace=False).tolist():
+            x[bit // 32] ^= np.uint32(1 << bit % 32)
+    index = decontam.MultiIndex(fps)
+    got = {(a, b) for q, k in index.search(asked) for a, b in zip(q.tolist(), k.tolist())}
+    apart = np.bitwise_count(asked[:, None] ^ fps[None]).sum(2)
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(apart <= decontam.RADIUS)))) and len(got) > 100
+    assert index.met < 0.12 * index.seen  # the parts leave out most pairs that have nothing to do with each other
+
+
+def test_simhash_radius_holds_windows_at_the_threshold():
+    rng = np.random.default_rng(6)
+    inside = 0
+    for _ in range(2000):
+        n = int(rng.integers(20, 200))
+        item = rng.integers(0, 2**63, n, dtype=np.uint64)
+        window = item.copy()
+        window[: n // 5] = rng.integers(0, 2**63, n // 5, dtype=np.uint64)  # similarity 0.8 or just above
+        a, b = (decontam._fingerprints(decontam._bits(x).sum(0, keepdims=True)) for x in (item, window))
+        inside += int(np.bitwise_count(a ^ b).sum()) <= decontam.RADIUS
+    assert inside / 2000 > 0.99
+
+
+def test_leads_are_the_rarest_shingles(spark):
+    items = [(1, "a b c d e f g h i j k l m n o"), (2, "a b c d e f g h i q r s t u v"), (3, "w " * 30), (4, "one"), (5, None)]
+    table = decontam.item_shingles(spark.createDataFrame(items, "item_id long, text string"))
+    rows = {r["item"]: r for r in table.collect()}
+    assert sorted(rows) == [1, 2, 3, 4] and [rows[k]["q"] for k in (1, 2, 3, 4)] == [5, 5, 5, 1]
+    found = {}
+    for r in decontam.leads(table).collect():
+        found.setdefault(r["code"], set()).add(r["h"])
+    for k, row in rows.items():
+        weight, mine = Counter(row["hashes"]), found[row["code"]]
+        assert sum(weight[h] for h in mine) > 0.2 * weight.total()
+        if k in (1, 2):  # three of eleven shingles, none that the other item holds
+            assert len(mine) == 3 and not mine & set(rows[3 - k]["hashes"])
+
+
+def test_decontamination_edges(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (None, "z a b c d e f g", "y"), (1, "a b c d e f g", "x"), (2, None, None), (3, "", "x")], "doc_id long, text string, key string")
+    docs = docs.withColumns({c: F.lit("clash") for c in ("text_hash", "hits", "code", "item")})
+    items = spark.createDataFrame([(1, "A b c d e f g"), (1, "A b c d e f g"), (1, "b c d e f g a"), (2, "nothing of it at all"), (3, None), (4, "a b c d e f g"), (None, "a b c d e f g"), (5, "")], "item_id long, text string")
+    got = decontam.find_contamination(docs, items).collect()
+    assert Counter((r["doc_id"], r["item_id"]) for r in got) == Counter({(d, i): 2 if d else 1 for d in (1, None) for i in (1, 4, None)})
+    assert {r["similarity"] for r in got} == {1.0}
+    kept = decontam.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
     assert decontam.find_contamination(docs, items.where("false")).count() == 0
-    assert decontam.drop_contaminated(docs, items.where("false")).count() == 4
+    assert decontam.drop_contaminated(docs, items.where("false")).count() == 5
     assert decontam.find_contamination(docs.where("false"), items).count() == 0
 
 

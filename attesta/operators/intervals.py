@@ -52,6 +52,37 @@ def last_start(points: DataFrame, intervals: DataFrame, keys: list[str], at: str
     return seen.select("_point.*", *[F.col(f"_found.{c}").alias(c) for c in payload])
 
 
+def assign_points(points: DataFrame, turns: DataFrame, keys: list[str], at: str, tie: str, within: float, interjections: DataFrame | None = None) -> DataFrame:
+    """Each point with the turn it belongs to: ``points`` plus turn (its ``tie``), interjection and basis, all null for none.
+
+    A turn that holds the point (ends included) and starts last before it has it; an interjection of that
+    turn (``tie``, interjection, start_ms, end_ms) that holds the point, the first by start, goes before
+    the turn. A point in no turn goes to the nearer edge of the turn before and the turn after, the
+    former among equals, if that lies within ``within``. Sorted both ways once; nothing is paired but
+    points with the interjections of their turn.
+    """
+    place = F.struct("start_ms", "end_ms", F.col(tie).alias("turn"))
+    kind = turns.select(place.alias("p")).schema["p"].dataType
+    row = F.struct(*points.columns)
+    marks = turns.select(*keys, F.col("start_ms").cast("double").alias("_at"), F.lit(0).alias("_kind"), F.col(tie).alias("_tie"), place.alias("_turn"), F.lit(None).cast(points.select(row.alias("r")).schema["r"].dataType).alias("_row"))
+    asked = points.select(*keys, F.col(at).cast("double").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(turns.schema[tie].dataType).alias("_tie"), F.lit(None).cast(kind).alias("_turn"), row.alias("_row"))
+    base = Window.partitionBy(*keys)
+    before = F.last("_turn", ignorenulls=True).over(base.orderBy("_at", "_kind", "_tie").rowsBetween(Window.unboundedPreceding, 0))
+    after = F.last("_turn", ignorenulls=True).over(base.orderBy(F.desc("_at"), F.desc("_kind"), F.desc("_tie")).rowsBetween(Window.unboundedPreceding, 0))
+    met = marks.unionByName(asked).withColumn("_before", before).withColumn("_after", after).where("_kind = 1")
+    inside = F.coalesce(F.col("_at") <= F.col("_before.end_ms"), F.lit(False))
+    far = lambda t: F.least(F.abs(F.col("_at") - F.col(f"{t}.start_ms")), F.abs(F.col("_at") - F.col(f"{t}.end_ms")))
+    nearer = F.when(far("_before") <= F.coalesce(far("_after"), far("_before")), F.col("_before.turn")).otherwise(F.col("_after.turn"))
+    near = F.least(far("_before"), far("_after")) <= within
+    told = met.select("_row.*", F.col("_at").alias("_point"), F.when(inside, F.col("_before.turn")).when(near, nearer).alias("turn"), F.when(inside, "inside").when(near, "nearest").alias("basis"))
+    if interjections is None:
+        return told.select(*points.columns, "turn", F.lit(None).cast("long").alias("interjection"), "basis")
+    held = interjections.select(F.col(tie).alias("turn"), F.col("interjection"), F.col("start_ms").alias("_s"), F.col("end_ms").alias("_e"))
+    cut = told.where("basis = 'inside'").join(held, "turn").where("_point between _s and _e")
+    first = cut.groupBy(*points.columns, "turn").agg(F.min_by("interjection", F.struct("_s", "interjection")).alias("interjection"))
+    return told.join(first.select(*points.columns, "interjection"), points.columns, "left").select(*points.columns, "turn", "interjection", "basis")
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], cost: Column, allowed: Column, left_id: str, tie: str) -> DataFrame:
     """For each left row the allowed right row of its keys with the least cost; ties by ``tie``.
 

@@ -27,8 +27,13 @@ def enforce_vocabulary(rows: DataFrame, column: str, terms: DataFrame, key: str,
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], mode: str) -> DataFrame:
-    """Rows after INSERT ... ON CONFLICT: ``update`` takes the new values, ``nothing`` the old, ``enrich`` fills the old row's nulls."""
-    o, n = old.alias("o"), new.dropDuplicates(keys).alias("n")
+    """Rows after INSERT ... ON CONFLICT: ``update`` takes the new values, ``nothing`` the old, ``enrich`` fills the old row's nulls.
+
+    Of several new rows with one key the least by the other columns, in their order, is taken.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    single = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*") if rest else new.distinct()
+    o, n = old.alias("o"), single.alias("n")
     both = o.join(n, [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys], "full")
     had, got = F.col(f"o.{keys[0]}").isNotNull(), F.col(f"n.{keys[0]}").isNotNull()
 
@@ -79,20 +84,46 @@ def enforce(rows: DataFrame, refused: Column, message: str) -> DataFrame:
     return rows.where(checked)
 
 
+def _refused_claims(claims: DataFrame) -> DataFrame:
+    """(claim_id, refused): whether a claim has no subject or a state other than confirmed. A null state raises nothing, as in SQL."""
+    bad = F.col("subject_id").isNull() | F.coalesce(F.col("curation_state") != "confirmed", F.lit(False))
+    return claims.groupBy(F.col("id").alias("claim_id")).agg(F.bool_or(bad).alias("refused"))
+
+
+def refused_manifests(manifests: DataFrame, claims: DataFrame) -> DataFrame:
+    """New manifest rows (claim_id, ...) whose claim may not be published."""
+    return manifests.join(_refused_claims(claims).where("refused").select("claim_id"), "claim_id", "left_semi")
+
+
+def insert_manifests(existing: DataFrame, new: DataFrame, claims: DataFrame) -> DataFrame:
+    """``existing`` and ``new`` rows; fails at run time if a new one is refused. Existing rows aren't looked at again."""
+    checked = enforce(new.join(_refused_claims(claims), "claim_id", "left"), F.coalesce("refused", F.lit(False)), "a claim cannot enter a page manifest: subject_id unset or curation_state is not confirmed")
+    return existing.unionByName(checked.select(*existing.columns))
+
+
 def shift_spans(spans: DataFrame, edits: DataFrame, key: str) -> DataFrame:
     """Spans after text edits (``edits``: key, edit_start, edit_end, delta).
 
     A span shifts by the deltas of edits that end at or before it. An edit that reaches into the span
-    from either side, or lies in it, makes it ``needs_reanchor``.
+    from either side, or lies in it, makes it ``needs_reanchor``. Spans and edits are sorted together, so
+    no span meets each edit of its text: shifts are running sums, and a span is touched if an edit that
+    starts before its end ends after its start.
     """
-    e = edits.select(F.col(key), "edit_start", "edit_end", "delta")
-    pairs = spans.join(e, key, "left")
-    before = F.col("edit_end") <= F.col("span_start")
-    touches = (F.col("edit_start") < F.col("span_end")) & (F.col("edit_end") > F.col("span_start"))
-    rest = [c for c in spans.columns if c not in ("span_start", "span_end")]
-    moved = pairs.groupBy(*rest, "span_start", "span_end").agg(F.coalesce(F.sum(F.when(before, F.col("delta"))), F.lit(0)).alias("_by"), F.coalesce(F.bool_or(touches), F.lit(False)).alias("needs_reanchor"))
-    shift = lambda c: F.when(F.col("needs_reanchor"), F.col(c)).otherwise(F.col(c) + F.col("_by")).alias(c)
-    return moved.select(*rest, shift("span_start"), shift("span_end"), "needs_reanchor")
+    rest = [c for c in spans.columns if c not in (key, "span_start", "span_end")]
+    row = F.struct(*[F.col(c) for c in rest], "span_start", "span_end")
+    kind = spans.select(row.alias("r")).schema["r"].dataType
+    none = F.lit(None).cast(kind)
+    at_start = spans.select(key, F.col("span_start").alias("_at"), F.lit(1).alias("_kind"), F.lit(0).cast("long").alias("_delta"), row.alias("_row"))
+    ends = edits.select(key, F.col("edit_end").alias("_at"), F.lit(0).alias("_kind"), F.col("delta").cast("long").alias("_delta"), none.alias("_row"))
+    w = Window.partitionBy(key).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    moved = at_start.unionByName(ends).withColumn("_by", F.sum("_delta").over(w)).where("_kind = 1").select(key, "_row", "_by")
+    # the greatest end among the edits that start before the span's end
+    starts = edits.select(key, F.col("edit_start").alias("_at"), F.lit(1).alias("_kind"), F.col("edit_end").alias("_end"), none.alias("_row"), F.lit(None).cast("long").alias("_by"))
+    at_end = moved.select(key, F.col("_row.span_end").alias("_at"), F.lit(0).alias("_kind"), F.lit(None).cast(edits.schema["edit_end"].dataType).alias("_end"), "_row", "_by")
+    both = starts.unionByName(at_end).withColumn("_reach", F.max("_end").over(w)).where("_kind = 0")
+    told = both.withColumn("needs_reanchor", F.coalesce(F.col("_reach") > F.col("_row.span_start"), F.lit(False)))
+    shift = lambda c: F.when(F.col("needs_reanchor"), F.col(f"_row.{c}")).otherwise(F.col(f"_row.{c}") + F.col("_by")).alias(c)
+    return told.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest], shift("span_start"), shift("span_end"), "needs_reanchor")
 
 
 def fill_only_null(rows: DataFrame, derived: DataFrame, keys: list[str], column: str) -> DataFrame:

@@ -134,14 +134,24 @@ def diarization_error(s: Store) -> DataFrame:
     return metrics.diarization_error(s.diarization, s.reference_segments, _WIDTH)
 
 
-@query("""
-SELECT w.id, w.media_id, t.speaker AS turn_speaker, t.turn_id FROM s_words w LEFT JOIN LATERAL (
-  SELECT d.speaker, d.id AS turn_id FROM s_diarization d WHERE d.media_id = w.media_id AND d.start_ms <= (w.start_ms + w.end_ms) // 2 ORDER BY d.start_ms DESC, d.id DESC LIMIT 1) t ON true""")
+_INTERJECTIONS = "SELECT id, id * 10 AS interjection, start_ms + (end_ms - start_ms) // 4 AS start_ms, start_ms + (end_ms - start_ms) // 2 AS end_ms FROM s_diarization WHERE id % 3 = 0"
+
+
+@query(f"""
+WITH w AS (SELECT id, media_id, (start_ms + end_ms) / 2 AS mid FROM s_words),
+     t AS (SELECT id AS turn, media_id, start_ms, end_ms, row_number() OVER (PARTITION BY media_id ORDER BY start_ms, id) AS n FROM s_diarization),
+     i AS (SELECT w.id, w.media_id, w.mid, max(t.n) AS n FROM w LEFT JOIN t ON t.media_id = w.media_id AND t.start_ms <= w.mid GROUP BY ALL),
+     d AS (SELECT i.*, a.turn AS ta, b.turn AS tb, coalesce(i.mid <= a.end_ms, false) AS inside, least(abs(i.mid - a.start_ms), abs(i.mid - a.end_ms)) AS da, least(abs(i.mid - b.start_ms), abs(i.mid - b.end_ms)) AS db
+           FROM i LEFT JOIN t a ON a.media_id = i.media_id AND a.n = i.n LEFT JOIN t b ON b.media_id = i.media_id AND b.n = coalesce(i.n, 0) + 1),
+     r AS (SELECT id, media_id, mid, CASE WHEN inside THEN ta WHEN coalesce(da, 1e18) <= coalesce(db, 1e18) AND da <= 2000 THEN ta WHEN coalesce(db, 1e18) < coalesce(da, 1e18) AND db <= 2000 THEN tb END AS turn, CASE WHEN inside THEN 'inside' WHEN least(da, db) <= 2000 THEN 'nearest' END AS basis FROM d)
+SELECT r.id, r.media_id, r.turn, j.interjection, r.basis FROM r LEFT JOIN ({_INTERJECTIONS}) j ON j.id = r.turn AND r.basis = 'inside' AND r.mid BETWEEN j.start_ms AND j.end_ms""")
 def word_to_turn(s: Store) -> DataFrame:
-    """Each word with the turn that starts last at or before its middle."""
-    words = s.words.select("id", "media_id", F.floor((F.col("start_ms") + F.col("end_ms")) / 2).alias("mid"))
-    turns = s.diarization.select("media_id", "start_ms", F.col("id").alias("turn_id"), F.col("speaker").alias("turn_speaker"))
-    return intervals.last_start(words, turns, ["media_id"], "mid", "start_ms", ["turn_speaker", "turn_id"], "turn_id").select("id", "media_id", "turn_speaker", "turn_id")
+    """Each word, by its middle, with its turn, the interjection that has it, or the turn whose edge is nearest, two seconds away at most."""
+    words = s.words.select("id", "media_id", ((F.col("start_ms") + F.col("end_ms")) / 2).alias("mid"))
+    span = F.col("end_ms") - F.col("start_ms")
+    cut = s.diarization.where("id % 3 = 0").select(F.col("id"), (F.col("id") * 10).alias("interjection"), (F.col("start_ms") + F.floor(span / 4)).alias("start_ms"), (F.col("start_ms") + F.floor(span / 2)).alias("end_ms"))
+    turns = s.diarization.select(F.col("id").alias("turn_id"), "media_id", "start_ms", "end_ms")
+    return intervals.assign_points(words, turns, ["media_id"], "mid", "turn_id", 2000, cut.withColumnRenamed("id", "turn_id")).select("id", "media_id", "turn", "interjection", "basis")
 
 
 @query("""

@@ -46,11 +46,11 @@ def v_argument_propagation(s: Store) -> DataFrame:
 
 
 @query("""
-SELECT ae.id AS asserted_event_id, ae.subject_id, ae.canonical_description, ae.occurred_start,
+SELECT ae.id AS asserted_event_id, ae.subject_id, ae.canonical_description, ae.event_class, ae.occurred_start, ae.occurred_end, ae.occurred_precision,
        count(*) FILTER (WHERE ea.attestation_type IN ('primary_record', 'firsthand', 'secondhand')) AS independent_attestations,
        count(DISTINCT c.source_type) AS distinct_source_types, count(*) AS total_attestations, count(DISTINCT ea.stated_start) > 1 AS dates_disagree
 FROM s_asserted_events ae JOIN s_event_attestations ea ON ea.asserted_event_id = ae.id JOIN s_claims c ON c.id = ea.claim_id
-GROUP BY ae.id, ae.subject_id, ae.canonical_description, ae.occurred_start""")
+GROUP BY ALL""")
 def v_timeline(s: Store) -> DataFrame:
     """Events by independent attestations: boilerplate counts in the total only."""
     independent = F.col("attestation_type").isin("primary_record", "firsthand", "secondhand")
@@ -97,7 +97,7 @@ def v_dark_matter_record(s: Store) -> DataFrame:
 
 @query(f"""
 SELECT cc.id, cc.condition_text, cc.condition_origin, cc.target_date, c.subject_id, s.name AS subject_name, c.asserted_start AS stated_on,
-       DATE '{AS_OF}' - cc.target_date AS days_past_target
+       DATE '{AS_OF}' - cc.target_date AS days_past_target, cc.verbatim
 FROM s_claim_conditions cc JOIN s_claims c ON c.id = cc.claim_id LEFT JOIN s_subjects s ON s.id = c.subject_id WHERE cc.is_met <> 'true'""")
 def v_unmet_conditions(s: Store) -> DataFrame:
     """Conditions not met; unknown (null) ones are not among them, days keep their sign."""
@@ -105,7 +105,7 @@ def v_unmet_conditions(s: Store) -> DataFrame:
     names = s.subjects.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
     rows = s.claim_conditions.where("is_met <> 'true'").join(c, "claim_id").join(names, "subject_id", "left")
     days = F.datediff(F.lit(AS_OF).cast("date"), "target_date").cast("long").alias("days_past_target")
-    return rows.select("id", "condition_text", "condition_origin", "target_date", "subject_id", "subject_name", "stated_on", days).orderBy(F.asc_nulls_last("target_date"))
+    return rows.select("id", "condition_text", "condition_origin", "target_date", "subject_id", "subject_name", "stated_on", days, "verbatim").orderBy(F.asc_nulls_last("target_date"))
 
 
 @query(f"""
@@ -117,14 +117,14 @@ def v_open_commitments(s: Store) -> DataFrame:
 
 
 @query("""
-SELECT fr.id, s.name AS subject_name, fr.amount_low, fr.funding_source, fr.award_status, fr.status_as_of
+SELECT fr.id, s.name AS subject_name, fr.amount_low, fr.amount_high, fr.funding_source, fr.award_status, fr.status_as_of, fr.status_change_reason, fr.verbatim
 FROM s_fiscal_references fr LEFT JOIN s_subjects s ON s.id = fr.subject_id
 WHERE fr.award_status IN ('on_hold', 'terminated', 'rescinded', 'disputed', 'withdrawn')""")
 def v_reversed_funding(s: Store) -> DataFrame:
     """Funding that was awarded and then reversed, latest first."""
     reversed_ = s.fiscal_references.where(F.col("award_status").isin("on_hold", "terminated", "rescinded", "disputed", "withdrawn"))
     names = s.subjects.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
-    return reversed_.join(names, "subject_id", "left").select("id", "subject_name", "amount_low", "funding_source", "award_status", "status_as_of").orderBy(F.desc_nulls_last("status_as_of"))
+    return reversed_.join(names, "subject_id", "left").select("id", "subject_name", "amount_low", "amount_high", "funding_source", "award_status", "status_as_of", "status_change_reason", "verbatim").orderBy(F.desc_nulls_last("status_as_of"))
 
 
 @query("""
@@ -212,7 +212,7 @@ def best_document(s: Store) -> DataFrame:
 
 
 @query("""
-SELECT DISTINCT ON (m.event_id) m.event_id, e.event_date, b.name AS body_name, m.id AS media_asset_id, m.external_id, m.duration_seconds, m.date_verification,
+SELECT DISTINCT ON (m.event_id) m.event_id, e.event_date, b.name AS body_name, m.id AS media_asset_id, m.host, m.external_id, m.url, m.duration_seconds, m.host_title, m.host_upload_date, m.title_stated_date, m.date_verification, m.discovered_via, m.asr_model, m.asr_completed_at,
        count(*) OVER (PARTITION BY m.event_id) - 1 AS others
 FROM s_media_assets m JOIN s_events e ON e.id = m.event_id JOIN s_bodies b ON b.id = e.body_id ORDER BY m.event_id, m.duration_seconds DESC NULLS LAST, m.id""")
 def v_meeting_recordings(s: Store) -> DataFrame:
@@ -221,7 +221,8 @@ def v_meeting_recordings(s: Store) -> DataFrame:
     ranked = s.media_assets.withColumn("others", F.count("*").over(w) - 1).withColumn("rank", F.row_number().over(w.orderBy(F.desc_nulls_last("duration_seconds"), "id")))
     longest = ranked.where("rank = 1").join(s.events.select(F.col("id").alias("event_id"), "event_date", "body_id"), "event_id")
     named = longest.join(F.broadcast(s.bodies.select(F.col("id").alias("body_id"), F.col("name").alias("body_name"))), "body_id")
-    return named.select("event_id", "event_date", "body_name", F.col("id").alias("media_asset_id"), "external_id", "duration_seconds", "date_verification", "others")
+    host = ["host", "external_id", "url", "duration_seconds", "host_title", "host_upload_date", "title_stated_date", "date_verification", "discovered_via", "asr_model", "asr_completed_at"]
+    return named.select("event_id", "event_date", "body_name", F.col("id").alias("media_asset_id"), *host, "others")
 
 
 @query("SELECT coalesce(direction, 'unknown') AS direction, count(*) AS refs, cast(sum(amount_low) AS bigint) AS total_low, min(amount_low) AS smallest, max(amount_low) AS largest FROM s_fiscal_references GROUP BY 1")

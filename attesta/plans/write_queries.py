@@ -98,12 +98,23 @@ def privacy_gate(s: Store) -> DataFrame:
     return writes.private_voiceprints(s.person_voiceprints, s.persons).groupBy("person_id").agg(F.count("*").alias("refused"))
 
 
-@query("SELECT id, subject_id IS NOT NULL AND evidence_grade = 'A' AS publishable FROM s_claims")
+_REFUSED = "SELECT id FROM s_claims WHERE subject_id IS NULL OR curation_state <> 'confirmed'"
+
+
+@query(f"SELECT claim_id, page_id FROM s_page_manifests WHERE claim_id IN ({_REFUSED})")
 def publication_gate(s: Store) -> DataFrame:
-    return s.claims.select("id", (F.col("subject_id").isNotNull() & (F.col("evidence_grade") == "A")).alias("publishable"))
+    """Manifest rows that the gate would refuse."""
+    return writes.refused_manifests(s.page_manifests, s.claims)
+
+
+@query(f"SELECT claim_id, page_id FROM s_page_manifests WHERE claim_id NOT IN ({_REFUSED})")
+def published_manifests(s: Store) -> DataFrame:
+    """Manifests after inserting, under the gate, those rows that it lets pass."""
+    bad = writes.refused_manifests(s.page_manifests, s.claims).select("claim_id").distinct()
+    return writes.insert_manifests(s.page_manifests.where("false"), s.page_manifests.join(bad, "claim_id", "left_anti"), s.claims)
 
 
-_SPANS = "SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS doc, l_linenumber * 100 AS span_start, l_linenumber * 100 + 40 AS span_end FROM {lineitem}"
+_SPANS = "SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS doc, l_linenumber * 100 AS span_start, l_linenumber * 100 + 40 AS span_end FROM {lineitem}"
 _EDITS = "SELECT l_orderkey AS doc, cast(l_partkey % 700 AS int) AS edit_start, cast(l_partkey % 700 AS int) + 8 AS edit_end, cast(l_suppkey % 11 AS int) - 5 AS delta FROM {lineitem} WHERE l_linenumber <= 2"
 
 

@@ -2,7 +2,9 @@
 
 import random
 
-from attesta.operators import intervals, metrics, sequences
+import pytest
+
+from attesta.operators import intervals, metrics, sequences, writes
 
 
 def recordings(seed, n=120):
@@ -98,3 +100,26 @@ def test_word_error():
     assert metrics.word_error("a b c d", "a x y c") == 3 / 4  # b replaced by two words, d left out
     assert metrics.word_error("um", "x") is None
     assert metrics.word_error("uh yes", "yes") == 0
+
+
+def test_manifest_gate_fails_on_a_refused_row(spark):
+    claims = spark.createDataFrame([(1, 5, "confirmed"), (2, None, "confirmed"), (3, 5, "proposed"), (4, 5, None)], "id long, subject_id long, curation_state string")
+    rows = lambda *ids: spark.createDataFrame([(k, 9) for k in ids], "claim_id long, page_id long")
+    assert sorted(r["claim_id"] for r in writes.refused_manifests(rows(1, 2, 3, 4), claims).collect()) == [2, 3]
+    # rows that stand already are not looked at again; a null state raises nothing
+    assert sorted(r["claim_id"] for r in writes.insert_manifests(rows(2), rows(1, 4), claims).collect()) == [1, 2, 4]
+    for bad in (2, 3):
+        with pytest.raises(Exception, match="curation_state"):
+            writes.insert_manifests(rows(1), rows(bad), claims).collect()
+
+
+def test_words_go_to_turns_interjections_and_near_edges(spark):
+    turns = spark.createDataFrame([(1, "m", 0, 10_000), (2, "m", 14_000, 20_000), (3, "m", 14_000, 16_000)], "turn_id long, media string, start_ms long, end_ms long")
+    cut = spark.createDataFrame([(1, 70, 4_000, 5_000), (1, 71, 4_500, 6_000)], "turn_id long, interjection long, start_ms long, end_ms long")
+    at = {1: 0.0, 2: 4_700.0, 3: 5_500.0, 4: 10_000.0, 5: 11_900.0, 6: 12_000.5, 7: 13_000.0, 8: 15_000.0, 9: 17_000.0, 10: 18_500.0, 11: -1_999.0, 12: -2_001.0, 13: 12_000.0}
+    points = spark.createDataFrame([(k, "m", v) for k, v in at.items()] + [(99, "other", 1.0)], "id long, media string, mid double")
+    got = {r["id"]: (r["turn"], r["interjection"], r["basis"]) for r in intervals.assign_points(points, turns, ["media"], "mid", "turn_id", 2000, cut).collect()}
+    assert got == {
+        1: (1, None, "inside"), 2: (1, 70, "inside"), 3: (1, 71, "inside"), 4: (1, None, "inside"), 5: (1, None, "nearest"), 6: (2, None, "nearest"), 7: (2, None, "nearest"),
+        8: (3, None, "inside"), 9: (3, None, "nearest"), 10: (None, None, None), 11: (1, None, "nearest"), 12: (None, None, None), 13: (1, None, "nearest"), 99: (None, None, None),
+    }

@@ -151,8 +151,11 @@ def split_unit(raw: Column) -> Column:
     return F.struct(dimension.alias("dimension"), basis.alias("basis"))
 
 
-def topic_counts(text: Column) -> dict[str, Column]:
-    return {name: F.regexp_count(text, F.lit(pattern if cased else f"(?i){pattern}")) for name, pattern, cased in TOPICS}
+def topic_counts(text: Column) -> Column:
+    """Mentions of each topic, in the order of TOPICS; one alternation goes first, so that texts without any skip the rest."""
+    each = lambda pattern, cased: pattern if cased else f"(?i:{pattern})"
+    counts = F.array(*[F.regexp_count(text, F.lit(each(p, c))).cast("long") for _, p, c in TOPICS])
+    return F.when(text.rlike("|".join(each(p, c) for _, p, c in TOPICS)), counts).otherwise(F.array_repeat(F.lit(0).cast("long"), len(TOPICS)))
 
 
 def section_tier(text: Column, has_items: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from attesta.functions.text import LEAD_VERBS, STOP
+from attesta.functions.text import singular as fold_plural
 
 # Characters that are one for anchoring.
 FOLD = {0x2018: "'", 0x2019: "'", 0x201C: '"', 0x201D: '"', 0x2013: "-", 0x2014: "-", 0x2212: "-", 0xA0: " ", 0xAD: None}
@@ -88,18 +89,17 @@ def window_mentions(texts: DataFrame, names: DataFrame, key: str = "claim_id", b
 
     Texts and names meet on the name's least term only, so a text is held against names it may contain.
     """
-    listed = F.udf(lambda n: sorted(terms(n or "")), T.ArrayType(T.StringType()))
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def stems(c: pd.Series) -> pd.Series:
-        return c.map(lambda t: sorted({singular(w) for w in re.findall(r"[a-z0-9']+", (t or "").lower())}))
+    split = lambda c, pattern: F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(pattern), F.lit(0))
+    telling = F.filter(split(F.col("name"), "[a-z0-9]+"), lambda w: ~w.isin(*STOP, *LEAD_VERBS) & ~w.rlike("^[0-9]+$"))
+    listed = F.array_sort(F.array_distinct(F.transform(telling, fold_plural)))
+    stems = F.array_distinct(F.transform(split(F.col(body), "[a-z0-9']+"), fold_plural))
 
     @F.pandas_udf(SPAN)
     def found(text: pd.Series, wanted: pd.Series) -> pd.DataFrame:
         rows = [windows(t, frozenset(w)) or (None, None) for t, w in zip(text, wanted)]
         return pd.DataFrame(rows, columns=["span_start", "span_end"]).astype("Int32")
 
-    named = names.select("subject_id", listed("name").alias("terms")).where(F.size("terms") >= 2).withColumn("t", F.col("terms")[0])
-    asked = texts.select(key, body, F.explode(stems(body)).alias("t"))
+    named = names.select("subject_id", listed.alias("terms")).where(F.size("terms") >= 2).withColumn("t", F.col("terms")[0])
+    asked = texts.select(key, body, F.explode(stems).alias("t"))
     met = asked.join(named, "t").withColumn("s", found(body, "terms"))
     return met.where("s.span_start is not null").select(key, "subject_id", "s.*")

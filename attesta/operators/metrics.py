@@ -5,14 +5,13 @@ from __future__ import annotations
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from attesta.operators.intervals import overlap_join
-
 #: Words that transcripts may leave out; fixed values.
 FILLER = frozenset("uh um mm hmm mhm ah er".split())
 #: Seconds a reviewer spends on each kind of fix; fixed values.
@@ -45,36 +44,65 @@ def greedy_map(overlaps: DataFrame, key: str = "media_id") -> DataFrame:
     return pairs.groupBy(key).applyInPandas(pick, f"{key} {kind}, speaker string, r_speaker string, ms long")
 
 
-def _covering(atoms: DataFrame, segments: DataFrame, key: str, width: int, name: str) -> DataFrame:
-    """Each stretch with the speaker of the covering segment that comes first by start, then id."""
-    pairs = overlap_join(atoms, segments, [key], width)
-    return pairs.groupBy(key, "start_ms", "end_ms").agg(F.min_by("r_speaker", F.struct("r_start_ms", "r_id")).alias(name))
+def _painted(edges: np.ndarray, segments: pd.DataFrame) -> np.ndarray:
+    """The speaker number of each stretch between edges: that of the covering segment that comes first by start, then id; -1 for none."""
+    out = np.full(max(0, len(edges) - 1), -1)
+    ordered = segments.sort_values(["start_ms", "id"])
+    first, last = np.searchsorted(edges, ordered["start_ms"]), np.searchsorted(edges, ordered["end_ms"])
+    for a, b, code in zip(first[::-1].tolist(), last[::-1].tolist(), ordered["code"].to_numpy()[::-1].tolist()):
+        out[a:b] = code  # earlier segments are painted later
+    return out
 
 
-def diarization_error(found: DataFrame, reference: DataFrame, width: int, collar_ms: int = 250, key: str = "media_id") -> DataFrame:
+def _error(found: pd.DataFrame, reference: pd.DataFrame, collar_ms: int) -> tuple[int, int, int, int] | None:
+    """(total, confused, missed, false) milliseconds of a recording by one sweep over its edges."""
+    if reference.empty:
+        return None
+    bounds = np.unique(reference[["start_ms", "end_ms"]].to_numpy().ravel())
+    edges = np.unique(np.concatenate([bounds, bounds - collar_ms, bounds + collar_ms, found[["start_ms", "end_ms"]].to_numpy().ravel()]))
+    edges = edges[(edges >= bounds[0]) & (edges <= bounds[-1])]
+    clip = lambda df: df.assign(start_ms=df["start_ms"].clip(bounds[0], bounds[-1]), end_ms=df["end_ms"].clip(bounds[0], bounds[-1]), first=df["start_ms"])
+    people, heard = pd.factorize(reference["speaker"])[0], pd.factorize(found["speaker"])[0]
+    truth = _painted(edges, reference.assign(code=people))
+    # segments keep their own start for precedence; what begins before the first edge is cut there
+    sound = _painted(edges, clip(found.assign(code=heard)).sort_values(["first", "id"]).assign(id=range(len(found))))
+    low, high = np.searchsorted(edges, bounds - collar_ms), np.searchsorted(edges, bounds + collar_ms)
+    delta = np.zeros(len(edges) + 1, int)
+    np.add.at(delta, low, 1)
+    np.add.at(delta, high, -1)
+    near = np.cumsum(delta)[: len(edges) - 1]
+    ms = np.where(near > 0, 0, np.diff(edges))
+    shared: dict[tuple[int, int], int] = {}
+    for a, b, k in zip(found["start_ms"].tolist(), found["end_ms"].tolist(), heard.tolist()):
+        both = np.minimum(reference["end_ms"].to_numpy(), b) - np.maximum(reference["start_ms"].to_numpy(), a)
+        for who in np.flatnonzero(both > 0).tolist():
+            shared[k, int(people[who])] = shared.get((k, int(people[who])), 0) + int(both[who])
+    names, persons = found["speaker"].unique().tolist(), reference["speaker"].unique().tolist()
+    mapped: dict[int, int] = {}
+    for (k, who), _ in sorted(shared.items(), key=lambda x: (-x[1], names[x[0][0]], persons[x[0][1]])):
+        if k not in mapped and who not in mapped.values():
+            mapped[k] = who
+    said = np.array([mapped.get(k, -2) for k in range(len(names))] + [-2])[sound]
+    speech, hears = truth >= 0, sound >= 0
+    return int(ms[speech].sum()), int(ms[speech & hears & (said != truth)].sum()), int(ms[speech & ~hears].sum()), int(ms[~speech & hears].sum())
+
+
+def diarization_error(found: DataFrame, reference: DataFrame, collar_ms: int = 250, key: str = "media_id") -> DataFrame:
     """DER by recording: time confused, missed and falsely heard over the reference speech, outside the collars.
 
     All edges and collar edges cut the line into stretches inside which nothing changes, so totals are
-    exact rather than sampled on a grid.
+    exact rather than sampled on a grid. One shuffle brings both sides of a recording together; its few
+    thousand segments are swept there. Recordings without reference are left out.
     """
-    bounds = reference.select(key, F.explode(F.array("start_ms", "end_ms")).alias("at")).distinct()
-    inner = reference.groupBy(key).agg(F.min("start_ms").alias("lo"), F.max("end_ms").alias("hi"))
-    edges = bounds.select(key, F.explode(F.array("at", F.col("at") - collar_ms, F.col("at") + collar_ms)).alias("at")).union(found.select(key, F.explode(F.array("start_ms", "end_ms")))).distinct()
-    w = Window.partitionBy(key).orderBy("at")
-    atoms = edges.select(key, F.col("at").alias("start_ms"), F.lead("at").over(w).alias("end_ms")).where("end_ms > start_ms")
-    atoms = atoms.join(inner, key).where("start_ms >= lo and end_ms <= hi").select(key, "start_ms", "end_ms")
-    collars = bounds.select(key, (F.col("at") - collar_ms).alias("start_ms"), (F.col("at") + collar_ms).alias("end_ms"))
-    near = overlap_join(atoms, collars, [key], width).select(key, "start_ms", "end_ms").distinct()
-    scored = atoms.join(near, [key, "start_ms", "end_ms"], "left_anti")
-    truth = _covering(scored, reference, key, width, "truth")
-    heard = _covering(scored, found, key, width, "heard")
-    mapping = greedy_map(overlap_join(found, reference, [key], width), key).select(key, F.col("speaker").alias("heard"), F.col("r_speaker").alias("named"))
-    rows = scored.join(truth, [key, "start_ms", "end_ms"], "left").join(heard, [key, "start_ms", "end_ms"], "left").join(mapping, [key, "heard"], "left")
-    ms = F.col("end_ms") - F.col("start_ms")
-    speech, sound = F.col("truth").isNotNull(), F.col("heard").isNotNull()
-    time = lambda cond: F.coalesce(F.sum(F.when(cond, ms)), F.lit(0))
-    totals = rows.groupBy(key).agg(time(speech).alias("total_ms"), time(speech & sound & ~F.col("named").eqNullSafe(F.col("truth"))).alias("confused_ms"), time(speech & ~sound).alias("missed_ms"), time(~speech & sound).alias("false_ms"))
-    return totals.withColumn("der", F.when(F.col("total_ms") > 0, (F.col("confused_ms") + F.col("missed_ms") + F.col("false_ms")) / F.col("total_ms")))
+    kind = dict(reference.dtypes)[key]
+
+    def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        got = _error(mine, theirs, collar_ms)
+        rows = [] if got is None else [(theirs[key].iloc[0], *got, sum(got[1:]) / got[0] if got[0] else None)]
+        return pd.DataFrame(rows, columns=[key, "total_ms", "confused_ms", "missed_ms", "false_ms", "der"])
+
+    sides = [df.select(key, "id", "speaker", "start_ms", "end_ms").where("end_ms > start_ms").groupBy(key) for df in (found, reference)]
+    return sides[0].cogroup(sides[1]).applyInPandas(run, f"{key} {kind}, total_ms long, confused_ms long, missed_ms long, false_ms long, der double")
 
 
 def spearman(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.plans.registry import query
@@ -149,18 +149,23 @@ def tour_lineage(s: Store) -> DataFrame:
 
 
 @query("""
-WITH RECURSIVE up(successor, ancestor, depth) AS (
-  SELECT successor_body_id, predecessor_body_id, 1 FROM s_body_lineage
-  UNION ALL SELECT up.successor, l.predecessor_body_id, up.depth + 1 FROM up JOIN s_body_lineage l ON l.successor_body_id = up.ancestor)
-SELECT * FROM up""")
+WITH RECURSIVE up(successor, ancestor, depth, path) AS (
+  SELECT successor_body_id, predecessor_body_id, 1, [successor_body_id, predecessor_body_id] FROM s_body_lineage
+  UNION ALL SELECT up.successor, l.predecessor_body_id, up.depth + 1, list_append(up.path, l.predecessor_body_id) FROM up JOIN s_body_lineage l ON l.successor_body_id = up.ancestor WHERE NOT list_contains(up.path, l.predecessor_body_id))
+SELECT successor, ancestor, min(depth) AS depth FROM up GROUP BY successor, ancestor""")
 def lineage_closure(s: Store) -> DataFrame:
-    """All ancestors of each body. Edges number as bodies do, and depth is bounded by the recursion limit."""
-    return s.spark.sql(
-        """WITH RECURSIVE up(successor, ancestor, depth) AS (
-             SELECT successor_body_id, predecessor_body_id, 1 FROM {edges}
-             UNION ALL SELECT up.successor, l.predecessor_body_id, up.depth + 1 FROM up JOIN {edges} l ON l.successor_body_id = up.ancestor)
-           SELECT * FROM up""",
-        edges=s.body_lineage,
+    """All ancestors of each body with their least distance. Edges number as bodies do; a path never visits a body twice, so loops end."""
+    return lineage(s.spark, s.body_lineage)
+
+
+def lineage(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """(successor, ancestor, depth) over edges (successor_body_id, predecessor_body_id)."""
+    return spark.sql(
+        """WITH RECURSIVE up(successor, ancestor, depth, path) AS (
+             SELECT successor_body_id, predecessor_body_id, 1, array(successor_body_id, predecessor_body_id) FROM {edges}
+             UNION ALL SELECT up.successor, l.predecessor_body_id, up.depth + 1, array_append(up.path, l.predecessor_body_id) FROM up JOIN {edges} l ON l.successor_body_id = up.ancestor WHERE NOT array_contains(up.path, l.predecessor_body_id))
+           SELECT successor, ancestor, min(depth) AS depth FROM up GROUP BY successor, ancestor""",
+        edges=edges,
     )
 
 

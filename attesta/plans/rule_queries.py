@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from attesta.functions import rules, text
 from attesta.operators.intervals import band_join
@@ -105,17 +106,35 @@ def split_unit(s: Store) -> DataFrame:
 _TOPICAL = "SELECT id, concat(verbatim, CASE id % 6 WHEN 0 THEN ' Bryant geo-thermal heat pumps' WHEN 1 THEN ' SEU and seu, DTE' WHEN 2 THEN ' electrify the neighbourhood-scale franchise, A2 Zero' WHEN 3 THEN ' geothermal geothermal Bryant bryant' ELSE '' END) AS text FROM {claims}"
 
 
-@query(f"""
+_SCAN = f"""
 SELECT id, {' + '.join(f"cast(len(regexp_extract_all(text, '{p if c else '(?i)' + p}')) > 0 AS int)" for _, p, c in rules.TOPICS)} AS breadth,
        {' + '.join(f"len(regexp_extract_all(text, '{p if c else '(?i)' + p}'))" for _, p, c in rules.TOPICS)} AS mentions,
        greatest(len(regexp_extract_all(text, '\\S+')), 1) AS words
-FROM ({_TOPICAL.replace('{claims}', 's_claims')})""")
+FROM ({_TOPICAL.replace('{claims}', 's_claims')})"""
+
+
+@query(f"SELECT *, round(1000.0 * mentions / words, 2) AS density FROM ({_SCAN})")
 def topic_scan(s: Store) -> DataFrame:
-    """Topics by pattern: how many occur, how often, in how many words."""
+    """Topics by pattern: how many occur, how often, in how many words, and per thousand words."""
     rows = s.spark.sql(_TOPICAL, claims=s.claims)
-    # the counts are an array of their own, so that each pattern runs once
-    counted = rows.select("id", F.array(*[c.cast("long") for c in rules.topic_counts(F.col("text")).values()]).alias("c"), F.greatest(F.regexp_count("text", F.lit(r"\S+")).cast("long"), F.lit(1)).alias("words"))
-    return counted.select("id", F.size(F.filter("c", lambda n: n > 0)).cast("long").alias("breadth"), F.aggregate("c", F.lit(0).cast("long"), lambda a, n: a + n).alias("mentions"), "words")
+    counted = rows.select("id", rules.topic_counts(F.col("text")).alias("c"), F.greatest(F.regexp_count("text", F.lit(r"\S+")).cast("long"), F.lit(1)).alias("words"))
+    scored = counted.select("id", F.size(F.filter("c", lambda n: n > 0)).cast("long").alias("breadth"), F.aggregate("c", F.lit(0).cast("long"), lambda a, n: a + n).alias("mentions"), "words")
+    return scored.withColumn("density", F.round(1000.0 * F.col("mentions") / F.col("words"), 2))
+
+
+@query(f"""
+SELECT c.document_id, max(breadth) AS breadth, cast(sum(mentions) AS bigint) AS mentions, round(1000.0 * sum(mentions) / sum(words), 2) AS density, rank() OVER (ORDER BY max(breadth) DESC, 1000.0 * sum(mentions) / sum(words) DESC, c.document_id) AS place
+FROM (SELECT id, any_value(document_id) AS document_id FROM s_claims GROUP BY id) c JOIN (SELECT id, max(breadth) AS breadth, max(mentions) AS mentions, min(words) AS words FROM ({_SCAN}) GROUP BY id) t ON t.id = c.id WHERE document_id IS NOT NULL GROUP BY c.document_id ORDER BY place LIMIT 50""")
+def topic_ranking(s: Store) -> DataFrame:
+    """The fifty documents whose claims touch most topics, then most densely."""
+    owners = s.claims.groupBy("id").agg(F.min("document_id").alias("document_id")).where("document_id is not null")
+    scanned = topic_scan(s).groupBy("id").agg(F.max("breadth").alias("breadth"), F.max("mentions").alias("mentions"), F.min("words").alias("words"))
+    per = owners.join(scanned, "id").groupBy("document_id").agg(F.max("breadth").alias("breadth"), F.sum("mentions").alias("mentions"), F.sum("words").alias("words"))
+    exact = 1000.0 * F.col("mentions") / F.col("words")
+    top = per.withColumn("exact", exact).orderBy(F.desc("breadth"), F.desc("exact"), "document_id").limit(50)
+    # fifty rows, so the window's single task is small
+    place = F.row_number().over(Window.orderBy(F.desc("breadth"), F.desc("exact"), "document_id"))
+    return top.select("document_id", "breadth", "mentions", F.round("exact", 2).alias("density"), place.alias("place"))
 
 
 @query(f"""

@@ -131,7 +131,7 @@ def greedy_speaker_map(s: Store) -> DataFrame:
 @query()
 def diarization_error(s: Store) -> DataFrame:
     """Confusion, miss and false alarm by atomic stretches; tested against a time grid."""
-    return metrics.diarization_error(s.diarization, s.reference_segments, _WIDTH)
+    return metrics.diarization_error(s.diarization, s.reference_segments)
 
 
 _INTERJECTIONS = "SELECT id, id * 10 AS interjection, start_ms + (end_ms - start_ms) // 4 AS start_ms, start_ms + (end_ms - start_ms) // 2 AS end_ms FROM s_diarization WHERE id % 3 = 0"

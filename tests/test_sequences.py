@@ -71,7 +71,7 @@ def test_diarization_error_against_grid(spark):
         hyp.append((0, k, r.choice("abc"), at + r.randint(-300, 300), end + r.randint(-300, 300)))
         at = end + r.randint(0, 800)
     schema = "media_id int, id int, speaker string, start_ms long, end_ms long"
-    got = metrics.diarization_error(spark.createDataFrame(hyp, schema), spark.createDataFrame(ref, schema), 1000).first()
+    got = metrics.diarization_error(spark.createDataFrame(hyp, schema), spark.createDataFrame(ref, schema)).first()
     shared = {}
     for h in hyp:
         for x in ref:
@@ -123,3 +123,11 @@ def test_words_go_to_turns_interjections_and_near_edges(spark):
         1: (1, None, "inside"), 2: (1, 70, "inside"), 3: (1, 71, "inside"), 4: (1, None, "inside"), 5: (1, None, "nearest"), 6: (2, None, "nearest"), 7: (2, None, "nearest"),
         8: (3, None, "inside"), 9: (3, None, "nearest"), 10: (None, None, None), 11: (1, None, "nearest"), 12: (None, None, None), 13: (1, None, "nearest"), 99: (None, None, None),
     }
+
+
+def test_lineage_ends_on_loops(spark):
+    from attesta.plans.dashboards import lineage
+
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (5, 5)], "successor_body_id long, predecessor_body_id long")
+    got = {(r["successor"], r["ancestor"]): r["depth"] for r in lineage(spark, edges).collect()}
+    assert got[1, 4] == 3 and got[1, 3] == 2 and got[5, 5] == 1 and (2, 4) in got

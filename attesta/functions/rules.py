@@ -95,6 +95,9 @@ TOPICS = (
     ("franchise", r"\bfranchise", False),
     ("neighborhood scale", r"neighbou?rhood[- ]scale", False),
 )
+#: Flags that demote a section, and the flag that answers one. Fixed values.
+DEMOTING = ("placement_inferred", "has_ocr_blocks", "ocr_conflicts")
+ANSWERED_BY = {"has_ocr_blocks": "ocr_corroborated"}
 #: Section tiers: characters below which prose without items is a label; numbers that make it dense.
 TIER_C_CHARS, TIER_A_NUMBERS = 600, 15
 MONEY, NUMBER = r"\$[\d,]+", r"\b\d[\d,.]*%?"
@@ -165,10 +168,15 @@ def section_tier(text: Column, has_items: Column) -> Column:
     return F.when(short, "C").when(dense, "A").otherwise("B")
 
 
-def machine_verdict(body: Column, stored_hash: Column) -> Column:
-    """clean, unless the text changed, is garbled (two case flips inside a word) or empty."""
+def machine_verdict(body: Column, stored_hash: Column, flags: Column | None = None) -> Column:
+    """clean, unless the text changed, is garbled (two case flips inside a word), bears a demoting flag that nothing answers, or is empty."""
     garbled = F.exists(F.split(body, r"\s+"), lambda w: F.regexp_count(w, F.lit("[a-z][A-Z]")) >= 2)
-    return F.when(F.sha2(body, 256) != stored_hash, "suspect").when(garbled, "suspect").when(F.trim(body) == "", "suspect").otherwise("clean")
+    demoted = F.lit(False)
+    if flags is not None:
+        held = lambda name: F.coalesce(F.array_contains(flags, name), F.lit(False))
+        for flag in DEMOTING:
+            demoted = demoted | (held(flag) & ~(held(ANSWERED_BY[flag]) if flag in ANSWERED_BY else F.lit(False)))
+    return F.when(F.sha2(body, 256) != stored_hash, "suspect").when(garbled, "suspect").when(demoted, "suspect").when(F.trim(body) == "", "suspect").otherwise("clean")
 
 
 def upload_verdict(stated: Column, meeting: Column, upload: Column, before: int = 1, after: int = 21) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from attesta.operators.writes import enforce
 
@@ -102,3 +103,24 @@ def set_flag(flags: Column, name: str, value: Column) -> Column:
     """A JSON object (as text) with one key set; null values take the key away."""
     kept = F.map_filter(F.coalesce(F.from_json(flags, "map<string,string>"), F.create_map().cast("map<string,string>")), lambda k, _: k != name)
     return F.to_json(F.when(value.isNull(), kept).otherwise(F.map_concat(kept, F.create_map(F.lit(name), value.cast("string")))))
+
+
+#: Words of a run that a segment must share with a prompt, and the share of its words that such runs must cover. Fixed values.
+LEAK_RUN, LEAK_COVERAGE = 5, 0.5
+
+
+def prompt_leaks(segments: DataFrame, prompts: DataFrame, key: str = "id", prompt: str = "prompt_id") -> DataFrame:
+    """(key, prompt, coverage): segments (key, text) of whose words at least LEAK_COVERAGE stand in runs of LEAK_RUN that a prompt (prompt, text) holds.
+
+    Only runs meet prompts; what they cover is a union of places, so overlapping runs don't count twice.
+    """
+    words = lambda c: F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9 ]", " "), " +"), lambda w: w != "")
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - LEAK_RUN + 1), lambda k: F.struct(k.alias("at"), F.array_join(F.slice(w, k, F.lit(LEAK_RUN)), " ").alias("run")))
+    split = lambda df, name: df.select(F.col(name), words(F.col("text")).alias("w")).where(F.size("w") >= LEAK_RUN)
+    known = split(prompts, prompt).select(prompt, F.explode(runs(F.col("w"))).alias("r")).select(prompt, "r.run").distinct()
+    said = split(segments, key).select(key, F.size("w").alias("n"), F.explode(runs(F.col("w"))).alias("r")).select(key, "n", "r.*")
+    met = said.join(known, "run").select(key, prompt, "n", "at").distinct()
+    before = F.lag("at").over(Window.partitionBy(key, prompt).orderBy("at"))
+    covered = met.withColumn("new", F.least(F.lit(LEAK_RUN), F.coalesce(F.col("at") - before, F.lit(LEAK_RUN))))
+    told = covered.groupBy(key, prompt, "n").agg((F.sum("new") / F.col("n")).alias("share"))
+    return told.where(F.col("share") >= LEAK_COVERAGE).select(key, prompt, F.round("share", 2).alias("coverage"))

@@ -12,9 +12,18 @@ def shape(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.trim(text)), "[0-9]+", "#")
 
 
-def furniture(lines: DataFrame, key: str = "doc_id", page: str = "page", text: str = "text", pages: int = 3) -> DataFrame:
-    """Lines whose shape stands on at least ``pages`` pages of the document."""
-    shaped = lines.withColumn("_shape", shape(F.col(text)))
+#: Where on a page furniture begins, as a share of its height; a fixed value.
+FURNITURE_BAND = 0.88
+
+
+def furniture(lines: DataFrame, key: str = "doc_id", page: str = "page", text: str = "text", pages: int = 3, band: bool = False) -> DataFrame:
+    """Lines whose shape stands on at least ``pages`` pages of the document.
+
+    With ``band`` only lines from FURNITURE_BAND of the page's height on (top, page_h) count and are
+    returned; lines without a place, or on pages without a height, are none of them.
+    """
+    low = lines.where((F.col("page_h") > 0) & (F.col("top") >= F.col("page_h") * FURNITURE_BAND)) if band else lines
+    shaped = low.withColumn("_shape", shape(F.col(text)))
     often = shaped.groupBy(key, "_shape").agg(F.countDistinct(page).alias("_n")).where(F.col("_n") >= pages).select(key, "_shape")
     return shaped.join(often, [key, "_shape"], "left_semi").drop("_shape")
 

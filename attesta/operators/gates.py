@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Thresholds, figures, and words on which a sentence can't end.
 MIN_TEXT, MIN_NUMERIC, OCR_NOTABLE = 0.60, 0.80, 0.20
@@ -72,6 +73,33 @@ def block_findings(blocks: DataFrame, texts: DataFrame, key: str = "doc_id") ->
     return per.select(key, F.explode(F.array_compact(F.array(*found, ocr))).alias("f")).select(key, "f.*")
 
 
+def page_map_findings(pages: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, finding, severity, blocks) where a page (key, page_no, char_start, char_end) starts before the one before it ends; how many do."""
+    before = F.lag("char_end").over(Window.partitionBy(key).orderBy("page_no"))
+    found = pages.withColumn("_before", before).where(F.col("char_start") < F.col("_before")).groupBy(key).agg(F.count("*").alias("blocks"))
+    return found.select(key, F.lit("page_map").alias("finding"), F.lit("high").alias("severity"), "blocks")
+
+
+def table_findings(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, finding, severity, blocks) where tables were detected (has_cells) but none reached the output."""
+    per = blocks.groupBy(key).agg(F.count_if("has_cells").alias("blocks"), F.count_if(F.col("kind") == "TableItem").alias("_tables")).where("blocks > 0 and _tables = 0")
+    return per.select(key, F.lit("tables_dropped").alias("finding"), F.lit("high").alias("severity"), "blocks")
+
+
+def suppressed_findings(runs: DataFrame, figures: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, finding, severity, blocks): pages with a suppressed region that no extracted figure touches.
+
+    A region without a box is covered by any figure of its page.
+    """
+    box = ["x0", "y0", "x1", "y1"]
+    boxed, bare = runs.where(" and ".join(f"{c} is not null" for c in box)), runs.where(" or ".join(f"{c} is null" for c in box))
+    touching = (F.col("r.x1") >= F.col("f.x0")) & (F.col("f.x1") >= F.col("r.x0")) & (F.col("r.y1") >= F.col("f.y0")) & (F.col("f.y1") >= F.col("r.y0"))
+    same = (F.col(f"r.{key}") == F.col(f"f.{key}")) & (F.col("r.page_no") == F.col("f.page_no"))
+    open_ = boxed.alias("r").join(figures.alias("f"), same & touching, "left_anti").select(key, "page_no").unionByName(bare.alias("r").join(figures.alias("f"), same, "left_anti").select(key, "page_no"))
+    holes = open_.distinct().groupBy(key).agg(F.count("*").alias("blocks"))
+    return holes.select(key, F.lit("unread_suppressed").alias("finding"), F.lit("high").alias("severity"), "blocks")
+
+
 def verdict(docs: DataFrame, findings: DataFrame, key: str = "doc_id") -> DataFrame:
     """refuse for a high finding, review for any, else pass."""
     worst = findings.groupBy(key).agg(F.bool_or(F.col("severity") == "high").alias("_high"))

@@ -101,6 +101,16 @@ def best_iou(left: DataFrame, right: DataFrame, keys: list[str], width: int, lef
     return scored.groupBy(left_id).agg(F.max_by(F.struct(F.col(f"r_{right_id}").alias(right_id), "iou"), F.struct("iou", -F.col(f"r_{right_id}"))).alias("_m")).select(left_id, "_m.*")
 
 
+def reanchor(corrections: DataFrame, turns: DataFrame, keys: list[str], width: int, exact: str, least: float = 0.5) -> DataFrame:
+    """``corrections`` (id, keys, ``exact``, start_ms, end_ms) with turn (its id), iou and state: ``exact`` where a turn has the same key, else ``reanchored`` to the turn of the best overlap, else ``lost``."""
+    named = turns.groupBy(*keys, exact).agg(F.min("id").alias("turn"))
+    known = corrections.join(named, [*keys, exact], "left")
+    open_ = known.where("turn is null").drop("turn")
+    best = best_iou(open_, turns.withColumnRenamed("id", "turn").select(*keys, "turn", "start_ms", "end_ms"), keys, width, "id", "turn", least)
+    told = open_.join(best, "id", "left").select(*corrections.columns, "turn", "iou", F.when(F.col("turn").isNull(), "lost").otherwise("reanchored").alias("state"))
+    return known.where("turn is not null").select(*corrections.columns, "turn", F.lit(None).cast("double").alias("iou"), F.lit("exact").alias("state")).unionByName(told)
+
+
 def boxes_overlap(a: str = "", b: str = "r_") -> Column:
     return (F.least(f"{a}x1", f"{b}x1") > F.greatest(f"{a}x0", f"{b}x0")) & (F.least(f"{a}y1", f"{b}y1") > F.greatest(f"{a}y0", f"{b}y0"))
 

@@ -58,6 +58,20 @@ def prompt_leaks(s: Store) -> DataFrame:
     return grams.join(runs, "g", "left_semi").select("doc_id").distinct()
 
 
+@query("""
+WITH seg AS (SELECT item_id AS id, concat(translate(text, 'aeo', 'AEO'), repeat(' filler words here', cast(item_id % 40 AS int))) AS text FROM benchmark),
+     n AS (SELECT id, list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9 ]', ' ', 'g'), ' +'), lambda x: x <> '') AS w FROM seg), p AS (SELECT item_id AS prompt_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9 ]', ' ', 'g'), ' +'), lambda x: x <> '') AS w FROM benchmark),
+     pg AS (SELECT DISTINCT prompt_id, unnest(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM p WHERE len(w) >= 5),
+     sg AS (SELECT id, len(w) AS n, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM n WHERE len(w) >= 5)),
+     c AS (SELECT id, prompt_id, n, count(DISTINCT q) AS covered FROM (SELECT sg.id, pg.prompt_id, n, unnest(generate_series(i, i + 4)) AS q FROM sg JOIN pg ON pg.g = sg.g) GROUP BY ALL)
+SELECT id, prompt_id, round(covered / n, 2) AS coverage FROM c WHERE covered / n >= 0.5""")
+def prompt_leak_segments(s: Store) -> DataFrame:
+    """Segments that are mostly a prompt: items with other capitals and more and more words of their own."""
+    items = s.raw("benchmark")
+    segments = items.select(F.col("item_id").alias("id"), F.concat(F.translate("text", "aeo", "AEO"), F.repeat(F.lit(" filler words here"), (F.col("item_id") % 40).cast("int"))).alias("text"))
+    return curation.prompt_leaks(segments, items.select(F.col("item_id").alias("prompt_id"), "text"))
+
+
 _TERMS = [("plan", True, False), ("minutes", True, False)]
 _RULINGS = [("doc_type", "memo", "map", "plan"), ("doc_type", "staff_report", "approve", None), ("doc_type", "other", "close", None)]
 

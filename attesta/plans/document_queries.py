@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from attesta.functions.rollcall import roll_call
 from attesta.operators import documents, gates, geometry
@@ -30,11 +31,13 @@ def range_flags(s: Store) -> DataFrame:
 
 
 @query(f"""
-WITH u AS (SELECT doc_id, seq // 3 AS page, regexp_replace(lower(trim(unit)), '[0-9]+', '#', 'g') AS shape FROM ({_UNITS}))
+WITH u AS (SELECT doc_id, seq // 3 AS page, regexp_replace(lower(trim(unit)), '[0-9]+', '#', 'g') AS shape FROM ({_UNITS}) WHERE seq % 3 > 0)
 SELECT doc_id, count(*) AS lines FROM u WHERE (doc_id, shape) IN (SELECT (doc_id, shape) FROM u GROUP BY doc_id, shape HAVING count(DISTINCT page) >= 3) GROUP BY doc_id""")
 def furniture_lines(s: Store) -> DataFrame:
-    pages = units(s).select("doc_id", F.floor(F.col("seq") / 3).alias("page"), F.col("unit").alias("text"))
-    return documents.furniture(pages).groupBy("doc_id").agg(F.count("*").alias("lines"))
+    """Lines of the lowest eighth of pages of three lines, which repeat on three pages at least."""
+    height = F.element_at(F.array(F.lit(10), F.lit(88), F.lit(95)), (F.col("seq") % 3 + 1).cast("int"))
+    pages = units(s).select("doc_id", F.floor(F.col("seq") / 3).alias("page"), F.col("unit").alias("text"), height.alias("top"), F.lit(100).alias("page_h"))
+    return documents.furniture(pages, band=True).groupBy("doc_id").agg(F.count("*").alias("lines"))
 
 
 @query("""
@@ -101,16 +104,46 @@ def gate_verdicts(s: Store) -> DataFrame:
     return gates.verdict(docs, found).join(counts, "doc_id", "left").fillna(0, ["findings"])
 
 
+_BLOCKS = f"""
+  u AS (SELECT doc_id, unit, seq, cast(coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bigint) AS a FROM ({_UNITS})),
+  b AS (SELECT u.doc_id, trim(unit) AS t, coalesce(substring(d.text, cast(a + CASE WHEN u.doc_id % 5 = 0 AND seq = 0 THEN 2 ELSE 1 END AS bigint), length(unit)), '') <> unit AS off, seq % 4 = 0 AND u.doc_id % 3 = 0 AS ocr FROM u JOIN documents d ON d.doc_id = u.doc_id)"""
+
+
 @query(f"""
-WITH b AS (SELECT doc_id, trim(unit) AS t FROM ({_UNITS})),
-     f AS (SELECT doc_id, count(*) FILTER (WHERE t <> '' AND right(t, 1) NOT IN ('.', '!', '?', ':', ';', '’', '"', '''', ')') AND NOT regexp_matches(t, '(?i);\\s*(and|or)\\s*$') AND trim(lower(list_last(string_split_regex(t, '\\s+'))), ',') IN ({', '.join(f"'{w}'" for w in gates.DANGLING)})) AS cut FROM b GROUP BY doc_id)
-SELECT doc_id, 'truncation' AS finding, 'medium' AS severity, cut AS blocks FROM f WHERE cut > 0""")
+WITH {_BLOCKS},
+     f AS (SELECT doc_id, count(*) FILTER (WHERE off) AS off, count(*) FILTER (WHERE ocr) AS ocr, count(*) AS n, cast(sum(len(list_filter(string_split_regex(t, '\\s+'), lambda w: len(regexp_extract_all(w, '[a-z][A-Z]')) >= 2))) AS bigint) AS garbled,
+                  count(*) FILTER (WHERE t <> '' AND right(t, 1) NOT IN ('.', '!', '?', ':', ';', '’', '"', chr(39), ')') AND NOT regexp_matches(t, '(?i);\\s*(and|or)\\s*$') AND trim(lower(list_last(string_split_regex(t, '\\s+'))), ',') IN ({', '.join(f"'{w}'" for w in gates.DANGLING)})) AS cut FROM b GROUP BY doc_id)
+SELECT doc_id, 'truncation' AS finding, 'medium' AS severity, cut AS blocks FROM f WHERE cut > 0
+UNION ALL SELECT doc_id, 'span_round_trip', 'high', off FROM f WHERE off > 0 UNION ALL SELECT doc_id, 'garbled_text', 'high', garbled FROM f WHERE garbled > 0 UNION ALL SELECT doc_id, 'ocr_fraction', 'medium', ocr FROM f WHERE ocr / n >= 0.2""")
 def gate_blocks(s: Store) -> DataFrame:
-    """Blocks that stop on a dangling word, slice wrongly or are garbled."""
-    blocks = units(s).select("doc_id", F.lit("TextItem").alias("kind"), F.col("unit").alias("text"), F.lit("native").alias("text_source"), F.lit(None).cast("int").alias("char_start"), F.lit(None).cast("int").alias("char_end"))
+    """Blocks that stop on a dangling word, slice wrongly or are garbled, and documents read by OCR in good part."""
+    w = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.coalesce(F.sum(F.char_length("unit") + 1).over(w), F.lit(0)) + F.when((F.col("doc_id") % 5 == 0) & (F.col("seq") == 0), 1).otherwise(0)
+    source = F.when((F.col("seq") % 4 == 0) & (F.col("doc_id") % 3 == 0), "ocr").otherwise("native")
+    blocks = units(s).select("doc_id", F.lit("TextItem").alias("kind"), F.col("unit").alias("text"), source.alias("text_source"), at.cast("int").alias("char_start")).withColumn("char_end", F.col("char_start") + F.char_length("text"))
     return gates.block_findings(blocks, s.raw("documents").select("doc_id", "text"))
 
 
+@query("""
+WITH p AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, min(l_linenumber * 100 - CASE WHEN l_partkey % 7 = 0 THEN 130 ELSE 0 END) AS a, min(l_linenumber * 100 + 100) AS b FROM lineitem GROUP BY 1, 2),
+     m AS (SELECT doc_id, count(*) AS n FROM (SELECT doc_id, a, lag(b) OVER (PARTITION BY doc_id ORDER BY page_no) AS before FROM p) WHERE a < before GROUP BY 1),
+     t AS (SELECT l_orderkey AS doc_id, count(*) FILTER (WHERE l_suppkey % 4 = 0) AS n, count(*) FILTER (WHERE l_partkey % 3 = 0) AS tables FROM lineitem GROUP BY 1),
+     r AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, CASE WHEN l_suppkey % 5 <> 0 THEN l_partkey % 200 END AS x0, l_suppkey % 90 AS y0 FROM lineitem WHERE l_returnflag = 'R'),
+     f AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, l_partkey % 150 AS x0, l_suppkey % 70 AS y0 FROM lineitem WHERE l_returnflag <> 'A' AND l_partkey % 4 = 0),
+     h AS (SELECT doc_id, count(DISTINCT page_no) AS n FROM r WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.doc_id = r.doc_id AND f.page_no = r.page_no AND (r.x0 IS NULL OR (r.x0 + 40 >= f.x0 AND f.x0 + 40 >= r.x0 AND r.y0 + 40 >= f.y0 AND f.y0 + 40 >= r.y0))) GROUP BY 1)
+SELECT doc_id, 'page_map' AS finding, 'high' AS severity, n AS blocks FROM m UNION ALL SELECT doc_id, 'tables_dropped', 'high', n FROM t WHERE n > 0 AND tables = 0 UNION ALL SELECT doc_id, 'unread_suppressed', 'high', n FROM h""")
+def gate_layout(s: Store) -> DataFrame:
+    """Pages out of order, tables that were lost, and suppressed regions that no figure covers."""
+    line = s.raw("lineitem")
+    doc, n, part, supp = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
+    pages = line.groupBy(doc.alias("doc_id"), n.alias("page_no")).agg(F.min(n * 100 - F.when(part % 7 == 0, 130).otherwise(0)).alias("char_start"), F.min(n * 100 + 100).alias("char_end"))
+    blocks = line.select(doc.alias("doc_id"), (supp % 4 == 0).alias("has_cells"), F.when(part % 3 == 0, "TableItem").otherwise("TextItem").alias("kind"))
+    box = lambda x, y: [x.alias("x0"), y.alias("y0"), (x + 40).alias("x1"), (y + 40).alias("y1")]
+    runs = line.where("l_returnflag = 'R'").select(doc.alias("doc_id"), n.alias("page_no"), *box(F.when(supp % 5 != 0, part % 200), supp % 90))
+    figures = line.where("l_returnflag <> 'A' and l_partkey % 4 = 0").select(doc.alias("doc_id"), n.alias("page_no"), *box(part % 150, supp % 70))
+    return gates.page_map_findings(pages).unionByName(gates.table_findings(blocks)).unionByName(gates.suppressed_findings(runs, figures))
+
+
 _PAGES = """
   p AS (SELECT l_orderkey AS doc_id, cast(l_partkey % 400 AS int) AS words, cast(l_partkey % 400 * 5 AS int) AS chars, cast(l_suppkey % 60 AS int) AS images, cast(l_suppkey % 50 AS int) AS small_images, cast(l_linenumber AS int) AS bullets, cast(l_partkey % 90 AS int) AS content_tokens, cast(l_suppkey % 9 AS int) AS table_rows, cast(l_partkey % 3 AS int) AS money FROM lineitem),
   m AS (SELECT doc_id, median(words) AS median FROM p GROUP BY 1),

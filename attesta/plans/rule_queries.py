@@ -146,14 +146,17 @@ def section_tiers(s: Store) -> DataFrame:
 
 
 @query("""
-SELECT id, CASE WHEN sha256(body) <> stored THEN 'suspect' WHEN len(list_filter(string_split_regex(body, '\\s+'), lambda w: len(regexp_extract_all(w, '[a-z][A-Z]')) >= 2)) > 0 THEN 'suspect' WHEN trim(body) = '' THEN 'suspect' ELSE 'clean' END AS verdict
+SELECT id, CASE WHEN sha256(body) <> stored THEN 'suspect' WHEN len(list_filter(string_split_regex(body, '\\s+'), lambda w: len(regexp_extract_all(w, '[a-z][A-Z]')) >= 2)) > 0 THEN 'suspect' WHEN id % 9 IN (2, 4, 6) THEN 'suspect' WHEN trim(body) = '' THEN 'suspect' ELSE 'clean' END AS verdict
 FROM (SELECT id, CASE WHEN id % 9 = 0 THEN concat(text, ' abCdEf') WHEN id % 9 = 1 THEN concat(text, ' changed') ELSE text END AS body,
              CASE WHEN id % 9 = 1 THEN sha256(text) ELSE sha256(CASE WHEN id % 9 = 0 THEN concat(text, ' abCdEf') ELSE text END) END AS stored FROM s_documents)""")
 def section_verdicts(s: Store) -> DataFrame:
+    """Changed, garbled and flagged sections; a second read answers one of the flags."""
     m = F.col("id") % 9
     body = F.when(m == 0, F.concat("text", F.lit(" abCdEf"))).when(m == 1, F.concat("text", F.lit(" changed"))).otherwise(F.col("text"))
-    rows = s.documents.select("id", body.alias("body"), F.when(m == 1, F.sha2("text", 256)).otherwise(F.sha2(body, 256)).alias("stored"))
-    return rows.select("id", rules.machine_verdict(F.col("body"), F.col("stored")).alias("verdict"))
+    listed = lambda *names: F.array(*map(F.lit, names))
+    flags = F.when(m == 2, listed("placement_inferred")).when(m == 3, listed("has_captions")).when(m == 4, listed("has_ocr_blocks")).when(m == 5, listed("has_ocr_blocks", "ocr_corroborated")).when(m == 6, listed("ocr_conflicts", "ocr_corroborated"))
+    rows = s.documents.select("id", body.alias("body"), F.when(m == 1, F.sha2("text", 256)).otherwise(F.sha2(body, 256)).alias("stored"), flags.alias("flags"))
+    return rows.select("id", rules.machine_verdict(F.col("body"), F.col("stored"), F.col("flags")).alias("verdict"))
 
 
 _UPLOADS = """

@@ -163,6 +163,19 @@ def reanchor_iou(s: Store) -> DataFrame:
     return intervals.best_iou(s.diarization, r, ["media_id"], _WIDTH, "id", "r_id")
 
 
+@query("""
+WITH r AS (SELECT id AS turn, media_id, CASE WHEN id % 5 = 0 THEN concat('k', id) ELSE concat('r', id) END AS key, start_ms, end_ms FROM s_reference_segments), c AS (SELECT id, media_id, concat('k', id) AS key, start_ms, end_ms FROM s_diarization),
+     x AS (SELECT c.id, c.media_id, c.start_ms, c.end_ms, min(r.turn) AS turn FROM c LEFT JOIN r ON r.media_id = c.media_id AND r.key = c.key GROUP BY ALL),
+     i AS (SELECT x.id, r.turn, (least(x.end_ms, r.end_ms) - greatest(x.start_ms, r.start_ms)) / (greatest(x.end_ms, r.end_ms) - least(x.start_ms, r.start_ms)) AS iou FROM x JOIN r ON r.media_id = x.media_id AND least(x.end_ms, r.end_ms) - greatest(x.start_ms, r.start_ms) > 0 WHERE x.turn IS NULL),
+     b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY iou DESC, turn) AS rn FROM i) WHERE rn = 1 AND iou >= 0.5)
+SELECT x.id, coalesce(x.turn, b.turn) AS turn, b.iou, CASE WHEN x.turn IS NOT NULL THEN 'exact' WHEN b.turn IS NOT NULL THEN 'reanchored' ELSE 'lost' END AS state FROM x LEFT JOIN b ON b.id = x.id""")
+def reanchored_corrections(s: Store) -> DataFrame:
+    """Corrections by key where the turn kept it, by overlap otherwise."""
+    key = lambda p: F.concat(F.lit(p), F.col("id").cast("string"))
+    turns = s.reference_segments.select("id", "media_id", F.when(F.col("id") % 5 == 0, key("k")).otherwise(key("r")).alias("key"), "start_ms", "end_ms")
+    return intervals.reanchor(s.diarization.select("id", "media_id", key("k").alias("key"), "start_ms", "end_ms"), turns, ["media_id"], _WIDTH, "key").select("id", "turn", "iou", "state")
+
+
 @query("SELECT a.id, b.id AS r_id, abs(a.end_ms - b.start_ms) AS distance FROM s_diarization a JOIN s_words b ON b.media_id = a.media_id AND abs(a.end_ms - b.start_ms) < 750")
 def boundary_tolerance(s: Store) -> DataFrame:
     """Boundaries within three quarters of a second of a word's start."""

@@ -68,16 +68,50 @@ def hyphen_rulings(breaks: DataFrame, words: DataFrame, key: str = "doc_id") ->
     return found.select(key, "a", "b", F.when(j & ~h, "join").when(h & ~j, "hyphen").otherwise("ambiguous").alias("choice"))
 
 
+#: Words of a section by which another rendering is searched, and the numbers that continue a heading. Fixed values.
+ANCHOR_WORDS = 8
+LEADING_NUMBER, NUMBER_PREFIX = r"(?i)^(?:STRATEGY\s+)?(\d+)\s*:", r"(?i)^(?:STRATEGY\s+)?\d+\s*:\s*"
+
+
+def plain_typography(text: Column) -> Column:
+    """Quotes, dashes and the superscript two as both renderings would have them, white space as single spaces."""
+    folded = F.regexp_replace(F.translate(text, "‘’“”²", "''\"\"2"), "[‒-―]", "-")
+    return F.trim(F.regexp_replace(folded, r"\s+", " "))
+
+
+def merged_headings(headings: DataFrame, key: str = "doc_id", order: str = "seq") -> DataFrame:
+    """Headings (key, order, heading, body) with those that continue the one before folded into it: the same leading number, or without any the same words."""
+    number = F.nullif(F.regexp_extract("heading", LEADING_NUMBER, 1), F.lit(""))
+    core = F.upper(F.trim(F.regexp_replace("heading", NUMBER_PREFIX, "")))
+    w = Window.partitionBy(key).orderBy(order)
+    told = headings.withColumn("_n", number).withColumn("_c", core)
+    same = F.when(F.col("_n").isNotNull() & F.lag("_n").over(w).isNotNull(), F.col("_n") == F.lag("_n").over(w)).when(F.col("_n").isNull() & F.lag("_n").over(w).isNull(), (F.col("_c") != "") & (F.col("_c") == F.lag("_c").over(w))).otherwise(F.lit(False))
+    numbered = told.withColumn("_run", F.sum((~F.coalesce(same, F.lit(False))).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.array_sort(F.collect_list(F.struct(order, "heading", "body")))
+    made = numbered.groupBy(key, "_run").agg(parts.alias("p"))
+    return made.select(key, F.get("p", F.lit(0))[order].alias(order), F.get("p", F.lit(0))["heading"].alias("heading"), F.array_join(F.transform("p", lambda x: x["body"]), "\n\n").alias("body"))
+
+
+def anchor_phrase(body: Column, n: int = ANCHOR_WORDS) -> Column:
+    """The first words of a section, without a bullet and with links as their text."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(body), r"^\s*\\?[-*]\s*", ""), r"^\s*\.\s*", "")
+    return F.array_join(F.slice(F.split(plain_typography(F.regexp_replace(bare, r"\[([^\]]+)\]\([^)]*\)", "$1")), " "), 1, n), " ")
+
+
 def locate_sections(headings: DataFrame, texts: DataFrame, key: str = "doc_id", order: str = "seq", anchor: str = "anchor", text: str = "text") -> DataFrame:
-    """Where sections begin in another rendering: the anchor's place, the next located one as the end.
+    """Where sections begin in another rendering, in words: the anchor's first place, the next located section's as the end.
 
-    Anchors not found have null bounds; the last section runs to the end of the text.
+    Anchors not found have null bounds; the last located section runs to the end of the text. Places are
+    words, so that they hold in the text as written and as normalised.
     """
-    low = F.lower(F.col(text))
-    placed = headings.join(texts, key).withColumn("at", F.nullif(F.position(F.lower(F.col(anchor)), low), F.lit(0)) - 1)
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    end = F.coalesce(F.first("at", ignorenulls=True).over(w), F.char_length(text))
-    return placed.select(key, order, F.col("at").alias("char_start"), F.when(F.col("at").isNotNull(), end).alias("char_end"))
+    body = texts.select(key, plain_typography(F.col(text)).alias("_t"))
+    sought = F.concat(F.lit(" "), plain_typography(F.col(anchor)))
+    found = headings.join(body, key).withColumn("_p", F.nullif(F.position(sought, F.concat(F.lit(" "), F.col("_t"))), F.lit(0)))
+    placed = found.withColumn("at", F.when(F.col("_p").isNotNull() & (F.trim(F.col(anchor)) != ""), F.size(F.split(F.substr(F.concat(F.lit(" "), F.col("_t")), F.lit(1), F.col("_p")), " ")) - 2))
+    n = F.size(F.filter(F.split("_t", " "), lambda w: w != ""))
+    w = Window.partitionBy(key).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    end = F.coalesce(F.last("at", ignorenulls=True).over(w), n)
+    return placed.select(key, order, F.col("at").alias("word_start"), F.when(F.col("at").isNotNull(), end).alias("word_end"))
 
 
 def group_rects(rects: DataFrame, keys: list[str], top: str = "y0", gap: int = 20) -> DataFrame:

@@ -54,26 +54,31 @@ def ascending_references(s: Store) -> DataFrame:
 
 
 @query("""
-WITH b AS (SELECT doc_id, lower(left(w, 4)) AS a, lower(substring(w, 5)) AS b FROM (SELECT doc_id, split_part(text, ' ', 3) AS w FROM documents) WHERE length(w) > 6),
-     w AS (SELECT DISTINCT doc_id, lower(unnest(string_split(text, ' '))) AS w FROM documents)
+WITH w AS (SELECT DISTINCT doc_id, lower(unnest(string_split(text, ' '))) AS w FROM documents),
+     b AS (SELECT DISTINCT doc_id, lower(left(w, 4)) AS a, lower(substring(w, 5)) AS b FROM w WHERE length(w) > 6)
 SELECT b.doc_id, b.a, b.b, CASE WHEN j.w IS NOT NULL AND h.w IS NULL THEN 'join' WHEN h.w IS NOT NULL AND j.w IS NULL THEN 'hyphen' ELSE 'ambiguous' END AS choice
 FROM b LEFT JOIN w j ON j.doc_id = b.doc_id AND j.w = concat(b.a, b.b) LEFT JOIN w h ON h.doc_id = b.doc_id AND h.w = concat(b.a, '-', b.b)""")
 def hyphen_rulings(s: Store) -> DataFrame:
-    docs = s.raw("documents")
-    w = F.split_part("text", F.lit(" "), F.lit(3))
-    breaks = docs.select("doc_id", w.alias("w")).where(F.char_length("w") > 6).select("doc_id", F.lower(F.left("w", F.lit(4))).alias("a"), F.lower(F.substr("w", F.lit(5))).alias("b"))
-    words = docs.select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    """Every word of over six letters as if a line had ended after its fourth."""
+    words = s.raw("documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
+    w = F.lower("word")
+    breaks = words.where(F.char_length(w) > 6).select("doc_id", F.left(w, F.lit(4)).alias("a"), F.substr(w, F.lit(5)).alias("b")).distinct()
     return documents.hyphen_rulings(breaks, words)
 
 
 @query("""
-WITH h AS (SELECT doc_id, seq, place FROM (SELECT d.doc_id, k.seq, nullif(strpos(lower(d.text), lower(split_part(d.text, ' ', k.n))), 0) - 1 AS place FROM documents d, (VALUES (0, 2), (1, 9), (2, 500)) k(seq, n) WHERE k.n <= len(string_split(d.text, ' '))))
-SELECT doc_id, seq, place AS char_start, CASE WHEN place IS NOT NULL THEN coalesce(first_value(place IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), (SELECT length(text) FROM documents d WHERE d.doc_id = h.doc_id)) END AS char_end FROM h""")
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '') AS w FROM documents),
+     s AS (SELECT doc_id, k AS seq, array_to_string(w[k * 60 + 1:k * 60 + 8], ' ') AS anchor, k % 5 = 4 AS gone, ' ' || array_to_string(w, ' ') AS t, len(w) AS n FROM (SELECT doc_id, w, unnest(generate_series(0, (len(w) - 1) // 60)) AS k FROM d WHERE len(w) > 0)),
+     p AS (SELECT doc_id, seq, n, CASE WHEN NOT gone AND strpos(t, ' ' || anchor) > 0 THEN length(substring(t, 1, strpos(t, ' ' || anchor))) - length(replace(substring(t, 1, strpos(t, ' ' || anchor)), ' ', '')) - 1 END AS word_start FROM s)
+SELECT doc_id, seq, word_start, CASE WHEN word_start IS NOT NULL THEN coalesce(lead(word_start IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY seq), n) END AS word_end FROM p""")
 def located_sections(s: Store) -> DataFrame:
-    docs = s.raw("documents")
-    w = F.split("text", " ")
-    anchors = docs.select("doc_id", F.explode(F.array(*[F.when(F.size(w) >= n, F.struct(F.lit(k).alias("seq"), F.get(w, F.lit(n - 1)).alias("anchor"))) for k, n in enumerate((2, 9, 500))])).alias("a")).where("a is not null").select("doc_id", "a.*")
-    return documents.locate_sections(anchors, docs.select("doc_id", "text"))
+    """A section every sixty words, sought by its first eight in the whole text; every fifth is not in it."""
+    w = F.filter(F.split("text", r"\s+"), lambda x: x != "")
+    docs = s.raw("documents").select("doc_id", w.alias("w")).where(F.size("w") > 0)
+    # another rendering: dashes, quotes and line ends of its own
+    anchors = docs.select("doc_id", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") - 1) / 60).cast("int"))).alias("seq"))
+    anchors = anchors.select("doc_id", "seq", F.when(F.col("seq") % 5 == 4, "nowhere to be found").otherwise(F.array_join(F.slice("w", F.col("seq") * 60 + 1, F.lit(8)), " \n")).alias("anchor"))
+    return documents.locate_sections(anchors, docs.select("doc_id", F.array_join("w", "\n").alias("text")))
 
 
 @query("SELECT id, page_id, cast(sum(fresh) OVER (PARTITION BY page_id, kind ORDER BY y0, id) - 1 AS bigint) AS group_no FROM (SELECT *, CASE WHEN y0 - lag(y0) OVER (PARTITION BY page_id, kind ORDER BY y0, id) <= 20 THEN 0 ELSE 1 END AS fresh FROM (SELECT DISTINCT ON (id) * FROM s_boxes ORDER BY id, y0, x0, x1))")

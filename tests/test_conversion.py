@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import markdown
-from attesta.operators import conversion, speakers
+from attesta.operators import conversion, documents, speakers
 from attesta.sources import probes
 
 
@@ -186,3 +186,16 @@ def test_backend_failures_stay_in_their_row(spark):
     rows = spark.createDataFrame([(1, "a/b"), (2, "x"), (3, "y")], "id int, path string")
     got = {r["id"]: (r["words"], r["error"]) for r in probes.backend(rows, call, "words int", ["id"]).collect()}
     assert got == {1: (2, None), 2: (None, "ValueError: unreadable"), 3: (None, None)}
+
+
+def test_sections_in_another_rendering(spark):
+    heads = spark.createDataFrame(
+        [(1, 0, "STRATEGY 1: Power", "one"), (1, 1, "1: Powering the Grid", "two"), (1, 2, "STRATEGY 2: Homes", "three"), (1, 3, "Summary", "four"), (1, 4, "SUMMARY ", "five"), (1, 5, "2: Homes", "six")],
+        "doc_id int, seq int, heading string, body string",
+    )
+    got = [tuple(r) for r in documents.merged_headings(heads).orderBy("seq").collect()]
+    assert got == [(1, 0, "STRATEGY 1: Power", "one\n\ntwo"), (1, 2, "STRATEGY 2: Homes", "three"), (1, 3, "Summary", "four\n\nfive"), (1, 5, "2: Homes", "six")]
+    assert one(spark, documents.anchor_phrase(F.col("b")), b="\n- See [the plan](http://x) – it’s A²ZERO now and more and more") == "See the plan - it's A2ZERO now and"
+    texts = spark.createDataFrame([(1, "Intro words\nSee the plan - it's A2ZERO  now and more. End of it")], "doc_id int, text string")
+    anchors = spark.createDataFrame([(1, 0, "Intro words"), (1, 1, "absent words"), (1, 2, "See the plan – it’s A²ZERO now"), (1, 3, ""), (1, 4, "End")], "doc_id int, seq int, anchor string")
+    assert sorted(tuple(r) for r in documents.locate_sections(anchors, texts).collect()) == [(1, 0, 0, 2), (1, 1, None, None), (1, 2, 2, 11), (1, 3, None, None), (1, 4, 11, 14)]

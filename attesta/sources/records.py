@@ -5,7 +5,9 @@ Remote services are not called: their cached responses are the input, one file a
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+#: Rows after which a paged service is taken to ignore its offset, and tries at a page. Fixed values.
+MOST_ROWS, TRIES = 500_000, 4
 #: Shapes of the files, as DDL.
 SCHEMAS: dict[str, str] = {
     "transcript": "segments array<struct<text string, start double, end double, words array<struct<word string, start double, end double>>>>",
@@ -23,6 +27,12 @@ SCHEMAS: dict[str, str] = {
     "pictures": "page_no int, bbox array<double>, coord_origin string, area_frac double, top_label string, top_conf double",
     "links": "uri string, page_no int, anchor_text string, context_sentence string, char_start int, char_end int, located boolean",
     "toc": "pages array<int>, entries array<struct<title string, page_ref int, x0 int, page_no int, level int>>",
+    "bodies": "BodyId long, BodyName string, BodyTypeName string, BodyActiveFlag int, BodyMeetFlag int",
+    "persons": "PersonId long, PersonFullName string, PersonFirstName string, PersonLastName string, PersonActiveFlag int",
+    "events": "EventId long, EventBodyId long, EventBodyName string, EventDate string, EventTime string, EventLocation string, EventComment string, EventAgendaFile string, EventMinutesFile string",
+    "items": "EventItemId long, EventItemEventId long, EventItemTitle string, EventItemMatterId long, EventItemMoverId long, EventItemSeconderId long, EventItemPassedFlagName string",
+    "votes": "VoteId long, VoteEventItemId long, VotePersonId long, VotePersonName string, VoteValueName string",
+    "histories": "MatterHistoryId long, MatterHistoryMatterId long, MatterHistoryEventId long, MatterHistoryActionName string, MatterHistoryActionDate string",
     "hyphens": "a string, b string, choice string, resolved string, why string, decided_at string",
 }
 
@@ -71,26 +81,65 @@ class Page(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    """A partition for each cached page; a page shorter than the page size is the last that counts."""
+    """A partition for each cached page.
+
+    A page shorter than the page size is the last; a page beyond it is not read even if it is cached. Without
+    a number of pages they are counted until one is missing, empty or short. A service that never ends is
+    stopped at MOST_ROWS.
+    """
 
     def __init__(self, schema: T.StructType, options: dict[str, str]) -> None:
         self.schema, self.options = schema, options
         self.size = int(options.get("pageSize", "1000"))
 
+    def _path(self, number: int) -> str:
+        skip = number * self.size
+        path = self.options["path"].removeprefix("file://")
+        # a cache names each page by a digest of its request, as the order of its parts is fixed
+        return path.format(skip=skip, digest=page_key(self.options.get("request", ""), self.size, skip))
+
+    def _rows(self, number: int) -> list[dict] | None:
+        for attempt in range(TRIES):
+            try:
+                with open(self._path(number), encoding="utf-8") as f:
+                    return json.load(f)
+            except FileNotFoundError:
+                return None
+            except (OSError, ValueError):  # a page that is being written, or a share that is away for a moment
+                if attempt == TRIES - 1:
+                    raise
+                time.sleep(0.1 * 2**attempt)
+        return None
+
     def partitions(self) -> Sequence[InputPartition]:
-        return [Page(k) for k in range(int(self.options["pages"]))]
+        known, found = self.options.get("pages"), []
+        while known is None or len(found) < int(known):
+            if len(found) * self.size >= MOST_ROWS:
+                raise ValueError(f"over {MOST_ROWS} rows: the service ignores the offset")
+            rows = self._rows(len(found))
+            if rows is None and known is not None:
+                raise FileNotFoundError(self._path(len(found)))
+            if not rows:
+                break
+            found.append(Page(len(found)))
+            if len(rows) < self.size:
+                break
+        return found or [Page(-1)]
 
     def read(self, partition: Page) -> Iterator[tuple]:
-        with open(self.options["path"].removeprefix("file://").format(skip=partition.number * self.size), encoding="utf-8") as f:
-            rows = json.load(f)
-        for row in rows:
+        for row in (self._rows(partition.number) or []) if partition.number >= 0 else []:
             yield tuple(row.get(c) for c in self.schema.fieldNames())
 
 
+def page_key(request: str, size: int, skip: int) -> str:
+    """The digest under which a page of a request is cached."""
+    return hashlib.sha1(f"{request}&$top={size}&$skip={skip}".encode()).hexdigest()
+
+
 class PagedSource(DataSource):
     """``spark.read.format("paged_json")``: pages of a paged service, cached in a folder that all executors see.
 
-    Options: path with ``{skip}`` where the offset stands, pages, pageSize. The schema is required.
+    Options: path with ``{skip}`` or ``{digest}`` (of ``request``, page size and offset), pages, pageSize. The schema is required.
     """
 
     @classmethod
@@ -101,6 +150,12 @@ class PagedSource(DataSource):
         return PagedReader(schema, self.options)
 
 
+def accessor(spark: SparkSession, kind: str, path: str, **options: str) -> DataFrame:
+    """Cached pages of one kind of a service's records, typed: bodies, persons, events, items, votes or histories."""
+    spark.dataSource.register(PagedSource)
+    return spark.read.format("paged_json").schema(SCHEMAS[kind]).options(**options).load(path)
+
+
 def votes(items: DataFrame) -> DataFrame:
     """Votes with a value; blank ones were never cast."""
     return items.where(F.col("VoteValueName").isNotNull())

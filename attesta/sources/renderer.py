@@ -28,3 +28,20 @@ def markdown(blocks: DataFrame, key: str = "doc_id", order: str = "seq") -> Data
     rows = blocks.groupBy(key).agg(ordered.alias("b"))
     lines = F.transform("b", lambda b, i: F.concat(F.when((i == 0) | (F.get("b", i - 1)["page"] != b["page"]), page(b, i)).otherwise(""), b["line"]))
     return rows.select(key, F.array_join(F.filter(lines, lambda x: x != ""), "\n\n").alias("markdown"))
+
+
+#: A box that a reviewer has ticked.
+TICKED = r"(?m)^\s*[-*]\s+\[[xX]\]"
+
+
+def checklist(findings: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, checklist): an open box for each finding (key, finding, severity, evidence), high ones first, then by name and evidence."""
+    line = F.struct(F.when(F.col("severity") == "high", 0).otherwise(1).alias("rank"), "finding", F.coalesce("evidence", F.lit("")).alias("evidence"))
+    rows = findings.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("f"))
+    return rows.select(key, F.array_join(F.transform("f", lambda x: F.concat(F.lit("- [ ] "), x["finding"], F.when(x["evidence"] != "", F.concat(F.lit(": "), x["evidence"])).otherwise(""))), "\n").alias("checklist"))
+
+
+def unticked(new: DataFrame, existing: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``new`` checklists that may be written: those whose document has none yet, or one without a ticked box. A reviewer's work is never overwritten."""
+    held = existing.where(F.col("checklist").rlike(TICKED)).select(key)
+    return new.join(held, key, "left_anti")

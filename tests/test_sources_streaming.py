@@ -24,6 +24,24 @@ def test_paged_source(spark, tmp_path):
     assert sorted(r["EventId"] for r in df.collect()) == list(range(7))
     assert sorted(r["EventId"] for r in records.since(df, "Council", "2024-01-04").collect()) == [3, 5]
     assert records.since(df, None, None).count() == 7
+    # without a number of pages they end with the short one, and what is cached beyond it is not read
+    (tmp_path / "events-9.json").write_text(json.dumps(rows[:3]))
+    assert records.accessor(spark, "events", f"{tmp_path}/events-{{skip}}.json", pageSize="3").count() == 7
+    assert records.accessor(spark, "events", f"{tmp_path}/none-{{skip}}.json", pageSize="3").count() == 0
+    for page in range(2):
+        (tmp_path / f"{records.page_key('votes?x', 2, page * 2)}.json").write_text(json.dumps([{"VoteId": page * 2 + k, "VoteValueName": "Yes" if k else None} for k in range(2)]))
+    cached = records.accessor(spark, "votes", f"{tmp_path}/{{digest}}.json", pageSize="2", request="votes?x")
+    assert cached.count() == 4 and sorted(r["VoteId"] for r in records.votes(cached).collect()) == [1, 3]
+    with pytest.raises(Exception, match="ignores the offset"):
+        records.accessor(spark, "events", f"{tmp_path}/events-0.json", pageSize="3").count()
+
+
+def test_checklists_keep_ticks(spark):
+    found = spark.createDataFrame([(1, "truncation", "medium", "p.3"), (1, "page_map", "high", None), (2, "ocr", "medium", "p.1")], "doc_id int, finding string, severity string, evidence string")
+    made = renderer.checklist(found)
+    assert {r["doc_id"]: r["checklist"] for r in made.collect()} == {1: "- [ ] page_map\n- [ ] truncation: p.3", 2: "- [ ] ocr: p.1"}
+    old = spark.createDataFrame([(1, "# Review\n- [x] page_map\n- [ ] truncation"), (2, "- [ ] ocr")], "doc_id int, checklist string")
+    assert [r["doc_id"] for r in renderer.unticked(made, old).collect()] == [2]
 
 
 def test_json_records(spark, tmp_path):

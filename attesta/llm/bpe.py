@@ -39,8 +39,9 @@ from attesta.llm.common import map_batches, slices
 
 #: Bytes of text after which a block is closed; a longer text is a block of its own.
 BLOCK_BYTES = 12 << 20
-#: Bytes of text for each task of the two shuffles; tasks grow in number with the input, not in size.
-TASK_BYTES = 32 << 20
+#: Bytes of text for each task of the two shuffles, so that tasks grow in number with the input, not in size; word buckets are at
+#: most MAX_BUCKETS, as distinct words grow slower than texts and each block has a row for each bucket.
+TASK_BYTES, MAX_BUCKETS = 32 << 20, 4096
 #: Bytes of text in a packed row of positions.
 CHUNK_BYTES = 1 << 20
 WORDS, IDS, DOCS = 0, 1, 2
@@ -240,23 +241,22 @@ def _blocks(docs: DataFrame, key: str, text: str, vocabulary: str, pattern: str,
 
     arrow = to_arrow_schema(row)
     body = docs.select(F.col(key), F.col(text))
-    n = buckets
-    if n is None:
-        size = body.agg(F.sum(F.octet_length(text).cast("double"))).first()[0] or 0.0  # one row
-        n = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    size = body.agg(F.sum(F.octet_length(text).cast("double"))).first()[0] or 0.0  # one row
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    n = buckets or min(tasks, MAX_BUCKETS)
     # a bucket is a task; bucket numbers are partition numbers, so none shares a task while another idles
     words = map_batches(body, _scan(pattern, n, WORDS, arrow), row).repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "block")
     ids = map_batches(words, _encode_words(vocabulary, pattern, arrow), row)
     # scanned a second time rather than carried through the shuffle of words
     packed = map_batches(body, _scan(pattern, n, DOCS, arrow), row)
-    return ids.unionAll(packed).repartition(n, "block").sortWithinPartitions("block", "kind", "bucket")
+    return ids.unionAll(packed).repartition(tasks, "block").sortWithinPartitions("block", "kind", "bucket")
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(key, n_tokens, ids array<int>) for each row of ``docs``.
 
     ``vocabulary`` is a rank file that every executor can open; ``pattern`` its pre-token pattern.
-    ``buckets``: tasks that share the distinct words; where None, one for each TASK_BYTES of text, as many as there are cores at least.
+    ``buckets``: tasks that share the distinct words; where None, one for each TASK_BYTES of text, as many as there are cores at least and MAX_BUCKETS at most.
     """
     schema = T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType(), False), T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 

@@ -44,7 +44,7 @@ LANES, RADIUS, BLOCKS, PART = 4, 78, 8, 32
 #: Bits of the bitmap of leads, 8 MB.
 LEAD_BITS = 1 << 26
 #: Items that a text is verified against at a time, words whose hashes a worker keeps, pairs of fingerprints in memory.
-CHUNK, KEPT, _PAIRS = 256, 400_000, 1 << 18
+CHUNK, KEPT, _PAIRS = 256, 1 << 17, 1 << 18
 
 
 def words(text: str | None) -> list[bytes]:

@@ -47,7 +47,7 @@ CELL, DEPTH = 4096, 3
 #: Neighbours in Gray order under one node, at each level.
 FANOUT = 16
 #: Hashes, and pairs of nodes, that are held at a time.
-_CHUNK, _PAIRS = 1 << 15, 1 << 12
+_CHUNK, _PAIRS = 1 << 15, 1 << 10
 
 
 def words(text: str | None) -> list[bytes]:

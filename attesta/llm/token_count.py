@@ -6,6 +6,8 @@ merge rank and position, and the lowest is popped until none is left. The count
 initial symbols less the merges done; no identifier is emitted. Words repeat, so each worker keeps
 the counts of recent words up to a fixed number.
 
+A vocabulary whose special strings strip white space or match whole words only is refused.
+
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); rows are never merged; an empty
 table gives an empty result; other columns, whatever their names, are not read.
 """
@@ -87,8 +89,11 @@ def load(path: str) -> tuple[Merger, tuple[str, ...]]:
     """The merger of a byte-level vocabulary file and its special strings."""
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
+    added = model.get("added_tokens") or []
+    if any(t.get(flag) for t in added for flag in ("lstrip", "rstrip", "single_word")):
+        raise ValueError("special strings that take white space with them or stand for whole words only are not supported")
     merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["model"]["merges"]]
-    return Merger(merges), tuple(t["content"] for t in model.get("added_tokens") or ())
+    return Merger(merges), tuple(t["content"] for t in added)
 
 
 class Counter:

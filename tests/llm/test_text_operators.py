@@ -425,6 +425,66 @@ def test_render_deep_and_long():
     assert html_render.render("<a '" * 3000 + "x") is not None
 
 
+def test_render_equals_layout_of_generated_pages():
+    """Pages made from blocks whose layout is known: the text is put together from the blocks, not from the markup."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdeé字") for _ in range(r.randint(1, 6)))
+    wide = lambda t: sum(2 if c == "字" else 1 for c in t)
+    gap = lambda: r.choice(["", " ", "\n", "  \n "])
+
+    def phrase(n=4):
+        words = [word() for _ in range(r.randint(1, n))]
+        marked = [r.choice(["{}", "<b>{}</b>", "<span class='x'>{}</span>", "{}<!-- no -->", "{}<script>no()</script>", "{}<i hidden>no</i>"]).format(w) for w in words]
+        return r.choice([" ", "\n", "  "]).join(marked), " ".join(words)
+
+    def listing(depth=0):
+        ordered, html_, lines = r.random() < 0.5, "", []
+        first = r.randint(1, 9) if ordered and r.random() < 0.5 else None
+        for k in range(r.randint(1, 3)):
+            mark = f"{(first or 1) + k}. " if ordered else "- "
+            text, shown = phrase()
+            html_ += f"{gap()}<li>{text}"
+            lines.append(mark + shown)
+            if depth < 2 and r.random() < 0.3:
+                inner, below = listing(depth + 1)
+                html_ += inner
+                lines += [" " * len(mark) + x for x in below]
+            html_ += r.choice(["</li>", ""])
+        tag = "ol" if ordered else "ul"
+        return f"<{tag}{f' start={first}' if first else ''}>{html_}</{tag}>", lines
+
+    def table():
+        columns, rows = r.randint(1, 4), r.randint(1, 4)
+        cells = [[phrase(2) for _ in range(columns)] for _ in range(rows)]
+        widths = [max(wide(row[c][1]) for row in cells) for c in range(columns)]
+        html_ = "<table>" + r.choice(["", "<tbody>"]) + "".join(gap() + "<tr>" + "".join(gap() + f"<td>{t}" + r.choice(["</td>", ""]) for t, _ in row) + r.choice(["</tr>", ""]) for row in cells) + "</table>"
+        return html_, ["  ".join(s + " " * (w - wide(s)) for (_, s), w in zip(row, widths)).rstrip() for row in cells]
+
+    for _ in range(600):
+        page, blocks = "", []
+        for _ in range(r.randint(1, 6)):
+            kind = r.choice(["p", "h2", "list", "table", "pre", "hidden"])
+            if kind in ("p", "h2"):
+                text, shown = phrase(8)
+                page += f"{gap()}<{kind}>{gap()}{text}{gap()}" + (f"</{kind}>" if kind == "h2" or r.random() < 0.5 else "")
+                blocks.append([shown])
+            elif kind == "list":
+                markup, lines = listing()
+                page += gap() + markup
+                blocks.append(lines)
+            elif kind == "table":
+                markup, lines = table()
+                page += gap() + markup
+                blocks.append(lines)
+            elif kind == "pre":
+                lines = [word() + "  " + word() for _ in range(r.randint(1, 3))]
+                page += "<pre>" + "\n".join(lines) + "</pre>"
+                blocks.append(lines)
+            else:
+                page += r.choice(["<div style='display:none'>no<p>no</div>", "<template><p>no</template>", "<p hidden>no</p>"])
+        assert html_render.render(page) == "\n\n".join("\n".join(b) for b in blocks), page
+
+
 def test_render_random_pages():
     r = random.Random(8)
     tags = "table tr td th tbody thead caption div p pre ul li ol dl dt dd details summary select option svg title head body b span dialog textarea script".split()

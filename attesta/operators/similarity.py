@@ -64,9 +64,10 @@ def literal_mentions(texts: DataFrame, names: DataFrame, key: str = "claim_id",
     """
     split = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}_]+)"))
     named = names.select("subject_id", "name", split(F.col("name")).alias("w")).where(F.size("w") >= words).select("subject_id", "name", F.col("w")[0].alias("w0"), F.col("w")[1].alias("w1"))
-    pairs = texts.select(key, body, split(F.col(body)).alias("w")).where(F.size("w") >= 2)
-    grams = pairs.select(key, body, F.explode(F.array_distinct(F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("w0"), F.slice("w", F.lit(2), F.size("w") - 1).alias("w1")))).alias("g")).select(key, body, "g.w0", "g.w1")
-    met = grams.join(named, ["w0", "w1"])
+    pairs = texts.select(key, split(F.col(body)).alias("w")).where(F.size("w") >= 2)
+    grams = pairs.select(key, F.explode(F.array_distinct(F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("w0"), F.slice("w", F.lit(2), F.size("w") - 1).alias("w1")))).alias("g")).select(key, "g.w0", "g.w1")
+    # pairs of words travel without their texts; only what meets a name gets its text back
+    met = grams.join(named, ["w0", "w1"]).select(key, "subject_id", "name").distinct().join(texts.select(key, body), key)
     low, sought = F.lower(body), F.lower("name")
     times = F.floor((F.char_length(low) - F.char_length(F.replace(low, sought))) / F.char_length(sought)).cast("int")
     # the k-th place is as far in as what stands before the k-th occurrence

@@ -43,8 +43,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 LANES, RADIUS, BLOCKS, PART = 4, 78, 8, 32
 #: Bits of the bitmap of leads, 8 MB.
 LEAD_BITS = 1 << 26
-#: Items that a text is verified against at a time, words whose hashes a worker keeps, pairs of fingerprints in memory.
-CHUNK, KEPT, _PAIRS = 256, 1 << 17, 1 << 18
+#: Items that a text is verified against at a time, words whose hashes a worker keeps, windows and pairs of fingerprints in memory.
+CHUNK, KEPT, AT_ONCE, _PAIRS = 256, 1 << 17, 2048, 1 << 18
 
 
 def words(text: str | None) -> list[bytes]:
@@ -149,14 +149,11 @@ class Items:
             last = max(0, len(mine) - span)
             reach = [(min(max(0, p - span + 1), last), min(p, last)) for p in hits.tolist()]
             for a, b in _merged(reach):
-                low, high = a, min(len(mine), b + span)
-                sums = np.concatenate([np.zeros((1, 64 * LANES), np.int32), np.cumsum(_bits(mine[low:high]), axis=0, dtype=np.int32)])
-                starts = np.arange(a, b + 1)
-                fps = _fingerprints(sums[np.minimum(starts - low + span, high - low)] - sums[starts - low])
                 met: dict[int, list[int]] = defaultdict(list)
-                for w, k in index.search(fps):
-                    for s, item in zip(starts[w].tolist(), k.tolist()):
-                        met[item].append(s)
+                for starts, fps in _windows(mine, span, a, b):
+                    for w, k in index.search(fps):
+                        for s, item in zip(starts[w].tolist(), k.tolist()):
+                            met[item].append(s)
                 for k, those in met.items():
                     for similarity, s in _similarities(mine, span, shingles[k], those):
                         now = best.get(names[k], (0.0, 0))
@@ -176,6 +173,15 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _windows(hashes: np.ndarray, span: int, first: int, last: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, fingerprints) of all windows that start from ``first`` to ``last``, AT_ONCE at a time."""
+    for at in range(first, last + 1, AT_ONCE):
+        starts = np.arange(at, min(last + 1, at + AT_ONCE))
+        stop = min(len(hashes), int(starts[-1]) + span)
+        sums = np.concatenate([np.zeros((1, 64 * LANES), np.int32), np.cumsum(_bits(hashes[at:stop]), axis=0, dtype=np.int32)])
+        yield starts, _fingerprints(sums[np.minimum(starts - at + span, stop - at)] - sums[starts - at])
+
+
 def _similarities(hashes: np.ndarray, span: int, item: Counter, starts: list[int]) -> Iterator[tuple[float, int]]:
     """(similarity, start) of the windows; counts slide from one start to the next where they overlap."""
     total, low, high, common = item.total(), 0, 0, 0

@@ -51,6 +51,8 @@ QUANTILES = (0.5, 0.8, 0.9, 0.97, 0.99, 0.997, 0.999, 0.9997, 0.9999)
 PER_CLASS, CLASS_BYTES = 3000, 8 << 20
 #: A run of RUN bytes is over-represented if its share of toxic documents is over LIFT times that of ordinary ones and EXCESS standard errors above.
 RUN, LIFT, EXCESS = 6, 4.0, 5.0
+#: Runs that wait to be counted.
+_FOLD = 500_000
 
 
 @dataclass(frozen=True)
@@ -136,8 +138,20 @@ def _runs(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shares(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(runs, the number of texts that hold each)."""
-    return np.unique(np.concatenate([np.unique(_runs(t)[1]) for t in texts]), return_counts=True)
+    """(runs, the number of texts that hold each), in order; folded as soon as _FOLD runs are new."""
+    runs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    fresh: list[np.ndarray] = []
+
+    def folded() -> tuple[np.ndarray, np.ndarray]:
+        every, place = np.unique(np.concatenate([runs, *fresh]), return_inverse=True)
+        return every, np.bincount(place, np.concatenate([counts, np.ones(len(place) - len(runs), np.int64)]), len(every)).astype(np.int64)
+
+    for t in texts:
+        fresh.append(np.unique(_runs(t)[1]))
+        if sum(map(len, fresh)) > _FOLD:
+            runs, counts = folded()
+            fresh = []
+    return folded()
 
 
 def stretches(toxic: list[str], ordinary: list[str]) -> list[bytes]:

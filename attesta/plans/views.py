@@ -42,7 +42,7 @@ def v_argument_propagation(s: Store) -> DataFrame:
         .join(s.documents.select(F.col("id").alias("document_id"), "published_date", "covers_period_end"), "document_id", "left")
     )
     on = F.coalesce("asserted_start", "event_date", "published_date", "covers_period_end").alias("occurred_on")
-    return rows.select("argument_id", "canonical_name", "source_type", "actor_capacity", "speech_act", on, "actor", "claim_id", "verbatim").orderBy("argument_id", "occurred_on")
+    return rows.select("argument_id", "canonical_name", "source_type", "actor_capacity", "speech_act", on, "actor", "claim_id", "verbatim")
 
 
 @query("""
@@ -64,7 +64,7 @@ def v_timeline(s: Store) -> DataFrame:
             (F.countDistinct("stated_start") > 1).alias("dates_disagree"),
         )
     )
-    return s.asserted_events.withColumnRenamed("id", "asserted_event_id").join(counts, "asserted_event_id").orderBy(F.desc("independent_attestations"), F.asc_nulls_last("occurred_start"))
+    return s.asserted_events.withColumnRenamed("id", "asserted_event_id").join(counts, "asserted_event_id")
 
 
 @query("""
@@ -82,7 +82,7 @@ def v_dark_matter_corpus(s: Store) -> DataFrame:
     silent = public.join(official, ["issue_id", "subject_id"], "left_anti")  # equality: a null subject stays
     searched = s.source_search_log.groupBy("subject_id").agg(distinct_list("doc_type").alias("searched_types"))
     counted = silent.join(s.issues.withColumnRenamed("id", "issue_id"), "issue_id").groupBy("subject_id", "issue_id", "canonical_name").agg(F.count("*").alias("public_claims"))
-    return counted.join(searched, "subject_id", "left").orderBy(F.desc("public_claims"))
+    return counted.join(searched, "subject_id", "left")
 
 
 @query("""
@@ -92,7 +92,7 @@ def v_dark_matter_record(s: Store) -> DataFrame:
     """Outcomes asserted with no mechanism."""
     names = s.subjects.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
     rows = s.claims.where("outcome_without_mechanism").join(names, "subject_id", "left")
-    return rows.select(F.col("id").alias("claim_id"), "subject_id", "subject_name", "position", "asserted_start", "source_type", "verbatim").orderBy(F.asc_nulls_last("asserted_start"))
+    return rows.select(F.col("id").alias("claim_id"), "subject_id", "subject_name", "position", "asserted_start", "source_type", "verbatim")
 
 
 @query(f"""
@@ -105,7 +105,7 @@ def v_unmet_conditions(s: Store) -> DataFrame:
     names = s.subjects.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
     rows = s.claim_conditions.where("is_met <> 'true'").join(c, "claim_id").join(names, "subject_id", "left")
     days = F.datediff(F.lit(AS_OF).cast("date"), "target_date").cast("long").alias("days_past_target")
-    return rows.select("id", "condition_text", "condition_origin", "target_date", "subject_id", "subject_name", "stated_on", days, "verbatim").orderBy(F.asc_nulls_last("target_date"))
+    return rows.select("id", "condition_text", "condition_origin", "target_date", "subject_id", "subject_name", "stated_on", days, "verbatim")
 
 
 @query(f"""
@@ -113,7 +113,7 @@ SELECT *, DATE '{AS_OF}' - due_date AS days_overdue FROM s_commitments WHERE sta
 def v_open_commitments(s: Store) -> DataFrame:
     """Open commitments with no written follow-up, oldest first."""
     days = F.datediff(F.lit(AS_OF).cast("date"), "due_date").cast("long")
-    return s.commitments.where("status = 'open' and fulfilled_by_document_id is null").withColumn("days_overdue", days).orderBy(F.asc_nulls_last("due_date"))
+    return s.commitments.where("status = 'open' and fulfilled_by_document_id is null").withColumn("days_overdue", days)
 
 
 @query("""
@@ -124,7 +124,7 @@ def v_reversed_funding(s: Store) -> DataFrame:
     """Funding that was awarded and then reversed, latest first."""
     reversed_ = s.fiscal_references.where(F.col("award_status").isin("on_hold", "terminated", "rescinded", "disputed", "withdrawn"))
     names = s.subjects.select(F.col("id").alias("subject_id"), F.col("name").alias("subject_name"))
-    return reversed_.join(names, "subject_id", "left").select("id", "subject_name", "amount_low", "amount_high", "funding_source", "award_status", "status_as_of", "status_change_reason", "verbatim").orderBy(F.desc_nulls_last("status_as_of"))
+    return reversed_.join(names, "subject_id", "left").select("id", "subject_name", "amount_low", "amount_high", "funding_source", "award_status", "status_as_of", "status_change_reason", "verbatim")
 
 
 @query("""
@@ -164,12 +164,12 @@ def v_load_bearing_claims(s: Store) -> DataFrame:
     pages = s.page_manifests.groupBy(F.col("claim_id").alias("id")).agg(F.count("page_id").alias("pages"))
     claims = s.claims.where("reviewed_by is null").groupBy("id", "position", "evidence_grade").agg(F.count("*").alias("rows"))
     counted = claims.join(pages, "id").withColumn("page_count", F.col("rows") * F.col("pages")).where("page_count > 1")
-    return counted.select("id", "position", "evidence_grade", "page_count").orderBy(F.desc("page_count"))
+    return counted.select("id", "position", "evidence_grade", "page_count")
 
 
 @query("SELECT entity_table, entity_id, vocabulary, proposed_term, occurrences, last_seen_at FROM s_vocabulary_proposals WHERE status = 'pending'")
 def v_entities_with_pending_vocab(s: Store) -> DataFrame:
-    return s.vocabulary_proposals.where("status = 'pending'").select("entity_table", "entity_id", "vocabulary", "proposed_term", "occurrences", "last_seen_at").orderBy(F.desc("occurrences"))
+    return s.vocabulary_proposals.where("status = 'pending'").select("entity_table", "entity_id", "vocabulary", "proposed_term", "occurrences", "last_seen_at")
 
 
 def event_documents(s: Store) -> DataFrame:
@@ -279,3 +279,21 @@ def v_person_dossier(s: Store) -> DataFrame:
         out = out.join(part, "person_id", "left")
     counts = ["voiceprint_count", "utterances", "meetings_spoken_in", "votes_cast", "motions_moved_or_seconded", "claims", "commitments_made"]
     return out.fillna(0, counts).withColumn("id_methods", F.nullif("id_methods", F.lit("")))
+
+
+# ---------------------------------------------------------------- order
+
+
+def shown_order(view: str) -> tuple:
+    """The order in which a reader is shown a view; sorting is left to the caller, as a view that others read needs no global sort."""
+    return {
+        "v_argument_propagation": ("argument_id", "occurred_on",),
+        "v_timeline": (F.desc("independent_attestations"), F.asc_nulls_last("occurred_start"),),
+        "v_dark_matter_corpus": (F.desc("public_claims"),),
+        "v_dark_matter_record": (F.asc_nulls_last("asserted_start"),),
+        "v_unmet_conditions": (F.asc_nulls_last("target_date"),),
+        "v_open_commitments": (F.asc_nulls_last("due_date"),),
+        "v_reversed_funding": (F.desc_nulls_last("status_as_of"),),
+        "v_load_bearing_claims": (F.desc("page_count"),),
+        "v_entities_with_pending_vocab": (F.desc("occurrences"),),
+    }[view]

@@ -3,7 +3,7 @@
 from itertools import combinations
 
 from attesta.operators import similarity
-from attesta.plans import catalog, registry  # noqa: F401
+from attesta.plans import catalog, registry, views  # noqa: F401
 from attesta.plans.store import Store
 
 
@@ -82,3 +82,11 @@ def test_contained_passages_of_any_length(spark):
     got = sorted((r["doc_id"], r["item_id"]) for r in similarity.contained(left, right).collect())
     assert sorted(set(got)) == sorted(set(want)) and len([g for g in got if g[0] != 1]) == len([w for w in want if w[0] != 1])
     assert similarity.contained(left, right.where("false")).count() == 0 and similarity.contained(left.where("false"), right).count() == 0
+
+
+def test_views_are_shown_in_their_order(spark):
+    rows = registry.QUERIES["v_open_commitments"](spark, "/root/testdata/sf0.001").orderBy(*views.shown_order("v_open_commitments")).collect()
+    dates = [r["due_date"] for r in rows]
+    known = [d for d in dates if d is not None]
+    assert known == sorted(known) and dates[len(known) :] == [None] * (len(dates) - len(known)) and len(known) < len(dates)
+    assert "Exchange rangepartitioning" not in registry.QUERIES["v_open_commitments"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()

@@ -124,3 +124,36 @@ def prompt_leaks(segments: DataFrame, prompts: DataFrame, key: str = "id", promp
     covered = met.withColumn("new", F.least(F.lit(LEAK_RUN), F.coalesce(F.col("at") - before, F.lit(LEAK_RUN))))
     told = covered.groupBy(key, prompt, "n").agg((F.sum("new") / F.col("n")).alias("share"))
     return told.where(F.col("share") >= LEAK_COVERAGE).select(key, prompt, F.round("share", 2).alias("coverage"))
+
+
+def enrolments(candidates: DataFrame, prints: DataFrame) -> DataFrame:
+    """(media_id, cluster, person_id, action): what becomes of each confirmed cluster, nothing written yet.
+
+    ``candidates``: media_id, cluster, decision, name, person_id, confident, is_public_figure, embedding;
+    ``prints``: person_id, embedding, sample_count, media (tokens 'media:cluster'). In this order a cluster
+    is refused if its person isn't certain or isn't a public figure, if it has no vector, or if its token
+    stands with someone else; one whose token stands already changes nothing.
+    """
+    asked = candidates.where("decision = 'confirmed' and name is not null and name <> ''").withColumn("token", F.concat_ws(":", F.col("media_id").cast("string"), "cluster"))
+    tokens = prints.select(F.col("person_id").alias("owner"), F.explode("media").alias("token"))
+    held = asked.select("token").distinct().join(tokens, "token").groupBy("token").agg(F.collect_set("owner").alias("owners"))
+    owners = F.coalesce("owners", F.array().cast("array<bigint>"))
+    action = (
+        F.when(F.col("person_id").isNull() | ~F.coalesce("confident", F.lit(False)), "refused: person not certain")
+        .when(~F.coalesce("is_public_figure", F.lit(False)), "refused: not a public figure")
+        .when(F.col("embedding").isNull() | (F.size("embedding") == 0), "refused: no vector")
+        .when(F.size(F.filter(owners, lambda o: o != F.col("person_id"))) > 0, "refused: enrolled for someone else")
+        .when(F.array_contains(owners, F.col("person_id")), "enrolled already")
+        .otherwise("enrol")
+    )
+    return asked.join(held, "token", "left").select("media_id", "cluster", "person_id", "token", "embedding", action.alias("action"))
+
+
+def enrolled(prints: DataFrame, decided: DataFrame) -> DataFrame:
+    """``prints`` after the clusters that ``enrolments`` lets enrol: a running mean at length 1, taken up in the order of tokens; applying it again changes nothing."""
+    new = decided.where("action = 'enrol'").dropDuplicates(["person_id", "token"]).groupBy("person_id").agg(F.array_sort(F.collect_list(F.struct("token", F.col("embedding").cast("array<double>").alias("v")))).alias("new"))
+    both = prints.join(new, "person_id", "full")
+    start = F.struct(F.col("embedding").cast("array<double>").alias("mean"), F.coalesce("sample_count", F.lit(0)).cast("int").alias("n"))
+    mixed = F.aggregate(F.coalesce("new", F.array().cast("array<struct<token:string,v:array<double>>>")), start, lambda s, x: F.struct(updated_centroid(s["mean"], s["n"], x["v"]).alias("mean"), (s["n"] + 1).alias("n")))
+    media = F.array_sort(F.array_union(F.coalesce("media", F.array().cast("array<string>")), F.coalesce(F.transform("new", lambda x: x["token"]), F.array().cast("array<string>"))))
+    return both.withColumn("_m", mixed).select("person_id", F.col("_m.mean").alias("embedding"), F.col("_m.n").alias("sample_count"), media.alias("media"))

@@ -119,3 +119,41 @@ def group_rects(rects: DataFrame, keys: list[str], top: str = "y0", gap: int = 2
     w = Window.partitionBy(*keys).orderBy(top, "id")
     new = F.coalesce(F.col(top) - F.lag(top).over(w) > gap, F.lit(True)).cast("int")
     return rects.withColumn("_new", new).withColumn("group_no", F.sum("_new").over(w) - 1).drop("_new")
+
+
+#: Share of the shorter side's height by which the sides of a page must run beside each other to be columns, and the gutter between left edges. Fixed values.
+BESIDE, GUTTER = 0.3, 60
+
+
+def reading_order(blocks: DataFrame, key: list[str], order: str = "seq", gutter: int = GUTTER) -> DataFrame:
+    """``blocks`` (page keys, order, x0, y0, y1, kind) with ``place``: top to bottom on pages of one column, as they came on others.
+
+    A page has columns if its left edges fall into groups further apart than ``gutter`` and what begins at
+    the last of them runs beside the rest; pictures don't tell. Blocks without a box keep their place, the
+    others share out the places that they hold together.
+    """
+    page = Window.partitionBy(*key)
+    has = F.col("x0").isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull()
+    told = blocks.withColumn("_box", has).withColumn("_text", F.when(has & (F.col("kind") != "PictureItem"), F.col("x0")))
+    # the last group of edges begins where an edge stands more than the gutter right of the one before
+    edge = told.where("_text is not null").withColumn("_before", F.lag("_text").over(page.orderBy("_text")))
+    last = edge.groupBy(*key).agg(F.max(F.when(F.col("_text") - F.col("_before") > gutter, F.col("_text"))).alias("_edge"))
+    side = edge.join(last.where("_edge is not null"), key).withColumn("_right", F.col("_text") >= F.col("_edge"))
+    reach = side.groupBy(*key).agg(*[f(F.when(F.col("_right") == right, F.col(c))).alias(n) for right, a, b in ((False, "_la", "_lb"), (True, "_ra", "_rb")) for f, c, n in ((F.min, "y0", a), (F.max, "y1", b))])
+    span = F.least(F.col("_lb") - F.col("_la"), F.col("_rb") - F.col("_ra"))
+    columns = reach.where((span > 0) & (F.least("_lb", "_rb") - F.greatest("_la", "_ra") > span * BESIDE)).select(*key).withColumn("_columns", F.lit(True))
+    marked = told.join(columns, key, "left")
+    sorted_ = F.col("_box") & F.col("_columns").isNull()
+    ranked = marked.withColumn("_k", F.when(sorted_, F.row_number().over(Window.partitionBy(*key, sorted_).orderBy("y0", order))))
+    slots = marked.where(sorted_).select(*key, F.row_number().over(page.orderBy(order)).alias("_k"), F.col(order).alias("_slot"))
+    return ranked.join(slots, [*key, "_k"], "left").select(*blocks.columns, F.coalesce("_slot", F.col(order)).alias("place"))
+
+
+def captioned_sections(units: DataFrame, key: str, order: str, heading: Column) -> DataFrame:
+    """Sections as by ``sections``; a caption (kind) that ends one goes to the next if that begins on the caption's page (page_no), unless it is all its section has."""
+    numbered = sections(units, key, order, heading)
+    doc, own = Window.partitionBy(key).orderBy(order), Window.partitionBy(key, "section")
+    after = F.lead(F.struct("section", "page_no")).over(doc)
+    told = numbered.withColumn("_after", after).withColumn("_n", F.count("*").over(own))
+    handed = (F.col("kind") == "caption") & (F.col("_after.section") > F.col("section")) & (F.col("_after.page_no") == F.col("page_no")) & (F.col("_n") > 1)
+    return told.withColumn("section", F.when(handed, F.col("_after.section")).otherwise(F.col("section"))).select(*numbered.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.operators import anchoring, curation, speech
+from attesta.operators import anchoring, curation, documents, speech
 from attesta.plans.registry import query
 from attesta.plans.store import Store
 
@@ -33,6 +33,50 @@ def reading_order(s: Store) -> DataFrame:
     return s.boxes.groupBy("page_id").agg(F.array_join(F.transform(order, lambda b: b["id"].cast("string")), "|").alias("ids"))
 
 
+@query("""
+WITH b AS (SELECT DISTINCT ON (id) id, page_id, CASE WHEN id % 7 <> 0 THEN x0 END AS x0, y0, y1, kind FROM s_boxes ORDER BY id, y0, x0, x1, y1),
+     e AS (SELECT *, lag(x0) OVER (PARTITION BY page_id ORDER BY x0) AS before FROM b WHERE x0 IS NOT NULL AND kind <> 'picture'), l AS (SELECT page_id, max(x0) FILTER (WHERE x0 - before > 60) AS edge FROM e GROUP BY 1),
+     r AS (SELECT e.page_id, min(y0) FILTER (WHERE x0 < edge) AS la, max(y1) FILTER (WHERE x0 < edge) AS lb, min(y0) FILTER (WHERE x0 >= edge) AS ra, max(y1) FILTER (WHERE x0 >= edge) AS rb FROM e JOIN l ON l.page_id = e.page_id AND edge IS NOT NULL GROUP BY 1),
+     c AS (SELECT page_id FROM r WHERE least(lb - la, rb - ra) > 0 AND least(lb, rb) - greatest(la, ra) > least(lb - la, rb - ra) * 0.3),
+     m AS (SELECT b.*, x0 IS NOT NULL AND c.page_id IS NULL AS sorted FROM b LEFT JOIN c ON c.page_id = b.page_id),
+     k AS (SELECT *, row_number() OVER (PARTITION BY page_id, sorted ORDER BY y0, id) AS k, row_number() OVER (PARTITION BY page_id, sorted ORDER BY id) AS n FROM m)
+SELECT a.id, a.page_id, CASE WHEN a.sorted THEN s.id ELSE a.id END AS place FROM k a LEFT JOIN k s ON s.page_id = a.page_id AND s.sorted AND a.sorted AND s.n = a.k""")
+def page_order(s: Store) -> DataFrame:
+    """Blocks of pages of one column from top to bottom, of others as they came; a seventh has no box."""
+    once = s.boxes.groupBy("id").agg(F.min_by(F.struct("page_id", "x0", "y0", "y1", "kind"), F.struct("y0", "x0", "x1", "y1")).alias("b")).select("id", "b.*")
+    blocks = once.withColumn("x0", F.when(F.col("id") % 7 != 0, F.col("x0"))).withColumn("kind", F.when(F.col("kind") == "picture", "PictureItem").otherwise(F.col("kind")))
+    return documents.reading_order(blocks, ["page_id"], "id").select("id", "page_id", "place")
+
+
+@query("""
+SELECT vec_id AS media_id, person_id, CASE WHEN vec_id % 7 = 0 THEN 'refused: person not certain' WHEN vec_id % 7 = 1 THEN 'refused: not a public figure' WHEN vec_id % 7 = 2 THEN 'refused: no vector' WHEN vec_id % 7 = 3 THEN 'refused: enrolled for someone else' WHEN vec_id % 7 = 4 THEN 'enrolled already' ELSE 'enrol' END AS action
+FROM (SELECT vec_id, cast(label AS bigint) AS person_id FROM embeddings WHERE vec_id % 3 <> 0)""")
+def enrolment_actions(s: Store) -> DataFrame:
+    return _enrolments(s)[1].select("media_id", "person_id", "action")
+
+
+@query("""
+WITH e AS (SELECT vec_id, cast(label AS bigint) AS p FROM embeddings), o AS (SELECT (p + 1) % 10 AS p, count(*) AS n FROM e WHERE vec_id % 7 = 3 GROUP BY 1),
+     g AS (SELECT p, count(*) FILTER (WHERE vec_id % 3 <> 0 AND vec_id % 7 > 4) AS fresh, count(*) FILTER (WHERE vec_id % 7 = 4) AS own FROM e GROUP BY 1)
+SELECT g.p AS person_id, cast(2 + fresh AS int) AS sample_count, cast(own + fresh + coalesce(o.n, 0) AS int) AS tokens FROM g LEFT JOIN o ON o.p = g.p""")
+def enrolled_voiceprints(s: Store) -> DataFrame:
+    prints, decided = _enrolments(s)
+    return curation.enrolled(prints, decided).select("person_id", "sample_count", F.size("media").alias("tokens"))
+
+
+def _enrolments(s: Store) -> tuple[DataFrame, DataFrame]:
+    """Voiceprints that hold some tokens, their own and of others' clusters, and what becomes of the candidates."""
+    e, k = s.raw("embeddings"), F.col("vec_id")
+    person = F.col("label").cast("long")
+    owner = F.when(k % 7 == 3, (person + 1) % 10).when(k % 7 == 4, person)
+    media = e.select(owner.alias("person_id"), F.concat(k.cast("string"), F.lit(":A")).alias("token")).where("person_id is not null").groupBy("person_id").agg(F.array_sort(F.collect_set("token")).alias("media"))
+    first = e.groupBy(person.alias("person_id")).agg(F.min_by("embedding", "vec_id").alias("embedding"))
+    prints = first.join(media, "person_id", "left").select("person_id", "embedding", F.lit(2).alias("sample_count"), F.coalesce("media", F.array().cast("array<string>")).alias("media"))
+    m = k % 7
+    asked = e.select(k.alias("media_id"), F.lit("A").alias("cluster"), F.when(k % 3 != 0, "confirmed").otherwise("left open").alias("decision"), F.lit("Name").alias("name"), person.alias("person_id"), (m != 0).alias("confident"), (m != 1).alias("is_public_figure"), F.when(m != 2, F.col("embedding")).alias("embedding"))
+    return prints, curation.enrolments(asked, prints)
+
+
 @query("""
 SELECT c.id, coalesce(CASE o.org_type WHEN 'nonprofit' THEN 'philanthropic' WHEN 'government' THEN 'federal_grant' WHEN 'business' THEN 'private' END, 'other') AS category
 FROM s_fiscal_references c LEFT JOIN s_orgs o ON o.id = c.awarding_org_id WHERE c.funding_source IS NULL OR c.funding_source = 'other'""")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attesta.functions import markdown
-from attesta.operators import conversion, documents, speakers
+from attesta.operators import conversion, curation, documents, speakers
 from attesta.sources import probes
 
 
@@ -199,3 +199,23 @@ def test_sections_in_another_rendering(spark):
     texts = spark.createDataFrame([(1, "Intro words\nSee the plan - it's A2ZERO  now and more. End of it")], "doc_id int, text string")
     anchors = spark.createDataFrame([(1, 0, "Intro words"), (1, 1, "absent words"), (1, 2, "See the plan – it’s A²ZERO now"), (1, 3, ""), (1, 4, "End")], "doc_id int, seq int, anchor string")
     assert sorted(tuple(r) for r in documents.locate_sections(anchors, texts).collect()) == [(1, 0, 0, 2), (1, 1, None, None), (1, 2, 2, 11), (1, 3, None, None), (1, 4, 11, 14)]
+
+
+def test_captions_go_to_the_next_section_of_their_page(spark):
+    rows = [(1, "heading", 1), (2, "para", 1), (3, "caption", 2), (4, "heading", 2), (5, "caption", 2), (6, "heading", 3), (7, "caption", 3), (8, "heading", 4), (9, "para", None), (10, "caption", None), (11, "heading", None)]
+    df = spark.createDataFrame([(1, *r) for r in rows], "doc int, seq int, kind string, page_no int")
+    got = [r["section"] for r in documents.captioned_sections(df, "doc", "seq", F.col("kind") == "heading").orderBy("seq").collect()]
+    assert got == [1, 1, 2, 2, 2, 3, 3, 4, 4, 4, 5]
+
+
+def test_enrolling_twice_changes_nothing(spark):
+    prints = spark.createDataFrame([(1, [1.0, 0.0], 1, ["a:A"])], "person_id long, embedding array<double>, sample_count int, media array<string>")
+    rows = [("b", "A", "confirmed", "x", 1, True, True, [0.0, 1.0]), ("a", "A", "confirmed", "x", 1, True, True, [5.0, 5.0]), ("c", "A", "confirmed", "y", 2, True, True, [3.0, 4.0]), ("a", "A", "confirmed", "z", 3, True, True, [1.0, 1.0]), ("d", "A", "open", "z", 3, True, True, [1.0, 1.0])]
+    asked = spark.createDataFrame(rows, "media_id string, cluster string, decision string, name string, person_id long, confident boolean, is_public_figure boolean, embedding array<double>")
+    decided = curation.enrolments(asked, prints)
+    assert sorted((r["media_id"], r["person_id"], r["action"]) for r in decided.collect()) == [("a", 1, "enrolled already"), ("a", 3, "refused: enrolled for someone else"), ("b", 1, "enrol"), ("c", 2, "enrol")]
+    once = {r["person_id"]: r for r in curation.enrolled(prints, decided).collect()}
+    assert [round(x, 6) for x in once[1]["embedding"]] == [0.707107, 0.707107] and once[1]["sample_count"] == 2 and once[1]["media"] == ["a:A", "b:A"]
+    assert [round(x, 6) for x in once[2]["embedding"]] == [0.6, 0.8] and once[2]["sample_count"] == 1
+    stored = spark.createDataFrame(list(once.values()), "person_id long, embedding array<double>, sample_count int, media array<string>")
+    assert {r["person_id"]: r for r in curation.enrolled(stored, curation.enrolments(asked, stored)).collect()} == once

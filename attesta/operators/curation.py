@@ -157,3 +157,44 @@ def enrolled(prints: DataFrame, decided: DataFrame) -> DataFrame:
     mixed = F.aggregate(F.coalesce("new", F.array().cast("array<struct<token:string,v:array<double>>>")), start, lambda s, x: F.struct(updated_centroid(s["mean"], s["n"], x["v"]).alias("mean"), (s["n"] + 1).alias("n")))
     media = F.array_sort(F.array_union(F.coalesce("media", F.array().cast("array<string>")), F.coalesce(F.transform("new", lambda x: x["token"]), F.array().cast("array<string>"))))
     return both.withColumn("_m", mixed).select("person_id", F.col("_m.mean").alias("embedding"), F.col("_m.n").alias("sample_count"), media.alias("media"))
+
+
+# Fixed values of key-term lists: words of agenda titles that name nobody, patterns of speakers and of capitalised phrases, limits of terms.
+AGENDA_WORDS = (
+    "agenda agreement appointments approve call city comment commentary commission communications confirmation consent council "
+    "hearing introductions meeting memorandum minutes ordinance presentation proclamation public report resolution roll update"
+).split()
+AGENDA_SPEAKER = r"^([A-Z][A-Za-z'\-]+(?:\s+[A-Z][A-Za-z'\-.]+){1,3})\s+-\s+\S"
+PROPER_NOUN = r"\b([A-Z][A-Za-z]{3,}(?:\s+(?:of|the|and)?\s*[A-Z][A-Za-z]{3,}){1,3})\b"
+NOUN_CHARS, NOUNS, TERM_LEAST, TERM_MOST, TERM_WORDS, TERMS, FORBIDDEN = 44, 25, 3, 50, 5, 100, r"[<>{}\[\]\\]"
+
+
+def _names_nobody(phrase: Column) -> Column:
+    return F.arrays_overlap(F.split(F.lower(phrase), r"\s+"), F.array(*map(F.lit, AGENDA_WORDS)))
+
+
+def agenda_terms(titles: DataFrame, key: str) -> DataFrame:
+    """(key, source, rank, term) from agenda titles (key, seq, title): registered speakers in order, then the most frequent capitalised phrases, ties by phrase."""
+    flat = titles.select(key, "seq", F.trim(F.regexp_replace(F.coalesce("title", F.lit("")), r"[\r\n]+", " ")).alias("t"))
+    people = flat.withColumn("term", F.regexp_extract("t", AGENDA_SPEAKER, 1)).where((F.col("term") != "") & ~_names_nobody(F.col("term")))
+    people = people.select(key, F.lit("agenda_speakers").alias("source"), F.col("seq").cast("long").alias("rank"), "term")
+    phrases = flat.select(key, F.explode(F.regexp_extract_all("t", F.lit(PROPER_NOUN), F.lit(1))).alias("term")).where((F.char_length("term") <= NOUN_CHARS) & ~_names_nobody(F.col("term")))
+    counted = phrases.groupBy(key, "term").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("n"), "term")).cast("long")
+    return people.unionByName(counted.select(key, F.lit("agenda_proper_nouns").alias("source"), rank.alias("rank"), "term").where(F.col("rank") <= NOUNS))
+
+
+def key_terms(sources: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """(key, place, source, term): terms (key, source, rank, term) in the order of their sources, the first of each spelling, at most TERMS a key.
+
+    Terms of under TERM_LEAST letters, of TERM_MOST or more, of over TERM_WORDS words or with a forbidden
+    character are left out.
+    """
+    first = F.create_map(*[F.lit(x) for k, name in enumerate(order) for x in (name, k)])
+    trimmed = sources.withColumn("term", F.trim(F.coalesce("term", F.lit(""))))
+    n = F.char_length("term")
+    fit = trimmed.where((n >= TERM_LEAST) & (n < TERM_MOST) & (F.size(F.split("term", r"\s+")) <= TERM_WORDS) & ~F.col("term").rlike(FORBIDDEN))
+    placed = fit.withColumn("_o", F.element_at(first, F.col("source")))
+    single = placed.groupBy(key, F.lower("term").alias("_s")).agg(F.min(F.struct("_o", "rank", "term", "source")).alias("x")).select(key, "x.*")
+    place = F.row_number().over(Window.partitionBy(key).orderBy("_o", "rank", "term"))
+    return single.withColumn("place", place).where(F.col("place") <= TERMS).select(key, "place", "source", "term")

@@ -77,6 +77,21 @@ def _enrolments(s: Store) -> tuple[DataFrame, DataFrame]:
     return prints, curation.enrolments(asked, prints)
 
 
+@query("""
+WITH t AS (SELECT o_orderkey % 40 AS event_id, o_orderkey AS seq, CASE o_orderkey % 3 WHEN 0 THEN concat(['Anna', 'Boris', 'Chloe'][cast(o_orderkey % 7 % 3 AS int) + 1], ' ', ['Lee', 'Ray', 'Young', 'Wood'][cast(o_orderkey % 4 AS int) + 1], ' - topic') WHEN 1 THEN concat('grant to ', ['Huron', 'Raisin', 'Grand'][cast(o_orderkey % 5 % 3 AS int) + 1], ' River') ELSE 'Approve Minutes' END AS title FROM orders),
+     p AS (SELECT event_id, 0 AS o, seq AS rank, regexp_extract(title, '^([A-Z][a-z]+ [A-Z][a-z]+) - ', 1) AS term FROM t WHERE title LIKE '% - topic'),
+     n AS (SELECT event_id, 1 AS o, row_number() OVER (PARTITION BY event_id ORDER BY count(*) DESC, term) AS rank, term FROM (SELECT event_id, regexp_extract(title, 'to ([A-Z][a-z]+ River)', 1) AS term FROM t WHERE title LIKE 'grant %') GROUP BY event_id, term),
+     f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id, lower(term) ORDER BY o, rank) AS rn FROM (SELECT * FROM p UNION ALL SELECT * FROM n)) WHERE rn = 1)
+SELECT event_id, row_number() OVER (PARTITION BY event_id ORDER BY o, rank, term) AS place, CASE o WHEN 0 THEN 'agenda_speakers' ELSE 'agenda_proper_nouns' END AS source, term FROM f""")
+def agenda_key_terms(s: Store) -> DataFrame:
+    """Speakers and capitalised phrases of forty agendas."""
+    k = F.col("o_orderkey")
+    one = lambda names, at: F.element_at(F.array(*map(F.lit, names)), at.cast("int") + 1)
+    title = F.when(k % 3 == 0, F.concat(one(["Anna", "Boris", "Chloe"], k % 7 % 3), F.lit(" "), one(["Lee", "Ray", "Young", "Wood"], k % 4), F.lit(" - topic"))).when(k % 3 == 1, F.concat(F.lit("grant to "), one(["Huron", "Raisin", "Grand"], k % 5 % 3), F.lit(" River"))).otherwise("Approve Minutes")
+    terms = curation.agenda_terms(s.raw("orders").select((k % 40).alias("event_id"), k.alias("seq"), title.alias("title")), "event_id")
+    return curation.key_terms(terms, "event_id", ["agenda_speakers", "agenda_proper_nouns"])
+
+
 @query("""
 SELECT c.id, coalesce(CASE o.org_type WHEN 'nonprofit' THEN 'philanthropic' WHEN 'government' THEN 'federal_grant' WHEN 'business' THEN 'private' END, 'other') AS category
 FROM s_fiscal_references c LEFT JOIN s_orgs o ON o.id = c.awarding_org_id WHERE c.funding_source IS NULL OR c.funding_source = 'other'""")

@@ -219,3 +219,19 @@ def test_enrolling_twice_changes_nothing(spark):
     assert [round(x, 6) for x in once[2]["embedding"]] == [0.6, 0.8] and once[2]["sample_count"] == 1
     stored = spark.createDataFrame(list(once.values()), "person_id long, embedding array<double>, sample_count int, media array<string>")
     assert {r["person_id"]: r for r in curation.enrolled(stored, curation.enrolments(asked, stored)).collect()} == once
+
+
+def test_key_terms_of_an_agenda(spark):
+    titles = ["Ann O'Lee Young - Parks (in person)", "City Council - Roll", "Resolution for Therapaws of Michigan and the Huron River Watershed", "Therapaws of Michigan partnership\nwith Bryant Neighborhood", None, "ann lee - lower case", "Public Hearing Notice"]
+    rows = spark.createDataFrame([(1, k, t) for k, t in enumerate(titles)], "event_id int, seq int, title string")
+    found = curation.agenda_terms(rows, "event_id")
+    assert [(r["source"], r["rank"], r["term"]) for r in found.orderBy("source", "rank").collect()] == [
+        ("agenda_proper_nouns", 1, "Therapaws of Michigan"),
+        ("agenda_proper_nouns", 2, "Bryant Neighborhood"),
+        ("agenda_proper_nouns", 3, "Huron River Watershed"),
+        ("agenda_speakers", 0, "Ann O'Lee Young"),
+    ]
+    given = [("roster", k, t) for k, t in enumerate(["bryant neighborhood", "ab", "x" * 50, "one two three four five six", "a<b>c", "  Solar Fund  ", None])]
+    listed = spark.createDataFrame([(1, *g) for g in given], "event_id int, source string, rank long, term string").unionByName(found)
+    got = [r["term"] for r in curation.key_terms(listed, "event_id", ["roster", "agenda_speakers", "agenda_proper_nouns"]).orderBy("place").collect()]
+    assert got[:3] == ["bryant neighborhood", "Solar Fund", "Ann O'Lee Young"] and "Bryant Neighborhood" not in got and len(got) == len({t.lower() for t in got})

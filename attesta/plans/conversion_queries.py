@@ -228,3 +228,22 @@ def video_probes(s: Store) -> DataFrame:
     k = F.col("o_orderkey")
     line = F.when(k % 4 == 3, "ERROR").otherwise(F.concat_ws("\t", F.concat(F.lit("v"), k.cast("string")), F.when(k % 4 < 2, F.date_format("o_orderdate", "yyyyMMdd")).otherwise(""), F.when(k % 4 == 1, "NA").otherwise((k % 9000).cast("string")), F.concat(F.lit("Meeting "), k.cast("string"))))
     return s.raw("orders").select(k.alias("id"), probes.video_probe(line).alias("p")).select("id", F.col("p.id").alias("video"), "p.upload_date", "p.duration", "p.title")
+
+
+# ---------------------------------------------------------------- provenance
+
+
+@query("""
+SELECT p_partkey AS id, p_partkey % 5 = 0 OR p_partkey % 7 = 0 AS bound,
+       CASE WHEN p_partkey % 5 = 0 THEN concat('bound by page count (', p_size, ') and first-page title') ELSE concat(CASE WHEN p_partkey % 7 = 0 THEN 'human override: ' ELSE '' END, CASE p_partkey % 5 WHEN 1 THEN 'no stored page count' WHEN 2 THEN concat('page count ', p_size, ', stored ', p_size + 1) ELSE 'title not on the first page' END, CASE WHEN p_partkey % 7 = 0 THEN '; seen by hand' ELSE '' END) END AS note
+FROM part""")
+def snapshot_bindings(s: Store) -> DataFrame:
+    """Files against stored page counts and titles: agreeing, without a count, with another one, without the title, without any title."""
+    k = F.col("p_partkey") % 5
+    size = F.col("p_size")
+    title = F.concat(F.lit("The Annual Report: "), "p_name")
+    rows = s.raw("part").select(
+        F.col("p_partkey").alias("id"), size.alias("pages"), F.when(k == 2, size + 1).when(k != 1, size).alias("stored_pages"), F.when(k == 4, "--").otherwise(title).alias("stored_title"),
+        F.when(k == 3, "a page of its own").otherwise(F.concat(F.lit("city hall\nTHE ANNUAL  REPORT\n"), "p_name")).alias("first_page"), F.when(F.col("p_partkey") % 7 == 0, "seen by hand").alias("because"),
+    )
+    return conversion.snapshot_bindings(rows).select("id", "bound", "note")

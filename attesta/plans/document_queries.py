@@ -278,10 +278,10 @@ def keyterms(s: Store) -> DataFrame:
     return first.orderBy("src", "k", "term").limit(100).select("term", "src")
 
 
-@query()
+@query("SELECT doc_id FROM documents ORDER BY sha256(concat(doc_id, '-17')), doc_id LIMIT 100")
 def seeded_sample(s: Store) -> DataFrame:
     """A repeatable sample: the first hundred by a hash of key and seed."""
-    return s.raw("documents").select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(100)
+    return s.raw("documents").select("doc_id").orderBy(F.sha2(F.concat(F.col("doc_id").cast("string"), F.lit("-17")), 256), "doc_id").limit(100)
 
 
 # ---------------------------------------------------------------- geometry

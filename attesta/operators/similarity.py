@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -92,6 +92,11 @@ def multiset_difference(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFram
 SHORT_BLOCK = 1000
 
 
+def _word_runs(words: Column, k: int) -> Column:
+    """Runs of k words, repeats included; the whole where there are fewer."""
+    return words if k == 1 else F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " "))
+
+
 def contained(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", passage: str = "passage") -> DataFrame:
     """(key, item) for each document and passage that stands in it letter for letter.
 
@@ -108,10 +113,13 @@ def contained(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: s
     anchored = known.where("_n > 0").select("_item", "_passage", "_n", longest.alias("_g"))
     body = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     sizes = [r["_n"] for r in anchored.select("_n").distinct().collect()]  # three rows at most
-    words = F.split("_text", " ")
-    runs_of = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.struct(F.lit(k).alias("_n"), F.array_join(F.slice(words, i, F.lit(k)), " ").alias("_g")))
-    grams = F.flatten(F.array(*map(runs_of, sizes))) if sizes else F.array().cast("array<struct<_n:int,_g:string>>")
-    met = body.select("_key", F.explode(F.array_distinct(grams)).alias("x")).select("_key", "x.*").join(anchored, ["_n", "_g"]).select("_key", "_item", "_passage")
+    split = body.select("_key", F.split("_text", " ").alias("_w"))  # a column, as a lambda would split the text for every run
+    met = None
+    for k in sizes:
+        found = split.select("_key", F.explode(_word_runs(F.col("_w"), k)).alias("_g")).join(anchored.where(F.col("_n") == k).drop("_n"), "_g").select("_key", "_item", "_passage").distinct()
+        met = found if met is None else met.unionAll(found)
+    if met is None:
+        met = anchored.select(F.lit(None).cast(docs.schema[key].dataType).alias("_key"), "_item", "_passage").where("false")
     long_ = met.join(body, "_key").where(F.contains("_text", "_passage")).select("_key", "_item")
     blocks = known.where("_n <= 0").groupBy(F.pmod(F.xxhash64("_passage"), F.lit(2**20)).alias("_b")).agg(F.collect_list(F.struct("_item", "_passage")).alias("_short"))
     number = F.floor((F.row_number().over(Window.orderBy("_b")) - 1) / SHORT_BLOCK)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from attesta.functions.rollcall import roll_call
+from attesta.functions import rollcall
 from attesta.operators import documents, gates, geometry
 from attesta.plans.registry import query
 from attesta.plans.store import Store
@@ -197,8 +197,8 @@ def roll_calls(s: Store) -> DataFrame:
         .when(m == 4, "ROLL CALL 2 - 1 - Present : Ann Lee, Bob Ray CONSENT")
         .otherwise("no roll call")
     )
-    rows = s.raw("orders").select(F.col("o_orderkey").alias("id"), roll_call(text).alias("r"))
-    return rows.select("id", F.size("r.present").alias("present"), F.size("r.absent").alias("absent"), F.col("r.reliable").alias("reliable"), "r.reason")
+    rows = rollcall.roll_calls(s.raw("orders").select(F.col("o_orderkey").alias("id"), text.alias("minutes")), "minutes")
+    return rows.select("id", F.size("present").alias("present"), F.size("absent").alias("absent"), "reliable", "reason")
 
 
 @query("""

@@ -90,8 +90,8 @@ def test_roll_call_layouts(spark):
         "APPROVAL OF AGENDA": ([], [], False, "no ROLL CALL block"),
         None: ([], [], False, "no ROLL CALL block"),
     }
-    rows = spark.createDataFrame([(t,) for t in cases], "t string").select("t", rollcall.roll_call(F.col("t")).alias("r")).collect()
-    assert {r["t"]: tuple(r["r"]) for r in rows} == cases
+    rows = rollcall.roll_calls(spark.createDataFrame([(t,) for t in cases], "t string"), "t").collect()
+    assert {r["t"]: tuple(r)[1:] for r in rows} == cases
 
 
 def test_gate_expressions(spark):

@@ -88,3 +88,18 @@ def test_award_status_needs_a_reason(spark):
 def test_flags(spark):
     row = spark.createDataFrame([('{"a": 1}',), (None,)], "f string").select(curation.set_flag(F.col("f"), "b", F.lit(2)).alias("on"), curation.set_flag(F.col("f"), "a", F.lit(None)).alias("off")).collect()
     assert [(r["on"], r["off"]) for r in row] == [('{"a":"1","b":"2"}', "{}"), ('{"b":"2"}', "{}")]
+
+
+def test_word_agreement_is_over_the_longer_side(spark):
+    from pyspark.sql import functions as F
+
+    from attesta.operators import metrics
+
+    rows = [("the new solar plan", "the solar plan"), ("um the plan uh", "THE plan!"), ("a b", "c d"), ("", ""), (None, "a b"), ("a b c d", "a b x y")]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, a string, b string")
+    got = [r["x"] for r in df.select("k", metrics.word_agreement("a", "b").alias("x")).orderBy("k").collect()]
+    assert got == [0.75, 1.0, 0.0, 0.0, 0.0, 0.5]
+    both = [r["x"] for r in df.select("k", metrics.word_agreement("b", "a").alias("x")).orderBy("k").collect()]
+    assert both == got
+    total = df.select(metrics.review_seconds(unnamed=F.lit(2), welded=F.lit(1), split=F.lit(None).cast("int")).alias("x")).first()["x"]
+    assert total == 2 * metrics.BURDEN["unnamed"] + metrics.BURDEN["welded"]

@@ -235,3 +235,13 @@ def test_key_terms_of_an_agenda(spark):
     listed = spark.createDataFrame([(1, *g) for g in given], "event_id int, source string, rank long, term string").unionByName(found)
     got = [r["term"] for r in curation.key_terms(listed, "event_id", ["roster", "agenda_speakers", "agenda_proper_nouns"]).orderBy("place").collect()]
     assert got[:3] == ["bryant neighborhood", "Solar Fund", "Ann O'Lee Young"] and "Bryant Neighborhood" not in got and len(got) == len({t.lower() for t in got})
+
+
+def test_footnotes_are_referred_to_by_the_second_read(spark):
+    units = [(1, "para", "In Year Two, we:", 0), (2, "para", "In Year Two, we:", 40), (3, "para", "They met:", 60), (4, "footnote", "1 For more information see", 80), (5, "footnote", "14 Another one of them", 90), (6, "footnote", "3 Too short", 95), (7, "footnote", "2 Outside of all sections", 300)]
+    df = spark.createDataFrame([(1, *u) for u in units] + [(2, *units[0]), (2, *units[3])], "doc_id int, seq int, kind string, text string, char_start int")
+    sections = spark.createDataFrame([(1, 10, 0, 30), (1, 11, 30, 100), (2, 12, 0, 200)], "doc_id int, id int, char_start int, char_end int")
+    second = spark.createDataFrame([(1, "In Year Two, we: x In Year Two, we 14 : and so on"), (2, "In Year Two, we11: no")], "doc_id int, second string")
+    got = sorted((r["doc_id"], r["number"], r["section_id"], r["referred_at"]) for r in conversion.footnotes(df, sections, second).collect() if r["number"] != 2)
+    assert got == [(1, 1, 11, None), (1, 14, 11, 55), (2, 1, 12, None)]
+    assert [r["section_id"] for r in conversion.footnotes(df, sections, second).where("number = 2").collect()] == [None]

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, common, decontam, html_render, pii, quality, secret_scan, sharding, simhash, token_count, toxicity
+from attesta.llm import bpe, common, decontam, divergence, html_render, mpeg_audio, periodic, pii, quality, secret_scan, sharding, simhash, token_count, toxicity
 
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BPE_MODEL = public_tokenizers.path("byte_bpe_50k.json")
 PATTERN = public_tokenizers.PATTERN
+_SPACES = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,12 +70,67 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = mpeg_audio.describe(mpeg_audio.store(table(spark, sf_dir, "documents")))
+    feature = F.concat_ws(
+        ";",
+        *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in ("version", "layer", "rate", "channels", "frames", "samples")),
+        F.concat(F.lit("microseconds="), F.expr("samples * 1000000 div rate").cast("string")),
+        *(F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in ("variable", "table", "table_ok", "table_intact", "music_ok", "checked", "failed", "resyncs", "skipped", "seek_crc32")),
+    )
+    return read.select(
+        "doc_id",
+        F.col("tags")["text_bytes"].cast("long").alias("n_bytes"),
+        F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -mpeg_audio.BLOCK, mpeg_audio.BLOCK)).alias("tail_crc32"),
+        F.length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts of a tenth of the documents, by the checksum of doc_id, go on periodically from some word."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, F.filter(F.split("text", _SPACES), lambda w: w != "")).alias("w"))
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = F.when(n > 0, (g % n).cast("int"))
+    placed = words.withColumns({"n": n, "g": g, "a": a})
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    copies = F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    periodic = F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(F.flatten(copies), F.lit(1), rest))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(periodic, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("before"), (-r.period).alias("shortness"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("top", top)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.before")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.shortness")).alias("period"),
+        F.expr("1000 * top.length div -top.shortness").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_personal_data, op3_rendezvous_shards, op4_token_counts, op5_toxicity, op6_secrets, op7_visible_text, op8_simhash, op9_quality_rules, op10_decontamination)
+    for f in (op1_byte_bpe, op2_personal_data, op3_rendezvous_shards, op4_token_counts, op5_toxicity, op6_secrets, op7_visible_text, op8_simhash, op9_quality_rules, op10_decontamination, op11_mpeg_audio, op12_source_divergence, op13_periodic_runs)
 }
 
-_SPACES = r"[\x20\x09-\x0D]+"
 _STOP = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS.split())))
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -115,4 +171,21 @@ WITH i AS (SELECT item_id, w, len(w) AS n, least({decontam.SHINGLE}, len(w)) AS
      seen AS (SELECT start.doc_id, start.item_id, s, hit.g, hit.c, count(*) AS got FROM start JOIN hit ON hit.doc_id = start.doc_id AND hit.item_id = start.item_id AND hit.p BETWEEN s AND s + start.n - start.q GROUP BY ALL),
      sim AS (SELECT seen.doc_id, seen.item_id, s, sum(least(seen.c, got)) / any_value(total.c) AS similarity FROM seen JOIN total ON total.item_id = seen.item_id GROUP BY seen.doc_id, seen.item_id, s)
 SELECT doc_id, item_id, cast(max(similarity) AS double) AS similarity, arg_min(s, (-similarity, s)) AS first_word FROM sim WHERE similarity >= {decontam.SIMILARITY} GROUP BY doc_id, item_id""",
+    # the definition itself: every kept term in every group, also where it doesn't occur
+    "op12_source_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+     w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+     k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.LEAST_DOCUMENTS}),
+     g AS (SELECT DISTINCT lang, source FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+     v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+     t AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+     p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (cast({divergence.SCALE} AS HUGEINT) * (coalesce(c.n, 0) + 1)) // cast(coalesce(t.n, 0) + v.v AS HUGEINT) AS p
+           FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN t ON t.lang = g.lang AND t.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+     q AS (SELECT c.lang, c.term, 1 + (cast({divergence.SCALE} AS HUGEINT) * cast(sum(c.n) + 1 AS HUGEINT)) // cast(any_value(a.n) + any_value(v.v) AS HUGEINT) AS q FROM c JOIN (SELECT lang, sum(n) AS n FROM t GROUP BY lang) a ON a.lang = c.lang JOIN v ON v.lang = c.lang GROUP BY c.lang, c.term),
+     s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+     pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, cast(coalesce(s.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+     terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, cast(((p.p - q.q) * (p.p - q.q)) // q.q AS BIGINT) AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q)
+SELECT *, cast(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT *, cast(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INT) AS rank FROM terms) WHERE rank <= {divergence.TOP_TERMS}""",
 }

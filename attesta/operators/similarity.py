@@ -130,3 +130,34 @@ def contained(docs: DataFrame, passages: DataFrame, key: str = "doc_id", text: s
         short = body.join(asked, F.lit(True)).select("_key", F.explode(F.filter("_short", lambda p: F.contains("_text", p["_passage"]))).alias("p")).select("_key", "p._item")
         found = long_.unionAll(short)
     return found.select(F.col("_key").alias(key), F.col("_item").alias(item))
+
+
+def _edits(length: Column, least: float) -> Column:
+    """The most edits that leave a similarity of ``least`` when the longer word has ``length`` letters."""
+    return F.floor(length * (1 - least) + 1e-9).cast("int")
+
+
+def edit_pairs(words: DataFrame, word: str = "word", least: float = 0.8) -> DataFrame:
+    """(a, b, distance, similarity) for all pairs of different words whose similarity, 1 - edits / longer length, is at least ``least``; a < b.
+
+    Exact, by parts: a word cut into k + 1 parts keeps one of them under k edits, moved by at most k places. So the shorter
+    word stands under its parts and the longer asks for its stretches at places that near; only words
+    that share a part of the same length, number and text meet. Null and empty words are left out.
+    """
+    named = words.select(F.col(word).alias("w")).where("w <> ''").distinct().withColumn("n", F.char_length("w"))
+    # parts of a word for each number of edits that it may be asked under, by words up to ``n / least`` letters
+    asked_for = F.array_distinct(F.transform(F.sequence("n", F.greatest(F.col("n"), F.floor(F.col("n") / least + 1e-9).cast("int"))), lambda m: _edits(m, least)))
+    per = named.withColumn("k", F.explode(asked_for)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    begin = lambda n, k, i: F.floor(n * i / (k + 1)).cast("int")
+    n, k, i = F.col("n"), F.col("k"), F.col("i")
+    start = begin(n, k, i)
+    held = per.select(F.col("w").alias("short"), n.alias("m"), "k", "i", F.substr("w", start + 1, begin(n, k, i + 1) - start).alias("part"))
+    asks = named.withColumn("k", _edits(n, least)).withColumn("m", F.explode(F.sequence(F.greatest(F.lit(1), n - F.col("k")), n))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
+    m = F.col("m")
+    size = begin(m, k, i + 1) - begin(m, k, i)
+    near = F.sequence(F.greatest(F.lit(0), begin(m, k, i) - k), F.greatest(F.lit(0), F.least(n - size, begin(m, k, i) + k)))
+    stretches = F.array_distinct(F.transform(near, lambda p: F.substr("w", p + 1, size)))
+    asked = asks.select(F.col("w").alias("long"), "n", "m", "k", "i", F.explode(stretches).alias("part"))
+    met = asked.join(held, ["m", "k", "i", "part"]).where((F.col("n") > F.col("m")) | (F.col("short") < F.col("long"))).select("short", "long", "n", "k").distinct()
+    told = met.withColumn("distance", F.levenshtein("short", "long")).where("distance <= k")
+    return told.select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"), "distance", F.round(1 - F.col("distance") / F.col("n"), 4).alias("similarity"))

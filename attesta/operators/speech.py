@@ -14,9 +14,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 #: A name matches a roster entry from this ratio, or from a shared beginning of this many letters.
 RATIO, PREFIX = 0.68, 4
+#: Sounds that no system is judged by. Fixed values.
+FILLER = ("uh", "um", "mm", "hmm", "mhm", "ah", "er")
+#: Examples of a clip that may give candidates, their least length and ratio, and candidates of a clip. Fixed values.
+EXAMPLES, LEAST_LETTERS, VARIANT_RATIO, CANDIDATES = 60, 4, 0.5, 40
 #: How far before the last kept end a chunk's word may start, in milliseconds.
 SEAM_MS = 10
 
@@ -94,7 +99,7 @@ def dissent(readings: dict[str, str]) -> list[tuple[int, str, str, str]]:
     """
     if len(readings) < 3:
         return []
-    tokens = {system: plain(readings[system]) for system in sorted(readings)}
+    tokens = {system: [w for w in plain(readings[system]) if w not in FILLER] for system in sorted(readings)}
     pivot = sorted(tokens, key=lambda system: len(tokens[system]))[len(tokens) // 2]
     heard = pd.DataFrame({system: _heard(tokens[pivot], words) if system != pivot else tokens[pivot] for system, words in tokens.items()}, dtype=object)
     out = []
@@ -117,6 +122,29 @@ def dissents(readings: DataFrame, key: str = "clip") -> DataFrame:
     return readings.select(key, "system", "text").groupBy(key).applyInPandas(run, f"{key} {kind}, position int, system string, reading string, agreed string")
 
 
+@F.pandas_udf(T.DoubleType())
+def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Share of letters in common blocks, twice their number by both lengths."""
+    return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b)])
+
+
+def vocabulary_candidates(found: DataFrame, key: str = "clip") -> DataFrame:
+    """(key, spelling, variants, systems, times, rank): words that a clip's systems spell in several ways, from its ``dissents``.
+
+    Of a clip's dissents the first EXAMPLES by position are looked at; an agreed word of LEAST_LETTERS letters or more, letters only, is a
+    candidate if what the odd system read is over VARIANT_RATIO like it. ``variants`` counts the readings; candidates rank by times, then
+    by first position, up to CANDIDATES. A reading is scored once, however often it came.
+    """
+    place = F.row_number().over(Window.partitionBy(key).orderBy("position", "system"))
+    looked = found.withColumn("_n", place).where(f"_n <= {EXAMPLES} and reading <> ''").where(F.col("agreed").rlike(f"^[a-z]{{{LEAST_LETTERS},}}$"))
+    counted = looked.groupBy(key, "agreed", "reading").agg(F.count("*").alias("n"), F.min("position").alias("first"))
+    pairs = counted.select("agreed", "reading").distinct().withColumn("_ratio", ratio("agreed", "reading")).where(f"_ratio > {VARIANT_RATIO}")
+    alike = counted.join(pairs, ["agreed", "reading"])
+    told = alike.groupBy(key, F.col("agreed").alias("spelling")).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reading", "n")))).alias("variants"), F.count("*").alias("systems"), F.sum("n").alias("times"), F.min("first").alias("_first"))
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("times"), "_first", "spelling"))
+    return told.withColumn("rank", rank).where(f"rank <= {CANDIDATES}").drop("_first")
+
+
 def drop_seams(words: DataFrame, key: str = "media_id", seam_ms: int = SEAM_MS) -> DataFrame:
     """Words without those that a later chunk repeats: a word that starts before the last kept word's end goes."""
     fields = words.schema

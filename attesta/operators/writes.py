@@ -6,6 +6,8 @@ caller to swap in. Guards return offending rows; ``enforce`` turns them into a f
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -138,3 +140,65 @@ def centroid(vectors: DataFrame, key: str, vector: str = "embedding") -> DataFra
     means = cells.groupBy(key, "p").agg(F.avg(F.col("v").cast("double")).alias("m"), F.count("*").alias("n"))
     joined = means.groupBy(key).agg(F.max("n").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("p", "m"))), lambda x: x["m"]).alias("c"), F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("length"))
     return joined.select(key, "n", F.transform("c", lambda x: x / F.col("length")).alias("centroid"))
+
+
+def upsert_where(old: DataFrame, new: DataFrame, keys: list[str], order: str, update: list[str], condition: Column | None = None) -> DataFrame:
+    """Rows after INSERT ... ON CONFLICT (``keys``) WHERE ``condition`` DO UPDATE SET ``update``, row by row in ``order``.
+
+    The condition is that of a partial unique index (the keys are known, if it is not given): rows outside it never collide, so
+    all of them are inserted. A row that collides changes the ``update`` columns only; the others stay as first inserted. A null key collides with nothing.
+    """
+    known = reduce(lambda a, k: a & F.col(k).isNotNull(), keys, F.lit(True))
+    inside = F.coalesce(known if condition is None else known & condition, F.lit(False))
+    fresh = new.withColumn("_in", inside)
+    row = F.struct(*old.columns)
+    folded = fresh.where("_in").groupBy(*keys).agg(F.min_by(row, order).alias("_first"), F.max_by(F.struct(*update), order).alias("_last"))
+    held = old.withColumn("_in", inside)
+    met = held.where("_in").select(*keys, row.alias("_old")).join(folded, keys, "full")
+    pick = lambda c: F.col(f"_last.{c}") if c in update else F.coalesce(F.col("_old"), F.col("_first"))[c]
+    written = met.select(*[(F.when(F.col("_last").isNotNull(), pick(c)).otherwise(F.col(f"_old.{c}"))).alias(c) for c in old.columns])
+    return written.unionByName(held.where("not _in").select(*old.columns)).unionByName(fresh.where("not _in").select(*old.columns))
+
+
+def link_or_insert(old: DataFrame, new: DataFrame, match: list[str], identity: list[str], order: str, fill: list[str], update: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows, outcomes): ``new`` rows linked to rows of another source by ``match`` columns, or else upserted by ``identity``.
+
+    One row of the same match: it takes the new identity and keeps what it has, ``fill`` columns getting values where it has none.
+    Several: the match is ambiguous, the new rows are queued with their number of hits and nothing is written. None: an
+    upsert, which changes ``update`` columns of a row with the same identity, or a new row. Hits are those before the batch; new rows
+    that share a match go to one row in ``order``, the last giving the identity, each filling what is still unknown. ``outcomes``
+    has a row for each new row: match, identity, order, outcome (linked, inserted, updated, ambiguous), hits.
+    """
+    own = identity[-1]
+    hits = old.groupBy(*match).agg(F.count("*").alias("_hits"))
+    met = new.join(hits, match, "left").withColumn("_hits", F.coalesce("_hits", F.lit(0)))
+    by = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+    folded = met.where("_hits <= 1").groupBy(*match, "_hits").agg(F.max_by(own, order).alias("_own"), F.min_by(F.struct(*new.columns), order).alias("_first"), *[by(c).alias(f"_{c}") for c in fill])
+    # one hit
+    one = folded.where("_hits = 1").drop("_hits")
+    linked = old.join(one, match, "left")
+    got = F.col("_first").isNotNull()
+    took = {own: F.when(got, F.col("_own")).otherwise(F.col(own)), **{c: F.coalesce(c, f"_{c}") for c in fill}}
+    after = linked.select(*[took.get(c, F.col(c)).alias(c) for c in old.columns])
+    # none: an upsert of the first, the others fill it
+    none = folded.where("_hits = 0").select("_own", *[f"_{c}" for c in fill], *[F.col(f"_first.{c}").alias(c) for c in new.columns])
+    same = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in identity]
+    both = after.alias("o").join(none.alias("n"), same, "full")
+    had, new_ = F.col(f"o.{own}").isNotNull() | F.col(f"o.{old.columns[0]}").isNotNull(), F.col(f"n.{own}").isNotNull()
+
+    def value(c: str) -> Column:
+        filled = F.coalesce(f"n.{c}", f"n._{c}") if c in fill else F.col(f"n.{c}")
+        if c == own:
+            return F.when(new_, F.col("n._own")).otherwise(F.col(f"o.{c}")).alias(c)
+        if c in update:
+            kept = filled
+        else:
+            kept = F.coalesce(f"o.{c}", f"n._{c}") if c in fill else F.col(f"o.{c}")
+        return F.when(new_ & had, kept).when(new_, filled).otherwise(F.col(f"o.{c}")).alias(c)
+
+    rows = both.select(*[value(c) for c in old.columns])
+    known = after.select(*identity).where(F.col(own).isNotNull()).distinct().withColumn("_known", F.lit(True))
+    first = F.row_number().over(Window.partitionBy(*match).orderBy(order)) == 1
+    told = met.withColumn("_is_first", first).join(known, identity, "left")
+    outcome = F.when(F.col("_hits") > 1, "ambiguous").when(F.col("_hits") == 1, "linked").when(~F.col("_is_first"), "linked").when(F.col("_known"), "updated").otherwise("inserted")
+    return rows, told.select(*match, own, order, outcome.alias("outcome"), F.col("_hits").alias("hits"))

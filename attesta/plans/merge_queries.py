@@ -42,9 +42,9 @@ KEYS = merging.Keys(
 #: Ruled merges: some go on from a survivor that is merged later, some are refused.
 RULINGS = """
 SELECT CASE WHEN p_partkey % 10 = 3 THEN p_partkey + 1000000000 ELSE p_partkey END AS seq, p_partkey AS loser,
-       CASE p_partkey % 10 WHEN 3 THEN p_partkey - 1 WHEN 5 THEN p_partkey - 2 WHEN 7 THEN p_partkey WHEN 8 THEN p_partkey + 100000000 ELSE p_partkey - 1 END AS survivor,
+       CASE p_partkey % 10 WHEN 3 THEN p_partkey - 1 WHEN 4 THEN p_partkey - 2 WHEN 5 THEN p_partkey - 2 WHEN 7 THEN p_partkey WHEN 8 THEN p_partkey + 100000000 ELSE p_partkey - 1 END AS survivor,
        'reviewer' AS merged_by, p_comment AS merge_note
-FROM (SELECT DISTINCT p_partkey, concat('ruled on ', p_partkey) AS p_comment FROM {part} WHERE p_partkey % 10 IN (3, 5, 6) OR p_partkey % 70 IN (7, 8))"""
+FROM (SELECT DISTINCT p_partkey, concat('ruled on ', p_partkey) AS p_comment FROM {part} WHERE p_partkey % 10 IN (3, 4, 5, 6) OR p_partkey % 70 IN (7, 8))"""
 
 _FAULTS = f"""
   r AS ({RULINGS.format(part='part')}), s AS (SELECT id, any_value(merged_into_id) AS m FROM s_subjects GROUP BY id),

@@ -138,3 +138,52 @@ WITH m AS (SELECT label, p, avg(cast(v AS double)) AS m, count(*) AS n FROM (SEL
 SELECT label, max(n) AS n, round(max(CASE WHEN p = 1 THEN m END) / sqrt(sum(m * m)), 6) AS first_cell FROM m GROUP BY label""")
 def centroids(s: Store) -> DataFrame:
     return writes.centroid(s.raw("embeddings"), "label").select("label", "n", F.round(F.element_at("centroid", 1), 6).alias("first_cell"))
+
+
+@query("""
+WITH b AS (SELECT id, external_id, title, action, live, id % 2 AS side, external_id IS NOT NULL AND live AS inside FROM s_partial_items),
+     o AS (SELECT external_id AS k, min(id) AS id, arg_min(title, id) AS title, arg_min(action, id) AS action FROM b WHERE inside AND side = 0 GROUP BY 1),
+     n AS (SELECT external_id AS k, min(id) AS id, arg_min(title, id) AS title, arg_max(action, id) AS action FROM b WHERE inside AND side = 1 GROUP BY 1)
+SELECT coalesce(o.id, n.id) AS id, coalesce(o.k, n.k) AS external_id, CASE WHEN o.k IS NULL THEN n.title ELSE o.title END AS title, coalesce(n.action, o.action) AS action, true AS live FROM o FULL JOIN n ON n.k = o.k
+UNION ALL SELECT id, external_id, title, action, live FROM b WHERE NOT inside""")
+def upsert_partial(s: Store) -> DataFrame:
+    """Items upserted under a key that is unique among live items with a known number only; the action alone is overwritten."""
+    items = s.partial_items
+    live = F.col("live")
+    held = items.where("id % 2 = 0 and external_id is not null and live").groupBy("external_id").agg(F.min_by(F.struct("id", "title", "action", "live"), "id").alias("r")).select("r.id", "external_id", "r.title", "r.action", "r.live")
+    old = held.unionByName(items.where("id % 2 = 0 and not (external_id is not null and live)"))
+    return writes.upsert_where(old, items.where("id % 2 = 1").withColumn("seq", F.col("id")), ["external_id"], "seq", ["action"], live)
+
+
+_LINKED = """
+  c AS (SELECT DISTINCT ON (body_id, external_id) * FROM s_calendar_meetings WHERE external_id IS NOT NULL ORDER BY body_id, external_id, id),
+  old AS (SELECT * FROM c UNION ALL SELECT * FROM s_calendar_meetings WHERE external_id IS NULL),
+  n AS (SELECT DISTINCT ON (body_id, external_id) * FROM s_listed_meetings ORDER BY body_id, external_id, seq),
+  h AS (SELECT n.*, (SELECT count(*) FROM old o WHERE o.body_id = n.body_id AND o.event_date = n.event_date) AS hits, row_number() OVER (PARTITION BY n.body_id, n.event_date ORDER BY n.seq) AS rn FROM n),
+  f AS (SELECT body_id, event_date, hits, arg_max(external_id, seq) AS own, arg_min(external_id, seq) AS own0, arg_min(id, seq) AS id, min(seq) AS s0,
+               arg_min(location, seq) FILTER (WHERE location IS NOT NULL) AS location, arg_min(agenda_url, seq) FILTER (WHERE agenda_url IS NOT NULL) AS agenda_url FROM h WHERE hits <= 1 GROUP BY 1, 2, 3),
+  l AS (SELECT o.id, o.body_id, coalesce(f.own, o.external_id) AS external_id, o.event_date, coalesce(o.location, f.location) AS location, coalesce(o.agenda_url, f.agenda_url) AS agenda_url FROM old o LEFT JOIN f ON f.hits = 1 AND f.body_id = o.body_id AND f.event_date = o.event_date)"""
+
+
+def _linked(s: Store) -> tuple[DataFrame, DataFrame]:
+    first = lambda df, order: df.groupBy("body_id", "external_id").agg(F.min_by(F.struct(*[c for c in df.columns if c not in ("body_id", "external_id")]), order).alias("r")).select("body_id", "external_id", "r.*")
+    cal = s.calendar_meetings
+    old = first(cal.where("external_id is not null"), "id").select(*cal.columns).unionByName(cal.where("external_id is null"))
+    return writes.link_or_insert(old, first(s.listed_meetings, "seq"), ["body_id", "event_date"], ["body_id", "external_id"], "seq", ["location", "agenda_url"], ["event_date", "agenda_url"])
+
+
+@query(f"""
+WITH {_LINKED} SELECT coalesce(l.id, f.id) AS id, coalesce(l.body_id, f.body_id) AS body_id, coalesce(f.own, l.external_id) AS external_id, coalesce(f.event_date, l.event_date) AS event_date,
+  CASE WHEN l.id IS NULL THEN f.location ELSE coalesce(l.location, f.location) END AS location, CASE WHEN f.id IS NULL THEN l.agenda_url ELSE f.agenda_url END AS agenda_url
+FROM l FULL JOIN (SELECT * FROM f WHERE hits = 0) f ON f.body_id = l.body_id AND f.own0 = l.external_id""")
+def linked_meetings(s: Store) -> DataFrame:
+    """Calendar meetings once another source's are linked by body and date, or upserted by its number."""
+    return _linked(s)[0]
+
+
+@query(f"""
+WITH {_LINKED} SELECT h.body_id, h.event_date, h.external_id, h.seq, h.hits,
+  CASE WHEN hits > 1 THEN 'ambiguous' WHEN hits = 1 OR rn > 1 THEN 'linked' WHEN EXISTS (SELECT 1 FROM l WHERE l.body_id = h.body_id AND l.external_id = h.external_id) THEN 'updated' ELSE 'inserted' END AS outcome FROM h""")
+def link_outcomes(s: Store) -> DataFrame:
+    """What became of each listed meeting; several calendar rows of one body and date are a queue, never a guess."""
+    return _linked(s)[1]

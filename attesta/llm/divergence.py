@@ -20,8 +20,11 @@ gives an empty result; other columns, whatever their names, are not read.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +40,11 @@ LEAST_DOCUMENTS = 3
 #: Ranks of terms that are returned for each group.
 TOP_TERMS = 200
 #: Leaf counters at which a task hands its tries on; leading bytes of a sub-trie; leaves at which a prefix is cut deeper.
-TRIE_COUNTERS, PREFIX_BYTES, RANGE_LEAVES = 300_000, 3, 250_000
+TRIE_COUNTERS, PREFIX_BYTES, RANGE_LEAVES = 700_000, 3, 1_000_000
 #: Terms of a merged piece.
 PIECE_TERMS = 4096
-#: Texts are counted together up to so many bytes.
-FRONT_BYTES = 8 << 20
+#: Counts that wait together before they are added to a trie.
+FRONT_ENTRIES = 500_000
 
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -81,9 +84,14 @@ class RadixTrie:
         return node[2]
 
     def add(self, term: bytes, documents: int, counts: dict) -> None:
+        """Adds to the leaf of ``term``; a new leaf keeps ``counts`` itself."""
         leaf = self.leaf(term)
         leaf[0] += documents
         held = leaf[1]
+        if not held:
+            leaf[1] = counts
+            self.counters += len(counts)
+            return
         before = len(held)
         for source, n in counts.items():
             held[source] = held.get(source, 0) + n
@@ -101,10 +109,9 @@ class RadixTrie:
                 stack.extend((term, node[1][k]) for k in sorted(node[1], reverse=True))
 
 
-#: A sub-trie in walking order: the bytes that a term shares with the one before it, its other bytes, documents, and counters up to ``ends``.
+#: A sub-trie in walking order: its terms (without the prefix), their documents, and the counters of each up to ``ends``.
 _TRIE = [
-    ("shared", pa.list_(pa.int32()), "array<int>"),
-    ("rest", pa.list_(pa.binary()), "array<binary>"),
+    ("term", pa.list_(pa.binary()), "array<binary>"),
     ("documents", pa.list_(pa.int64()), "array<bigint>"),
     ("ends", pa.list_(pa.int32()), "array<int>"),
     ("leaf", pa.list_(pa.int32()), "array<int>"),
@@ -126,44 +133,50 @@ def _batch(fields: list[tuple], rows: list[tuple]) -> pa.RecordBatch:
 
 def _packed(leaves: list[tuple[bytes, list]]) -> tuple:
     """Columns of ``_TRIE`` for terms in byte order."""
-    shared, rest, documents, ends, leaf, count, names = [], [], [], [], [], [], {}
-    before = b""
-    for term, (docs, held) in leaves:
-        same, most = 0, min(len(before), len(term))
-        while same < most and before[same] == term[same]:
-            same += 1
-        shared.append(same)
-        rest.append(term[same:])
-        documents.append(docs)
-        for source, n in held.items():
-            leaf.append(names.setdefault(source, len(names)))
-            count.append(n)
-        ends.append(len(leaf))
-        before = term
-    return shared, rest, documents, ends, leaf, count, list(names)
+    names: dict[str, int] = {}
+    counters = [held for _, (_, held) in leaves]
+    leaf = [names.setdefault(source, len(names)) for held in counters for source in held]
+    return [t for t, _ in leaves], [d for _, (d, _) in leaves], list(accumulate(map(len, counters))), leaf, [n for held in counters for n in held.values()], list(names)
 
 
 def _unpacked(row: dict) -> Iterator[tuple[bytes, int, dict]]:
-    names, leaf, count, at, term = row["sources"], row["leaf"], row["count"], 0, b""
-    for same, rest, documents, end in zip(row["shared"], row["rest"], row["documents"], row["ends"]):
-        term = term[:same] + rest
-        yield term, documents, {names[s]: n for s, n in zip(leaf[at:end], count[at:end])}
+    sources, counts, at = [row["sources"][k] for k in row["leaf"]], row["count"], 0
+    for term, documents, end in zip(row["term"], row["documents"], row["ends"]):
+        yield term, documents, dict(zip(sources[at:end], counts[at:end]))
         at = end
 
 
-def _cut(walk: Iterator[tuple[bytes, list]], lang: str, depth: int) -> Iterator[tuple]:
-    """Rows of a trie's sub-tries, one for each leading ``depth`` bytes."""
-    prefix, leaves = None, []
-    for term, leaf in walk:
-        if term[:depth] != prefix:
-            if leaves:
-                yield lang, prefix, len(leaves), *_packed(leaves)
-            prefix, leaves = term[:depth], []
-        leaves.append((term, leaf))
-    if leaves:
+#: Sub-tries of one task, each of the terms with its leading bytes, which it holds without them.
+Forest = dict[tuple[str, bytes], RadixTrie]
+
+
+def _add(forest: Forest, lang: str, depth: int, term: bytes, documents: int, counts: dict) -> int:
+    """Adds to the sub-trie of ``term``; returns how many counters are new."""
+    place = lang, term[:depth]
+    trie = forest.get(place)
+    if trie is None:
+        trie = forest[place] = RadixTrie()
+    before = trie.counters
+    trie.add(term[depth:], documents, counts)
+    return trie.counters - before
+
+
+def _rows(forest: Forest) -> Iterator[tuple]:
+    for (lang, prefix), trie in forest.items():
+        leaves = list(trie.walk())
         yield lang, prefix, len(leaves), *_packed(leaves)
 
 
+@contextmanager
+def _no_cycles() -> Iterator[None]:
+    """Millions of small containers, none in a cycle: the collector would only look through them again and again."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
+
+
 def _batches_of(fields: list[tuple], rows: Iterator[tuple], most: int = 256) -> Iterator[pa.RecordBatch]:
     held = []
     for row in rows:
@@ -175,49 +188,53 @@ def _batches_of(fields: list[tuple], rows: Iterator[tuple], most: int = 256) ->
         yield _batch(fields, held)
 
 
-def _front(texts: list[tuple[str, str, bytes]], tries: dict[str, RadixTrie]) -> None:
-    """Counts texts, then adds each different term to its language's trie once."""
-    occurrences: dict[tuple[str, str], Counter] = {}
-    documents: dict[str, Counter] = {}
-    for lang, source, text in texts:
+class _Front:
+    """Counts that wait for the tries: a term that comes often is added to its language's trie once for many documents."""
+
+    def __init__(self) -> None:
+        self.occurrences: dict[tuple[str, str], Counter] = {}
+        self.documents: dict[str, Counter] = {}
+
+    def add(self, lang: str, source: str, text: bytes) -> None:
         terms = text.translate(_PLAIN).split()
-        occurrences.setdefault((lang, source), Counter()).update(terms)
-        documents.setdefault(lang, Counter()).update(set(terms))
-    gathered: dict[str, dict[bytes, dict]] = {lang: {t: {} for t in found} for lang, found in documents.items()}
-    for (lang, source), found in occurrences.items():
-        held = gathered[lang]
-        for term, n in found.items():
-            held[term][source] = n
-    for lang, held in gathered.items():
-        trie, docs = tries.setdefault(lang, RadixTrie()), documents[lang]
-        for term, counts in held.items():
-            trie.add(term, docs[term], counts)
+        self.occurrences.setdefault((lang, source), Counter()).update(terms)
+        self.documents.setdefault(lang, Counter()).update(set(terms))
+
+    def entries(self) -> int:
+        return sum(map(len, self.occurrences.values()))
+
+    def into(self, forest: Forest, depth: int) -> int:
+        """Moves all counts to ``forest``; returns how many counters are new there."""
+        new = 0
+        for lang, documents in self.documents.items():
+            counts: dict[bytes, dict] = {term: {} for term in documents}
+            for (of, source), found in self.occurrences.items():
+                if of == lang:
+                    for term, n in found.items():
+                        counts[term][source] = n
+            for term, held in counts.items():
+                new += _add(forest, lang, depth, term, documents[term], held)
+        self.__init__()
+        return new
 
 
 def local_tries(docs: DataFrame, depth: int = PREFIX_BYTES, counters: int = TRIE_COUNTERS) -> DataFrame:
     """Sub-tries of each task's documents; ``docs`` has lang, source and text without nulls."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries: dict[str, RadixTrie] = {}
-        texts, held = [], 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            _front(texts, tries)
-            texts.clear()
-            yield from _batches_of([*_HEAD, *_TRIE], (row for lang, trie in tries.items() for row in _cut(trie.walk(), lang, depth)))
-            tries.clear()
-
-        for batch in slices(batches):
-            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary()).to_pylist()):
-                texts.append((lang, source, text))
-                held += len(text)
-                if held >= FRONT_BYTES:
-                    _front(texts, tries)
-                    texts.clear()
-                    held = 0
-                    if sum(t.counters for t in tries.values()) >= counters:
-                        yield from out()
-        yield from out()
+        forest: Forest = {}
+        front, held = _Front(), 0
+        with _no_cycles():
+            for batch in slices(batches):
+                for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary()).to_pylist()):
+                    front.add(lang, source, text)
+                if front.entries() >= FRONT_ENTRIES:
+                    held += front.into(forest, depth)
+                    if held >= counters:
+                        yield from _batches_of([*_HEAD, *_TRIE], _rows(forest))
+                        forest, held = {}, 0
+            front.into(forest, depth)
+            yield from _batches_of([*_HEAD, *_TRIE], _rows(forest))
 
     return map_batches(docs.select("lang", "source", "text"), count, _ddl(*_HEAD))
 
@@ -227,7 +244,10 @@ def _deeper(depth: int):
         def rows() -> Iterator[tuple]:
             for batch in slices(batches):
                 for row in batch.to_pylist():
-                    yield from _cut(((t, [d, c]) for t, d, c in _unpacked(row)), row["lang"], depth)
+                    forest: Forest = {}
+                    for term, documents, counts in _unpacked(row):
+                        _add(forest, row["lang"], depth, row["prefix"] + term, documents, counts)
+                    yield from _rows(forest)
 
         yield from _batches_of([*_HEAD, *_TRIE], rows())
 
@@ -261,28 +281,32 @@ def merged_tries(tries: DataFrame, least: int = LEAST_DOCUMENTS, piece: int = PI
         def pieces(lang: str, leaves: list) -> Iterator[tuple]:
             for at in range(0, len(leaves), piece):
                 packed = _packed(leaves[at : at + piece])
-                sums = np.zeros(len(packed[6]), np.int64)
-                np.add.at(sums, packed[4], packed[5])
+                sums = np.zeros(len(packed[5]), np.int64)
+                np.add.at(sums, packed[3], packed[4])
                 yield lang, len(packed[0]), sums.tolist(), *packed
 
+        def kept(trie: RadixTrie, prefix: bytes) -> list:
+            return [(prefix + term, leaf) for term, leaf in trie.walk() if leaf[0] >= least]
+
         def rows() -> Iterator[tuple]:
             at, trie, leaves = None, RadixTrie(), []
             for batch in slices(batches):
                 for row in batch.to_pylist():
                     place = row["lang"], row["prefix"]
                     if place != at:
-                        leaves.extend(x for x in trie.walk() if x[1][0] >= least)
-                        if at is not None and (at[0] != place[0] or len(leaves) >= piece):
-                            yield from pieces(at[0], leaves)
-                            leaves = []
+                        if at is not None:
+                            leaves.extend(kept(trie, at[1]))
+                            if at[0] != place[0] or len(leaves) >= piece:
+                                yield from pieces(at[0], leaves)
+                                leaves = []
                         at, trie = place, RadixTrie()
                     for term, documents, counts in _unpacked(row):
                         trie.add(term, documents, counts)
-            leaves.extend(x for x in trie.walk() if x[1][0] >= least)
             if at is not None:
-                yield from pieces(at[0], leaves)
+                yield from pieces(at[0], [*leaves, *kept(trie, at[1])])
 
-        yield from _batches_of([*head, *_TRIE], rows(), 16)
+        with _no_cycles():
+            yield from _batches_of([*head, *_TRIE], rows(), 16)
 
     return map_batches(tries.repartition("lang", "prefix").sortWithinPartitions("lang", "prefix"), merge, _ddl(*head))
 
@@ -341,10 +365,7 @@ class _Audit:
         counts = np.zeros((len(ends), len(self.names)), np.int64)
         counts[owner, source] = row["count"]
         price, base = prices(counts, self.totals[None, :]), prices(counts.sum(axis=1), self.total)
-        terms, term = [], b""
-        for same, rest in zip(row["shared"], row["rest"]):
-            term = term[:same] + rest
-            terms.append(term)
+        terms = row["term"]
         self.sums += len(ends) * self.apart
         for s in range(len(self.names)):
             held = np.flatnonzero(counts[:, s])

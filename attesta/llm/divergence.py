@@ -139,10 +139,28 @@ def _packed(leaves: list[tuple[bytes, list]]) -> tuple:
     return [t for t, _ in leaves], [d for _, (d, _) in leaves], list(accumulate(map(len, counters))), leaf, [n for held in counters for n in held.values()], list(names)
 
 
+def _read(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[dict]:
+    """Rows as dictionaries; lists are cut out of whole columns, as converting each cell by itself takes several times as long."""
+    for batch in slices(batches, rows):
+        columns = []
+        for name, column in zip(batch.schema.names, batch.columns):
+            if isinstance(column, pa.ListArray):
+                flat, ends = column.flatten(), column.value_lengths().to_numpy().cumsum().tolist()
+                values = flat.to_numpy().tolist() if pa.types.is_integer(flat.type) else flat.to_pylist()
+                columns.append([values[at:end] for at, end in zip([0, *ends], ends)])
+            else:
+                columns.append(column.to_pylist())
+        for row in zip(*columns):
+            yield dict(zip(batch.schema.names, row))
+
+
 def _unpacked(row: dict) -> Iterator[tuple[bytes, int, dict]]:
-    sources, counts, at = [row["sources"][k] for k in row["leaf"]], row["count"], 0
+    names, leaf, counts, at = row["sources"], row["leaf"], row["count"], 0
     for term, documents, end in zip(row["term"], row["documents"], row["ends"]):
-        yield term, documents, dict(zip(sources[at:end], counts[at:end]))
+        if end == at + 1:
+            yield term, documents, {names[leaf[at]]: counts[at]}
+        else:
+            yield term, documents, {names[s]: n for s, n in zip(leaf[at:end], counts[at:end])}
         at = end
 
 
@@ -242,12 +260,11 @@ def local_tries(docs: DataFrame, depth: int = PREFIX_BYTES, counters: int = TRIE
 def _deeper(depth: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            for batch in slices(batches):
-                for row in batch.to_pylist():
-                    forest: Forest = {}
-                    for term, documents, counts in _unpacked(row):
-                        _add(forest, row["lang"], depth, row["prefix"] + term, documents, counts)
-                    yield from _rows(forest)
+            for row in _read(batches):
+                forest: Forest = {}
+                for term, documents, counts in _unpacked(row):
+                    _add(forest, row["lang"], depth, row["prefix"] + term, documents, counts)
+                yield from _rows(forest)
 
         yield from _batches_of([*_HEAD, *_TRIE], rows())
 
@@ -290,18 +307,17 @@ def merged_tries(tries: DataFrame, least: int = LEAST_DOCUMENTS, piece: int = PI
 
         def rows() -> Iterator[tuple]:
             at, trie, leaves = None, RadixTrie(), []
-            for batch in slices(batches):
-                for row in batch.to_pylist():
-                    place = row["lang"], row["prefix"]
-                    if place != at:
-                        if at is not None:
-                            leaves.extend(kept(trie, at[1]))
-                            if at[0] != place[0] or len(leaves) >= piece:
-                                yield from pieces(at[0], leaves)
-                                leaves = []
-                        at, trie = place, RadixTrie()
-                    for term, documents, counts in _unpacked(row):
-                        trie.add(term, documents, counts)
+            for row in _read(batches):
+                place = row["lang"], row["prefix"]
+                if place != at:
+                    if at is not None:
+                        leaves.extend(kept(trie, at[1]))
+                        if at[0] != place[0] or len(leaves) >= piece:
+                            yield from pieces(at[0], leaves)
+                            leaves = []
+                    at, trie = place, RadixTrie()
+                for term, documents, counts in _unpacked(row):
+                    trie.add(term, documents, counts)
             if at is not None:
                 yield from pieces(at[0], [*leaves, *kept(trie, at[1])])
 
@@ -396,26 +412,27 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     merged = written(merged_tries(tries, least), "merged")
     occurrences = merged.select("lang", F.explode(F.arrays_zip("sources", "sums")).alias("x")).groupBy("lang", F.col("x.sources").alias("source")).agg(F.sum("x.sums").alias("n"))
     groups = written(docs.select("lang", "source").distinct().join(occurrences, ["lang", "source"], "left").select("lang", "source", F.coalesce("n", F.lit(0)).alias("n")), "groups")
-    # one short row for each language, met by pieces of thousands of terms
+    # one short row for each language and share of its pieces, so that no task gets all pieces of a language
     known = groups.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", "n"))).alias("g")).join(merged.groupBy("lang").agg(F.sum("terms").alias("kept")), "lang")
-    totals = known.select("lang", "kept", F.col("g.source").alias("all_sources"), F.col("g.n").alias("totals"))
+    shares = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    totals = known.select("lang", "kept", F.col("g.source").alias("all_sources"), F.col("g.n").alias("totals"), F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    pieces = merged.withColumn("share", F.pmod(F.hash(F.get("term", F.lit(0))), F.lit(shares)))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             now = None
-            for batch in slices(batches, 16):
-                for row in batch.to_pylist():
-                    if now is None or now.lang != row["lang"]:
-                        if now is not None:
-                            yield from now.rows()
-                        now = _Audit(row, top)
-                    now.add(row)
+            for row in _read(batches, 16):
+                if now is None or now.lang != row["lang"]:
+                    if now is not None:
+                        yield from now.rows()
+                    now = _Audit(row, top)
+                now.add(row)
             if now is not None:
                 yield from now.rows()
 
         yield from _batches_of(_RESULT, rows(), 4096)
 
-    found = written(map_batches(merged.join(totals, "lang"), compare, ", ".join(f"{n} {k}" for n, _, k in _RESULT)), "compared")
+    found = written(map_batches(pieces.join(totals, ["lang", "share"]).drop("share"), compare, ", ".join(f"{n} {k}" for n, _, k in _RESULT)), "compared")
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     sums = found.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     others = groups.select("lang", "source").join(groups.select("lang", F.col("source").alias("item")), "lang").where("source <> item")

@@ -202,3 +202,29 @@ def link_or_insert(old: DataFrame, new: DataFrame, match: list[str], identity: l
     told = met.withColumn("_is_first", first).join(known, identity, "left")
     outcome = F.when(F.col("_hits") > 1, "ambiguous").when(F.col("_hits") == 1, "linked").when(~F.col("_is_first"), "linked").when(F.col("_known"), "updated").otherwise("inserted")
     return rows, told.select(*match, own, order, outcome.alias("outcome"), F.col("_hits").alias("hits"))
+
+
+def inherit(rows: DataFrame, key: str, column: str, sources: list[tuple[str, DataFrame, list[str]]], live: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, queue, counts): nulls of ``column`` filled from the first source that knows one value, with its name as provenance.
+
+    ``sources`` are (name, frame, keys of ``rows`` that the frame has beside ``column``) in order of precedence. Known values never change; a source
+    with several values for a key decides nothing and the next is asked. ``live`` (id, survivor) sends values that were merged away to
+    their survivors. Rows that no source fills are in ``queue`` (key, reason, candidates): ambiguous with the candidates of all
+    sources, or no candidate. ``counts`` has filled rows by source. Values are counted by key before they meet rows, so no source multiplies them.
+    """
+    held = rows
+    names = [name for name, *_ in sources]
+    for k, (_, frame, keys) in enumerate(sources):
+        value = frame.where(F.col(column).isNotNull())
+        if live is not None:
+            value = value.join(live.select(F.col("id").alias(column), F.col("survivor").alias("_survivor")), column, "left").withColumn(column, F.coalesce("_survivor", column))
+        known = value.select(*keys, column).where(reduce(lambda a, c: a & F.col(c).isNotNull(), keys, F.lit(True))).distinct().groupBy(*keys).agg(F.sort_array(F.collect_set(column)).alias(f"_c{k}"))
+        held = held.join(known, keys, "left")
+    some = lambda k: F.when(F.size(f"_c{k}") == 1, F.get(f"_c{k}", F.lit(0)))
+    derived = F.coalesce(*[some(k) for k in range(len(sources))])
+    by = F.coalesce(*[F.when(some(k).isNotNull(), F.lit(names[k])) for k in range(len(sources))])
+    told = held.withColumn("provenance", F.when(F.col(column).isNull(), by)).withColumn("_value", F.coalesce(column, derived))
+    candidates = F.array_sort(F.array_distinct(F.flatten(F.array(*[F.coalesce(f"_c{k}", F.array().cast(rows.select(F.array(column).alias("c")).schema["c"].dataType)) for k in range(len(sources))]))))
+    queue = told.where("_value is null").select(key, F.when(F.size(candidates) > 0, "ambiguous").otherwise("no candidate").alias("reason"), candidates.alias("candidates"))
+    counts = told.where("provenance is not null").groupBy("provenance").agg(F.count("*").alias("filled"))
+    return told.withColumn(column, F.col("_value")).select(*rows.columns, "provenance"), queue, counts

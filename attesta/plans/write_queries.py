@@ -187,3 +187,77 @@ WITH {_LINKED} SELECT h.body_id, h.event_date, h.external_id, h.seq, h.hits,
 def link_outcomes(s: Store) -> DataFrame:
     """What became of each listed meeting; several calendar rows of one body and date are a queue, never a guess."""
     return _linked(s)[1]
+
+
+# ---------------------------------------------------------------- inheritance
+
+# several sections and mentions of a key may name several subjects: those decide nothing
+_CHAIN = """
+  one AS (SELECT id, coalesce(m.merged_into_id, s.id) AS live FROM (SELECT DISTINCT id FROM s_subjects) s LEFT JOIN (SELECT id AS k, any_value(merged_into_id) AS merged_into_id FROM s_subjects GROUP BY id) m ON m.k = s.id),
+  src AS (SELECT 0 AS rank, 'section' AS name, 'section' AS kind, id AS k, subject_id AS v FROM s_document_sections UNION ALL SELECT 1, 'document', 'document', document_id, subject_id FROM s_document_mentions
+          UNION ALL SELECT 2, 'initiative', 'claim', claim_id, subject_id FROM s_claim_subject_mentions UNION ALL SELECT 3, 'organisation', 'org', org_id, subject_id FROM s_org_subjects),
+  cand AS (SELECT rank, any_value(name) AS name, kind, k, list_sort(list(DISTINCT coalesce(one.live, v))) AS c FROM src LEFT JOIN one ON one.id = src.v WHERE k IS NOT NULL AND v IS NOT NULL GROUP BY rank, kind, k),
+  cl AS (SELECT id, subject_id, document_section_id, document_id, org_id FROM s_claims),
+  met AS (SELECT cl.id, cl.subject_id, a.c AS a, b.c AS b, i.c AS i, o.c AS o FROM cl LEFT JOIN cand a ON a.rank = 0 AND a.k = cl.document_section_id LEFT JOIN cand b ON b.rank = 1 AND b.k = cl.document_id LEFT JOIN cand i ON i.rank = 2 AND i.k = cl.id LEFT JOIN cand o ON o.rank = 3 AND o.k = cl.org_id),
+  told AS (SELECT id, coalesce(subject_id, CASE WHEN len(a) = 1 THEN a[1] WHEN len(b) = 1 THEN b[1] WHEN len(i) = 1 THEN i[1] WHEN len(o) = 1 THEN o[1] END) AS subject_id,
+                  CASE WHEN subject_id IS NOT NULL THEN NULL WHEN len(a) = 1 THEN 'section' WHEN len(b) = 1 THEN 'document' WHEN len(i) = 1 THEN 'initiative' WHEN len(o) = 1 THEN 'organisation' END AS provenance,
+                  list_sort(list_distinct(coalesce(a, []) || coalesce(b, []) || coalesce(i, []) || coalesce(o, []))) AS candidates FROM met)"""
+
+
+def _inherited(s: Store) -> tuple[DataFrame, DataFrame, DataFrame]:
+    claims = s.claims.select("id", "subject_id", "document_section_id", "document_id", "org_id")
+    merged = s.subjects.where("merged_into_id is not null").groupBy("id").agg(F.first("merged_into_id").alias("survivor"))
+    sources = [
+        ("section", s.document_sections.select(F.col("id").alias("document_section_id"), "subject_id"), ["document_section_id"]),
+        ("document", s.document_mentions, ["document_id"]),
+        ("initiative", s.claim_subject_mentions.select(F.col("claim_id").alias("id"), "subject_id"), ["id"]),
+        ("organisation", s.org_subjects, ["org_id"]),
+    ]
+    return writes.inherit(claims, "id", "subject_id", sources, merged)
+
+
+@query(f"WITH {_CHAIN} SELECT id, subject_id, provenance FROM told")
+def inherited_chain(s: Store) -> DataFrame:
+    """Claims' subjects: their own, else their section's, document's, initiative's or organisation's, and which of them spoke."""
+    return _inherited(s)[0].select("id", "subject_id", "provenance")
+
+
+@query(f"WITH {_CHAIN} SELECT id, CASE WHEN len(candidates) > 0 THEN 'ambiguous' ELSE 'no candidate' END AS reason, array_to_string(candidates, '|') AS candidates FROM told WHERE subject_id IS NULL")
+def inheritance_queue(s: Store) -> DataFrame:
+    """Claims that no source gives a subject, and what was offered for them."""
+    return _inherited(s)[1].withColumn("candidates", F.array_join("candidates", "|"))
+
+
+@query(f"WITH {_CHAIN} SELECT provenance, count(*) AS filled FROM told WHERE provenance IS NOT NULL GROUP BY provenance")
+def inheritance_counts(s: Store) -> DataFrame:
+    return _inherited(s)[2]
+
+
+@query("""
+WITH n AS (SELECT lower(name) AS name, coalesce(any_value(merged_into_id), any_value(id)) AS org FROM s_orgs GROUP BY lower(name), id UNION ALL SELECT lower(a.alias), coalesce(o.merged_into_id, o.id) FROM s_org_aliases a JOIN s_orgs o ON o.id = a.org_id),
+     u AS (SELECT name, any_value(org) AS org FROM n GROUP BY name HAVING count(DISTINCT org) = 1),
+     p AS (SELECT lower(program) AS name, any_value(coalesce(o.merged_into_id, g.org)) AS org FROM s_programs g LEFT JOIN s_orgs o ON o.id = g.org GROUP BY 1 HAVING count(DISTINCT coalesce(o.merged_into_id, g.org)) = 1),
+     f AS (SELECT id, funder, awarding_org_id FROM s_funded)
+SELECT f.id, coalesce(f.awarding_org_id, u.org, p.org) AS awarding_org_id, CASE WHEN f.awarding_org_id IS NOT NULL THEN NULL WHEN u.org IS NOT NULL THEN 'registry' WHEN p.org IS NOT NULL THEN 'program' END AS provenance
+FROM f LEFT JOIN u ON u.name = lower(f.funder) LEFT JOIN p ON p.name = lower(f.funder)""")
+def resolved_funders(s: Store) -> DataFrame:
+    """Funders named in awards, by the registry of organisations as it is now, else by the programme's administering body; known ones stay."""
+    rows = s.funded.withColumn("_name", F.lower("funder"))
+    merged = s.orgs.where("merged_into_id is not null").select("id", F.col("merged_into_id").alias("survivor"))
+    named = s.orgs.select(F.lower("name").alias("_name"), F.col("id").alias("awarding_org_id")).unionByName(s.org_aliases.select(F.lower("alias").alias("_name"), F.col("org_id").alias("awarding_org_id")))
+    programs = s.programs.select(F.lower("program").alias("_name"), F.col("org").alias("awarding_org_id"))
+    return writes.inherit(rows, "id", "awarding_org_id", [("registry", named, ["_name"]), ("program", programs.distinct(), ["_name"])], merged)[0].select("id", "awarding_org_id", "provenance")
+
+
+@query("""
+WITH s AS (SELECT id, any_value(name) AS name, any_value(parent_subject_id) AS parent, any_value(merged_into_id) AS m FROM s_subjects GROUP BY id),
+     c AS (SELECT t.id AS child, t.part_of, list(DISTINCT coalesce(s.m, s.id)) AS p FROM s_part_of t JOIN s ON s.name = t.part_of GROUP BY 1, 2)
+SELECT s.id, coalesce(s.parent, CASE WHEN len(c.p) = 1 AND c.p[1] <> s.id THEN c.p[1] END) AS parent_subject_id FROM s LEFT JOIN c ON c.child = s.id""")
+def resolved_parents(s: Store) -> DataFrame:
+    """Parents of subjects by the name that a subject says it is part of: merged ones lead to their survivors, none is its own parent, known ones stay."""
+    one = s.subjects.groupBy("id").agg(F.first("name").alias("name"), F.first("parent_subject_id").alias("parent_subject_id"), F.first("merged_into_id").alias("m"))
+    rows = one.join(s.part_of, "id", "left").select("id", "parent_subject_id", "part_of")
+    named = one.select(F.col("name").alias("part_of"), F.coalesce("m", "id").alias("parent_subject_id"))
+    told = writes.inherit(rows, "id", "parent_subject_id", [("name", named, ["part_of"])])[0]
+    own = F.col("provenance").isNotNull() & (F.col("parent_subject_id") == F.col("id"))
+    return told.select("id", F.when(~own, F.col("parent_subject_id")).alias("parent_subject_id"))

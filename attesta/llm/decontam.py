@@ -41,6 +41,8 @@ from attesta.llm.common import free_name, map_batches, slices, written
 SHINGLE, SIMILARITY = 5, 0.8
 #: 64-bit lanes of a fingerprint, bits by which fingerprints may differ, parts of the multi-index and their bits.
 LANES, RADIUS, BLOCKS, PART = 4, 78, 8, 32
+#: Standard deviations by which an item's radius goes beyond the bits expected of the most unlike window.
+SPREADS = 5
 #: Bits of the bitmap of leads, 8 MB.
 LEAD_BITS = 1 << 26
 #: Items that a text is verified against at a time, words whose hashes a worker keeps, windows and pairs of fingerprints in memory.
@@ -103,9 +105,10 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
 class MultiIndex:
     """Every fingerprint within the radius of a query, by parts of PART bits."""
 
-    def __init__(self, fps: np.ndarray, radius: int = RADIUS) -> None:
-        self.fps, self.radius = fps, radius
-        self.near = radius // BLOCKS
+    def __init__(self, fps: np.ndarray, radius: int | np.ndarray = RADIUS) -> None:
+        #: One radius, or one for each member.
+        self.fps, self.radius = fps, np.broadcast_to(np.asarray(radius), len(fps))
+        self.near = self.radius // BLOCKS
         self.seen = self.met = 0  # pairs offered, and pairs compared in full
 
     def search(self, queries: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -118,10 +121,43 @@ class MultiIndex:
                 some |= np.bitwise_count(mine[:, b, None] ^ self.fps[None, :, b]) <= self.near
             q, k = np.nonzero(some)
             self.seen, self.met = self.seen + some.size, self.met + len(q)
-            close = np.bitwise_count(mine[q] ^ self.fps[k]).sum(1, dtype=np.int32) <= self.radius
+            close = np.bitwise_count(mine[q] ^ self.fps[k]).sum(1, dtype=np.int32) <= self.radius[k]
             yield q[close] + at, k[close]
 
 
+def radius(item: Counter) -> int:
+    """Bits by which a window without repeated shingles and of similarity SIMILARITY may differ from ``item`` (weights of shingles).
+
+    A bit is the sign of a sum of weights with random signs; two such sums differ in it with probability arccos(r) / pi, r being their
+    correlation. That is least when the window lacks the heaviest shingles. SPREADS standard deviations of the number of bits are added.
+    """
+    weights = np.sort(np.fromiter(item.values(), np.int64, len(item)))
+    total = int(weights.sum())
+    kept = int(np.ceil(total * SIMILARITY - 1e-6))
+    if kept > len(weights):
+        return 0  # no window without repeats is as like as that
+    worst = float(weights[:kept].sum()) / np.sqrt(float((weights * weights).sum()) * total)
+    p, bits = float(np.arccos(min(1.0, worst))) / np.pi, 64 * LANES
+    return min(bits, int(np.ceil(bits * p + SPREADS * np.sqrt(bits * p * (1 - p)))))
+
+
+def _earlier(hashes: np.ndarray) -> np.ndarray:
+    """The place before each at which the same shingle stood, or -1."""
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    out = np.full(len(hashes), -1)
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
+def _repeating(earlier: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
+    """Which windows hold a shingle twice: a shingle in them stood before at or after their start."""
+    first, stop = int(starts[0]), min(len(earlier), int(starts[-1]) + span)
+    # the least start from which the windows up to each place are free of repeats only grows
+    free = np.maximum.accumulate(earlier[first:stop])
+    return free[np.minimum(starts + span, stop) - first - 1] >= starts
+
+
 class Items:
     """Benchmark items, as (id, shingle length, shingle hashes, leads), ready to be sought in a text."""
 
@@ -131,9 +167,10 @@ class Items:
             by_size[len(hashes), q].append((name, hashes, leads))
         self.sizes = []
         for (span, q), group in by_size.items():
-            index = MultiIndex(_fingerprints(np.stack([_bits(h).sum(0) for _, h, _ in group])))
+            shingles = [Counter(h.tolist()) for _, h, _ in group]
+            index = MultiIndex(_fingerprints(np.stack([_bits(h).sum(0) for _, h, _ in group])), np.array([radius(c) for c in shingles]))
             known = np.unique(np.concatenate([leads for _, _, leads in group]))
-            self.sizes.append((span, q, [name for name, _, _ in group], [Counter(h.tolist()) for _, h, _ in group], index, known))
+            self.sizes.append((span, q, [name for name, _, _ in group], shingles, index, known))
 
     def search(self, text: str | None) -> list[tuple[object, float, int]]:
         """(item, similarity, first word) of each item that a window of the text holds; the best window, then the earliest."""
@@ -144,6 +181,7 @@ class Items:
             mine = hashes.setdefault(q, _mix(ids, q))
             if not len(mine):
                 continue
+            earlier = _earlier(mine)
             place = np.minimum(np.searchsorted(known, mine), len(known) - 1)
             hits = np.flatnonzero(known[place] == mine)
             last = max(0, len(mine) - span)
@@ -151,8 +189,12 @@ class Items:
             for a, b in _merged(reach):
                 met: dict[int, list[int]] = defaultdict(list)
                 for starts, fps in _windows(mine, span, a, b):
-                    for w, k in index.search(fps):
-                        for s, item in zip(starts[w].tolist(), k.tolist()):
+                    # a repeated shingle outweighs the others in a fingerprint: such windows are compared in full
+                    full = _repeating(earlier, starts, span)
+                    for item in range(len(names)):
+                        met[item] += starts[full].tolist()
+                    for w, k in index.search(fps[~full]):
+                        for s, item in zip(starts[~full][w].tolist(), k.tolist()):
                             met[item].append(s)
                 for k, those in met.items():
                     for similarity, s in _similarities(mine, span, shingles[k], those):

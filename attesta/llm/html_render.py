@@ -1,7 +1,7 @@
 """Visible text of HTML pages by layout-aware rendering.
 
 A tree builder opens and closes implied elements; visibility rules drop what a browser would not
-show; the renderer keeps block spacing, list markers with their indents, preformatted text and tables
+show, by attributes, own styles and simple rules of style sheets; the renderer keeps block spacing, list markers with their indents, preformatted text and tables
 whose cells are aligned in columns. Parsing and rendering use explicit stacks, so nesting may be deep.
 Cells that span rows keep their columns in the rows below; a cell outside any row opens one. Formulas and
 drawings show their text, not their titles, descriptions, definitions and annotations. A ``details``
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from unicodedata import east_asian_width
 
@@ -56,9 +57,14 @@ IMPLIED_END = {
 #: End tags don't reach beyond these.
 SCOPE = frozenset(("table", "td", "th", "caption", "html", "template", "object"))
 
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
-_ATTR = re.compile(r"""([^\s=/>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?""")
-_NONE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!\s*important\s*)?(?=;|$)", re.I)
+# quotes count only where a value begins; an unquoted value ends at white space or the tag's end
+_VALUE = r"""\s*+=\s*+("[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)"""
+_TAG = re.compile(rf"""<(/?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:{_VALUE})?+)*+)>""")
+_ATTR = re.compile(rf"""([^\s/>][^\s/>=]*+)(?:{_VALUE})?+""")
+#: A selector that is a tag, .class, #id or tag.class.
+_SELECTOR = re.compile(r"\s*([A-Za-z][A-Za-z0-9]*)?(?:([.#])([A-Za-z_][\w-]*))?\s*")
+_HIDDEN_BOX = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\s*(?:!\s*important\s*)?(?=;|$)", re.I)
+_NONE = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?=;|$)", re.I)
 _COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
@@ -82,7 +88,7 @@ def _attributes(source: str) -> dict[str, str]:
 
 def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
     """(kind, name or text, attributes): kinds are text, open, close."""
-    at, n = 0, len(page)
+    at, n, foreign = 0, len(page), 0
     while at < n:
         start = page.find("<", at)
         if start < 0:
@@ -93,15 +99,24 @@ def _tokens(page: str) -> Iterator[tuple[str, str, str]]:
         if page.startswith("<!--", start):
             end = page.find("-->", start + 4)
             at = n if end < 0 else end + 3
+        elif foreign and page.startswith("<![CDATA[", start):
+            end = page.find("]]>", start + 9)
+            yield "text", page[start + 9 : n if end < 0 else end], ""
+            at = n if end < 0 else end + 3
         elif page[start + 1 : start + 2] in ("!", "?"):
             end = page.find(">", start)
             at = n if end < 0 else end + 1
         elif m := _TAG.match(page, start):
             name, at = m[2].lower(), m.end()
+            if name in ("svg", "math"):
+                foreign = max(0, foreign + (-1 if m[1] else not m[3].rstrip().endswith("/")))
             if m[1]:
                 yield "close", name, ""
                 continue
             yield "open", name, m[3]
+            if name == "plaintext":
+                yield "text", page[at:], ""
+                return
             if name in RAW:
                 end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
                 body = page[at : end.start() if end else n]
@@ -123,15 +138,25 @@ def build(page: str) -> Node:
     root = Node("html", {})
     body: Node | None = None
     stack = [root]
-    open_tags = {"html": 1}
+    # where the open elements of each tag stand on the stack, so that no search walks it
+    places: dict[str, list[int]] = {"html": [0]}
+
+    def put(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
 
     def pop() -> None:
-        open_tags[stack.pop().tag] -= 1
+        places[stack.pop().tag].pop()
+
+    def is_open(tag: str) -> bool:
+        return bool(places.get(tag))
+
+    def innermost(tags: set[str] | frozenset[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
 
     def push(node: Node) -> None:
         stack[-1].children.append(node)
-        stack.append(node)
-        open_tags[node.tag] = open_tags.get(node.tag, 0) + 1
+        put(node)
 
     def to_body() -> None:
         nonlocal body
@@ -141,18 +166,14 @@ def build(page: str) -> Node:
             body = Node("body", {})
             push(body)
         else:
-            stack.append(body)
-            open_tags["body"] = open_tags.get("body", 0) + 1
+            put(body)
 
     def end_up_to(tags: set[str], barrier: set[str] | frozenset[str]) -> None:
         """Pops up to and with the outermost open element of ``tags`` above the barrier."""
-        k = len(stack) - 1
-        last = None
-        while k > 0 and stack[k].tag not in barrier:
-            if stack[k].tag in tags:
-                last = k
-            k -= 1
-        while last is not None and len(stack) > last:
+        floor = innermost(barrier)
+        above = [held[k] for t in tags if (held := places.get(t)) and (k := bisect_right(held, floor)) < len(held)]
+        last = min(above, default=None)
+        while last is not None and last > 0 and len(stack) > last:
             pop()
 
     head_tags = {"base", "link", "meta", "title", "style", "script", "template", "noscript"}
@@ -181,7 +202,7 @@ def build(page: str) -> Node:
             if len(stack) == 1 or (top.tag == "head" and name not in head_tags):
                 if not (len(stack) == 1 and body is None and name in head_tags):
                     to_body()
-            if name in BLOCK and open_tags.get("p"):
+            if name in BLOCK and is_open("p"):
                 end_up_to({"p"}, SCOPE)
             if name in IMPLIED_END:
                 end_up_to(*IMPLIED_END[name])
@@ -194,24 +215,78 @@ def build(page: str) -> Node:
                 push(node)
         elif name == "br":
             stack[-1].children.append(Node("br", {}))
-        elif name == "p" and not open_tags.get("p"):
+        elif name == "p" and not is_open("p"):
             stack[-1].children.append(Node("p", {}))
-        elif open_tags.get(name) and name not in ("html", "body"):
-            k = len(stack) - 1
-            while k > 0 and stack[k].tag != name:
-                if stack[k].tag in SCOPE and name not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th", "html"):
-                    k = 0
-                else:
-                    k -= 1
+        elif is_open(name) and name not in ("html", "body"):
+            k = places[name][-1]
+            if name not in ("table", "tr", "tbody", "thead", "tfoot", "td", "th") and innermost(SCOPE) > k:
+                k = 0
             while k > 0 and len(stack) > k:
                 pop()
     return root
 
 
+class Styles:
+    """Rules of a page's style sheets that show or hide, by simple selectors; what stands inside at-rules counts, too."""
+
+    def __init__(self, sheets: list[str]) -> None:
+        self.rules: dict[tuple[str, str, str], tuple[bool, bool | None]] = {}
+        for sheet in sheets:
+            for part in _COMMENT.sub(" ", sheet).split("}"):
+                selectors, brace, body = part.rpartition("{")
+                if not brace:
+                    continue
+                selectors = selectors.rpartition("{")[2]
+                shown = _declared(body)
+                if shown == (True, None) and "display" not in body:
+                    continue
+                for one in selectors.rsplit(";", 1)[-1].split(","):
+                    m = _SELECTOR.fullmatch(one)
+                    if m and (m[1] or m[2]):
+                        key = ((m[1] or "").lower(), m[2] or "", m[3] or "")
+                        before = self.rules.get(key, (True, None))
+                        self.rules[key] = (shown[0] if "display" in body else before[0], before[1] if shown[1] is None else shown[1])
+
+    def of(self, node: Node) -> tuple[bool, bool | None]:
+        """Whether the element makes a box, and whether its text is seen; None where nothing says so. Ids go before classes, classes before tags, its own style before all."""
+        box, seen = True, None
+        if self.rules:
+            tag, named = node.tag, [("", "")]
+            named += [(".", c) for c in node.attrs.get("class", "").split()]
+            if "id" in node.attrs:
+                named.append(("#", node.attrs["id"]))
+            for kind, name in named:
+                for t in ("", tag):
+                    if (rule := self.rules.get((t, kind, name))) is not None:
+                        box, seen = rule[0], seen if rule[1] is None else rule[1]
+        if "style" in node.attrs:
+            own = _COMMENT.sub(" ", node.attrs["style"])
+            declared = _declared(own)
+            box = declared[0] and (box or "display" in own)
+            seen = seen if declared[1] is None else declared[1]
+        return box, seen
+
+
+def _declared(body: str) -> tuple[bool, bool | None]:
+    box = not _NONE.search(body)
+    seen = None
+    for m in _HIDDEN_BOX.finditer(body):
+        seen = m[1].lower() == "visible"
+    return box, seen
+
+
+def _sheets(root: Node) -> list[str]:
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag == "style":
+            out.append("".join(c for c in node.children if isinstance(c, str)))
+        stack += [c for c in reversed(node.children) if isinstance(c, Node)]
+    return out
+
+
 def visible(node: Node) -> bool:
-    if node.tag in HIDDEN or node.tag in HIDDEN_PARTS or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs):
-        return False
-    return not ("style" in node.attrs and _NONE.search(_COMMENT.sub(" ", node.attrs["style"])))
+    return not (node.tag in HIDDEN or node.tag in HIDDEN_PARTS or "hidden" in node.attrs or (node.tag == "dialog" and "open" not in node.attrs))
 
 
 def shown_children(node: Node) -> list:
@@ -290,46 +365,73 @@ class _Writer:
         return "\n".join(self.lines).strip("\n")
 
 
+#: A row that no table has.
+_NEVER = 1 << 60
+
+
 class _Table:
     def __init__(self) -> None:
-        #: Rows of (text, first column, columns); columns that a cell above spans are left free.
-        self.rows: list[list[tuple[str, int, int]]] = []
-        #: Columns that a cell above spans in this row, and those that cells of this row span below, with the rows left.
-        self.busy: dict[int, int] = {}
-        self.due: dict[int, int] = {}
+        #: Rows of (text, columns, rows) as they come.
+        self.given: list[list[tuple[str, int, int]]] = []
 
     def open_row(self) -> None:
-        self.busy = {c: n - 1 for c, n in (self.busy | self.due).items() if n > 1}
-        self.due = {}
-        self.rows.append([])
+        self.given.append([])
 
     def add(self, cell: str, columns: int, rows: int) -> None:
-        if not self.rows:
+        if not self.given:
             self.open_row()
-        row = self.rows[-1]
-        at = row[-1][1] + row[-1][2] if row else 0
-        while at in self.busy:
-            at += 1
-        row.append((cell, at, columns))
-        if rows > 1:
-            self.due.update(dict.fromkeys(range(at, at + columns), rows))
+        self.given[-1].append((cell, columns, rows))
+
+    def placed(self) -> list[list[tuple[str, int, int]]]:
+        """Rows of (text, first column, columns); columns that a cell above spans are left free.
+
+        Spanned columns are kept as stretches (first, end, last row); neighbours that end in the same row are one, and none goes
+        beyond the table, so a stack of long spans stays one stretch.
+        """
+        out: list[list[tuple[str, int, int]]] = []
+        busy: list[tuple[int, int, int]] = []
+        due: list[tuple[int, int, int]] = []
+        first_end = _NEVER
+        for now, cells in enumerate(self.given):
+            if due or first_end < now:
+                merged: list[tuple[int, int, int]] = []
+                for a, b, last in sorted(x for x in [*busy, *due] if x[2] >= now):
+                    if merged and merged[-1][1] >= a and merged[-1][2] == last:
+                        merged[-1] = (merged[-1][0], max(b, merged[-1][1]), last)
+                    else:
+                        merged.append((a, b, last))
+                busy, due = merged, []
+                first_end = min((x[2] for x in busy), default=_NEVER)
+            row: list[tuple[str, int, int]] = []
+            at = k = 0
+            for cell, columns, rows in cells:
+                while k < len(busy) and busy[k][0] <= at:
+                    at, k = max(at, busy[k][1]), k + 1
+                row.append((cell, at, columns))
+                last = min(now + rows, len(self.given)) - 1
+                if last > now:
+                    due.append((at, at + columns, last))
+                at += columns
+            out.append(row)
+        return out
 
     def render(self) -> str:
         """Cells in columns, each as wide as its widest line; a spanning cell starts at its first column."""
+        placed = self.placed()
         widths: dict[int, int] = {}
-        for row in self.rows:
+        for row in placed:
             for k, (cell, at, span) in enumerate(row):
                 if span == 1 and k < len(row) - 1:
                     widths[at] = max(widths.get(at, 0), *map(_width, cell.split("\n")))
                 elif span == 1:
                     widths.setdefault(at, 0)
         # a column that no cell has to itself takes no room
-        last = max((at + span for row in self.rows for _, at, span in row), default=0)
-        starts = [0]
-        for c in range(last):
-            starts.append(starts[-1] + (widths[c] + 2 if c in widths else 0))
+        starts, room = {}, 0
+        for c in sorted({at for row in placed for _, at, _ in row}):
+            starts[c] = room
+            room += widths[c] + 2 if c in widths else 0
         out = []
-        for row in self.rows:
+        for row in placed:
             cells = [(cell.split("\n"), at) for cell, at, _ in row]
             for k in range(max((len(c) for c, _ in cells), default=0)):
                 line, wide = "", 0
@@ -353,13 +455,18 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     writers, tables = [_Writer()], []
-    lists: list[list] = []  # [ordered, next number]
+    lists: list[list] = []  # [ordered, next number, step]
     pre = 0
-    stack: list[tuple[object, bool]] = [(build(page), False)]
+    root = build(page)
+    styles = Styles(_sheets(root))
+    seen = [True]  # of the open elements: whether text is seen
+    stack: list[tuple[object, bool]] = [(root, False)]
     while stack:
         node, leaving = stack.pop()
         out = writers[-1]
         if isinstance(node, str):
+            if not seen[-1]:
+                continue
             if pre:
                 out.raw(node)
             elif not (tables and tables[-1][1] is None):
@@ -369,15 +476,17 @@ def render(page: str | None) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if not visible(node):
+            box, shows = styles.of(node) if styles.rules or "style" in node.attrs else (True, None)
+            if not box or not visible(node):
                 continue
+            shows = seen[-1] if shows is None else shows
             if tag == "br":
                 out.newline()
                 continue
             if tag in VOID:
                 if tag == "hr":
                     out.block(1)
-                elif tag == "input" and node.attrs.get("type", "").lower() in ("submit", "button", "reset") and node.attrs.get("value"):
+                elif tag == "input" and shows and node.attrs.get("type", "").lower() in ("submit", "button", "reset") and node.attrs.get("value"):
                     out.text(node.attrs["value"])
                 elif tag == "wbr":
                     continue
@@ -387,13 +496,15 @@ def render(page: str | None) -> str:
             elif tag in BLOCK:
                 out.block(1)
             if tag in ("ul", "ol", "menu"):
-                lists.append([tag == "ol", _number(node.attrs.get("start"), 1)])
+                back = tag == "ol" and "reversed" in node.attrs
+                first = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if back else 1
+                lists.append([tag == "ol", _number(node.attrs.get("start"), first), -1 if back else 1])
             elif tag == "li":
-                kind = lists[-1] if lists else [False, 1]
+                kind = lists[-1] if lists else [False, 1, 1]
                 kind[1] = _number(node.attrs.get("value"), kind[1])
                 mark = f"{kind[1]}. " if kind[0] else "- "
-                kind[1] += 1
-                out.marker = mark
+                kind[1] += kind[2]
+                out.marker = mark if shows else None
                 out.indents.append(" " * len(mark))
             elif tag in ("dd", "blockquote"):
                 out.indents.append("    ")
@@ -406,9 +517,11 @@ def render(page: str | None) -> str:
             elif tag in ("td", "th", "caption") and tables:
                 tables[-1][1] = node
                 writers.append(_Writer())
+            seen.append(shows)
             stack.append((node, True))
             stack += [(c, False) for c in reversed(shown_children(node))]
         else:
+            seen.pop()
             if tag in ("td", "th", "caption") and tables:
                 cell = writers.pop().done()
                 tables[-1][1] = None

@@ -344,24 +344,25 @@ def loaded(weights: dict) -> Model:
 def all_spans(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     """(base spans, base and added spans), each by start, then kind."""
     base = base_spans(text)
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[list[int]] = []  # base spans of all kinds as stretches that don't overlap
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
     added: list[Span] = []
-    k, reach = 0, 0
+    first = 0
     for start, end in regions(text):
+        while first < len(taken) and taken[first][1] <= start:
+            first += 1
+        # base spans are certain segments: the program runs over what lies between them
+        free, at, k = [], start, first
         while k < len(taken) and taken[k][0] < end:
-            reach = max(reach, taken[k][1])
-            k += 1
-        if start >= reach or k == 0:
-            free = [(start, end)]
-        else:  # base spans are certain segments: the program runs over what lies between them
-            free, at = [], start
-            for a, b in taken:
-                if b > start and a < end:
-                    if a > at:
-                        free.append((at, a))
-                    at = max(at, b)
-            if at < end:
-                free.append((at, end))
+            if taken[k][0] > at:
+                free.append((at, taken[k][0]))
+            at, k = max(at, taken[k][1]), k + 1
+        if at < end:
+            free.append((at, end))
         for a, b in free:
             if b - a >= 5:  # no entity is shorter
                 lattice = Lattice(text, a, b)

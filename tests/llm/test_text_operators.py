@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -554,3 +555,48 @@ def test_quality_keeps_what_labels_call_good(spark):
 def test_quality_stays_in_the_jvm(docs):
     plan = quality.judge(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<p title=it's>Hello</p> <b>I don't go</b><p>after</p>", "Hello\n\nI don't go\n\nafter"),
+        ("<p title=it's>one quote only", "one quote only"),
+        ("<a title='x>y' b=\"<i>\" c=d/e>t</a>", "t"),
+        ("<plaintext>a<b>c", "a<b>c"),
+        ("<ol reversed><li>a<li>b<li value=9>c<li>d</ol>", "4. a\n3. b\n9. c\n8. d"),
+        ("<div style='visibility:hidden'>no<p style='visibility:visible'>yes</p></div>", "yes"),
+        ("<svg><text><![CDATA[x<y]]></text></svg>", "x<y"),
+        ("<p>a<![CDATA[x]]>b", "ab"),
+        ("<style>/* .k{display:none} */ .x{display:none} #y, b.z {color:red;visibility:hidden} @media all { h1{display:none} }</style><p class='a x'>no<p id=y>no <i style='visibility: visible'>yes</i></p><b class=z>no</b><i class=z>ok</i><h1>no</h1><p class=k>k", "yes\n\nok\n\nk"),
+        ("<style>.x{display:none}</style><p class=x style='display:block'>shown", "shown"),
+    ],
+)
+def test_html_attributes_and_visibility(page, want):
+    assert html_render.render(page) == want
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<table>" + "<tr><td colspan=1000 rowspan=60000>x" * 20000,
+        "<div>" * 20000 + "<option>" * 20000,
+        "<li><ul>" + "<div>" * 20000 + "<li>" * 20000,
+        "<b>" + "<table>" * 10000 + "</b>" * 10000,
+        '<a x="' * 100000,
+        "<a ='" * 100000,
+        "<style>" + "{" * 300000 + "</style>",
+        "<style>" + "a," * 300000 + "</style>",
+    ],
+)
+def test_html_takes_linear_time(page):
+    began = time.perf_counter()
+    html_render.render(page)
+    assert time.perf_counter() - began < 8
+
+
+def test_personal_data_takes_linear_time():
+    model = pii.loaded(pii.fitted())
+    began = time.perf_counter()
+    base, spans = pii.all_spans("a@b.cd xy " * 30000, model)
+    assert len(base) == 30000 and time.perf_counter() - began < 10

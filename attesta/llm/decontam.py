@@ -170,14 +170,14 @@ class Items:
             shingles = [Counter(h.tolist()) for _, h, _ in group]
             index = MultiIndex(_fingerprints(np.stack([_bits(h).sum(0) for _, h, _ in group])), np.array([radius(c) for c in shingles]))
             known = np.unique(np.concatenate([leads for _, _, leads in group]))
-            self.sizes.append((span, q, [name for name, _, _ in group], shingles, index, known))
+            self.sizes.append((span, q, [name for name, _, _ in group], shingles, index, known, [leads for _, _, leads in group]))
 
     def search(self, text: str | None) -> list[tuple[object, float, int]]:
         """(item, similarity, first word) of each item that a window of the text holds; the best window, then the earliest."""
         ids = word_hashes(text)
         hashes: dict[int, np.ndarray] = {}
         best: dict[object, tuple[float, int]] = {}
-        for span, q, names, shingles, index, known in self.sizes:
+        for span, q, names, shingles, index, known, leads in self.sizes:
             mine = hashes.setdefault(q, _mix(ids, q))
             if not len(mine):
                 continue
@@ -186,21 +186,28 @@ class Items:
             hits = np.flatnonzero(known[place] == mine)
             last = max(0, len(mine) - span)
             reach = [(min(max(0, p - span + 1), last), min(p, last)) for p in hits.tolist()]
+            own: dict[int, np.ndarray] | None = None
             for a, b in _merged(reach):
-                met: dict[int, list[int]] = defaultdict(list)
                 for starts, fps in _windows(mine, span, a, b):
                     # a repeated shingle outweighs the others in a fingerprint: such windows are compared in full
                     full = _repeating(earlier, starts, span)
-                    for item in range(len(names)):
-                        met[item] += starts[full].tolist()
+                    met: dict[int, list[int]] = defaultdict(list)
                     for w, k in index.search(fps[~full]):
                         for s, item in zip(starts[~full][w].tolist(), k.tolist()):
                             met[item].append(s)
-                for k, those in met.items():
-                    for similarity, s in _similarities(mine, span, shingles[k], those):
-                        now = best.get(names[k], (0.0, 0))
-                        if similarity >= SIMILARITY and (similarity, -s) > (now[0], -now[1]):
-                            best[names[k]] = (similarity, s)
+                    if full.any():
+                        some = starts[full]
+                        if own is None:  # where each item's own leads stand; a window without one isn't like it
+                            lead = mine[hits]
+                            own = {k: found for k, those in enumerate(leads) if len(found := hits[np.isin(lead, those)])}
+                        for item, found in own.items():
+                            first = found[np.minimum(np.searchsorted(found, some), len(found) - 1)]
+                            met[item] += some[(first >= some) & (first < some + span)].tolist()
+                    for k, those in met.items():
+                        for similarity, s in _similarities(mine, span, shingles[k], those):
+                            now = best.get(names[k], (0.0, 0))
+                            if similarity >= SIMILARITY and (similarity, -s) > (now[0], -now[1]):
+                                best[names[k]] = (similarity, s)
         return sorted(((name, sim, s) for name, (sim, s) in best.items()), key=lambda x: (x[2], str(x[0])))
 
 

@@ -151,9 +151,10 @@ def provenance_states(s: Store) -> DataFrame:
     return stored.join(now, "doc_id", "left").select("doc_id", "digest", state.alias("state"))
 
 
-@query(f"SELECT doc_id, count(*) AS reversals FROM documents WHERE regexp_matches(text, '{rules.REVERSAL}') GROUP BY doc_id")
+@query(f"SELECT subject_id, count(*) AS reversals, min(id) AS first_claim FROM s_claims WHERE regexp_matches(verbatim, '{rules.REVERSAL}') GROUP BY subject_id")
 def regex_filter(s: Store) -> DataFrame:
-    return s.raw("documents").where(F.col("text").rlike(rules.REVERSAL)).groupBy("doc_id").agg(F.count("*").alias("reversals"))
+    """Claims whose words tell of a reversal, by subject."""
+    return s.claims.where(F.col("verbatim").rlike(rules.REVERSAL)).groupBy("subject_id").agg(F.count("*").alias("reversals"), F.min("id").alias("first_claim"))
 
 
 @query("SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")

@@ -202,12 +202,12 @@ def v_event_documents(s: Store) -> DataFrame:
 SELECT DISTINCT event_id, event_date, coalesce(minutes_best_url, agenda_best_url) AS url,
        CASE WHEN minutes_best_url IS NOT NULL THEN minutes_format WHEN agenda_best_url IS NOT NULL THEN agenda_format END AS format,
        CASE WHEN minutes_best_url IS NOT NULL THEN 'minutes' WHEN agenda_best_url IS NOT NULL THEN 'agenda' ELSE 'none' END AS basis
-FROM ({_EVENT_DOCUMENTS}) WHERE body_name ILIKE '%an%'""")
+FROM ({_EVENT_DOCUMENTS}) WHERE body_name ILIKE '%on_1%'""")
 def best_document(s: Store) -> DataFrame:
     """Minutes before agenda before nothing, for bodies whose name matches."""
     basis = F.when(F.col("minutes_best_url").isNotNull(), "minutes").when(F.col("agenda_best_url").isNotNull(), "agenda").otherwise("none")
     form = F.when(F.col("minutes_best_url").isNotNull(), F.col("minutes_format")).when(F.col("agenda_best_url").isNotNull(), F.col("agenda_format"))
-    rows = event_documents(s).where(F.col("body_name").ilike("%an%"))
+    rows = event_documents(s).where(F.col("body_name").ilike("%on_1%"))
     return rows.select("event_id", "event_date", F.coalesce("minutes_best_url", "agenda_best_url").alias("url"), form.alias("format"), basis.alias("basis")).distinct()
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from difflib import SequenceMatcher
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -60,21 +61,25 @@ def transfer_labels(words: DataFrame, turns: DataFrame, key: str = "media_id") -
     return words.select(key, "id", "start_ms", "text").groupBy(key).cogroup(turns.select(key, "seq", "speaker", "text").groupBy(key)).applyInPandas(run, f"{key} {kind}, id long, label string")
 
 
+def closeness(a: str, b: str) -> float:
+    """How close a heard word is to a written one: their ratio, or more for a long beginning in common; 0 for words that have neither."""
+    shared = len(commonprefix([a, b]))
+    ratio_ = SequenceMatcher(None, a, b).ratio()
+    by_start = 0.6 + 0.1 * shared if shared >= PREFIX else 0.0
+    return max(ratio_, by_start) if ratio_ >= RATIO or by_start else 0.0
+
+
+def closest(said: list[str], entries: list[list[str]], most: float = 1.0) -> tuple[int | None, float]:
+    """The place of the entry (its words) with the word closest to one that was said, the first among equals, and how close; scores end at ``most``."""
+    scores = [min(most, max((closeness(b, a) for a in said for b in words), default=0.0)) for words in entries]
+    top = max(scores, default=0.0)
+    return (scores.index(top), top) if top > 0 else (None, 0.0)
+
+
 def roster_match(name: str | None, roster: list[str]) -> tuple[str | None, float]:
-    """The best roster entry by the closest pair of words, the first among equals; none below the ratio."""
-    best: tuple[str | None, float] = (None, 0.0)
-    said = [w for w in plain(name) if len(w) > 1]
-    for entry in roster:
-        score = 0.0
-        for a in said:
-            for b in plain(entry):
-                shared = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-                ratio = SequenceMatcher(None, a, b).ratio()
-                if ratio >= RATIO or shared >= PREFIX:
-                    score = max(score, ratio, min(1.0, 0.6 + 0.1 * shared) if shared >= PREFIX else 0.0)
-        if score > best[1]:
-            best = (entry, score)
-    return best
+    """The best roster entry by the closest pair of words; none below the ratio."""
+    place, score = closest([w for w in plain(name) if len(w) > 1], [plain(entry) for entry in roster])
+    return (None if place is None else roster[place]), score
 
 
 @F.pandas_udf(T.StructType([T.StructField("entry", T.StringType()), T.StructField("score", T.DoubleType())]))

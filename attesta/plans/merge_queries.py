@@ -17,8 +17,10 @@ KEYS = merging.Keys(
         ("asserted_events", "subject_id", "subjects"),
         ("claim_subject_mentions", "subject_id", "subjects"),
         ("claims", "subject_id", "subjects"),
+        ("document_mentions", "subject_id", "subjects"),
         ("document_sections", "subject_id", "subjects"),
         ("fiscal_references", "subject_id", "subjects"),
+        ("org_subjects", "subject_id", "subjects"),
         ("quantities", "subject_id", "subjects"),
         ("source_search_log", "subject_id", "subjects"),
         ("subject_aliases", "subject_id", "subjects"),
@@ -27,7 +29,9 @@ KEYS = merging.Keys(
         ("affiliations", "org_id", "orgs"),
         ("claims", "org_id", "orgs"),
         ("fiscal_references", "awarding_org_id", "orgs"),
+        ("funded", "awarding_org_id", "orgs"),
         ("org_aliases", "org_id", "orgs"),
+        ("org_subjects", "org_id", "orgs"),
         ("orgs", "merged_into_id", "orgs"),
     ),
     unique={

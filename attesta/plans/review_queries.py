@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.operators import review
+from attesta.operators import review, speech
 from attesta.plans.registry import query
 from attesta.plans.store import Store
+from attesta.sources import calendar, records
 
 _DECISIONS = ["speaker", "fix", "flag"]
 _FLAGS = ("wrong", "unclear")
@@ -84,3 +87,50 @@ _TABLES = "region nation customer supplier part orders lineitem events documents
 def table_columns(s: Store) -> DataFrame:
     """Tables, their columns and row counts, by the catalog."""
     return review.described(s.spark, {t: s.raw(t) for t in _TABLES}).select("table_name", "column_name", "position", "n_rows")
+
+
+# ---------------------------------------------------------------- sources
+
+_PLAIN = "replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&')"
+_BARE = r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'), '(?i)<br\s*/?>|</p>|</div>|</tr>|</li>', chr(10), 'g')"
+
+
+@query(rf"""
+SELECT page_id, trim(regexp_replace({_PLAIN.format(f"regexp_replace({_BARE}, '<[^>]+>', ' ', 'g')")}, '\s*\n\s*\n\s*(\n\s*)*', chr(10) || chr(10), 'g')) AS body, starts_with(html, '%PDF-') AS pdf FROM pages""")
+def page_bodies(s: Store) -> DataFrame:
+    """What a fetched page says, and whether it is a PDF."""
+    return s.raw("pages").select("page_id", calendar.visible_body(F.col("html")).alias("body"), calendar.is_pdf(F.col("html"), F.lit(None).cast("string")).alias("pdf"))
+
+
+@query("""
+WITH f AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS id, cast(l_partkey % 50 AS int) AS page_no, concat('Figure ', l_suppkey % 9) AS top_label FROM lineitem),
+     p AS (SELECT cast(p_partkey % 50 AS int) AS page_no, concat('Figure ', p_size % 11) AS top_label, p_size % 5 / 10.0 AS area_frac, p_partkey % 7 AS x0, p_partkey AS y0 FROM part),
+     r AS (SELECT *, row_number() OVER (PARTITION BY page_no, top_label ORDER BY area_frac DESC, x0, y0) AS rn FROM p)
+SELECT f.id, f.page_no, f.top_label, cast(r.x0 AS bigint) AS x0, cast(r.y0 AS bigint) AS y0, cast(r.area_frac AS double) AS area_frac FROM f LEFT JOIN r ON r.page_no = f.page_no AND r.top_label = f.top_label AND rn = 1""")
+def pictured_figures(s: Store) -> DataFrame:
+    """Figures with the picture under the same label of their page, the largest of several."""
+    figures = s.raw("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_partkey") % 50).cast("int").alias("page_no"), F.concat(F.lit("Figure "), (F.col("l_suppkey") % 9).cast("string")).alias("top_label")).distinct()
+    k = F.col("p_partkey")
+    pictures = s.raw("part").select((k % 50).cast("int").alias("page_no"), F.concat(F.lit("Figure "), (F.col("p_size") % 11).cast("string")).alias("top_label"), (F.col("p_size") % 5 / 10.0).alias("area_frac"), F.array((k % 7).cast("long"), k.cast("long")).alias("bbox"))
+    told = records.figures_with_pictures(figures, pictures)
+    return told.select("id", "page_no", "top_label", F.get("picture_bbox", F.lit(0)).alias("x0"), F.get("picture_bbox", F.lit(1)).alias("y0"), "area_frac")
+
+
+@query("""
+SELECT asked, count(*) AS events, min(event_date) AS first_date FROM (
+  SELECT 'all' AS asked, event_date FROM s_events UNION ALL SELECT 'body', event_date FROM s_events WHERE body_id = 3 UNION ALL SELECT 'date', event_date FROM s_events WHERE event_date >= DATE '1996-01-01' UNION ALL SELECT 'both', event_date FROM s_events WHERE body_id = 3 AND event_date >= DATE '1996-01-01') GROUP BY asked""")
+def events_since(s: Store) -> DataFrame:
+    """Meetings by a body and a first date, either of which may be left out."""
+    rows = s.events.select(F.col("body_id").cast("string").alias("EventBodyName"), F.col("event_date").cast("string").alias("EventDate"))
+    asked = {"all": (None, None), "body": ("3", None), "date": (None, "1996-01-01"), "both": ("3", "1996-01-01")}
+    parts = [records.since(rows, *conditions).select(F.lit(name).alias("asked"), F.col("EventDate").cast("date").alias("event_date")) for name, conditions in asked.items()]
+    return reduce(DataFrame.unionAll, parts).groupBy("asked").agg(F.count("*").alias("events"), F.min("event_date").alias("first_date"))
+
+
+@query()
+def chunk_seams(s: Store) -> DataFrame:
+    """Words of chunks that overlap by a second, each once; tested against a direct loop."""
+    w = s.words.select("id", "media_id", "text", "start_ms", "end_ms")
+    chunk = F.floor(F.col("start_ms") / 60000)
+    late = w.where(F.col("start_ms") % 60000 < 1000).withColumn("chunk", chunk - 1)
+    return speech.drop_seams(w.withColumn("chunk", chunk).unionByName(late)).select("media_id", "id", "chunk")

@@ -52,8 +52,9 @@ def words_of(transcripts: DataFrame) -> DataFrame:
 
 
 def figures_with_pictures(figures: DataFrame, pictures: DataFrame) -> DataFrame:
-    """Figures with the box of the picture that has the same page and label; figures without one stay."""
-    boxes = pictures.select("page_no", "top_label", F.col("bbox").alias("picture_bbox"), "area_frac")
+    """Figures with the box of the picture that has the same page and label, the largest of several, of equally large ones the first by box; figures without one stay."""
+    last = F.struct("area_frac", F.transform("bbox", lambda x: -x))
+    boxes = pictures.groupBy("page_no", "top_label").agg(F.max_by(F.struct(F.col("bbox").alias("picture_bbox"), "area_frac"), last).alias("p")).select("page_no", "top_label", "p.*")
     return figures.join(boxes, ["page_no", "top_label"], "left")
 
 

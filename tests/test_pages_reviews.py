@@ -149,3 +149,12 @@ def test_inheritance_asks_sources_in_order(spark):
     assert sorted((r["id"], r["v"], r["provenance"]) for r in after.collect() if r["v"] is not None) == [(1, 50, "first"), (2, 9, None), (3, 8, "second")]
     assert sorted((r["id"], r["reason"], r["candidates"]) for r in queue.collect()) == [(4, "ambiguous", [1, 2]), (5, "no candidate", [])]
     assert {r["provenance"]: r["filled"] for r in counts.collect()} == {"first": 1, "second": 1}
+
+
+def test_the_largest_picture_goes_with_a_figure(spark):
+    from attesta.sources import records
+
+    figures = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "a", "z")], "page_no int, top_label string, file string")
+    pictures = spark.createDataFrame([(1, "a", [5.0, 0.0], 0.2), (1, "a", [9.0, 0.0], 0.4), (1, "a", [7.0, 1.0], 0.4), (1, "a", [7.0, 1.0], 0.4), (2, "q", [1.0], 0.1)], "page_no int, top_label string, bbox array<double>, area_frac double")
+    got = sorted((r["file"], r["picture_bbox"], r["area_frac"]) for r in records.figures_with_pictures(figures, pictures).collect())
+    assert got == [("x", [7.0, 1.0], 0.4), ("y", None, None), ("z", None, None)]

@@ -294,7 +294,7 @@ def test_reads_tables():
     late = mpeg_audio.parse(frame(body=b"Info" + struct.pack(">II", 1, 3)) + frame() * 3)  # behind the checksum
     assert late.table.kind == "Info" and late.table_ok
     vbri = bytearray(frame(protected=False))
-    vbri[36:68] = b"VBRI" + struct.pack(">HHHIIHHHH", 1, 0, 75, 3 * len(vbri), 2, 2, 10, 2, 1) + struct.pack(">H", 7)
+    vbri[36:62] = b"VBRI" + struct.pack(">HHHIIHHHH", 1, 0, 75, 3 * len(vbri), 2, 2, 10, 2, 1)
     vbri[62:66] = struct.pack(">HH", 7, 9)
     s = mpeg_audio.parse(bytes(vbri) + frame() * 2)
     assert s.table.kind == "VBRI" and s.table.frames == 2 and s.table_ok and s.table.places == [70, 160]

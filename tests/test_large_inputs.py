@@ -19,3 +19,10 @@ def test_filled_rows_meet_no_lists(spark):
     after = _chain(spark)[0]
     assert sorted(map(tuple, after.collect()), key=str) == [(1, 5, 1, 1, "first"), (2, 9, 1, 1, None), (3, 7, 2, 2, "second"), (4, None, None, 1, None)]
     assert "collect_set" not in _plan(after)
+
+
+def test_long_lists_are_joined_last(spark):
+    queue = _chain(spark)[1]
+    assert [tuple(r) for r in queue.collect()] == [(4, "ambiguous", list(range(1, 21)))]
+    joins = [line for line in _plan(queue).splitlines() if "Join LeftOuter" in line]
+    assert "(b#" in joins[0] and "(a#" in joins[1]

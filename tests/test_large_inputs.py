@@ -26,3 +26,9 @@ def test_long_lists_are_joined_last(spark):
     assert [tuple(r) for r in queue.collect()] == [(4, "ambiguous", list(range(1, 21)))]
     joins = [line for line in _plan(queue).splitlines() if "Join LeftOuter" in line]
     assert "(b#" in joins[0] and "(a#" in joins[1]
+
+
+def test_counting_filled_rows_makes_no_lists(spark):
+    counts = _chain(spark)[2]
+    assert {r["provenance"]: r["filled"] for r in counts.collect()} == {"first": 1, "second": 1}
+    assert "collect_set" not in _plan(counts)

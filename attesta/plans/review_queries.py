@@ -74,7 +74,7 @@ def second_read_flags(s: Store) -> DataFrame:
     stale = F.create_map(F.lit("ocr_conflicts"), F.lit("old"), F.lit("has_ocr_blocks"), F.lit("yes"))
     sections = c.withColumns({"parse_flags": stale, "parse_confidence": F.lit("clean")})
     other = F.replace(F.col("text"), F.when(F.col("id") % 3 == 0, "en").otherwise("#"), F.lit("an"))
-    reads = c.select(F.when(F.col("id") % 5 == 0, F.concat("content_hash", F.lit("x"))).otherwise(F.col("content_hash")).alias("content_hash"), other.alias("other"), F.concat(F.lit("reader "), (F.col("id") % 2).cast("string")).alias("reader"))
+    reads = c.select("id", F.when(F.col("id") % 5 == 0, F.concat("content_hash", F.lit("x"))).otherwise(F.col("content_hash")).alias("content_hash"), other.alias("other"), F.concat(F.lit("reader "), (F.col("id") % 2).cast("string")).alias("reader"))
     told = review.apply_second_reads(sections, reads)
     flag = lambda name: F.try_element_at("parse_flags", F.lit(name))
     return told.select("id", flag("ocr_corroborated").alias("corroborated"), flag("ocr_conflicts").alias("conflicts"), F.col("parse_confidence").alias("confidence"))

@@ -1,6 +1,6 @@
 """Plans that grow with their input, and results on copies and crowded keys, against direct loops."""
 
-from attesta.operators import writes
+from attesta.operators import review, writes
 
 
 def _chain(spark):
@@ -32,3 +32,12 @@ def test_counting_filled_rows_makes_no_lists(spark):
     counts = _chain(spark)[2]
     assert {r["provenance"]: r["filled"] for r in counts.collect()} == {"first": 1, "second": 1}
     assert "collect_set" not in _plan(counts)
+
+
+def test_a_reading_of_a_copy_is_not_one_of_this_section(spark):
+    sections = spark.createDataFrame([(1, "h", "one two", None, "clean"), (2, "h", "one two", None, "clean")], "id int, content_hash string, text string, parse_flags map<string,string>, parse_confidence string")
+    reads = spark.createDataFrame([(2, "h", "one", "r")], "id int, content_hash string, other string, reader string")
+    told = {r["id"]: (r["parse_flags"], r["parse_confidence"]) for r in review.apply_second_reads(sections, reads).collect()}
+    assert told == {1: ({}, "clean"), 2: ({"ocr_conflicts": "two"}, "unaudited")}
+    told = {r["id"]: r["parse_confidence"] for r in review.apply_second_reads(sections, reads.drop("id")).collect()}
+    assert told == {1: "unaudited", 2: "unaudited"}

@@ -254,7 +254,9 @@ SELECT g.video_id, CASE WHEN n = 1 THEN g.event_id END AS event_id, CASE WHEN n
 def channel_reconciliation(s: Store) -> DataFrame:
     """Channel videos against meetings by body and stated date: none, one or several; several are never written."""
     videos = s.raw("lineitem").where("l_linenumber = 1").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("video_id"), (F.col("l_suppkey") % 25).cast("int").alias("body_id"), F.col("l_shipdate").cast("date").alias("event_date"))
-    hits = videos.join(s.events.select("id", "body_id", "event_date"), ["body_id", "event_date"], "left").groupBy("video_id").agg(F.countDistinct("id").alias("n"), F.min("id").alias("event_id"))
+    # meetings are told by body and date before videos meet them: none, one id or several, whatever their number
+    meetings = s.events.groupBy("body_id", "event_date").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    hits = videos.join(meetings, ["body_id", "event_date"], "left").groupBy("video_id").agg(F.min("least").alias("event_id"), F.max("most").alias("most")).withColumn("n", F.when(F.col("event_id").isNull(), 0).when(F.col("event_id") == F.col("most"), 1).otherwise(2))
     known = s.media_assets.select("event_id").distinct().withColumn("known", F.lit(True))
     state = F.when(F.col("n") == 0, "orphan").when(F.col("n") > 1, "ambiguous").when(F.col("known"), "both_corroborated").otherwise("recovered")
     return hits.join(known, "event_id", "left").select("video_id", F.when(F.col("n") == 1, F.col("event_id")).alias("event_id"), state.alias("state"))

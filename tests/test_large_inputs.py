@@ -41,3 +41,24 @@ def test_a_reading_of_a_copy_is_not_one_of_this_section(spark):
     assert told == {1: ({}, "clean"), 2: ({"ocr_conflicts": "two"}, "unaudited")}
     told = {r["id"]: r["parse_confidence"] for r in review.apply_second_reads(sections, reads.drop("id")).collect()}
     assert told == {1: "unaudited", 2: "unaudited"}
+
+
+def test_videos_meet_counted_meetings(spark, tmp_path):
+    """A day of many meetings is one row before videos meet it; a video of several days has all their meetings."""
+    import datetime
+
+    from attesta.plans.document_queries import channel_reconciliation
+    from attesta.plans.store import Store
+
+    day = lambda n: datetime.datetime(2020, 1, n)
+    orders = [(100 + k, 1, day(1)) for k in range(50)] + [(3, 1, day(2)), (5, 1, day(3))]
+    spark.createDataFrame([(k, c, "F", 1.0, d, "p") for k, c, d in orders], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    videos = [(v, 1, day(1)) for v in range(10, 30)] + [(3, 1, day(2)), (6, 1, day(3)), (7, 1, day(3)), (7, 1, day(2)), (8, 2, day(1)), (9, 1, day(3)), (9, 1, day(3))]
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_shipdate timestamp_ntz"
+    spark.createDataFrame([(v, 1, b, 1, 1.0, "N", d) for v, b, d in videos], line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    told = channel_reconciliation(Store(spark, str(tmp_path)))
+    got = {r["video_id"]: (r["event_id"], r["state"]) for r in told.collect()}
+    want = {v * 10 + 1: (None, "ambiguous") for v in range(10, 30)}
+    assert got == want | {31: (3, "both_corroborated"), 61: (5, "recovered"), 71: (None, "ambiguous"), 81: (None, "orphan"), 91: (5, "recovered")}
+    shown = _plan(told)
+    assert shown.index("min(") and "Aggregate [body_id" in shown

@@ -1,6 +1,6 @@
 """Plans that grow with their input, and results on copies and crowded keys, against direct loops."""
 
-from attesta.operators import review, writes
+from attesta.operators import geometry, review, writes
 
 
 def _chain(spark):
@@ -62,3 +62,12 @@ def test_videos_meet_counted_meetings(spark, tmp_path):
     assert got == want | {31: (3, "both_corroborated"), 61: (5, "recovered"), 71: (None, "ambiguous"), 81: (None, "orphan"), 91: (5, "recovered")}
     shown = _plan(told)
     assert shown.index("min(") and "Aggregate [body_id" in shown
+
+
+def test_characters_are_never_broadcast(spark):
+    """One row of a small table explodes to many characters, so its size says nothing about theirs."""
+    tokens = spark.createDataFrame([(1, "ab")], "doc_id int, token string")
+    glyphs = spark.createDataFrame([(1, 1, "a", 0.0, 1.0, 9.0), (1, 2, "b", 1.0, 2.0, 9.0)], "doc_id int, position int, character string, x0 double, x1 double, size double")
+    told = geometry.token_verdicts(tokens, glyphs, spark.createDataFrame([(1, "ab")], "doc_id int, word string"))
+    assert [(r["token"], r["verdict"]) for r in told.collect()] == [("ab", "primary")]
+    assert "BroadcastHashJoin" not in told._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,6 @@
 """Plans that grow with their input, and results on copies and crowded keys, against direct loops."""
 
-from attesta.operators import geometry, review, writes
+from attesta.operators import geometry, review, speech, writes
 
 
 def _chain(spark):
@@ -71,3 +71,17 @@ def test_characters_are_never_broadcast(spark):
     told = geometry.token_verdicts(tokens, glyphs, spark.createDataFrame([(1, "ab")], "doc_id int, word string"))
     assert [(r["token"], r["verdict"]) for r in told.collect()] == [("ab", "primary")]
     assert "BroadcastHashJoin" not in told._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dissents_take_no_frame_a_word(spark):
+    """300 clips of 100 words in a fraction of a second, and many clips to a batch rather than a group each."""
+    import time
+
+    clips = [{"a": " ".join(f"w{k % 17}x{n}" for k in range(100)), "b": " ".join(f"w{k % 17}x{n + (k == 50)}" for k in range(100))} for n in range(300)]
+    began = time.perf_counter()
+    assert all(speech.dissent(c | {"c": c["a"]}) == [(50, "b", f"w16x{n + 1}", f"w16x{n}")] for n, c in enumerate(clips))
+    assert time.perf_counter() - began < 4
+    readings = spark.createDataFrame([(n, s, t) for n, c in enumerate(clips[:5]) for s, t in (c | {"c": c["a"]}).items()], "clip int, system string, text string")
+    found = speech.dissents(readings)
+    assert sorted(map(tuple, found.collect())) == [(n, 50, "b", f"w16x{n + 1}", f"w16x{n}") for n in range(5)]
+    assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()

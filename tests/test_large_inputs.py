@@ -85,3 +85,12 @@ def test_dissents_take_no_frame_a_word(spark):
     found = speech.dissents(readings)
     assert sorted(map(tuple, found.collect())) == [(n, 50, "b", f"w16x{n + 1}", f"w16x{n}") for n in range(5)]
     assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_find_dissents_once(spark):
+    """Scoring the readings reads the dissents once: one pass of Python over the clips, not one for each side of a join."""
+    texts = {"a": "the solar panels hum", "b": "the solar panels hum", "c": "the soler panels hum"}
+    readings = spark.createDataFrame([(n, s, t) for n in range(3) for s, t in texts.items()], "clip int, system string, text string")
+    told = speech.vocabulary_candidates(speech.dissents(readings))
+    assert sorted((r["clip"], r["spelling"], r["variants"], r["rank"]) for r in told.collect()) == [(n, "solar", {"soler": 1}, 1) for n in range(3)]
+    assert "Join" not in _plan(told)

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+#: Up to this many edits similar words are found by what is left of them without as many letters; beyond it by their parts.
+SPARED = 2
+
 
 def jaccard_pairs(sets: DataFrame, key: str = "id", tokens: str = "tokens", threshold: float = 0.6) -> DataFrame:
     """Unordered pairs of rows whose token sets have a Jaccard similarity of at least ``threshold``.
@@ -137,27 +140,41 @@ def _edits(length: Column, least: float) -> Column:
     return F.floor(length * (1 - least) + 1e-9).cast("int")
 
 
+def _without_one(strings: Column) -> Column:
+    """All that is left of any of the strings without one of its letters."""
+    less = lambda w: F.transform(F.sequence(F.lit(1), F.char_length(w)), lambda i: F.concat(F.substr(w, F.lit(1), i - 1), F.substr(w, i + 1)))
+    return F.array_distinct(F.flatten(F.transform(F.filter(strings, lambda w: w != ""), less)))
+
+
 def edit_pairs(words: DataFrame, word: str = "word", least: float = 0.8) -> DataFrame:
     """(a, b, distance, similarity) for all pairs of different words whose similarity, 1 - edits / longer length, is at least ``least``; a < b.
 
-    Exact, by parts: a word cut into k + 1 parts keeps one of them under k edits, moved by at most k places. So the shorter
-    word stands under its parts and the longer asks for its stretches at places that near; only words
-    that share a part of the same length, number and text meet. Null and empty words are left out.
+    Exact, by what is left of words without some letters: with k edits between them the longer word without k letters and the shorter without
+    k less their difference in length have a string in common. Up to SPARED edits words stand under all such strings. Under more, the
+    shorter word is cut into half as many parts, and one, so that one part has an edit at most; it stands under its parts, whole and without a letter, and the
+    longer word asks for its stretches at places that near. Unlike short parts, such strings are shared by few words but those that
+    are alike. Null and empty words are left out.
     """
     named = words.select(F.col(word).alias("w")).where("w <> ''").distinct().withColumn("n", F.char_length("w"))
-    # parts of a word for each number of edits that it may be asked under, by words up to ``n / least`` letters
-    asked_for = F.array_distinct(F.transform(F.sequence("n", F.greatest(F.col("n"), F.floor(F.col("n") / least + 1e-9).cast("int"))), lambda m: _edits(m, least)))
-    per = named.withColumn("k", F.explode(asked_for)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    begin = lambda n, k, i: F.floor(n * i / (k + 1)).cast("int")
-    n, k, i = F.col("n"), F.col("k"), F.col("i")
-    start = begin(n, k, i)
-    held = per.select(F.col("w").alias("short"), n.alias("m"), "k", "i", F.substr("w", start + 1, begin(n, k, i + 1) - start).alias("part"))
-    asks = named.withColumn("k", _edits(n, least)).withColumn("m", F.explode(F.sequence(F.greatest(F.lit(1), n - F.col("k")), n))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    m = F.col("m")
-    size = begin(m, k, i + 1) - begin(m, k, i)
-    near = F.sequence(F.greatest(F.lit(0), begin(m, k, i) - k), F.greatest(F.lit(0), F.least(n - size, begin(m, k, i) + k)))
-    stretches = F.array_distinct(F.transform(near, lambda p: F.substr("w", p + 1, size)))
-    asked = asks.select(F.col("w").alias("long"), "n", "m", "k", "i", F.explode(stretches).alias("part"))
-    met = asked.join(held, ["m", "k", "i", "part"]).where((F.col("n") > F.col("m")) | (F.col("short") < F.col("long"))).select("short", "long", "n", "k").distinct()
-    told = met.withColumn("distance", F.levenshtein("short", "long")).where("distance <= k")
+    # each word under every length that the longer of a pair may have
+    under = named.withColumn("m", F.explode(F.sequence("n", F.greatest(F.col("n"), F.floor(F.col("n") / least + 1e-9).cast("int"))))).withColumn("k", _edits(F.col("m"), least)).where("m - n <= k")
+    n, m, k, i = F.col("n"), F.col("m"), F.col("k"), F.col("i")
+    spared = k - (m - n)
+    left = F.when(spared == 0, F.array("w")).when(spared == 1, _without_one(F.array("w"))).otherwise(_without_one(_without_one(F.array("w"))))
+    whole = under.where(k <= SPARED).select("w", "n", "m", "k", F.explode(left).alias("left")).select("w", "n", "m", "k", F.xxhash64("m", "left").alias("key"))
+    parts = F.floor(k / 2).cast("int") + 1
+    begin = lambda n, i: F.floor(n * i / parts).cast("int")
+    cut = F.substr("w", begin(n, i) + 1, begin(n, i + 1) - begin(n, i))
+    cuts = under.where(k > SPARED).withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1))).select("w", "n", "k", "m", "i", F.explode(F.concat(F.array(cut), _without_one(F.array(cut)))).alias("left"))
+    held = cuts.select(F.col("w").alias("short"), n.alias("shorter"), F.xxhash64("m", "n", "i", "left").alias("key"))
+    # here m is the shorter word's length; the parts before and after a stretch leave it this much play
+    asks = named.withColumn("k", _edits(n, least)).where(k > SPARED).withColumn("m", F.explode(F.sequence(F.greatest(F.lit(1), n - k), n))).withColumn("i", F.explode(F.sequence(F.lit(0), parts - 1)))
+    play, size = F.floor((k - (n - m)) / 2).cast("int"), begin(m, i + 1) - begin(m, i)
+    placed = asks.withColumn("at", F.explode(F.sequence(F.greatest(F.lit(0), begin(m, i) - play), F.greatest(F.lit(0), begin(m, i) + (n - m) + play))))
+    stretch = lambda more: F.substr("w", F.col("at") + 1, F.greatest(F.lit(0), size + more))
+    strings = F.array_distinct(F.concat(F.array(stretch(0), stretch(-1)), _without_one(F.array(stretch(0), stretch(1)))))
+    asked = placed.select("w", "n", "k", "m", "i", F.explode(strings).alias("left")).select(F.col("w").alias("long"), "n", "k", F.xxhash64("n", "m", "i", "left").alias("key"))
+    by_whole = whole.where("n = m").select(F.col("w").alias("long"), "n", "k", "key").join(whole.select(F.col("w").alias("short"), n.alias("shorter"), "key"), "key")
+    met = by_whole.unionByName(asked.distinct().join(held, "key")).where((F.col("n") > F.col("shorter")) | ((F.col("n") == F.col("shorter")) & (F.col("short") < F.col("long"))))
+    told = met.select("short", "long", "n", "k", F.levenshtein("short", "long").alias("distance")).where("distance <= k").distinct()
     return told.select(F.least("short", "long").alias("a"), F.greatest("short", "long").alias("b"), "distance", F.round(1 - F.col("distance") / F.col("n"), 4).alias("similarity"))

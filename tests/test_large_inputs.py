@@ -1,6 +1,6 @@
 """Plans that grow with their input, and results on copies and crowded keys, against direct loops."""
 
-from attesta.operators import geometry, review, speech, writes
+from attesta.operators import geometry, review, similarity, speech, writes
 
 
 def _chain(spark):
@@ -94,3 +94,51 @@ def test_candidates_find_dissents_once(spark):
     told = speech.vocabulary_candidates(speech.dissents(readings))
     assert sorted((r["clip"], r["spelling"], r["variants"], r["rank"]) for r in told.collect()) == [(n, "solar", {"soler": 1}, 1) for n in range(3)]
     assert "Join" not in _plan(told)
+
+
+def _joined_rows(node):
+    """Rows that a plan's joins gave out, once it has run."""
+    name, kids = node.nodeName(), []
+    if name.startswith("AdaptiveSparkPlan"):
+        kids = [node.executedPlan()]
+    elif "QueryStage" in name:
+        kids = [node.plan()]
+    else:
+        children = node.children()
+        kids = [children.apply(k) for k in range(children.size())]
+    own = node.metrics().apply("numOutputRows").value() if name.endswith("Join") else 0
+    return own + sum(map(_joined_rows, kids))
+
+
+def test_words_of_common_parts_do_not_all_meet(spark):
+    """1,600 words from 40 beginnings and 40 ends: those that share a half are no pairs, and few of them meet."""
+    import random
+
+    draw = random.Random(3)
+    halves = ["".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(4)) for _ in range(80)]
+    words = {a + b for a in halves[:40] for b in halves[40:]}
+    pairs = similarity.edit_pairs(spark.createDataFrame([(w,) for w in words], "word string"))
+    found = pairs._jdf.queryExecution()
+    assert len(found.executedPlan().executeCollect()) < 1600
+    assert _joined_rows(found.executedPlan()) < 20 * len(words)
+
+
+def test_long_similar_words_equal_all_pairs(spark):
+    """Three to six edits, where words are cut into parts."""
+    import random
+
+    draw = random.Random(5)
+    words = set()
+    for _ in range(60):
+        w = "".join(draw.choice("abcd") for _ in range(draw.randint(14, 31)))
+        words.add(w)
+        for _ in range(draw.randint(1, 8)):
+            at = draw.randint(0, len(w))
+            w = draw.choice([w[:at] + draw.choice("abcd") + w[at:], w[:at] + w[at + 1 :], w[:at] + draw.choice("abcd") + w[at + 1 :]])
+            words.add(w)
+    frame = spark.createDataFrame([(w,) for w in words], "w string")
+    for least in (0.8, 0.75):
+        both = frame.selectExpr("w a").crossJoin(frame.selectExpr("w b")).where("a < b").selectExpr("a", "b", "levenshtein(a, b) d", "greatest(length(a), length(b)) n")
+        want = {(r["a"], r["b"]): r["d"] for r in both.where(f"d <= {1 - least} * n + 1e-9").collect()}
+        got = {(r["a"], r["b"]): r["distance"] for r in similarity.edit_pairs(frame, "w", least).collect()}
+        assert got == want and max(want.values()) >= 4

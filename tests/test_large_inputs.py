@@ -1,5 +1,7 @@
 """Plans that grow with their input, and results on copies and crowded keys, against direct loops."""
 
+from pyspark.sql import functions as F
+
 from attesta.operators import conversion, geometry, review, similarity, speech, writes
 
 
@@ -34,6 +36,36 @@ def test_counting_filled_rows_makes_no_lists(spark):
     assert "collect_set" not in _plan(counts)
 
 
+def test_rows_that_need_not_ask_are_dealt_over_tasks(spark):
+    """No key, or a value already: such rows meet under no one key."""
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    rows = spark.range(2000).selectExpr("cast(id as int) id", "cast(null as int) v", "if(id % 2 = 0, cast(id as int), null) a", "if(id % 2 = 0, 1, null) b")
+    a = spark.range(0, 2000, 4).selectExpr("cast(id as int) a", "7 v")
+    b = spark.createDataFrame([(1, 8), (2, 9)], "b int, v int")
+    try:
+        for k, v in zip(held, ("false", "-1")):
+            spark.conf.set(k, v)
+        for sources, filled in ([("b", b, ["b"])], {"b": 1000}), ([("a", a, ["a"]), ("b", b, ["b"])], {"a": 500, "b": 500}):
+            after, _, counts = writes.inherit(rows, "id", "v", sources)
+            assert {r["provenance"]: r["filled"] for r in counts.collect()} == filled
+            idle = after.where("provenance is null or provenance = 'a'").groupBy(F.spark_partition_id()).count().collect()
+            assert len(idle) == 4 and max(r["count"] for r in idle) < 600
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_a_source_by_the_rows_own_key_tells_of_asking_rows_only(spark):
+    rows = spark.createDataFrame([(1, None), (2, 4), (3, None), (3, None), (5, None), (None, None)], "id int, v int")
+    told = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (3, 7), (3, 8), (4, 9), (None, 9), (5, None)], "id int, v int")
+    live = spark.createDataFrame([(5, 6)], "id int, survivor int")
+    after, queue, counts = writes.inherit(rows, "id", "v", [("own", told, ["id"])], live)
+    assert sorted(map(tuple, after.collect()), key=str) == sorted([(1, 6, "own"), (2, 4, None), (3, None, None), (3, None, None), (5, None, None), (None, None, None)], key=str)
+    assert sorted(map(tuple, queue.collect()), key=str) == sorted([(3, "ambiguous", [7, 8])] * 2 + [(5, "no candidate", []), (None, "no candidate", [])], key=str)
+    assert [tuple(r) for r in counts.collect()] == [("own", 1)]
+    assert "Join LeftSemi" in _plan(counts)
+
+
 def test_a_reading_of_a_copy_is_not_one_of_this_section(spark):
     sections = spark.createDataFrame([(1, "h", "one two", None, "clean"), (2, "h", "one two", None, "clean")], "id int, content_hash string, text string, parse_flags map<string,string>, parse_confidence string")
     reads = spark.createDataFrame([(2, "h", "one", "r")], "id int, content_hash string, other string, reader string")

@@ -55,6 +55,21 @@ def test_rows_that_need_not_ask_are_dealt_over_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_sources_by_the_same_keys_share_a_shuffle(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = spark.createDataFrame([(1, None, 1), (2, None, 2), (3, None, None)], "id int, v int, a int")
+    first, second = spark.createDataFrame([(1, 5)], "a int, v int"), spark.createDataFrame([(1, 6), (2, 7)], "a int, v int")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        after = writes.inherit(rows, "id", "v", [("first", first, ["a"]), ("second", second, ["a"])])[0]
+        assert sorted(map(tuple, after.collect())) == [(1, 5, 1, "first"), (2, 7, 2, "second"), (3, None, None, None)]
+        assert after._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 2
+        plan = after._jdf.queryExecution().executedPlan().toString()
+        assert plan[plan.index("Initial Plan") if "Initial Plan" in plan else 0 :].count("Exchange hashpartitioning") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+
+
 def test_a_source_by_the_rows_own_key_tells_of_asking_rows_only(spark):
     rows = spark.createDataFrame([(1, None), (2, 4), (3, None), (3, None), (5, None), (None, None)], "id int, v int")
     told = spark.createDataFrame([(1, 5), (1, 6), (2, 7), (3, 7), (3, 8), (4, 9), (None, 9), (5, None)], "id int, v int")
